@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The source project processes static tables only: no watermark, window,
+late-data or state handling appears anywhere in it, so this package is
+intentionally empty.  Everything in loanmart is a batch DataFrame plan.
+"""
