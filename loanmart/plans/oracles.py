@@ -27,3 +27,12 @@ _register_block("block_pos", OB.pos_sql(), "pos")
 _register_block("block_bureau", OB.bureau_sql(), "bureau", "bureau_balance")
 _register_block("feature_mart", OB.mart_sql(), "application", "prev", "ccb", "installments", "pos", "bureau",
                 "bureau_balance")
+
+
+def _merge_registered() -> None:
+    from loanmart.plans.queries import SQL
+    for k, v in SQL.items():
+        ORACLES.setdefault(k, v)
+
+
+_merge_registered()

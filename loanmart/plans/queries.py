@@ -18,11 +18,15 @@ from loanmart.plans import standins as V
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
+SQL: dict[str, str] = {}
 
 
-def register(name: str):
+def register(name: str, sql: str | None = None):
+    """Register a query; ``sql`` is its DuckDB oracle (None: rows-only)."""
     def deco(fn: Query) -> Query:
         REGISTRY[name] = fn
+        if sql is not None:
+            SQL[name] = sql
         return fn
     return deco
 
@@ -108,3 +112,11 @@ def block_bureau(spark, sf):
 @register("feature_mart")
 def feature_mart(spark, sf):
     return finish(build_mart(spark, sf))
+
+
+def _load_all() -> None:
+    """Import the modules that register the remaining keys."""
+    from loanmart.plans import ops_queries  # noqa: F401
+
+
+_load_all()
