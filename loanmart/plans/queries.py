@@ -116,7 +116,7 @@ def feature_mart(spark, sf):
 
 def _load_all() -> None:
     """Import the modules that register the remaining keys."""
-    from loanmart.plans import metric_queries, ops_queries  # noqa: F401
+    from loanmart.plans import metric_queries, ops_queries, prep_queries  # noqa: F401
 
 
 _load_all()
