@@ -38,13 +38,22 @@ def snap(c, digits: int = 6):
     return c.cast("decimal(38,9)").cast(f"decimal(38,{digits})").cast("double")
 
 
-def finish(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every floating column (names unchanged)."""
-    return df.select(*[
-        snap(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-        else F.col(f.name)
-        for f in df.schema.fields
-    ])
+def sig7(c):
+    """Seven significant digits via the shortest %e text (same as DuckDB's
+    printf) for statistics that are not decimal numbers (std, skew)."""
+    return F.when(c.isNotNull(), F.format_string("%.6e", c).cast("double"))
+
+
+def finish(df: DataFrame, digits: int = 6, sig=lambda name: False) -> DataFrame:
+    """Round every floating column (names unchanged); ``sig(name)`` picks
+    columns rounded to significant digits instead of decimals."""
+    out = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            c = sig7(c) if sig(f.name) else snap(c, digits)
+        out.append(c.alias(f.name))
+    return df.select(*out)
 
 
 # ---------------------------------------------------------------- blocks E1-E7
@@ -116,7 +125,7 @@ def feature_mart(spark, sf):
 
 def _load_all() -> None:
     """Import the modules that register the remaining keys."""
-    from loanmart.plans import metric_queries, ops_queries, prep_queries  # noqa: F401
+    from loanmart.plans import metric_queries, ops_queries, prep_queries, synth_queries  # noqa: F401
 
 
 _load_all()

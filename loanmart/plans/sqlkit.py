@@ -52,11 +52,14 @@ def agg(col: str, fn: str, order: Sequence[str] | None = None, where: str | None
     raise ValueError(fn)
 
 
-def rounded(sql: str, cols: Sequence[str], digits: int = 6) -> str:
-    """Round the listed columns of a query's result."""
+def rounded(sql: str, cols: Sequence[str], digits: int = 6, sig: Sequence[str] = ()) -> str:
+    """Round the listed columns of a query's result (``sig``: to seven
+    significant digits instead)."""
     if not cols:
         return sql
-    rep = ", ".join(f"CAST(CAST(CAST({q(c)} AS DECIMAL(38,9)) AS DECIMAL(38,{digits})) AS DOUBLE) AS {q(c)}"
+    sig = set(sig)
+    rep = ", ".join(f"CAST(printf('%.6e', {q(c)}) AS DOUBLE) AS {q(c)}" if c in sig else
+                    f"CAST(CAST(CAST({q(c)} AS DECIMAL(38,9)) AS DECIMAL(38,{digits})) AS DOUBLE) AS {q(c)}"
                     for c in cols)
     return f"SELECT * REPLACE ({rep}) FROM ({sql}) AS _r"
 
