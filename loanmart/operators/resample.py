@@ -28,3 +28,235 @@ def random_undersample(df: DataFrame, id_col: str, label: str, seed=1, ratio: fl
     neg, pos = class_partition(df, label, negative, positive)
     n_pos = pos.count()
     return balanced_union(take_by_hash(neg, id_col, int(round(n_pos * ratio)), seed), pos)
+
+
+# ------------------------------------------------------------ vector helpers
+
+def sq_dist(a, b):
+    """Squared Euclidean distance of two array<double> columns."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, v: acc + v)
+
+
+def dist(a, b):
+    return F.sqrt(sq_dist(a, b))
+
+
+MAX_CENTROIDS = 4096
+
+
+def nearest_centroid(df: DataFrame, vec: str, centroids: list[tuple[int, list[float]]], out: str = "cluster"):
+    """Index of the nearest centroid (first on ties) for every row.
+
+    The centroid list (at most MAX_CENTROIDS x d numbers, checked) is a
+    literal in the plan, so assignment is a projection: no join, no
+    shuffle.
+    """
+    if len(centroids) > MAX_CENTROIDS:
+        raise ValueError(f"{len(centroids)} centroids; at most {MAX_CENTROIDS} are inlined")
+    ids = [int(c) for c, _ in centroids]
+    lit = F.array(*[F.array(*[F.lit(float(v)) for v in vals]) for _, vals in centroids])
+    d2 = F.transform(lit, lambda c: sq_dist(F.col(vec), c))
+    pos = F.array_position(d2, F.array_min(d2))
+    return df.withColumn(out, F.element_at(F.array(*[F.lit(i) for i in ids]), pos.cast("int")))
+
+
+def group_means(df: DataFrame, group: str, vec: str, dims: int) -> list[tuple[int, list[float]]]:
+    """Per-group mean vectors (k x d numbers to the driver)."""
+    rows = df.groupBy(group).agg(*[F.avg(F.col(vec)[i]).alias(f"m{i}") for i in range(dims)]).collect()
+    return sorted((r[group], [r[f"m{i}"] for i in range(dims)]) for r in rows)
+
+
+# ------------------------------------------------------ quota under-sampling
+
+def cluster_quotas(assigned: DataFrame, cluster: str, target: int) -> DataFrame:
+    """Per-cluster quota round(target * size / N) by largest remainder, so
+    the quotas sum to ``target``.  Integer arithmetic; the table has one
+    row per cluster (bounded by the cluster count)."""
+    from pyspark.sql import Window
+    sizes = assigned.groupBy(cluster).agg(F.count(F.lit(1)).alias("_size"))
+    total = F.sum("_size").over(Window.partitionBy())
+    q = sizes.withColumn("_N", total).withColumn("_base", F.floor(F.lit(target) * F.col("_size") / F.col("_N"))) \
+        .withColumn("_rem", F.pmod(F.lit(target) * F.col("_size"), F.col("_N")))
+    spare = F.lit(target) - F.sum("_base").over(Window.partitionBy())
+    rank = F.row_number().over(Window.orderBy(F.desc("_rem"), F.asc(cluster)))
+    return q.withColumn("quota", (F.col("_base") + F.when(rank <= spare, 1).otherwise(0)).cast("int")) \
+        .select(cluster, "quota")
+
+
+def quota_sample(assigned: DataFrame, id_col: str, cluster: str, target: int, seed) -> DataFrame:
+    """Keep quota(cluster) rows per cluster, chosen by md5(id:seed)."""
+    from loanmart.operators.windows import sample_per_group
+    quotas = cluster_quotas(assigned, cluster, target)
+    joined = assigned.join(F.broadcast(quotas), on=cluster, how="inner")
+    return sample_per_group(joined, cluster, id_col, seed, quota="quota").drop("quota")
+
+
+def kmeans_assign(df: DataFrame, vec: str, k: int, seed: int = 1, out: str = "cluster"):
+    """Standardise, fit Spark ML KMeans (k-means||), assign clusters."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import StandardScaler
+    from pyspark.ml.functions import array_to_vector
+
+    data = df.withColumn("_v", array_to_vector(F.col(vec)))
+    pipe = Pipeline(stages=[StandardScaler(inputCol="_v", outputCol="_z", withMean=True, withStd=True),
+                            KMeans(k=k, seed=seed, featuresCol="_z", predictionCol=out, maxIter=20)])
+    model = pipe.fit(data)
+    return model.transform(data).drop("_v", "_z")
+
+
+def cluster_undersample(df: DataFrame, id_col: str, label: str, vec: str, k: int | None = None, seed: int = 1,
+                        target: int | None = None, negative=0, positive=1) -> DataFrame:
+    """Cluster the majority class and keep a share of each cluster so that
+    ``target`` majority rows (default: the minority size) remain, then
+    append the minority.  Stand-in for one-per-cluster Ward sampling: the
+    cluster count stays modest (default about sqrt(target)) instead of one
+    cluster per kept row."""
+    import math
+    neg, pos = class_partition(df, label, negative, positive)
+    n_pos = pos.count()
+    target = n_pos if target is None else target
+    k = k or max(2, int(math.sqrt(max(target, 1))))
+    assigned = kmeans_assign(neg, vec, k, seed)
+    kept = quota_sample(assigned, id_col, "cluster", target, seed).drop("cluster")
+    return balanced_union(kept, pos)
+
+
+# ---------------------------------------------------------------- exact kNN
+
+def knn(df: DataFrame, id_col: str, vec: str, k: int = 5, cell_rows: int = 512, seed: int = 7) -> DataFrame:
+    """Exact k nearest neighbours (Euclidean) of every row among the rows.
+
+    No all-pairs step:
+    1. project rows on the first principal direction u (|u| = 1) and number
+       them densely in that order (distributed ranking);
+    2. an upper bound r(x) on the k-th neighbour distance comes from the
+       2k rows next to x in that order (equi-join on rank offsets);
+    3. |u.x - u.y| <= |x - y|, so every true neighbour lies in the band
+       u.x +- r(x); rows are cut into cells of ``cell_rows`` consecutive
+       ranks, x is sent to the cells overlapping its band (equi-join on the
+       cell id), candidates outside the band or radius are dropped;
+    4. the k closest candidates per row (ties by id) are kept.
+    Output: (id, nbr_id, nbr_rank 1..k, dist).
+    """
+    from pyspark.ml.feature import PCA, Bucketizer
+    from pyspark.ml.functions import array_to_vector
+
+    base = df.select(F.col(id_col).alias("_id"), F.col(vec).cast("array<double>").alias("_x"))
+    pca = PCA(k=1, inputCol="_vv", outputCol="_p").fit(base.withColumn("_vv", array_to_vector("_x")))
+    u = [float(v) for v in pca.pc.toArray()[:, 0]]
+    proj = F.aggregate(F.zip_with("_x", F.array(*[F.lit(v) for v in u]), lambda a, b: a * b), F.lit(0.0),
+                       lambda acc, v: acc + v)
+    pts = add_index(base.withColumn("_p", proj), order=["_p", "_id"], name="_r", start=0)
+    n = pts.count()
+    if n <= 1:
+        return df.sparkSession.createDataFrame([], f"{id_col} {df.schema[id_col].dataType.simpleString()}, "
+                                                  f"nbr_id {df.schema[id_col].dataType.simpleString()}, "
+                                                  "nbr_rank int, dist double")
+    kk = min(k, n - 1)
+    # 2. radius bound from rank neighbours
+    offs = [o for o in range(-2 * kk, 2 * kk + 1) if o != 0]
+    near = pts.select("_id", "_x", "_r", F.explode(F.array(*[F.lit(o) for o in offs])).alias("_o")) \
+        .withColumn("_r2", F.col("_r") + F.col("_o")).filter((F.col("_r2") >= 0) & (F.col("_r2") < n))
+    other = pts.select(F.col("_r").alias("_r2"), F.col("_x").alias("_y"))
+    near_d = near.join(other, on="_r2").select("_id", dist("_x", "_y").alias("_d"))
+    from pyspark.sql import Window
+    w = Window.partitionBy("_id").orderBy("_d")
+    radius = near_d.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") == kk) \
+        .select("_id", F.col("_d").alias("_rad"))
+    # 3. band join through cells of about ``cell_rows`` consecutive ranks;
+    # the cell of a value is its bucket among the cells' lower bounds, so
+    # a band [p - r, p + r] covers exactly the buckets from bucket(p - r)
+    # to bucket(p + r).  The bound list has n / cell_rows numbers.
+    lows = pts.filter(F.col("_r") % cell_rows == 0).select("_p").orderBy("_p").collect()
+    splits = [float("-inf")]
+    for row in lows[1:]:
+        if float(row[0]) > splits[-1]:
+            splits.append(float(row[0]))
+    splits.append(float("inf"))
+    if len(splits) < 3:  # a single cell: any finite cut keeps the bucketing consistent
+        splits = [float("-inf"), 0.0, float("inf")]
+    bucket = Bucketizer(splits=splits, inputCol="_p", outputCol="_cell")
+    cells = bucket.transform(pts)
+    q = cells.join(radius, on="_id").withColumn("_plo", F.col("_p") - F.col("_rad")) \
+        .withColumn("_phi", F.col("_p") + F.col("_rad"))
+    q = Bucketizer(splits=splits, inputCol="_plo", outputCol="_blo").transform(q)
+    q = Bucketizer(splits=splits, inputCol="_phi", outputCol="_bhi").transform(q)
+    probes = q.select("_id", "_x", "_p", "_rad",
+                      F.explode(F.sequence(F.col("_blo").cast("int"), F.col("_bhi").cast("int"))).alias("_c"))
+    targets = cells.select(F.col("_cell").cast("int").alias("_c"), F.col("_id").alias("_nid"),
+                           F.col("_x").alias("_y"), F.col("_p").alias("_py"))
+    cand = probes.join(targets, on="_c").filter(
+        (F.col("_nid") != F.col("_id")) & (F.abs(F.col("_py") - F.col("_p")) <= F.col("_rad")))
+    cand = cand.select("_id", "_nid", "_rad", dist("_x", "_y").alias("dist")).filter(F.col("dist") <= F.col("_rad"))
+    wk = Window.partitionBy("_id").orderBy("dist", "_nid")
+    top = cand.withColumn("nbr_rank", F.row_number().over(wk)).filter(F.col("nbr_rank") <= kk)
+    return top.select(F.col("_id").alias(id_col), F.col("_nid").alias("nbr_id"), "nbr_rank", "dist")
+
+
+def smote(minority: DataFrame, id_col: str, vec: str, n_new: int, k: int = 5, seed: int = 1,
+          neighbours: DataFrame | None = None) -> DataFrame:
+    """SMOTE: ``n_new`` synthetic rows x + u * (y - x), y one of the k
+    nearest minority neighbours of x.
+
+    Synthetic row j uses the minority row at dense position j mod n (rows
+    ordered by id), neighbour rank 1 + md5(id:j:seed:n) mod k and gap
+    u = md5(id:j:seed:u) / 2**32.  Each base row expands its own copies
+    (explode), so nothing is gathered; neighbours and their vectors arrive
+    by equi-joins.  Output: (syn_id, id, nbr_id, vector).
+    """
+    from loanmart.functions.scalars import hash_unit
+    base = minority.select(F.col(id_col).alias("_id"), F.col(vec).cast("array<double>").alias("_x"))
+    n = base.count()
+    if n == 0 or n_new <= 0:
+        return minority.sparkSession.createDataFrame([], "syn_id bigint, id bigint, nbr_id bigint, "
+                                                         "vector array<double>")
+    nb = neighbours if neighbours is not None else knn(minority, id_col, vec, k)
+    kk = min(k, n - 1)
+    idx = add_index(base, order=["_id"], name="_i", start=0)
+    copies = F.when(F.col("_i") < n_new, F.floor((F.lit(n_new) - 1 - F.col("_i")) / n) + 1).otherwise(0)
+    jobs = idx.withColumn("_t", F.explode(F.sequence(F.lit(0), (copies - 1).cast("bigint")))) \
+        .filter(copies > 0) \
+        .withColumn("syn_id", F.col("_i") + F.col("_t") * n)
+    key = F.concat(F.col("_id").cast("string"), F.lit(":"), F.col("syn_id").cast("string"))
+    jobs = jobs.withColumn("_pick", (F.pmod(hash_int(key, f"{seed}:n"), F.lit(kk)) + 1).cast("int")) \
+        .withColumn("_u", hash_unit(key, f"{seed}:u"))
+    nbrs = nb.select(F.col(id_col).alias("_id"), F.col("nbr_rank").alias("_pick"), F.col("nbr_id"))
+    with_nbr = jobs.join(nbrs, on=["_id", "_pick"], how="inner")
+    yv = base.select(F.col("_id").alias("nbr_id"), F.col("_x").alias("_y"))
+    out = with_nbr.join(yv, on="nbr_id", how="inner")
+    vecs = F.zip_with("_x", "_y", lambda a, b: a + F.col("_u") * (b - a))
+    return out.select("syn_id", F.col("_id").alias("id"), "nbr_id", vecs.alias("vector"))
+
+
+def under_over_sample(df: DataFrame, id_col: str, label: str, vec: str, seed: int = 1, k: int = 5,
+                      negative=0, positive=1) -> DataFrame:
+    """Cluster under-sample the majority to ceil(N/2), then SMOTE the
+    minority up to the same count.  Output: (id or syn_id, label, vector,
+    synthetic flag)."""
+    n_total = df.count()
+    half = -(-n_total // 2)
+    neg, pos = class_partition(df, label, negative, positive)
+    n_neg = neg.count()
+    n_pos = pos.count()
+    keep_neg = min(half, n_neg)
+    if keep_neg < n_neg:
+        import math
+        assigned = kmeans_assign(neg, vec, max(2, int(math.sqrt(keep_neg))), seed)
+        kept = quota_sample(assigned, id_col, "cluster", keep_neg, seed).drop("cluster")
+    else:
+        kept = neg
+    syn = smote(pos, id_col, vec, max(keep_neg - n_pos, 0), k=k, seed=seed)
+    real = kept.select(*df.columns).unionByName(pos).select(F.col(id_col).alias("row_id"), F.col(label).alias("label"),
+                                        F.col(vec).cast("array<double>").alias("vector"),
+                                        F.lit(False).alias("synthetic"))
+    fake = syn.select(F.col("syn_id").alias("row_id"), F.lit(positive).cast(df.schema[label].dataType).alias("label"),
+                      "vector", F.lit(True).alias("synthetic"))
+    return real.unionByName(fake)
+
+
+def class_balance(df: DataFrame, label: str) -> DataFrame:
+    """Rows and share per class."""
+    from pyspark.sql import Window
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))

@@ -125,7 +125,13 @@ def feature_mart(spark, sf):
 
 def _load_all() -> None:
     """Import the modules that register the remaining keys."""
-    from loanmart.plans import metric_queries, ops_queries, prep_queries, synth_queries  # noqa: F401
+    from loanmart.plans import (  # noqa: F401
+        metric_queries,
+        ops_queries,
+        prep_queries,
+        resample_queries,
+        synth_queries,
+    )
 
 
 _load_all()
