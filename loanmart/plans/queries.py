@@ -127,6 +127,7 @@ def _load_all() -> None:
     """Import the modules that register the remaining keys."""
     from loanmart.plans import (  # noqa: F401
         metric_queries,
+        model_queries,
         ops_queries,
         prep_queries,
         resample_queries,
