@@ -101,18 +101,52 @@ def _kinds(df: DataFrame, skip: set[str]) -> tuple[list[str], list[str], list[st
     return num, cat, boo
 
 
+def category_stats(child: DataFrame, child_name: str, fk: str, col: str,
+                   prims: Sequence[str] = CATEGORICAL_PRIMS) -> DataFrame:
+    """NUM_UNIQUE and MODE of one categorical column per parent, as two
+    narrow aggregations: value counts per (parent, value), partially
+    aggregated before the shuffle, then one row per parent.  Mode ties go to
+    the smallest value."""
+    c = F.col(f"`{col}`")
+    counts = (child.filter(F.col(fk).isNotNull() & c.isNotNull())
+                   .groupBy(F.col(fk).alias("_fk"), c.alias("_v")).agg(F.count(F.lit(1)).alias("_n")))
+    exprs = []
+    if "num_unique" in prims:
+        exprs.append(F.count(F.lit(1)).alias(f"NUM_UNIQUE({child_name}.{col})"))
+    if "mode" in prims:
+        exprs.append(F.min_by("_v", F.struct((-F.col("_n")).alias("n"), F.col("_v").alias("v")))
+                     .alias(f"MODE({child_name}.{col})"))
+    return counts.groupBy("_fk").agg(*exprs)
+
+
 def aggregate_child(child: DataFrame, child_name: str, fk: str, skip: Sequence[str],
                     numeric: Sequence[str] = NUMERIC_PRIMS, categorical: Sequence[str] = CATEGORICAL_PRIMS,
                     boolean: Sequence[str] = BOOLEAN_PRIMS) -> DataFrame:
-    """All primitives of one child, grouped by its foreign key."""
+    """All primitives of one child, grouped by its foreign key.
+
+    Numeric and boolean primitives share one hash aggregate; categorical
+    ones are separate narrow aggregations joined on the key, which keeps the
+    wide aggregate free of distinct/object aggregates (no Expand of wide
+    rows, code generation stays on)."""
     num, cat, boo = _kinds(child, set(skip) | {fk})
-    exprs = [F.count(F.lit(1)).alias(f"COUNT({child_name})")]
+
     def col(c: str) -> Column:
         return F.col(f"`{c}`")
-    exprs += [prim_expr(p, col(c)).alias(f"{p.upper()}({child_name}.{c})") for c in num for p in numeric]
-    exprs += [prim_expr(p, col(c)).alias(f"{p.upper()}({child_name}.{c})") for c in cat for p in categorical]
+    n_rows = f"COUNT({child_name})"
+    exprs = [prim_expr(p, col(c)).alias(f"{p.upper()}({child_name}.{c})") for c in num for p in numeric]
     exprs += [prim_expr(p, col(c)).alias(f"{p.upper()}({child_name}.{c})") for c in boo for p in boolean]
-    return child.filter(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("_fk")).agg(*exprs)
+    rows = child.filter(F.col(fk).isNotNull())
+    out = rows.groupBy(F.col(fk).alias("_fk")).agg(F.count(F.lit(1)).alias(n_rows), *exprs)
+    if not categorical:
+        return out
+    names = [f"{p.upper()}({child_name}.{c})" for c in cat for p in categorical]
+    for c in cat:
+        out = out.join(category_stats(child, child_name, fk, c, categorical), on="_fk", how="left")
+    fix = {f"NUM_UNIQUE({child_name}.{c})" for c in cat} if "num_unique" in categorical else set()
+    return out.select(*[
+        (F.coalesce(F.col(f"`{x}`"), F.lit(0)) if x in fix else F.col(f"`{x}`")).alias(x)
+        for x in ["_fk", n_rows, *[f for f in out.columns if f not in ("_fk", n_rows) and f not in names], *names]
+    ])
 
 
 def _defaults(df: DataFrame, cols: Sequence[str]) -> DataFrame:
