@@ -97,6 +97,22 @@ def top_n_rank(df: DataFrame, key: str | Sequence[str], order: Sequence, n: int,
     return df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) <= n)
 
 
+def latest_n_parts(df: DataFrame, key: str, order: Sequence, cols: Sequence[str], n: int = 4,
+                   first_skips_null: bool = False, name_fmt: str = "{col}{i}") -> list[DataFrame]:
+    """``latest_n_wide`` as keyed parts (one part, or slot 0 and slots 1..n-1
+    with ``first_skips_null``) so a caller can left-join them separately."""
+    ranked = top_n_rank(df, key, order, n)
+    slots = ranked.groupBy(key).agg(*[
+        F.max(F.when(F.col("_rn") == i + 1, F.col(c))).alias(name_fmt.format(col=c, i=i))
+        for i in range(n) for c in cols
+        if not (first_skips_null and i == 0)
+    ])
+    if not first_skips_null:
+        return [slots]
+    first = df.groupBy(key).agg(*[latest_expr(c, order).alias(name_fmt.format(col=c, i=0)) for c in cols])
+    return [first, slots]
+
+
 def latest_n_wide(df: DataFrame, key: str, order: Sequence, cols: Sequence[str], n: int = 4,
                   first_skips_null: bool = False, name_fmt: str = "{col}{i}") -> DataFrame:
     """The n most recent rows per key flattened to columns ``col0..col{n-1}``.

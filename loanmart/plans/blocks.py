@@ -28,7 +28,7 @@ from loanmart.functions.scalars import (
 )
 from loanmart.operators.agg import agg_expr, category_ratios, latest_month_by_status, latest_row
 from loanmart.operators.joins import left_join_all, outer_join_all, with_prefix
-from loanmart.operators.windows import latest_n_wide, pct_change
+from loanmart.operators.windows import latest_n_parts, latest_n_wide, pct_change
 
 KEY = "SK_ID_CURR"
 
@@ -126,16 +126,21 @@ def card_rows(ccb: DataFrame, tie: Sequence[str] = ("SK_ID_PREV",), bucket: Colu
                       upper=PCT_CHANGE_CAP, bucket=bucket)
 
 
-def card_block(ccb: DataFrame, tie: Sequence[str] = ("SK_ID_PREV",), bucket: Column | None = None,
-               n: int = N_LATEST) -> DataFrame:
-    """Counts of cards now / balance now / high usage, and the n newest
-    months per applicant flattened."""
+def card_parts(ccb: DataFrame, tie: Sequence[str] = ("SK_ID_PREV",), bucket: Column | None = None,
+               n: int = N_LATEST) -> list[DataFrame]:
     rows = card_rows(ccb, tie, bucket)
     sums = rows.groupBy(KEY).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c)
                                    for c in ("has_cc_now", "balance_now", "times_bal80")])
     lags = latest_n_wide(rows, KEY, ["MONTHS_BALANCE", *tie],
                          ["MONTHS_BALANCE", "Beyond_limit", "Delinquent", "balance_pct_change"], n=n)
-    return sums.join(lags, on=KEY, how="full")
+    return [sums, lags]
+
+
+def card_block(ccb: DataFrame, tie: Sequence[str] = ("SK_ID_PREV",), bucket: Column | None = None,
+               n: int = N_LATEST) -> DataFrame:
+    """Counts of cards now / balance now / high usage, and the n newest
+    months per applicant flattened."""
+    return outer_join_all(card_parts(ccb, tie, bucket, n), KEY)
 
 
 def installment_block(inst: DataFrame, tie: Sequence[str] = ("SK_ID_PREV",)) -> DataFrame:
@@ -152,10 +157,14 @@ def installment_block(inst: DataFrame, tie: Sequence[str] = ("SK_ID_PREV",)) ->
                                    for fn in fns])
 
 
+def pos_parts(pos: DataFrame, tie: Sequence[str] = ("SK_ID_PREV",), n: int = N_LATEST) -> list[DataFrame]:
+    return latest_n_parts(pos, KEY, ["MONTHS_BALANCE", *tie], ["MONTHS_BALANCE", "SK_DPD", "SK_DPD_DEF"],
+                          n=n, first_skips_null=True)
+
+
 def pos_block(pos: DataFrame, tie: Sequence[str] = ("SK_ID_PREV",), n: int = N_LATEST) -> DataFrame:
     """Newest n POS months; slot 0 skips missing values (``first``)."""
-    return latest_n_wide(pos, KEY, ["MONTHS_BALANCE", *tie], ["MONTHS_BALANCE", "SK_DPD", "SK_DPD_DEF"],
-                         n=n, first_skips_null=True)
+    return outer_join_all(pos_parts(pos, tie, n), KEY)
 
 
 def bureau_rows(bureau: DataFrame) -> DataFrame:
@@ -222,23 +231,40 @@ def bureau_balance_rollup(bureau: DataFrame, balance: DataFrame, tie: Sequence[s
     return latest_row(lifted, KEY, ["Months_latest_open", *tie], cols)
 
 
-def bureau_block(bureau: DataFrame, balance: DataFrame | None = None, spec: BureauSpec | None = None,
-                 n: int = N_LATEST) -> DataFrame:
-    """Bureau totals, n newest credits, type pivots, card subset and the
-    balance rollup, joined on the applicant key."""
+def bureau_parts(bureau: DataFrame, balance: DataFrame | None = None, spec: BureauSpec | None = None,
+                 n: int = N_LATEST) -> list[DataFrame]:
     spec = spec or BureauSpec()
     rows = bureau_rows(bureau)
-    stats = bureau_stats(rows, spec)
-    lags = latest_n_wide(rows, KEY, ["DAYS_CREDIT", *spec.tie], BUREAU_LAG_COLS, n=n)
-    parts = [stats, lags]
+    parts = [bureau_stats(rows, spec), latest_n_wide(rows, KEY, ["DAYS_CREDIT", *spec.tie], BUREAU_LAG_COLS, n=n)]
     if balance is not None:
         parts.append(bureau_balance_rollup(bureau, balance, spec.tie))
-    return outer_join_all(parts, KEY)
+    return parts
+
+
+def bureau_block(bureau: DataFrame, balance: DataFrame | None = None, spec: BureauSpec | None = None,
+                 n: int = N_LATEST) -> DataFrame:
+    """Bureau totals, n newest credits, type pivots, card subset and the
+    balance rollup, joined on the applicant key."""
+    return outer_join_all(bureau_parts(bureau, balance, spec, n), KEY)
+
+
+def _as_parts(x: DataFrame | Sequence[DataFrame]) -> list[DataFrame]:
+    return [x] if isinstance(x, DataFrame) else list(x)
+
 
+def feature_mart(app: DataFrame, bureau_feats, prev_feats, card_feats, inst_feats, pos_feats) -> DataFrame:
+    """Application ⟕ bureau ⟕ (previous ⟗ card ⟗ installment ⟗ POS).
 
-def feature_mart(app: DataFrame, bureau_feats: DataFrame, prev_feats: DataFrame, card_feats: DataFrame,
-                 inst_feats: DataFrame, pos_feats: DataFrame) -> DataFrame:
-    """Application ⟕ bureau ⟕ (previous ⟗ card ⟗ installment ⟗ POS)."""
-    home = outer_join_all([with_prefix(prev_feats, "prev_", [KEY]), with_prefix(card_feats, "cc_", [KEY]),
-                           with_prefix(inst_feats, "ins_", [KEY]), with_prefix(pos_feats, "pos_", [KEY])], KEY)
-    return left_join_all(app, [with_prefix(bureau_feats, "bur_", [KEY]), home], KEY)
+    Every block argument is a keyed frame or a list of keyed parts.  Only
+    application keys survive the final left join, so the source's
+    full-outer merges of the home-credit blocks reduce to left joins of
+    every part onto the application table: the application side keeps its
+    hash partitioning through the whole chain, and each part (an
+    aggregate, already partitioned on the key) is joined without a second
+    shuffle of the growing wide rows.
+    """
+    parts = []
+    for prefix, blk in (("bur_", bureau_feats), ("prev_", prev_feats), ("cc_", card_feats),
+                        ("ins_", inst_feats), ("pos_", pos_feats)):
+        parts += [with_prefix(p, prefix, [KEY]) for p in _as_parts(blk)]
+    return left_join_all(app, parts, KEY)

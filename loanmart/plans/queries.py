@@ -84,8 +84,13 @@ def _bureau(spark, sf):
 
 
 def build_mart(spark: SparkSession, sf: str) -> DataFrame:
-    return B.feature_mart(_application(spark, sf), _bureau(spark, sf), _previous(spark, sf), _card(spark, sf),
-                          _installment(spark, sf), _pos(spark, sf))
+    return B.feature_mart(
+        _application(spark, sf),
+        B.bureau_parts(V.bureau(spark, sf), V.bureau_balance(spark, sf), V.BUREAU_SPEC),
+        _previous(spark, sf),
+        B.card_parts(V.card_balance(spark, sf), tie=V.EVENT_TIE, bucket=V.card_bucket()),
+        _installment(spark, sf),
+        B.pos_parts(V.pos_balance(spark, sf), tie=V.EVENT_TIE))
 
 
 @register("block_application")
