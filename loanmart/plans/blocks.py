@@ -26,7 +26,7 @@ from loanmart.functions.scalars import (
     replace_value,
     safe_div,
 )
-from loanmart.operators.agg import agg_expr, category_ratios, latest_month_by_status, latest_row
+from loanmart.operators.agg import agg_expr, latest_row
 from loanmart.operators.joins import left_join_all, outer_join_all, with_prefix
 from loanmart.operators.windows import latest_n_parts, latest_n_wide, pct_change
 
@@ -215,11 +215,18 @@ def bureau_stats(rows: DataFrame, spec: BureauSpec) -> DataFrame:
 
 
 def bureau_balance_features(balance: DataFrame) -> DataFrame:
-    """A12-A13 per bureau credit: newest open / late month and the shares of
-    statuses 0..5 (X and C left out)."""
-    months = latest_month_by_status(balance, "SK_ID_BUREAU", "STATUS", "MONTHS_BALANCE", STATUS_OPEN, STATUS_LATE)
-    ratios = category_ratios(balance, "SK_ID_BUREAU", "STATUS", STATUS_LEVELS, exclude=STATUS_EXCLUDED)
-    return months.join(ratios, on="SK_ID_BUREAU", how="inner")
+    """A12-A13 per bureau credit, in one aggregate over the balance table:
+    newest open / late month, and the shares of statuses 0..5 among the
+    months that are neither X nor C (missing statuses count, as all-zero
+    indicators).  Credits without an open month are dropped."""
+    st, month = F.col("STATUS"), F.col("MONTHS_BALANCE")
+    counted = ~(st.eqNullSafe(STATUS_EXCLUDED[0]) | st.eqNullSafe(STATUS_EXCLUDED[1]))
+    n_counted = F.count_if(counted)
+    exprs = [F.count_if(st == STATUS_OPEN).alias("_n_open"),
+             F.max(F.when(st == STATUS_OPEN, month)).alias("Months_latest_open"),
+             F.max(F.when(st == STATUS_LATE, month)).alias("Months_latest_delin")]
+    exprs += [safe_div(F.count_if(counted & (st == s)), n_counted).alias(f"STATUS_{s}") for s in STATUS_LEVELS]
+    return balance.groupBy("SK_ID_BUREAU").agg(*exprs).filter(F.col("_n_open") > 0).drop("_n_open")
 
 
 def bureau_balance_rollup(bureau: DataFrame, balance: DataFrame, tie: Sequence[str] = ("SK_ID_BUREAU",)) -> DataFrame:
@@ -257,7 +264,7 @@ def feature_mart(app: DataFrame, bureau_feats, prev_feats, card_feats, inst_feat
 
     Every block argument is a keyed frame or a list of keyed parts.  Only
     application keys survive the final left join, so the source's
-    full-outer merges of the home-credit blocks reduce to left joins of
+    full-outer merges of the in-house history blocks reduce to left joins of
     every part onto the application table: the application side keeps its
     hash partitioning through the whole chain, and each part (an
     aggregate, already partitioned on the key) is joined without a second

@@ -252,14 +252,14 @@ def mart_sql() -> tuple[str, list[str], list[str]]:
     app, app_cols, app_d = application_sql()
     bur, bur_cols, bur_d = bureau_sql()
     parts = [("prev_", previous_sql()), ("cc_", card_sql()), ("ins_", installment_sql()), ("pos_", pos_sql())]
-    home = None
+    hist = None
     cols = list(app_cols) + [f"bur_{c}" for c in bur_cols if c != KEY]
     doubles = list(app_d) + [f"bur_{c}" for c in bur_d]
     for prefix, (sql, c, d) in parts:
         p = f"({prefixed(sql, c, prefix)})"
-        home = p if home is None else f"{home} FULL JOIN {p} USING ({KEY})"
+        hist = p if hist is None else f"{hist} FULL JOIN {p} USING ({KEY})"
         cols += [f"{prefix}{x}" for x in c if x != KEY]
         doubles += [f"{prefix}{x}" for x in d]
     body = (f"SELECT * FROM ({app}) AS a LEFT JOIN ({prefixed(bur, bur_cols, 'bur_')}) AS b USING ({KEY}) "
-            f"LEFT JOIN (SELECT * FROM {home}) AS h USING ({KEY})")
+            f"LEFT JOIN (SELECT * FROM {hist}) AS h USING ({KEY})")
     return body, cols, doubles

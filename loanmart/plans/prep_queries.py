@@ -15,24 +15,26 @@ from loanmart.plans.queries import finish, register
 
 # ------------------------------------------------------------- correlation
 
+# (Spark expression builder, SQL text) per feature; built lazily so that
+# importing this module needs no running Spark.
 CORR_FEATURES = {
-    "q": ("l_quantity", "l_quantity"),
-    "p": ("l_extendedprice", "l_extendedprice"),
-    "disc": (F.nullif(F.col("l_discount"), F.lit(0.0)), "NULLIF(l_discount, 0)"),
-    "tax": (F.nullif(F.col("l_tax"), F.lit(0.0)), "NULLIF(l_tax, 0)"),
-    "p2": (F.col("l_extendedprice") * 2, "l_extendedprice * 2"),
-    "negq": (-F.col("l_quantity"), "-l_quantity"),
-    "one": (F.lit(1.0), "CAST(1.0 AS DOUBLE)"),
-    "pgap": (F.when(F.col("l_tax") != 0, F.col("l_extendedprice")), "CASE WHEN l_tax <> 0 THEN l_extendedprice END"),
-    "qd": (F.col("l_quantity") * F.col("l_discount"), "l_quantity * l_discount"),
+    "q": (lambda: F.col("l_quantity"), "l_quantity"),
+    "p": (lambda: F.col("l_extendedprice"), "l_extendedprice"),
+    "disc": (lambda: F.nullif(F.col("l_discount"), F.lit(0.0)), "NULLIF(l_discount, 0)"),
+    "tax": (lambda: F.nullif(F.col("l_tax"), F.lit(0.0)), "NULLIF(l_tax, 0)"),
+    "p2": (lambda: F.col("l_extendedprice") * 2, "l_extendedprice * 2"),
+    "negq": (lambda: -F.col("l_quantity"), "-l_quantity"),
+    "one": (lambda: F.lit(1.0), "CAST(1.0 AS DOUBLE)"),
+    "pgap": (lambda: F.when(F.col("l_tax") != 0, F.col("l_extendedprice")),
+             "CASE WHEN l_tax <> 0 THEN l_extendedprice END"),
+    "qd": (lambda: F.col("l_quantity") * F.col("l_discount"), "l_quantity * l_discount"),
 }
 NAMES = list(CORR_FEATURES)
 
 
 def corr_frame(spark, sf):
     li = V.table(spark, sf, "lineitem")
-    return li.select(*[(F.col(e) if isinstance(e, str) else e).cast("double").alias(n)
-                       for n, (e, _s) in CORR_FEATURES.items()])
+    return li.select(*[build().cast("double").alias(n) for n, (build, _s) in CORR_FEATURES.items()])
 
 
 FEATS_SQL = "SELECT " + ", ".join(f"CAST({s} AS DOUBLE) AS {n}" for n, (_e, s) in CORR_FEATURES.items()) + \

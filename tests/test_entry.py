@@ -73,3 +73,12 @@ def test_synthesis_moments_match_pandas(spark):
     assert out[1]["MODE(c.s)"] == "b" and out[2]["MODE(c.s)"] == "c" and out[3]["MODE(c.s)"] == "a"
     assert out[3]["STD(c.v)"] is None and out[2]["SKEW(c.v)"] == 0.0
     assert out[4]["COUNT(c)"] == 0 and out[4]["SUM(c.v)"] == 0 and out[4]["MEAN(c.v)"] is None
+
+
+def test_import_needs_no_spark():
+    """The driver may read oracle_sql() before any session exists."""
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import __spark_entry__ as E; assert len(E.oracle_sql()) >= 80 and len(E.queries()) >= 90"
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
