@@ -35,7 +35,8 @@ def snap(c, digits: int = 6):
     """Round a double through decimals: to 9 places (drops summation noise),
     then half-up to ``digits`` places, back to double.  Same bits as the
     oracle's CAST chain."""
-    return c.cast("decimal(38,9)").cast(f"decimal(38,{digits})").cast("double")
+    snapped = c.try_cast("decimal(38,9)").cast(f"decimal(38,{digits})").cast("double")
+    return F.coalesce(snapped, c)   # NaN, infinities and huge values pass through unchanged
 
 
 def sig7(c):
