@@ -101,22 +101,31 @@ def _kinds(df: DataFrame, skip: set[str]) -> tuple[list[str], list[str], list[st
     return num, cat, boo
 
 
-def category_stats(child: DataFrame, child_name: str, fk: str, col: str,
+def category_stats(child: DataFrame, child_name: str, fk: str, cols: Sequence[str],
                    prims: Sequence[str] = CATEGORICAL_PRIMS) -> DataFrame:
-    """NUM_UNIQUE and MODE of one categorical column per parent, as two
-    narrow aggregations: value counts per (parent, value), partially
-    aggregated before the shuffle, then one row per parent.  Mode ties go to
-    the smallest value."""
-    c = F.col(f"`{col}`")
-    counts = (child.filter(F.col(fk).isNotNull() & c.isNotNull())
-                   .groupBy(F.col(fk).alias("_fk"), c.alias("_v")).agg(F.count(F.lit(1)).alias("_n")))
+    """NUM_UNIQUE and MODE of the categorical columns per parent in one
+    pipeline: rows become narrow (parent, column, value) triples, value
+    counts are aggregated (partially, before the shuffle), then one row per
+    (parent, column), spread back to columns by conditional aggregation.
+    Mode ties go to the smallest value."""
+    cols = list(cols)
+    triples = child.filter(F.col(fk).isNotNull()).select(
+        F.col(fk).alias("_fk"),
+        F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"`{c}`").cast("string").alias("v"))
+                            for i, c in enumerate(cols)])).alias("_t"))
+    counts = (triples.filter(F.col("_t.v").isNotNull())
+                     .groupBy("_fk", F.col("_t.c").alias("_c"), F.col("_t.v").alias("_v"))
+                     .agg(F.count(F.lit(1)).alias("_n")))
+    per_col = counts.groupBy("_fk", "_c").agg(
+        F.count(F.lit(1)).alias("_nu"),
+        F.min_by("_v", F.struct((-F.col("_n")).alias("n"), F.col("_v").alias("v"))).alias("_mode"))
     exprs = []
-    if "num_unique" in prims:
-        exprs.append(F.count(F.lit(1)).alias(f"NUM_UNIQUE({child_name}.{col})"))
-    if "mode" in prims:
-        exprs.append(F.min_by("_v", F.struct((-F.col("_n")).alias("n"), F.col("_v").alias("v")))
-                     .alias(f"MODE({child_name}.{col})"))
-    return counts.groupBy("_fk").agg(*exprs)
+    for i, c in enumerate(cols):
+        if "num_unique" in prims:
+            exprs.append(F.max(F.when(F.col("_c") == i, F.col("_nu"))).alias(f"NUM_UNIQUE({child_name}.{c})"))
+        if "mode" in prims:
+            exprs.append(F.max(F.when(F.col("_c") == i, F.col("_mode"))).alias(f"MODE({child_name}.{c})"))
+    return per_col.groupBy("_fk").agg(*exprs)
 
 
 def aggregate_child(child: DataFrame, child_name: str, fk: str, skip: Sequence[str],
@@ -140,8 +149,8 @@ def aggregate_child(child: DataFrame, child_name: str, fk: str, skip: Sequence[s
     if not categorical:
         return out
     names = [f"{p.upper()}({child_name}.{c})" for c in cat for p in categorical]
-    for c in cat:
-        out = out.join(category_stats(child, child_name, fk, c, categorical), on="_fk", how="left")
+    if cat:
+        out = out.join(category_stats(child, child_name, fk, cat, categorical), on="_fk", how="left")
     fix = {f"NUM_UNIQUE({child_name}.{c})" for c in cat} if "num_unique" in categorical else set()
     return out.select(*[
         (F.coalesce(F.col(f"`{x}`"), F.lit(0)) if x in fix else F.col(f"`{x}`")).alias(x)
@@ -167,7 +176,13 @@ def synthesize(es: EntitySet, target: str, depth: int = 2, numeric: Sequence[str
         return out
     for edge in es.relations.children(target):
         child = es.entities[edge.child]
-        cdf = synthesize(es, edge.child, depth - 1, numeric, categorical) if depth > 1 else child.df
+        cdf = child.df
+        if depth > 1 and es.relations.children(edge.child):
+            # The extended child feeds the numeric and the categorical
+            # aggregates: write it once instead of aggregating its own
+            # children twice.
+            from loanmart.session import cut_lineage
+            cdf = cut_lineage(synthesize(es, edge.child, depth - 1, numeric, categorical))
         skip = {child.index, edge.child_key, *child.ignore}
         agg = aggregate_child(cdf, edge.child, edge.child_key, sorted(skip), numeric, categorical)
         new_cols = [c for c in agg.columns if c != "_fk"]
