@@ -42,6 +42,7 @@ def dist(a, b):
 
 
 MAX_CENTROIDS = 4096
+MAX_CELLS = 100_000
 
 
 def nearest_centroid(df: DataFrame, vec: str, centroids: list[tuple[int, list[float]]], out: str = "cluster"):
@@ -168,6 +169,7 @@ def knn(df: DataFrame, id_col: str, vec: str, k: int = 5, cell_rows: int = 512,
     # the cell of a value is its bucket among the cells' lower bounds, so
     # a band [p - r, p + r] covers exactly the buckets from bucket(p - r)
     # to bucket(p + r).  The bound list has n / cell_rows numbers.
+    cell_rows = max(cell_rows, -(-n // MAX_CELLS))        # at most MAX_CELLS bounds reach the driver
     lows = pts.filter(F.col("_r") % cell_rows == 0).select("_p").orderBy("_p").collect()
     splits = [float("-inf")]
     for row in lows[1:]:
@@ -201,9 +203,9 @@ def smote(minority: DataFrame, id_col: str, vec: str, n_new: int, k: int = 5, se
 
     Synthetic row j uses the minority row at dense position j mod n (rows
     ordered by id), neighbour rank 1 + md5(id:j:seed:n) mod k and gap
-    u = md5(id:j:seed:u) / 2**32.  Each base row expands its own copies
-    (explode), so nothing is gathered; neighbours and their vectors arrive
-    by equi-joins.  Output: (syn_id, id, nbr_id, vector).
+    u = md5(id:j:seed:u) / 2**32.  Nothing is gathered: ids, base rows,
+    neighbours and their vectors meet through equi-joins.  Output:
+    (syn_id, id, nbr_id, vector).
     """
     from loanmart.functions.scalars import hash_unit
     base = minority.select(F.col(id_col).alias("_id"), F.col(vec).cast("array<double>").alias("_x"))
@@ -211,13 +213,16 @@ def smote(minority: DataFrame, id_col: str, vec: str, n_new: int, k: int = 5, se
     if n == 0 or n_new <= 0:
         return minority.sparkSession.createDataFrame([], "syn_id bigint, id bigint, nbr_id bigint, "
                                                          "vector array<double>")
+    if n < 2:
+        raise ValueError("SMOTE needs at least two minority rows")
     nb = neighbours if neighbours is not None else knn(minority, id_col, vec, k)
     kk = min(k, n - 1)
     idx = add_index(base, order=["_id"], name="_i", start=0)
-    copies = F.when(F.col("_i") < n_new, F.floor((F.lit(n_new) - 1 - F.col("_i")) / n) + 1).otherwise(0)
-    jobs = idx.withColumn("_t", F.explode(F.sequence(F.lit(0), (copies - 1).cast("bigint")))) \
-        .filter(copies > 0) \
-        .withColumn("syn_id", F.col("_i") + F.col("_t") * n)
+    # Synthetic ids come from a distributed range, not from exploding each
+    # base row: with few minority rows and many copies the work still
+    # spreads evenly.  Row j uses base row j mod n (an equi-join).
+    ids = minority.sparkSession.range(n_new).select(F.col("id").alias("syn_id"), (F.col("id") % n).alias("_i"))
+    jobs = ids.join(idx, on="_i", how="inner")
     key = F.concat(F.col("_id").cast("string"), F.lit(":"), F.col("syn_id").cast("string"))
     jobs = jobs.withColumn("_pick", (F.pmod(hash_int(key, f"{seed}:n"), F.lit(kk)) + 1).cast("int")) \
         .withColumn("_u", hash_unit(key, f"{seed}:u"))

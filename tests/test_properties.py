@@ -83,3 +83,24 @@ def test_mart_plan_has_no_full_outer_join(spark):
     from tests.conftest import SF001
     plan = build_mart(spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "FullOuter" not in plan and "BatchEvalPython" not in plan
+
+
+def test_hot_key_is_reduced_before_shuffle(spark):
+    """A key holding a third of the rows: every aggregate of the blocks has
+    a partial (map-side) phase and every window a partial group limit."""
+    from loanmart.plans import blocks as B
+    rows = [(i, 1 if i % 3 == 0 else i, -(i % 50), "Approved" if i % 2 else "Refused", "Cash loans",
+             float(i), float(i), None, None, None, None, None) for i in range(600)]
+    schema = ("SK_ID_PREV bigint, SK_ID_CURR bigint, DAYS_DECISION int, NAME_CONTRACT_STATUS string, "
+              "NAME_CONTRACT_TYPE string, AMT_APPLICATION double, AMT_CREDIT double, AMT_DOWN_PAYMENT double, "
+              "NAME_YIELD_GROUP string, NFLAG_INSURED_ON_APPROVAL double, RATE_INTEREST_PRIMARY double, "
+              "RATE_INTEREST_PRIVILEGED double")
+    prev = spark.createDataFrame(rows, schema)
+    plan = B.previous_block(prev)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan and plan.count("Exchange hashpartitioning") == 1
+    pos = prev.select("SK_ID_PREV", "SK_ID_CURR", F.col("DAYS_DECISION").alias("MONTHS_BALANCE"),
+                      F.lit(1).alias("SK_DPD"), F.lit(0).alias("SK_DPD_DEF"))
+    wplan = B.pos_parts(pos)[1]._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in wplan and "Partial" in wplan
+    hot = B.previous_block(prev).filter("SK_ID_CURR = 1").first()
+    assert hot["ratio_approved"] + hot["ratio_refused"] == 1.0 and hot["ratio_approved"] == 100 / 201
