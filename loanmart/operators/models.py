@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # The boosted-tree search grid of the source (learning rate,
-# depth, minimum child weight, column share per tree).
+# depth, minimum child weight, column share per tree) and the hidden layer
+# sizes of its fully connected network.
 GBT_GRID = {
     "stepSize": [0.05, 0.1, 0.15, 0.2],
     "maxDepth": [3, 4, 5, 6, 8, 10],
