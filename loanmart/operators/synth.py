@@ -61,7 +61,9 @@ def skew_expr(x: Column) -> Column:
     constant column."""
     n = F.count(x).cast("double")
     corr = F.sqrt(n * (n - 1)) / (n - 2)
-    return F.when(n < 3, F.lit(None).cast("double")).when(F.var_pop(x) == 0, F.lit(0.0)) \
+    # stddev_samp is the STD primitive's own aggregate, so the constant test
+    # shares its buffer instead of adding one.
+    return F.when(n < 3, F.lit(None).cast("double")).when(F.stddev_samp(x) == 0, F.lit(0.0)) \
         .otherwise(F.skewness(x) * corr)
 
 
