@@ -111,8 +111,18 @@ def previous_block(prev: DataFrame, spec: PreviousSpec | None = None) -> DataFra
     return out
 
 
-def card_rows(ccb: DataFrame, tie: Sequence[str] = ("SK_ID_PREV",), bucket: Column | None = None) -> DataFrame:
-    """E2 row features: limit and payment flags, month-on-month balance change."""
+YEAR_OF_MONTHS = "year"
+
+
+def card_rows(ccb: DataFrame, tie: Sequence[str] = ("SK_ID_PREV",),
+              bucket: Column | str | None = YEAR_OF_MONTHS) -> DataFrame:
+    """E2 row features: limit and payment flags, month-on-month balance change.
+
+    The lag runs per (card, year of months) by default, so one card holding
+    a large share of all rows is still spread over tasks; ``bucket=None``
+    gives the plain per-card window."""
+    if isinstance(bucket, str):
+        bucket = F.floor(F.col("MONTHS_BALANCE") / 12)
     bal, limit = F.col("AMT_BALANCE"), F.col("AMT_CREDIT_LIMIT_ACTUAL")
     rows = ccb.withColumns({
         "Beyond_limit": flag(bal > limit),
@@ -126,8 +136,8 @@ def card_rows(ccb: DataFrame, tie: Sequence[str] = ("SK_ID_PREV",), bucket: Colu
                       upper=PCT_CHANGE_CAP, bucket=bucket)
 
 
-def card_parts(ccb: DataFrame, tie: Sequence[str] = ("SK_ID_PREV",), bucket: Column | None = None,
-               n: int = N_LATEST) -> list[DataFrame]:
+def card_parts(ccb: DataFrame, tie: Sequence[str] = ("SK_ID_PREV",),
+               bucket: Column | str | None = YEAR_OF_MONTHS, n: int = N_LATEST) -> list[DataFrame]:
     rows = card_rows(ccb, tie, bucket)
     sums = rows.groupBy(KEY).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c)
                                    for c in ("has_cc_now", "balance_now", "times_bal80")])
@@ -136,8 +146,8 @@ def card_parts(ccb: DataFrame, tie: Sequence[str] = ("SK_ID_PREV",), bucket: Col
     return [sums, lags]
 
 
-def card_block(ccb: DataFrame, tie: Sequence[str] = ("SK_ID_PREV",), bucket: Column | None = None,
-               n: int = N_LATEST) -> DataFrame:
+def card_block(ccb: DataFrame, tie: Sequence[str] = ("SK_ID_PREV",),
+               bucket: Column | str | None = YEAR_OF_MONTHS, n: int = N_LATEST) -> DataFrame:
     """Counts of cards now / balance now / high usage, and the n newest
     months per applicant flattened."""
     return outer_join_all(card_parts(ccb, tie, bucket, n), KEY)

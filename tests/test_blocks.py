@@ -76,7 +76,8 @@ def test_card_small(spark):
         (200, 2, -1, 5.0, 0.0, 1.0, 1.0),     # previous balance -1: +inf capped to 30
         (300, 3, -1, 0.0, 0.0, 1.0, 1.0),     # 0/0 usage -> 0
     ], CCB)
-    pct = {(r["SK_ID_PREV"], r["MONTHS_BALANCE"]): r["balance_pct_change"] for r in rows(B.card_rows(ccb))}
+    pct = {(r["SK_ID_PREV"], r["MONTHS_BALANCE"]): r["balance_pct_change"]
+           for r in rows(B.card_rows(ccb, bucket=None))}
     assert pct[(100, -3)] is None
     assert pct[(100, -2)] == 30.0                         # 50 / 1 capped
     assert pct[(100, -1)] == pytest.approx(-10 / 51)
