@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loanmart.functions.scalars import cap, drop_sentinel, flag, map_values, null_if, replace_value
+from loanmart.functions.scalars import cap, drop_sentinel, map_values, null_if, replace_value
 from loanmart.operators import agg as A
 from loanmart.operators import joins as J
 from loanmart.operators import sample as L
@@ -17,7 +17,6 @@ from loanmart.plans import standins as V
 from loanmart.plans.oracle_views import with_views
 from loanmart.plans.queries import (
     _application,
-    _bureau,
     _card,
     _installment,
     _previous,

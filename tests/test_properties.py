@@ -106,3 +106,23 @@ def test_hot_key_is_reduced_before_shuffle(spark):
     assert "WindowGroupLimit" in wplan and "Partial" in wplan
     hot = B.previous_block(prev).filter("SK_ID_CURR = 1").first()
     assert hot["ratio_approved"] == pytest.approx(101 / 201) and hot["ratio_refused"] == pytest.approx(100 / 201)
+
+
+def test_pushdown_and_pruning(spark):
+    """Filters reach the parquet scan and only needed columns are read."""
+    import __spark_entry__ as E
+    from tests.conftest import SF001
+    q = E.queries()
+    import contextlib
+    import io as _io
+    buf = _io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q["semi_join_cascade"](spark, SF001).explain("formatted")
+    text = buf.getvalue()
+    assert "PushedFilters: [Not(EqualNullSafe(c_mktsegment,HOUSEHOLD))" in text
+    assert "ReadSchema: struct<c_custkey:bigint,c_mktsegment:string>" in text
+    pos = q["block_pos"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    scans = [s for s in pos.split("FileScan parquet")[1:]]
+    assert scans and all("props" not in s.split("ReadSchema")[-1][:300] for s in scans)
+    sent = q["filter_sentinel"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<c_custkey:bigint,c_nationkey:int,c_mktsegment:string>" in sent
