@@ -23,7 +23,7 @@ from loanmart.plans.queries import (
     finish,
     register,
 )
-from loanmart.sources.io import materialize, read_table, write_features
+from loanmart.sources.io import materialize, read_table, write_bucketed, write_features
 
 KEY = "SK_ID_CURR"
 PREV_ORDER = ["DAYS_DECISION", "SK_ID_PREV"]
@@ -528,3 +528,11 @@ def balanced_union(spark, sf):
 def class_partition(spark, sf):
     neg, pos = L.class_partition(V.application(spark, sf).select(KEY, "TARGET"), "TARGET")
     return L.balanced_union(neg.withColumn("part", F.lit("negative")), pos.withColumn("part", F.lit("positive")))
+
+
+@register("bucketed_previous_block", R(OB.previous_sql()[0], OB.previous_sql()[2], "prev"))
+def bucketed_previous_block(spark, sf):
+    """E1 over a copy of the previous-application view bucketed by the
+    applicant key: the block aggregate needs no exchange."""
+    prev = write_bucketed(V.previous(spark, sf), KEY, 8, name="prev_by_applicant")
+    return finish(B.previous_block(prev, V.PREV_SPEC))

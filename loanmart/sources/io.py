@@ -78,3 +78,22 @@ def save_model(model, path: str) -> None:
 def load_model(path: str):
     from pyspark.ml import PipelineModel
     return PipelineModel.load(path)
+
+
+def write_bucketed(df: DataFrame, key: str, buckets: int, name: str = "bucketed", path: str | None = None) -> DataFrame:
+    """Write a child table hash-bucketed and sorted on its parent key, once.
+
+    Every later aggregate or join on ``key`` (all blocks of one applicant
+    table, and the mart joins when the parent is bucketed the same way)
+    then runs without a shuffle.  The files go below the checkpoint folder
+    unless a shared ``path`` is given; the table is registered in the
+    session catalog under a unique name.
+    """
+    import uuid
+    spark = df.sparkSession
+    tag = uuid.uuid4().hex[:12]
+    path = path or f"{checkpoint_dir(spark).rstrip('/')}/{name}-{tag}"
+    table = f"{name}_{tag}"
+    (df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+       .option("path", path).saveAsTable(table))
+    return spark.table(table)

@@ -43,3 +43,19 @@ def test_model_save_load(spark):
     assert again.transform(df).count() == 20
     scored = io.score_frame(again, df.withColumn("id", F.monotonically_increasing_id()), "id")
     assert all(0.0 <= r["TARGET"] <= 1.0 for r in scored.collect())
+
+
+def test_bucketed_child_needs_no_shuffle(spark):
+    from loanmart.plans import blocks as B
+    rows_ = [(i, i % 7, -(i % 30), "Approved" if i % 3 else "Refused", "Cash loans", float(i), float(i), None, None,
+              None, None, None) for i in range(200)]
+    schema = ("SK_ID_PREV bigint, SK_ID_CURR bigint, DAYS_DECISION int, NAME_CONTRACT_STATUS string, "
+              "NAME_CONTRACT_TYPE string, AMT_APPLICATION double, AMT_CREDIT double, AMT_DOWN_PAYMENT double, "
+              "NAME_YIELD_GROUP string, NFLAG_INSURED_ON_APPROVAL double, RATE_INTEREST_PRIMARY double, "
+              "RATE_INTEREST_PRIVILEGED double")
+    prev = spark.createDataFrame(rows_, schema)
+    bucketed = io.write_bucketed(prev, "SK_ID_CURR", 4, name="prev_test")
+    out = B.previous_block(bucketed)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, B.previous_block(prev).collect()))
