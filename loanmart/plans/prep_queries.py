@@ -160,8 +160,7 @@ def inverse_scale(spark, sf):
                            "unnest([CAST(1 - toxic AS DOUBLE), CAST(toxic AS DOUBLE)]) AS value FROM labels) AS u")
 def label_one_hot(spark, sf):
     lab = V.table(spark, sf, "labels")
-    return lab.select("doc_id", F.posexplode(P.label_one_hot(F.col("toxic"))).alias("pos", "value")) \
-        .withColumn("pos", F.col("pos").cast("bigint"))
+    return lab.select("doc_id", F.posexplode(P.label_one_hot(F.col("toxic"))).alias("pos", "value"))
 
 
 def embedding_columns(spark, sf, dims: int = 64):
