@@ -22,16 +22,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The boosted-tree search grid of the source (learning rate,
-# depth, minimum child weight, column share per tree) and the hidden layer
-# sizes of its fully connected network.
-GBT_GRID = {
-    "stepSize": [0.05, 0.1, 0.15, 0.2],
-    "maxDepth": [3, 4, 5, 6, 8, 10],
-    "minInstancesPerNode": [1, 3, 5, 7],
-    "featureSubsetStrategy": ["0.5", "0.7", "1.0"],
-}
-MLP_HIDDEN = (150, 75, 25)
+from loanmart.constants import GBT_GRID, MLP_HIDDEN, SEED
 
 
 def assembler(cols: Sequence[str], out: str = "features") -> VectorAssembler:
@@ -39,7 +30,7 @@ def assembler(cols: Sequence[str], out: str = "features") -> VectorAssembler:
 
 
 def boosted_trees(cols: Sequence[str], label: str = "label", pca_n: int | None = None, max_iter: int = 20,
-                  max_depth: int = 5, step_size: float = 0.1, subsampling: float = 1.0, seed: int = 1234,
+                  max_depth: int = 5, step_size: float = 0.1, subsampling: float = 1.0, seed: int = SEED,
                   min_instances: int = 1, feature_subset: str = "all") -> Pipeline:
     """Assembler (+ scaler + PCA when ``pca_n``) + GBTClassifier."""
     stages = [assembler(cols, "_raw")]
@@ -55,7 +46,7 @@ def boosted_trees(cols: Sequence[str], label: str = "label", pca_n: int | None =
 
 
 def mlp_classifier(cols: Sequence[str], label: str = "label", hidden: Sequence[int] = MLP_HIDDEN,
-                   max_iter: int = 50, seed: int = 1234, block_size: int = 128) -> Pipeline:
+                   max_iter: int = 50, seed: int = SEED, block_size: int = 128) -> Pipeline:
     """Standardised inputs -> sigmoid hidden layers -> softmax over 2 units."""
     return Pipeline(stages=[
         assembler(cols, "_raw"),
@@ -73,7 +64,7 @@ def score(model: PipelineModel, df: DataFrame, keep: Sequence[str], threshold: f
     return scored.select(*keep, p.alias(out), (p > threshold).cast("int").alias("pred"))
 
 
-def draw_params(grid: Mapping[str, Sequence], n: int, seed: int = 1234) -> list[dict]:
+def draw_params(grid: Mapping[str, Sequence], n: int, seed: int = SEED) -> list[dict]:
     """n random points of a grid (seeded, with replacement like a random
     search over a discrete grid)."""
     rng = random.Random(seed)
@@ -89,7 +80,7 @@ class SearchResult:
 
 
 def random_search(pipeline: Pipeline, train: DataFrame, grid: Mapping[str, Sequence], n_iter: int = 1,
-                  fold_col: str = "fold", label: str = "label", seed: int = 1234,
+                  fold_col: str = "fold", label: str = "label", seed: int = SEED,
                   parallelism: int = 2) -> SearchResult:
     """Cross-validated AUC for n random grid points; the best refit on all
     training rows.  Folds come from ``fold_col`` (see kfold_assign)."""

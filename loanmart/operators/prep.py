@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanmart.functions.scalars import safe_div
+from loanmart.constants import CORR_THRESHOLD, MISSING_CODE_LABEL, STRING_FILL
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -76,7 +77,7 @@ def pairwise_corr(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                     .alias("col_j"), "i", "j", F.when(r > 1.0, 1.0).when(r < -1.0, -1.0).otherwise(r).alias("corr"))
 
 
-def correlated_columns(df: DataFrame, cols: Sequence[str], threshold: float = 0.98) -> DataFrame:
+def correlated_columns(df: DataFrame, cols: Sequence[str], threshold: float = CORR_THRESHOLD) -> DataFrame:
     """Per column: largest r with any *earlier* column, and whether it is
     dropped (r > threshold, signed).  A dropped column still drops later
     ones, as in the upper-triangle rule."""
@@ -87,7 +88,7 @@ def correlated_columns(df: DataFrame, cols: Sequence[str], threshold: float = 0.
     return out.select("column", "max_corr", F.coalesce(F.col("max_corr") > threshold, F.lit(False)).alias("dropped"))
 
 
-def drop_correlated(df: DataFrame, cols: Sequence[str] | None = None, threshold: float = 0.98,
+def drop_correlated(df: DataFrame, cols: Sequence[str] | None = None, threshold: float = CORR_THRESHOLD,
                     exclude: Iterable[str] = ()) -> tuple[DataFrame, list[str]]:
     """Drop numeric columns correlated above ``threshold`` with an earlier one."""
     ex = set(exclude)
@@ -101,7 +102,7 @@ def drop_correlated(df: DataFrame, cols: Sequence[str] | None = None, threshold:
 
 # ------------------------------------------------------------- imputation P2
 
-def impute_constant(df: DataFrame, string_fill: str = "Not_Applicable", numeric_fill: float = 0,
+def impute_constant(df: DataFrame, string_fill: str = STRING_FILL, numeric_fill: float = 0,
                     exclude: Iterable[str] = ()) -> DataFrame:
     ex = set(exclude)
     s = {c: string_fill for c in columns_of_type(df, strings=True) if c not in ex}
@@ -166,10 +167,10 @@ class LabelEncoder:
     string ``nan`` (values are encoded as strings, as ``astype(str)``)."""
 
     categories: dict[str, list[str]]
-    missing: str = "nan"
+    missing: str = MISSING_CODE_LABEL
 
     @classmethod
-    def fit(cls, df: DataFrame, cols: Sequence[str], missing: str = "nan") -> "LabelEncoder":
+    def fit(cls, df: DataFrame, cols: Sequence[str], missing: str = MISSING_CODE_LABEL) -> "LabelEncoder":
         return cls({c: _categories(df.withColumn(c, F.col(c).cast("string")), c, missing) for c in cols}, missing)
 
     def transform(self, df: DataFrame) -> DataFrame:

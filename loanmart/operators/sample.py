@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from loanmart.functions.scalars import hash_int
 from loanmart.operators.windows import add_index
+from loanmart.constants import N_FOLDS, SEED, TEST_SIZE
 
 
 def sort_report(df: DataFrame, order: Sequence, ascending: bool | Sequence[bool] = True) -> DataFrame:
@@ -36,7 +37,7 @@ def shuffle_rows(df: DataFrame, id_col: str, seed) -> DataFrame:
     return hash_order(df, id_col, seed, "_h").orderBy("_h", id_col).drop("_h")
 
 
-def hash_split(df: DataFrame, id_col: str, test_frac: float, seed=1234) -> tuple[DataFrame, DataFrame]:
+def hash_split(df: DataFrame, id_col: str, test_frac: float = TEST_SIZE, seed=SEED) -> tuple[DataFrame, DataFrame]:
     """Train/test split by md5(id:seed) < test_frac * 2**32.
 
     Disjoint and covering, stable under repartitioning; one map-only filter
@@ -47,12 +48,12 @@ def hash_split(df: DataFrame, id_col: str, test_frac: float, seed=1234) -> tuple
     return df.filter(h >= F.lit(cut)), df.filter(h < F.lit(cut))
 
 
-def split_flag(df: DataFrame, id_col: str, test_frac: float, seed=1234, name: str = "is_test") -> DataFrame:
+def split_flag(df: DataFrame, id_col: str, test_frac: float = TEST_SIZE, seed=SEED, name: str = "is_test") -> DataFrame:
     cut = int(round(test_frac * 4294967296))
     return df.withColumn(name, (hash_int(id_col, seed) < F.lit(cut)).cast("int"))
 
 
-def kfold_assign(df: DataFrame, id_col: str, label: str, k: int = 5, seed=1234, name: str = "fold") -> DataFrame:
+def kfold_assign(df: DataFrame, id_col: str, label: str, k: int = N_FOLDS, seed=SEED, name: str = "fold") -> DataFrame:
     """Stratified fold numbers 0..k-1.
 
     Within each class, rows are ranked by md5(id:seed) and dealt round-robin,

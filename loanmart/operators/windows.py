@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from loanmart.functions.scalars import cap, hash_int, latest_expr, safe_div
 from loanmart.session import cut_lineage
+from loanmart.constants import SEQ_PAD, SEQ_ROWS
 
 
 def _cols(cs) -> list[Column]:
@@ -135,7 +136,7 @@ def latest_n_wide(df: DataFrame, key: str, order: Sequence, cols: Sequence[str],
 
 
 def padded_sequences(parent: DataFrame, parent_key: str, child: DataFrame, key: str, order: Sequence,
-                     cols: Sequence[str], n: int = 5, pad: float = -99.0, out: str = "seq") -> DataFrame:
+                     cols: Sequence[str], n: int = SEQ_ROWS, pad: float = SEQ_PAD, out: str = "seq") -> DataFrame:
     """n newest child rows per parent as one row-major array of n*len(cols).
 
     Short histories are padded with ``pad`` rows at the end; a parent with

@@ -17,6 +17,24 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loanmart.constants import (
+    XNA,
+    DAYS_EMPLOYED_SENTINEL,
+    PREV_STATUSES,
+    PREV_TYPES,
+    PREV_APPROVED_COLS,
+    CREDIT_TYPES,
+    CREDIT_CARD,
+    CREDIT_ACTIVE_MAP,
+    DEFAULT_DAYS,
+    BALANCE_USAGE,
+    PCT_CHANGE_CAP,
+    STATUS_OPEN,
+    STATUS_LATE,
+    STATUS_LEVELS,
+    STATUS_EXCLUDED,
+    N_LATEST,
+)
 from loanmart.functions.scalars import (
     drop_sentinel,
     flag,
@@ -32,29 +50,6 @@ from loanmart.operators.windows import latest_n_parts, latest_n_wide, pct_change
 
 KEY = "SK_ID_CURR"
 
-# Category labels, sentinels and thresholds of the credit data.
-XNA = "XNA"
-DAYS_EMPLOYED_SENTINEL = 365243
-PREV_STATUSES = {"Approved": "approved", "Refused": "refused", "Canceled": "canceled", "Unused offer": "unused"}
-PREV_TYPES = {"Consumer loans": "consumerloans", "Cash loans": "cashloans", "Revolving loans": "revolvingloans"}
-PREV_APPROVED_COLS = ("NAME_CONTRACT_TYPE", "AMT_APPLICATION", "AMT_CREDIT", "AMT_DOWN_PAYMENT",
-                      "NAME_YIELD_GROUP", "NFLAG_INSURED_ON_APPROVAL", "RATE_INTEREST_PRIMARY",
-                      "RATE_INTEREST_PRIVILEGED")
-CREDIT_TYPES = {"Mortgage": "mortgage", "Real estate loan": "realestate", "Car loan": "carloan",
-                "Loan for business development": "loanbusiness",
-                "Loan for the purchase of equipment": "loanpurchase",
-                "Cash loan (non-earmarked)": "cashloan",
-                "Loan for working capital replenishment": "workingloan"}
-CREDIT_CARD = "Credit card"
-CREDIT_ACTIVE_MAP = {"Closed": 0, "Active": 1}
-DEFAULT_DAYS = 270
-BALANCE_USAGE = 0.8
-PCT_CHANGE_CAP = 30
-STATUS_OPEN, STATUS_LATE = "0", "1"
-STATUS_LEVELS = ("0", "1", "2", "3", "4", "5")
-STATUS_EXCLUDED = ("X", "C")
-N_LATEST = 4
-
 
 @dataclass
 class PreviousSpec:

@@ -17,6 +17,7 @@ from loanmart.operators import prep as P
 from loanmart.operators import resample as R
 from loanmart.operators.sample import hash_split, kfold_assign
 from loanmart.operators.windows import padded_sequences
+from loanmart import constants as C
 
 
 @dataclass
@@ -27,8 +28,8 @@ class Prepared:
     dropped: list[str] = field(default_factory=list)
 
 
-def prepare(mart: DataFrame, id_col: str, label: str, test_size: float = 0.05, seed: int = 1234,
-            exclude: Sequence[str] = (), corr_threshold: float = 0.98, string_fill: str = "Not_Applicable",
+def prepare(mart: DataFrame, id_col: str, label: str, test_size: float = C.TEST_SIZE, seed: int = C.SEED,
+            exclude: Sequence[str] = (), corr_threshold: float = C.CORR_THRESHOLD, string_fill: str = C.STRING_FILL,
             max_categories: int = 50) -> Prepared:
     """Split first, then fit the correlation filter, imputation and one-hot
     encoding on the training part and apply them to both parts."""
@@ -57,13 +58,13 @@ def prepare(mart: DataFrame, id_col: str, label: str, test_size: float = 0.05, s
 class RunConfig:
     id_col: str = "SK_ID_CURR"
     label: str = "TARGET"
-    test_size: float = 0.05
-    nfolds: int = 5
+    test_size: float = C.TEST_SIZE
+    nfolds: int = C.N_FOLDS
     pca_n: int | None = None
     model: str = "gbt"
     resample: str | None = None
-    threshold: float = 0.1
-    seed: int = 1234
+    threshold: float = C.SCORE_THRESHOLD
+    seed: int = C.SEED
     max_iter: int = 20
     max_depth: int = 5
     search_draws: int = 0
@@ -108,7 +109,8 @@ def evaluate(scored: DataFrame, label: str, threshold: float) -> DataFrame:
 def run(mart: DataFrame, cfg: RunConfig | None = None) -> tuple[DataFrame, DataFrame, dict]:
     """Train and evaluate; returns (metrics row, scored test rows, info)."""
     cfg = cfg or RunConfig()
-    prep = prepare(mart, cfg.id_col, cfg.label, cfg.test_size, cfg.seed, cfg.exclude)
+    fill = C.CLUSTER_STRING_FILL if cfg.resample else C.STRING_FILL
+    prep = prepare(mart, cfg.id_col, cfg.label, cfg.test_size, cfg.seed, cfg.exclude, string_fill=fill)
     cols = prep.features
     train = prep.train
     if cfg.resample:
@@ -127,13 +129,14 @@ def run(mart: DataFrame, cfg: RunConfig | None = None) -> tuple[DataFrame, DataF
 
 
 def sequence_embedding(parent: DataFrame, parent_key: str, child: DataFrame, key: str, order: Sequence[str],
-                       cols: Sequence[str], n: int = 5, k: int = 100, prefix: str = "bfeat_") -> DataFrame:
+                       cols: Sequence[str], n: int = C.SEQ_ROWS, k: int = C.SEQ_FEATURES,
+                       prefix: str = C.SEQ_PREFIX) -> DataFrame:
     """T6 substitute for the CNN/LSTM features: n newest child rows as a
     padded sequence -> standardise -> PCA(k) -> ``bfeat_1..k`` per parent."""
     from pyspark.ml.functions import vector_to_array
     keep = list(dict.fromkeys([key, *order, *cols]))
     child = P.impute_constant(child.select(*keep), exclude=[key])
-    seq = padded_sequences(parent, parent_key, child, key, order, cols, n=n, pad=-99.0)
+    seq = padded_sequences(parent, parent_key, child, key, order, cols, n=n, pad=C.SEQ_PAD)
     k = min(k, n * len(cols))
     flat = seq.select(parent_key, *[F.col("seq")[i].alias(f"_s{i}") for i in range(n * len(cols))])
     out, _model, _ev = P.pca_features(flat, [f"_s{i}" for i in range(n * len(cols))], k, out="_pc")
