@@ -142,3 +142,36 @@ def sequence_embedding(parent: DataFrame, parent_key: str, child: DataFrame, key
     out, _model, _ev = P.pca_features(flat, [f"_s{i}" for i in range(n * len(cols))], k, out="_pc")
     arr = vector_to_array("_pc")
     return out.select(parent_key, *[arr[i].alias(f"{prefix}{i + 1}") for i in range(k)])
+
+
+# File names of the credit tables in a data folder.
+CREDIT_FILES = {
+    "application": "application_train.csv",
+    "previous_application": "previous_application.csv",
+    "credit_card_balance": "credit_card_balance.csv",
+    "installments_payments": "installments_payments.csv",
+    "POS_CASH_balance": "POS_CASH_balance.csv",
+    "bureau": "bureau.csv",
+    "bureau_balance": "bureau_balance.csv",
+}
+
+
+def build_credit_mart(spark, data_dir: str, application_file: str | None = None,
+                      include_credit_types: bool = True) -> DataFrame:
+    """E7 on the credit CSV files of ``data_dir``: one row per application
+    with every block attached (prefixes ``bur_ prev_ cc_ ins_ pos_``).
+    ``application_file`` selects e.g. the unlabelled scoring table."""
+    from loanmart.plans import blocks as B
+    from loanmart.sources.credit import read_credit_table
+
+    def read(name: str, file: str | None = None) -> DataFrame:
+        return read_credit_table(spark, f"{data_dir.rstrip('/')}/{file or CREDIT_FILES[name]}", name)
+
+    app = read("application", application_file)
+    return B.feature_mart(
+        B.application_features(app, clean=application_file is None),
+        B.bureau_parts(read("bureau"), read("bureau_balance"), B.BureauSpec(include_credit_types=include_credit_types)),
+        B.previous_block(read("previous_application")),
+        B.card_parts(read("credit_card_balance")),
+        B.installment_block(read("installments_payments")),
+        B.pos_parts(read("POS_CASH_balance")))

@@ -59,3 +59,52 @@ def test_bucketed_child_needs_no_shuffle(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, B.previous_block(prev).collect()))
+
+
+def test_read_credit_table_casts_known_columns(spark):
+    from loanmart.sources.credit import read_credit_table
+    d = tempfile.mkdtemp()
+    path = os.path.join(d, "bureau.csv")
+    with open(path, "w") as fh:
+        fh.write("SK_ID_CURR,SK_ID_BUREAU,CREDIT_ACTIVE,DAYS_CREDIT,CREDIT_DAY_OVERDUE,EXTRA\n"
+                 "1,10,Active,-5,0,x\n2,11,,NaN,271,\n")
+    df = read_credit_table(spark, path, "bureau")
+    types = dict(df.dtypes)
+    assert types["SK_ID_CURR"] == "bigint" and types["DAYS_CREDIT"] == "double" and types["EXTRA"] == "string"
+    got = {r["SK_ID_BUREAU"]: r for r in df.collect()}
+    assert got[11]["CREDIT_ACTIVE"] is None and got[11]["DAYS_CREDIT"] is None and got[11]["CREDIT_DAY_OVERDUE"] == 271
+
+
+def test_build_credit_mart_from_csv(spark):
+    from loanmart.plans.mart import CREDIT_FILES, build_credit_mart
+    d = tempfile.mkdtemp()
+    files = {
+        "application": "SK_ID_CURR,TARGET,CODE_GENDER,DAYS_EMPLOYED,DAYS_BIRTH,AMT_CREDIT,AMT_INCOME_TOTAL,"
+                       "AMT_ANNUITY,CNT_FAM_MEMBERS,NAME_CONTRACT_TYPE\n"
+                       "1,0,F,-100,-10000,200,100,20,2,Cash loans\n2,1,XNA,-100,-10000,200,100,20,2,Cash loans\n"
+                       "3,0,M,365243,-9000,300,50,30,,Revolving loans\n",
+        "previous_application": "SK_ID_PREV,SK_ID_CURR,DAYS_DECISION,NAME_CONTRACT_STATUS,NAME_CONTRACT_TYPE,"
+                                "AMT_APPLICATION,AMT_CREDIT,AMT_DOWN_PAYMENT,NAME_YIELD_GROUP,"
+                                "NFLAG_INSURED_ON_APPROVAL,RATE_INTEREST_PRIMARY,RATE_INTEREST_PRIVILEGED\n"
+                                "10,1,-5,Approved,Cash loans,120,100,,high,1,,\n",
+        "credit_card_balance": "SK_ID_PREV,SK_ID_CURR,MONTHS_BALANCE,AMT_BALANCE,AMT_CREDIT_LIMIT_ACTUAL,"
+                               "AMT_PAYMENT_CURRENT,AMT_INST_MIN_REGULARITY\n20,1,-2,10,100,5,1\n20,1,-1,90,100,5,1\n",
+        "installments_payments": "SK_ID_PREV,SK_ID_CURR,DAYS_INSTALMENT,DAYS_ENTRY_PAYMENT,AMT_INSTALMENT,AMT_PAYMENT\n"
+                                 "10,1,-10,-12,100,100\n",
+        "POS_CASH_balance": "SK_ID_PREV,SK_ID_CURR,MONTHS_BALANCE,SK_DPD,SK_DPD_DEF\n10,1,-1,0,0\n",
+        "bureau": "SK_ID_BUREAU,SK_ID_CURR,DAYS_CREDIT,DAYS_CREDIT_ENDDATE,DAYS_ENDDATE_FACT,AMT_CREDIT_SUM_DEBT,"
+                  "AMT_CREDIT_SUM_OVERDUE,AMT_CREDIT_MAX_OVERDUE,CREDIT_DAY_OVERDUE,CREDIT_ACTIVE,CREDIT_TYPE\n"
+                  "5,3,-100,-50,,40,0,0,300,Active,Car loan\n",
+        "bureau_balance": "SK_ID_BUREAU,MONTHS_BALANCE,STATUS\n5,0,0\n5,-1,1\n",
+    }
+    for name, text in files.items():
+        with open(os.path.join(d, CREDIT_FILES[name]), "w") as fh:
+            fh.write(text)
+    mart = build_credit_mart(spark, d)
+    out = {r["SK_ID_CURR"]: r for r in mart.collect()}
+    assert sorted(out) == [1, 3]                                  # XNA row dropped
+    assert out[1]["prev_AMT_CREDIT"] == 100.0 and out[1]["cc_MONTHS_BALANCE0"] == -1
+    assert abs(out[1]["cc_balance_pct_change0"] - 80 / 11) < 1e-12   # (90 - 10) / (10 + 1)
+    assert out[3]["DAYS_EMPLOYED"] is None and out[3]["bur_Defaulted_sum"] == 1
+    assert out[3]["bur_Months_latest_open"] == 0 and out[3]["bur_DAYS_CREDIT_first_carloan"] == -100.0
+    assert "NAME_CONTRACT_TYPE" in mart.columns and "prev_approved_NAME_CONTRACT_TYPE" in mart.columns
