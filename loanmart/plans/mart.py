@@ -175,3 +175,28 @@ def build_credit_mart(spark, data_dir: str, application_file: str | None = None,
         B.card_parts(read("credit_card_balance")),
         B.installment_block(read("installments_payments")),
         B.pos_parts(read("POS_CASH_balance")))
+
+
+def credit_entityset(spark, data_dir: str):
+    """D1 on the credit CSV files: 7 tables, 6 parent -> child edges.  Month
+    tables have no key of their own; the applicant id they also carry is
+    ignored so it is not aggregated as a number."""
+    from loanmart.operators.synth import EntitySet
+    from loanmart.sources.credit import read_credit_table
+
+    def read(name: str) -> DataFrame:
+        return read_credit_table(spark, f"{data_dir.rstrip('/')}/{CREDIT_FILES[name]}", name)
+
+    es = EntitySet()
+    es.add("train", read("application"), "SK_ID_CURR")
+    es.add("bureau", read("bureau"), "SK_ID_BUREAU")
+    es.add("bureaubal", read("bureau_balance"), "_none")
+    es.add("prev", read("previous_application"), "SK_ID_PREV")
+    for name, table in (("ccb", "credit_card_balance"), ("insta", "installments_payments"), ("pc", "POS_CASH_balance")):
+        es.add(name, read(table), "_none", ignore=("SK_ID_CURR",))
+    es.relate("train", "SK_ID_CURR", "bureau", "SK_ID_CURR")
+    es.relate("bureau", "SK_ID_BUREAU", "bureaubal", "SK_ID_BUREAU")
+    es.relate("train", "SK_ID_CURR", "prev", "SK_ID_CURR")
+    for child in ("ccb", "insta", "pc"):
+        es.relate("prev", "SK_ID_PREV", child, "SK_ID_PREV")
+    return es

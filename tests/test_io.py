@@ -108,3 +108,9 @@ def test_build_credit_mart_from_csv(spark):
     assert out[3]["DAYS_EMPLOYED"] is None and out[3]["bur_Defaulted_sum"] == 1
     assert out[3]["bur_Months_latest_open"] == 0 and out[3]["bur_DAYS_CREDIT_first_carloan"] == -100.0
     assert "NAME_CONTRACT_TYPE" in mart.columns and "prev_approved_NAME_CONTRACT_TYPE" in mart.columns
+    from loanmart.operators.synth import synthesize
+    from loanmart.plans.mart import credit_entityset
+    auto = {r["SK_ID_CURR"]: r for r in synthesize(credit_entityset(spark, d), "train", depth=2).collect()}
+    assert len(auto) == 3 and auto[1]["COUNT(prev)"] == 1 and auto[2]["COUNT(prev)"] == 0
+    assert auto[1]["SUM(prev.COUNT(insta))"] == 1 and auto[1]["SUM(prev.COUNT(ccb))"] == 0  # card 20 is not a prev
+    assert auto[3]["MAX(bureau.COUNT(bureaubal))"] == 2
