@@ -200,3 +200,30 @@ def credit_entityset(spark, data_dir: str):
     for child in ("ccb", "insta", "pc"):
         es.relate("prev", "SK_ID_PREV", child, "SK_ID_PREV")
     return es
+
+
+def credit_training_table(spark, data_dir: str, features: str = "manual", depth: int = 2,
+                          seq_features: int = C.SEQ_FEATURES) -> DataFrame:
+    """The training table of one feature strategy, from the credit CSV files:
+
+    * ``manual``: the hand-built feature mart (E7);
+    * ``automated``: relational synthesis over the seven tables (E8);
+    * ``sequence``: the application table with the newest-5 bureau
+      sequence features ``bfeat_*`` (T6) joined by key.
+    The result goes to ``run(table, RunConfig(...))``.
+    """
+    from loanmart.sources.credit import read_credit_table
+    if features == "manual":
+        return build_credit_mart(spark, data_dir)
+    if features == "automated":
+        from loanmart.operators.synth import synthesize
+        return synthesize(credit_entityset(spark, data_dir), "train", depth=depth)
+    if features == "sequence":
+        app = read_credit_table(spark, f"{data_dir.rstrip('/')}/{CREDIT_FILES['application']}", "application")
+        bureau = read_credit_table(spark, f"{data_dir.rstrip('/')}/{CREDIT_FILES['bureau']}", "bureau")
+        numeric = [f.name for f in bureau.schema.fields
+                   if f.name not in ("SK_ID_CURR", "SK_ID_BUREAU") and f.dataType.typeName() in ("double", "integer", "long")]
+        seq = sequence_embedding(app, "SK_ID_CURR", bureau, "SK_ID_CURR", ["DAYS_CREDIT", "SK_ID_BUREAU"], numeric,
+                                 k=seq_features)
+        return app.join(seq, on="SK_ID_CURR", how="left")
+    raise ValueError(f"unknown feature strategy {features!r}")

@@ -114,3 +114,6 @@ def test_build_credit_mart_from_csv(spark):
     assert len(auto) == 3 and auto[1]["COUNT(prev)"] == 1 and auto[2]["COUNT(prev)"] == 0
     assert auto[1]["SUM(prev.COUNT(insta))"] == 1 and auto[1]["SUM(prev.COUNT(ccb))"] == 0  # card 20 is not a prev
     assert auto[3]["MAX(bureau.COUNT(bureaubal))"] == 2
+    from loanmart.plans.mart import credit_training_table
+    seq = {r["SK_ID_CURR"]: r for r in credit_training_table(spark, d, "sequence", seq_features=3).collect()}
+    assert len(seq) == 3 and {"bfeat_1", "bfeat_2", "bfeat_3"} <= set(seq[1].asDict())
