@@ -142,6 +142,6 @@ def dfs_transforms(spark, sf):
 
 @register("feature_count")
 def feature_count(spark, sf):
-    """Number of columns after depth-2 synthesis (one row)."""
-    n = len(D.synthesize(entity_set(spark, sf), "customer", depth=2).columns)
-    return spark.range(1).select(F.lit(n).alias("n_features"))
+    """Shape of the depth-2 synthesis result (rows counted by Spark)."""
+    out = D.synthesize(entity_set(spark, sf), "customer", depth=2)
+    return out.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(len(out.columns)).alias("n_features"), "n_rows")
