@@ -14,7 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(app: str = "loanmart", master: str | None = None,
-              shuffle_partitions: int | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None, max_partition_bytes: str | None = None) -> SparkSession:
+    """Session with the defaults above; ``shuffle_partitions`` should be about
+    the largest shuffle's bytes / 200 MB, ``max_partition_bytes`` (e.g.
+    "256m") sizes scan splits."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -28,6 +31,8 @@ def get_spark(app: str = "loanmart", master: str | None = None,
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if max_partition_bytes:
+        conf["spark.sql.files.maxPartitionBytes"] = max_partition_bytes
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
