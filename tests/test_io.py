@@ -117,3 +117,12 @@ def test_build_credit_mart_from_csv(spark):
     from loanmart.plans.mart import credit_training_table
     seq = {r["SK_ID_CURR"]: r for r in credit_training_table(spark, d, "sequence", seq_features=3).collect()}
     assert len(seq) == 3 and {"bfeat_1", "bfeat_2", "bfeat_3"} <= set(seq[1].asDict())
+
+
+def test_session_helpers(spark):
+    from loanmart.session import checkpoint_dir, cut_lineage, get_spark
+    s = get_spark(shuffle_partitions=4, max_partition_bytes="64m")
+    assert s.sparkContext is spark.sparkContext
+    assert checkpoint_dir(s)
+    df = cut_lineage(s.range(5))
+    assert df.count() == 5 and "LogicalRDD" in df._jdf.queryExecution().logical().toString()
