@@ -30,9 +30,11 @@ class Prepared:
 
 def prepare(mart: DataFrame, id_col: str, label: str, test_size: float = C.TEST_SIZE, seed: int = C.SEED,
             exclude: Sequence[str] = (), corr_threshold: float = C.CORR_THRESHOLD, string_fill: str = C.STRING_FILL,
-            max_categories: int = 50) -> Prepared:
+            max_categories: int = 1000) -> Prepared:
     """Split first, then fit the correlation filter, imputation and one-hot
-    encoding on the training part and apply them to both parts."""
+    encoding on the training part and apply them to both parts.  String
+    columns with more than ``max_categories`` values (free text, ids) are
+    left out rather than expanded into that many columns."""
     from loanmart.session import cut_lineage
     # The mart is a wide plan over every child table; fitting takes many
     # passes, so it is written once to the checkpoint folder.
