@@ -23,13 +23,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanmart.llm.common import add_columns, table
+from loanmart.llm.common import add_columns, buffer_of, doc_groups, table
 
 CACHE_BYTES = 64 << 20
+_BIT = [1 << k for k in range(256)]
 
 
 class RankQueue:
@@ -56,16 +58,15 @@ class Bpe:
                 if line.strip():
                     token, rank = line.split()
                     self.rank[base64.b64decode(token)] = int(rank)
-        self.token = {r: t for t, r in self.rank.items()}
+        token = {r: t for t, r in self.rank.items()}
         self.split = regex.compile(pattern)
         self.queue = RankQueue(max(self.rank.values(), default=0) + 1)
         self.two = [-1] * 65536               # ranks of the two-byte tokens
         for t, r in self.rank.items():
             if len(t) == 2:
                 self.two[t[0] << 8 | t[1]] = r
-        self.known: dict[str, bytes] = {}     # two generations: the older one is dropped when the newer is full
-        self.older: dict[str, bytes] = {}
-        self.known_bytes = 0
+        self.known = Known(self, {})
+        self.tokens = pa.array([token.get(i) for i in range(max(token, default=-1) + 1)], pa.large_binary())
 
     def merge_ids(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
@@ -73,75 +74,75 @@ class Bpe:
         if whole is not None:
             return [whole]
         n, get, two, queue = len(piece), self.rank.get, self.two, self.queue
-        buckets, words = queue.buckets, queue.words
-        top = 0
+        buckets, words, bit = queue.buckets, queue.words, _BIT
+        top = i = 0
         nxt, prev = list(range(1, n + 1)), list(range(-1, n - 1))
         pair = [two[a << 8 | b] for a, b in zip(piece, piece[1:])]    # rank of the pair at a position, -1: none
         pair.append(-1)
-        for i, r in enumerate(pair):
+        for r in pair:
             if r >= 0:
                 if r in buckets:
                     buckets[r].append(i)
                 else:
                     buckets[r] = [i]
                     w = r >> 8
-                    words[w] |= 1 << (r & 255)
-                    top |= 1 << w
+                    words[w] |= bit[r & 255]
+                    top |= bit[w]
+            i += 1
         while top:
             w = (top & -top).bit_length() - 1
             word = words[w]
             low = word & -word
             words[w] = word ^ low
             if word == low:
-                top ^= 1 << w
+                top ^= bit[w]
             r = (w << 8) + low.bit_length() - 1
             at = buckets.pop(r)
             if len(at) > 1:
                 at.sort()
-            for done, i in enumerate(at):
+            done = 0
+            for i in at:
+                done += 1
                 if pair[i] != r:              # stale: the pair here has changed
                     continue
                 j = nxt[i]                    # parts i and j become one
                 nxt[i] = k = nxt[j]
                 pair[j] = -1
-                lower = False
+                lowest = r
                 if k < n:
                     prev[k] = i
-                    new = get(piece[i:nxt[k]])
-                    if new is None:
-                        pair[i] = -1
-                    else:
-                        pair[i] = new
-                        lower = new < r
+                    pair[i] = new = get(piece[i:nxt[k]], -1)
+                    if new >= 0:
+                        if new < lowest:
+                            lowest = new
                         if new in buckets:
                             buckets[new].append(i)
                         else:
                             buckets[new] = [i]
                             w = new >> 8
-                            words[w] |= 1 << (new & 255)
-                            top |= 1 << w
+                            words[w] |= bit[new & 255]
+                            top |= bit[w]
                 else:
                     pair[i] = -1
                 p = prev[i]
                 if p >= 0:
-                    new = get(piece[p:k])
-                    if new is None:
-                        pair[p] = -1
-                    elif new != pair[p]:
+                    new = get(piece[p:k], -1)
+                    if new != pair[p]:
                         pair[p] = new
-                        lower |= new < r
-                        if new in buckets:
-                            buckets[new].append(p)
-                        else:
-                            buckets[new] = [p]
-                            w = new >> 8
-                            words[w] |= 1 << (new & 255)
-                            top |= 1 << w
-                if lower:                     # a lower rank goes first; the rest of this bucket waits
-                    if done + 1 < len(at):
-                        buckets[r] = at[done + 1:]
-                        words[r >> 8] |= 1 << (r & 255)
-                        top |= 1 << (r >> 8)
+                        if new >= 0:
+                            if new < lowest:
+                                lowest = new
+                            if new in buckets:
+                                buckets[new].append(p)
+                            else:
+                                buckets[new] = [p]
+                                w = new >> 8
+                                words[w] |= bit[new & 255]
+                                top |= bit[w]
+                if lowest < r and done < len(at):    # a lower rank goes first; the rest of this bucket waits
+                    buckets[r] = at[done:]
+                    words[r >> 8] |= bit[r & 255]
+                    top |= bit[r >> 8]
                     break
         out, i, rank = [], 0, self.rank
         while i < n:
@@ -150,28 +151,38 @@ class Bpe:
             i = j
         return out
 
-    def packed(self, piece: str) -> bytes:
-        """Ids of one pre-token as little-endian unsigned 32-bit integers."""
-        got = self.older.get(piece)
-        if got is None:
-            got = self.pack(self.merge_ids(piece.encode()))
-        self.known_bytes += 170 + 2 * len(piece) + len(got)
-        if self.known_bytes > CACHE_BYTES:
-            self.older, self.known, self.known_bytes = self.known, {}, 0
-        self.known[piece] = got
-        return got
-
-    @staticmethod
-    def pack(ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids)
-
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
-        known, packed = self.known.get, self.packed
-        return b"".join([known(p) or packed(p) for p in self.split.findall(text)])
+        if self.known.size > CACHE_BYTES:
+            self.known = Known(self, self.known)
+        return b"".join(map(self.known.__getitem__, self.split.findall(text)))
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+    def decode(self, ids: np.ndarray, off: np.ndarray) -> pa.Array:
+        """Bytes of each run ids[off[i]:off[i + 1]]: the tokens of all ids side by side, cut at the runs' ends."""
+        if len(ids) and int(ids.max()) >= len(self.tokens):
+            raise KeyError("an id names no token")
+        data = self.tokens.take(pa.array(ids, pa.uint32()))
+        if data.null_count:
+            raise KeyError("an id names no token")
+        _, ends = buffer_of(data)
+        cut = pa.py_buffer(ends[off].tobytes())
+        return pa.Array.from_buffers(pa.large_binary(), len(off) - 1, [None, cut, data.buffers()[2]]).cast(pa.binary())
+
+
+class Known(dict):
+    """Packed ids of the pre-tokens met so far, with the generation before them."""
+
+    def __init__(self, bpe: Bpe, older: dict):
+        self.bpe, self.older, self.size = bpe, dict(older), 0
+
+    def __missing__(self, piece: str) -> bytes:
+        got = self.older.get(piece)
+        if got is None:
+            ids = self.bpe.merge_ids(piece.encode())
+            got = struct.pack(f"<{len(ids)}I", *ids)
+        self.size += 170 + 2 * len(piece) + len(got)
+        self[piece] = got
+        return got
 
 
 @lru_cache(maxsize=4)
@@ -192,8 +203,13 @@ def encode(df: DataFrame, rank_file: str, pattern: str, text_col: str = "text",
 def decode(df: DataFrame, rank_file: str, pattern: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """Append ``out`` (binary): the bytes that the ids stand for; NULL ids give NULL."""
     def fn(b: pa.RecordBatch) -> list[pa.Array]:
-        bpe = codec(rank_file, pattern)
-        return [pa.array((None if x.as_py() is None else bpe.decode(x.as_buffer()) for x in b.column(0)), pa.binary())]
+        data, off = buffer_of(b.column(0).fill_null(b""))
+        bpe, out = codec(rank_file, pattern), []
+        for i, j in doc_groups(off, 16 << 20):
+            ids = np.frombuffer(data[off[i]:off[j]].tobytes(), "<u4")
+            out.append(bpe.decode(ids, (off[i:j + 1] - off[i]) // 4))
+        got = pa.chunked_array(out, pa.binary()).combine_chunks()
+        return [pc.if_else(b.column(0).is_valid(), got, pa.scalar(None, pa.binary()))]
 
     return add_columns(df, [F.col(f"`{ids_col}`")], fn, f"`{out}` binary")
 

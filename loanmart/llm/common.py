@@ -59,7 +59,10 @@ def add_columns(df: DataFrame, inputs: list[Column], fn: Callable[[pa.RecordBatc
     """
     added = T.StructType.fromDDL(new)
     keep = [f for f in df.schema.fields if f.name not in set(added.names)]
-    sent = [c.alias(f"__in{i}") for i, c in enumerate(inputs)]
+    names, mark = {f.name for f in df.schema.fields}, "__in"
+    while any(f"{mark}{i}" in names for i in range(len(inputs))):
+        mark += "_"
+    sent = [c.alias(f"{mark}{i}") for i, c in enumerate(inputs)]
     out = T.StructType([*keep, *added.fields])
 
     def run(batches):
@@ -94,6 +97,53 @@ def doc_groups(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         i = j
 
 
+def fold_table(breaks: bytes) -> np.ndarray:
+    """Byte table that lower-cases A-Z and turns the bytes between words into spaces."""
+    fold = np.arange(256, dtype=np.uint8)
+    fold[0x41:0x5B] += 0x20
+    fold[list(breaks)] = 32
+    return fold
+
+
+class Words:
+    """Texts of a run of documents, folded by a table and with one space between words.
+
+    ``text``: for each document its words, each after one space, then a space and a zero byte.
+    ``first_word[d]``: number of words before document d; ``word_at(p)``: words that start before p.
+    """
+
+    def __init__(self, data: np.ndarray, off: np.ndarray, fold: np.ndarray):
+        base = int(off[0])
+        raw = fold[data[base:int(off[-1])]]
+        off = off - base
+        n = len(off) - 1
+        word = raw != 32
+        start = word.copy()
+        start[1:] &= ~word[:-1]
+        cut = off[:-1][off[:-1] < len(raw)]
+        start[cut] = word[cut]                              # a document's first byte starts a word
+        sizes = np.diff(off)
+        place = np.cumsum(word.astype(np.int64) + start)
+        total = np.concatenate([[0], place])[off]           # bytes written before each document
+        doc = np.repeat(np.arange(n), sizes)
+        self.text = np.full(int(total[-1]) + 2 * n + 16, 32, np.uint8)
+        where = place[word] - 1 + 2 * doc[word]
+        self.text[where] = raw[word]
+        self.end = total[1:] + 2 * np.arange(n) + 1         # place of each document's zero byte
+        self.text[self.end] = 0
+        self.size = int(total[-1]) + 2 * n
+        self.text[self.size:] = 0
+        starts = np.concatenate([[0], np.cumsum(start)])
+        self.first_word = starts[off]
+        self.word_start = (place[start] - 1 + 2 * doc[start])
+
+    def word_at(self, pos: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.word_start, pos)
+
+    def doc_at(self, pos: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.end, pos)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder."""
     import uuid
@@ -111,3 +161,50 @@ def store(df: DataFrame, name: str) -> DataFrame:
 def partitions_for(total: int, each: int, least: int = 1) -> int:
     """Number of partitions so that each holds about ``each`` units."""
     return max(least, -(-int(total or 0) // each))
+
+
+def local_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (node, smallest node of its component) that connect what the given edges connect."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = ends[:len(a)], ends[len(a):]
+    root = np.arange(len(nodes))
+    while True:
+        new = root.copy()
+        low = np.minimum(root[x], root[y])
+        np.minimum.at(new, root[x], low)
+        np.minimum.at(new, root[y], low)
+        new = new[new]
+        while not np.array_equal(new, new[new]):
+            new = new[new]
+        if np.array_equal(new, root):
+            break
+        root = new
+    other = root != np.arange(len(nodes))
+    return nodes[other], nodes[root[other]]
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(node, root) of each node that has an edge; root is the smallest node of its component.
+
+    Large-star and small-star rounds in turn, each a join of the edges with the smallest neighbour of
+    each node, written below the checkpoint folder.  The number of edges never grows; a node with very many
+    neighbours is only ever joined with its one smallest neighbour, so its rows can be split.
+    """
+    cols = F.greatest(a, b).alias("u"), F.least(a, b).alias("v")            # an edge points from u to the smaller v
+    cur = store(edges.select(*cols).filter("u <> v").distinct(), "edges")
+    seen = None
+    while True:
+        both = cur.select(F.col("u").alias("n"), F.col("v").alias("o")).union(cur.select(F.col("v"), F.col("u")))
+        least = both.groupBy("n").agg(F.least(F.min("o"), F.col("n")).alias("m"))
+        large = both.join(least, "n").filter("o > n").select(F.col("o").alias("u"), F.col("m").alias("v"))
+        large = large.filter("u <> v").distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
+                                            F.col("m").alias("v"))
+        cur = store(small.filter("u <> v").distinct(), "edges")
+        now = cur.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+        if now == seen:
+            break
+        seen = now
+    return cur.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
+        cur.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

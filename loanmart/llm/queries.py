@@ -7,9 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from loanmart.llm.bpe import op1_byte_bpe
+from loanmart.llm.decontaminate import OP9_SQL, op9_decontaminate
+from loanmart.llm.quality import op5_quality
+from loanmart.llm.simhash import op6_simhash
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op5_quality": op5_quality,
+    "op6_simhash": op6_simhash,
+    "op9_decontaminate": op9_decontaminate,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op9_decontaminate": OP9_SQL,
+}
