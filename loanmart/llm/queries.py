@@ -10,9 +10,11 @@ from loanmart.llm.bpe import op1_byte_bpe
 from loanmart.llm.decontaminate import OP9_SQL, op9_decontaminate
 from loanmart.llm.quality import op5_quality
 from loanmart.llm.simhash import op6_simhash
+from loanmart.llm.suffix_dedup import op4_suffix_dedup
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_quality": op5_quality,
     "op6_simhash": op6_simhash,
     "op9_decontaminate": op9_decontaminate,
