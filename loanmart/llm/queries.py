@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpus_pipeline import run as pipeline
 from loanmart.llm.bpe import op1_byte_bpe
 from loanmart.llm.decontaminate import OP9_SQL, op9_decontaminate
 from loanmart.llm.quality import op5_quality
@@ -13,6 +14,7 @@ from loanmart.llm.simhash import op6_simhash
 from loanmart.llm.suffix_dedup import op4_suffix_dedup
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "pipeline": pipeline,
     "op1_byte_bpe": op1_byte_bpe,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_quality": op5_quality,

@@ -295,8 +295,25 @@ def _row_spans(hits: list[dict]) -> np.ndarray:
     return merge_spans(np.concatenate(start), np.concatenate(end))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
-    """Append ``kept`` (binary: the bytes that stay) and ``removed`` (flat pairs of byte offsets) to ``docs``."""
+def _whole_characters(text: np.ndarray, spans: np.ndarray) -> np.ndarray:
+    """Spans without the characters that they cover in part only."""
+    out = []
+    for s, e in spans.tolist():
+        while s < e and text[s] & 0xC0 == 0x80:
+            s += 1
+        while e > s and e < len(text) and text[e] & 0xC0 == 0x80:
+            e -= 1
+        if s < e:
+            out.append((s, e))
+    return np.array(out, np.int64).reshape(-1, 2)
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
+                   whole_characters: bool = False) -> DataFrame:
+    """Append ``kept`` (binary: the bytes that stay) and ``removed`` (flat pairs of byte offsets) to ``docs``.
+
+    With ``whole_characters`` a character that is covered in part only stays, so that ``kept`` is valid UTF-8.
+    """
     key_id, key_hash = row_key(id_col, text_col)
     keyed = docs.select(key_id, key_hash, F.col(f"`{text_col}`").alias("text"))
     spans = repeated_spans(keyed, length)
@@ -310,6 +327,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             hits = b.column(1)[i]
             if hits.is_valid:
                 cut = _row_spans(hits.as_py())
+                if whole_characters:
+                    cut = _whole_characters(text, cut)
                 stay = np.ones(len(text), bool)
                 for s, e in cut.tolist():
                     stay[s:e] = False
