@@ -12,16 +12,21 @@ from loanmart.llm.decontaminate import OP9_SQL, op9_decontaminate
 from loanmart.llm.quality import op5_quality
 from loanmart.llm.simhash import op6_simhash
 from loanmart.llm.suffix_dedup import op4_suffix_dedup
+from loanmart.llm.token_counts import op10_token_counts
+from loanmart.llm.url_filter import OP3_SQL, op3_url_filter
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
     "op1_byte_bpe": op1_byte_bpe,
+    "op3_url_filter": op3_url_filter,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_quality": op5_quality,
     "op6_simhash": op6_simhash,
     "op9_decontaminate": op9_decontaminate,
+    "op10_token_counts": op10_token_counts,
 }
 
 SQL: dict[str, str] = {
+    "op3_url_filter": OP3_SQL,
     "op9_decontaminate": OP9_SQL,
 }

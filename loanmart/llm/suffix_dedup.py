@@ -19,7 +19,6 @@ told apart by a hash of the text; an empty table gives an empty result; extra co
 
 from __future__ import annotations
 
-import hashlib
 
 import numpy as np
 import pyarrow as pa

@@ -23,3 +23,12 @@ def by_id(rows, key="doc_id"):
 def texts(con_path):
     import duckdb
     return duckdb.connect().execute(f"SELECT doc_id, text FROM '{con_path}/documents.parquet' ORDER BY doc_id").fetchall()
+
+
+def tiktoken_encoding():
+    import base64
+    import public_tokenizers as P
+    import tiktoken
+    with open(P.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
