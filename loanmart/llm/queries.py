@@ -13,6 +13,7 @@ from loanmart.llm.quality import op5_quality
 from loanmart.llm.simhash import op6_simhash
 from loanmart.llm.suffix_dedup import op4_suffix_dedup
 from loanmart.llm.token_counts import op10_token_counts
+from loanmart.llm.token_files import op8_token_files
 from loanmart.llm.url_filter import OP3_SQL, op3_url_filter
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -22,6 +23,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_quality": op5_quality,
     "op6_simhash": op6_simhash,
+    "op8_token_files": op8_token_files,
     "op9_decontaminate": op9_decontaminate,
     "op10_token_counts": op10_token_counts,
 }
