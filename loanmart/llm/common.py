@@ -27,8 +27,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def text_bytes(text: Column) -> Column:
-    """UTF-8 bytes of a text column; NULL counts as the empty text."""
-    return F.coalesce(text.cast("string"), F.lit("")).cast("binary")
+    """UTF-8 bytes of a text column (or a binary one as it is); NULL counts as the empty text."""
+    return F.coalesce(text.cast("binary"), F.lit("").cast("binary"))
 
 
 def row_key(id_col: str, text_col: str) -> list[Column]:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from corpus_pipeline import run as pipeline
 from loanmart.llm.bpe import op1_byte_bpe
 from loanmart.llm.decontaminate import OP9_SQL, op9_decontaminate
+from loanmart.llm.html_text import op7_html_text
 from loanmart.llm.quality import op5_quality
 from loanmart.llm.simhash import op6_simhash
 from loanmart.llm.suffix_dedup import op4_suffix_dedup
@@ -23,6 +24,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_quality": op5_quality,
     "op6_simhash": op6_simhash,
+    "op7_html_text": op7_html_text,
     "op8_token_files": op8_token_files,
     "op9_decontaminate": op9_decontaminate,
     "op10_token_counts": op10_token_counts,

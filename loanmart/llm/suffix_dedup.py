@@ -166,8 +166,11 @@ def anchors(keyed: DataFrame, length: int, gram: int) -> DataFrame:
     return map_arrow(keyed.select(ROW_ID, ROW_HASH, text_bytes(F.col("text")).alias("b")), fn, ddl)
 
 
-def repeated_windows(texts: list[bytes], first: np.ndarray, last: np.ndarray, length: int) -> list[np.ndarray]:
-    """For each text, which of its windows first[i]..last[i] occur among the windows of all texts again."""
+def repeated_windows(texts: list[bytes], first: np.ndarray, last: np.ndarray, length: int,
+                     owner: np.ndarray | None = None) -> list[np.ndarray]:
+    """For each text, which of its windows first[i]..last[i] occur among the windows of all texts again - if
+    ``owner`` names the texts' rows, in a text of another row.
+    """
     size = np.array([len(t) for t in texts])
     at = np.concatenate([[0], np.cumsum(size + 1)])[:-1]
     joined = np.full(int(size.sum()) + len(texts), 256, np.uint16)
@@ -184,14 +187,19 @@ def repeated_windows(texts: list[bytes], first: np.ndarray, last: np.ndarray, le
     if len(place) > 1:
         shared = np.minimum.reduceat(prefix, place[:-1] + 1)
         shared[-1] = prefix[place[-2] + 1:place[-1] + 1].min()
-        both = shared >= length
-        again[sa[place[:-1][both]]] = True
-        again[sa[place[1:][both]]] = True
+        first_of = np.flatnonzero(np.concatenate([[True], shared < length]))     # runs of equal windows
+        size_of = np.diff(np.append(first_of, len(place)))
+        if owner is None:
+            several = size_of > 1
+        else:
+            who = owner[np.searchsorted(at, sa[place], "right") - 1]
+            several = np.minimum.reduceat(who, first_of) != np.maximum.reduceat(who, first_of)
+        again[sa[place[np.repeat(several, size_of)]]] = True
     return [again[a + f:a + z + 1] for a, f, z in zip(at.tolist(), first.tolist(), last.tolist())]
 
 
-def _shard(t: pa.Table, length: int) -> pa.Table:
-    """Repeated spans of each region of a shard, relative to the region."""
+def _shard(t: pa.Table, length: int, across: bool) -> pa.Table:
+    """Repeated spans of each region of a shard, relative to the region; ``across``: in other rows only."""
     order = np.lexsort((t.column("w0").to_numpy(), t.column("ch").to_numpy(), t.column("gh").to_numpy()))
     t = t.take(pa.array(order))
     gh, ch, w0, w1 = (t.column(c).to_numpy() for c in ("gh", "ch", "w0", "w1"))
@@ -199,7 +207,8 @@ def _shard(t: pa.Table, length: int) -> pa.Table:
     pick = np.flatnonzero(once)
     raw = [t.column("region")[int(i)].as_py() for i in pick]
     texts = [r[a:z + length] for r, a, z in zip(raw, w0[pick].tolist(), w1[pick].tolist())]
-    found = repeated_windows(texts, np.zeros(len(pick), np.int64), w1[pick] - w0[pick], length)
+    owner = t.column("owner").to_numpy()[pick] if across else None
+    found = repeated_windows(texts, np.zeros(len(pick), np.int64), w1[pick] - w0[pick], length, owner)
     keep, spans = [], []
     for i, again in zip(pick.tolist(), found):
         p = np.flatnonzero(again) + w0[i]
@@ -210,8 +219,8 @@ def _shard(t: pa.Table, length: int) -> pa.Table:
 
 
 def _split_hot(found: DataFrame, length: int, gram: int) -> tuple[DataFrame, DataFrame | None]:
-    """(rows for the shards, spans known from equal windows).  ``found``: gh, ch, lead, region, w0, w1 (windows asked
-    for), key, lo, hi (places of the key's windows against the anchor)."""
+    """(rows for the shards, spans known from equal windows).  ``found``: gh, ch, owner, lead, region, w0, w1
+    (windows asked for), key, lo, hi (places of the key's windows against the anchor)."""
     ready, known, hot = None, None, found
     while True:
         sizes = hot.groupBy("key").agg(F.sum(F.octet_length("region")).alias("b"), F.count(F.lit(1)).alias("n"))
@@ -225,26 +234,27 @@ def _split_hot(found: DataFrame, length: int, gram: int) -> tuple[DataFrame, Dat
         mid = F.floor((F.col("lo") + F.col("hi")) / 2)
         halves = hot.filter("lo < hi").withColumn("half", F.explode(F.array(
             F.struct(F.col("lo").alias("lo"), mid.alias("hi")), F.struct((mid + 1).alias("lo"), F.col("hi").alias("hi")))))
-        halves = halves.select("gh", "ch", "lead", "region", "key", F.col("half.lo").alias("lo"), F.col("half.hi").alias("hi"),
+        halves = halves.select("gh", "ch", "owner", "lead", "region", "key", F.col("half.lo").alias("lo"), F.col("half.hi").alias("hi"),
                                F.greatest("w0", F.col("half.lo") + F.col("lead")).alias("w0"),
                                F.least("w1", F.col("half.hi") + F.col("lead")).alias("w1")).filter("w0 <= w1")
         core = F.expr(f"substring(region, int(hi + lead + 1), int(lo + {length} - hi))")
         halves = halves.withColumn("key", F.xxhash64("key", "lo", core))
-        alone = halves.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+        alone = halves.groupBy("key").agg(F.min("owner").alias("a"), F.max("owner").alias("z")).filter("a <> z").select("key")
         hot = store(halves.join(alone, "key", "left_semi"), "halves")
         ready = cold if ready is None else ready.unionByName(cold)
 
 
-def repeated_spans(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """Row key and ``spans`` (lists of packed pairs of byte offsets) of the rows with repeated strings.
+def repeated_spans(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, across: bool = False) -> DataFrame:
+    """Row key and ``hits`` (see ``row_spans``) of the rows with strings that occur again.
 
-    ``keyed``: the row key and ``text``.
+    ``keyed``: the row key and ``text`` (string or binary).  With ``across`` only strings count that occur in
+    another row too, not those that one row alone repeats.
     """
     gram = min(gram, length)
     spark = keyed.sparkSession
     all_rows = anchors(keyed, length, gram)
     by_content = all_rows.groupBy("gh", "ch").agg(
-        F.sum("cnt").alias("n"), *[F.first(c).alias(c) for c in (ROW_HASH, "at", "len", "lead")])
+        F.sum(F.lit(1) if across else F.col("cnt")).alias("n"), *[F.first(c).alias(c) for c in (ROW_HASH, "at", "len", "lead")])
     by_content = store(by_content, "regions")
     several = by_content.groupBy("gh").agg(F.count(F.lit(1)).alias("d")).filter("d > 1").select("gh")
     asked = store(by_content.join(several, "gh", "left_semi"), "asked")
@@ -254,16 +264,17 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     part = F.expr("substring(b, int(at + 1), int(len))")
     # rows with equal keys have equal texts; the content hash below tells a clash of row hashes
     text = keyed.select(ROW_HASH, text_bytes(F.col("text")).alias("b"))
-    found = asked.drop("n").join(text, ROW_HASH).select(
-        "gh", "ch", "lead", part.alias("region"), F.lit(0).cast("bigint").alias("w0"),
+    owner = F.when(F.col("n") > 1, F.xxhash64("gh", "ch")).otherwise(F.col(ROW_HASH) if across else F.xxhash64("gh", "ch"))
+    found = asked.join(text, ROW_HASH).select(
+        "gh", "ch", owner.alias("owner"), "lead", part.alias("region"), F.lit(0).cast("bigint").alias("w0"),
         (F.col("len") - length).alias("w1"), F.col("gh").alias("key"),
         F.lit(gram - length).cast("bigint").alias("lo"), F.lit(0).cast("bigint").alias("hi"))
     found = store(found, "region_texts")
     rows, same = _split_hot(found, length, gram)
-    rows = rows.select("gh", "ch", "region", "w0", "w1", F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"))
+    rows = rows.select("gh", "ch", "owner", "region", "w0", "w1", F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"))
     width = max(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
     partial = (rows.repartition(width, "shard").groupBy("shard")
-               .applyInArrow(lambda t: _shard(t.drop(["shard"]), length), "gh bigint, ch bigint, part binary"))
+               .applyInArrow(lambda t: _shard(t, length, across), "gh bigint, ch bigint, part binary"))
     if same is not None:
         pair = F.concat(_packed("s"), _packed(f"s + {length}"))
         partial = partial.unionByName(same.select("gh", "ch", pair.alias("part")))
@@ -279,7 +290,7 @@ def _packed(expr: str):
     return F.unhex(F.concat(*[F.lpad(F.hex(F.expr(f"({expr}) >> {8 * i} & 255")), 2, "0") for i in range(8)]))
 
 
-def _row_spans(hits: list[dict]) -> np.ndarray:
+def row_spans(hits: list[dict]) -> np.ndarray:
     """Union of the hits of one row."""
     start, end = [], []
     for h in hits:
@@ -325,7 +336,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             text = data[off[i]:off[i + 1]]
             hits = b.column(1)[i]
             if hits.is_valid:
-                cut = _row_spans(hits.as_py())
+                cut = row_spans(hits.as_py())
                 if whole_characters:
                     cut = _whole_characters(text, cut)
                 stay = np.ones(len(text), bool)
