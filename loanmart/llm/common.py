@@ -144,6 +144,17 @@ class Words:
         return np.searchsorted(self.end, pos)
 
 
+def span_codes(starts: np.ndarray, ends: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """The byte strings data[starts[i]:ends[i]] (in order, not overlapping) as numbers, and the strings by number."""
+    if not len(starts):
+        return np.zeros(0, np.int32), pa.array([], pa.binary())
+    offsets = np.empty(2 * len(starts) + 1, np.int32)
+    offsets[0:-1:2], offsets[1::2], offsets[-1] = starts, ends, ends[-1]
+    cells = pa.Array.from_buffers(pa.binary(), 2 * len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    coded = cells.take(pa.array(np.arange(0, 2 * len(starts), 2))).dictionary_encode()
+    return coded.indices.to_numpy(), coded.dictionary
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder."""
     import uuid

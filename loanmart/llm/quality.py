@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanmart.llm.common import add_columns, buffer_of, doc_groups, table, text_bytes
+from loanmart.llm.common import add_columns, buffer_of, doc_groups, span_codes, table, text_bytes
 
 GROUP_BYTES = 4 << 20
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -54,14 +54,6 @@ _EXCLAIM = _flags(b"!")
 _STOP = _flags(b".?!,;:")
 
 
-def _spans(starts: np.ndarray, ends: np.ndarray, data: np.ndarray) -> pa.Array:
-    """The byte strings data[starts[i]:ends[i]] (in order, not overlapping) as dictionary indices."""
-    offsets = np.empty(2 * len(starts) + 1, np.int32)
-    offsets[0:-1:2], offsets[1::2], offsets[-1] = starts, ends, ends[-1] if len(ends) else 0
-    cells = pa.Array.from_buffers(pa.binary(), 2 * len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
-    return cells.take(pa.array(np.arange(0, 2 * len(starts), 2))).dictionary_encode().indices.to_numpy()
-
-
 def _per_doc(mask: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Number of set entries in each of the ranges off[i]:off[i+1]."""
     return np.diff(np.concatenate([[0], np.cumsum(mask)])[off])
@@ -87,7 +79,7 @@ def count_text(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
     # words in three-word windows that occur again in the same document
     covered = np.zeros(len(start), bool)
     if len(start) > 2:
-        word_id = _spans(start, end, data).astype(np.int64)
+        word_id = span_codes(start, end, data)[0].astype(np.int64)
         if word_id.max() < 1 << 21:
             key = word_id[:-2] << 42 | word_id[1:-1] << 21 | word_id[2:]
         else:                                               # a single very long text: number the pairs first
@@ -118,7 +110,7 @@ def count_text(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
     line_at = np.searchsorted(first, off)
     again = np.zeros(len(first), bool)
     if len(first):
-        line_id, d = _spans(first, last, data), np.searchsorted(off, first, "right") - 1
+        line_id, d = span_codes(first, last, data)[0], np.searchsorted(off, first, "right") - 1
         order = np.argsort(line_id, kind="stable")
         k, d = line_id[order], d[order]
         again[order[1:][(k[1:] == k[:-1]) & (d[1:] == d[:-1])]] = True

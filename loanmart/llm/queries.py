@@ -10,6 +10,7 @@ from corpus_pipeline import run as pipeline
 from loanmart.llm.bpe import op1_byte_bpe
 from loanmart.llm.decontaminate import OP9_SQL, op9_decontaminate
 from loanmart.llm.html_text import op7_html_text
+from loanmart.llm.pitman_yor import op2_pitman_yor
 from loanmart.llm.quality import op5_quality
 from loanmart.llm.simhash import op6_simhash
 from loanmart.llm.suffix_dedup import op4_suffix_dedup
@@ -20,6 +21,7 @@ from loanmart.llm.url_filter import OP3_SQL, op3_url_filter
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_pitman_yor": op2_pitman_yor,
     "op3_url_filter": op3_url_filter,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_quality": op5_quality,
