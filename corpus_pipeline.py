@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanmart.llm.bpe import decode, encode, public_ranks
+from loanmart.llm.bpe import encode, public_ranks
 from loanmart.llm.common import store, table
 from loanmart.llm.decontaminate import decontaminate
 from loanmart.llm.quality import judge
@@ -62,7 +62,7 @@ def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids (packed, four bytes each, little-endian) and whether they decode to the text."""
     ranks = public_ranks()
-    done = decode(encode(apart(docs), *ranks), *ranks)
+    done = encode(apart(docs), *ranks, decoded="decoded")
     same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     made = {"n_tokens": (F.octet_length("ids") / 4).cast("long"), "ids": F.col("ids"), "round_trip": same}
     rest = [c for c in docs.columns if c not in ("doc_id", "text", *made)]

@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanmart.llm.common import add_columns, buffer_of, doc_groups, table
+from loanmart.llm.common import add_columns, buffer_of, doc_groups, table, text_input
 
 CACHE_BYTES = 64 << 20
 _BIT = [1 << k for k in range(256)]
@@ -191,32 +191,36 @@ def codec(path: str, pattern: str) -> Bpe:
     return Bpe(path, pattern)
 
 
-def encode(df: DataFrame, rank_file: str, pattern: str, text_col: str = "text", out: str = "ids") -> DataFrame:
-    """Append ``out`` (binary): the ids of the text, four bytes each, little-endian."""
-    def fn(b: pa.RecordBatch) -> list[pa.Array]:
-        bpe = codec(rank_file, pattern)
-        return [pa.array([bpe.encode(x) for x in _texts(b.column(0))], pa.binary())]
+def _encoded(bpe: Bpe, texts: pa.Array) -> pa.Array:
+    """Packed ids of each text, one Python string at a time."""
+    return pa.array((bpe.encode(x.as_py() or "") for x in texts), pa.binary())
 
-    return add_columns(df, [F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))], fn, f"`{out}` binary")
 
+def _decoded(bpe: Bpe, ids: pa.Array) -> pa.Array:
+    data, off = buffer_of(ids)
+    out = []
+    for i, j in doc_groups(off, 4 << 20):
+        some = np.frombuffer(data[off[i]:off[j]].tobytes(), "<u4")
+        out.append(bpe.decode(some, (off[i:j + 1] - off[i]) // 4))
+    got = pa.chunked_array(out, pa.binary()).combine_chunks()
+    return pc.if_else(ids.is_valid(), got, pa.scalar(None, pa.binary())) if ids.null_count else got
 
-def decode(df: DataFrame, rank_file: str, pattern: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
-    """Append ``out`` (binary): the bytes that the ids stand for; NULL ids give NULL."""
+
+def encode(df: DataFrame, rank_file: str, pattern: str, text_col: str = "text", out: str = "ids",
+           decoded: str | None = None) -> DataFrame:
+    """Append ``out`` (binary): the ids of the text, four bytes each, little-endian; and, if a name is given,
+    ``decoded``: what those ids decode to, in the same pass."""
     def fn(b: pa.RecordBatch) -> list[pa.Array]:
-        data, off = buffer_of(b.column(0).fill_null(b""))
-        bpe, out = codec(rank_file, pattern), []
-        for i, j in doc_groups(off, 16 << 20):
-            ids = np.frombuffer(data[off[i]:off[j]].tobytes(), "<u4")
-            out.append(bpe.decode(ids, (off[i:j + 1] - off[i]) // 4))
-        got = pa.chunked_array(out, pa.binary()).combine_chunks()
-        return [pc.if_else(b.column(0).is_valid(), got, pa.scalar(None, pa.binary()))]
+        bpe = codec(rank_file, pattern)
+        ids = _encoded(bpe, b.column(0))
+        return [ids, _decoded(bpe, ids)] if decoded else [ids]
 
-    return add_columns(df, [F.col(f"`{ids_col}`")], fn, f"`{out}` binary")
+    return add_columns(df, [text_input(df, text_col)], fn, f"`{out}` binary" + (f", `{decoded}` binary" if decoded else ""))
 
 
-def _texts(col: pa.Array):
-    """Python strings one at a time, so that a batch is not held twice."""
-    return (x.as_py() for x in col)
+def decode(df: DataFrame, rank_file: str, pattern: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
+    """Append ``out`` (binary): the bytes that the ids stand for; NULL ids give NULL."""
+    return add_columns(df, [ids_col], lambda b: [_decoded(codec(rank_file, pattern), b.column(0))], f"`{out}` binary")
 
 
 def public_ranks() -> tuple[str, str]:
@@ -228,6 +232,6 @@ def op1_byte_bpe(spark, sf_dir: str) -> DataFrame:
     """Encode and decode every text of ``documents``; digests of ids and bytes."""
     path, pattern = public_ranks()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    done = decode(encode(docs, path, pattern).drop("text"), path, pattern)
+    done = encode(docs, path, pattern, decoded="decoded")
     return done.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -49,35 +49,47 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(fn, schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema))
 
 
-def add_columns(df: DataFrame, inputs: list[Column], fn: Callable[[pa.RecordBatch], list[pa.Array]],
-                new: str, drop_inputs: bool = True) -> DataFrame:
+def text_input(df: DataFrame, name: str) -> Column | str:
+    """A text column as input of ``add_columns``: sent once if it is a string already."""
+    return name if isinstance(df.schema[name].dataType, T.StringType) else F.col(f"`{name}`").cast("string")
+
+
+def add_columns(df: DataFrame, inputs: list[Column | str], fn: Callable[[pa.RecordBatch], list[pa.Array]], new: str) -> DataFrame:
     """Append the columns ``new`` (DDL) computed by ``fn`` from the Arrow batch of ``inputs``.
 
-    Every column of ``df`` passes through untouched; ``fn`` sees only the inputs, which are sent
-    under private names, so a clashing column name cannot reach it.  An existing column with the name
-    of a new one is replaced.
+    Every column of ``df`` passes through untouched; ``fn`` sees only the inputs.  Those given by name are columns
+    that pass through anyway, others are sent under private names, so a clashing column name cannot reach ``fn``.
+    An existing column with the name of a new one is replaced.
     """
     added = T.StructType.fromDDL(new)
     keep = [f for f in df.schema.fields if f.name not in set(added.names)]
+    place = {f.name: i for i, f in enumerate(keep)}
     names, mark = {f.name for f in df.schema.fields}, "__in"
     while any(f"{mark}{i}" in names for i in range(len(inputs))):
         mark += "_"
-    sent = [c.alias(f"{mark}{i}") for i, c in enumerate(inputs)]
+    use, sent = [], []
+    for c in inputs:
+        if isinstance(c, str) and c in place:
+            use.append(place[c])
+        else:
+            use.append(len(keep) + len(sent))
+            sent.append((F.col(f"`{c}`") if isinstance(c, str) else c).alias(f"{mark}{len(sent)}"))
     out = T.StructType([*keep, *added.fields])
 
     def run(batches):
         for b in batches:
             if not b.num_rows:
                 continue
-            n = len(keep)
-            got = fn(pa.RecordBatch.from_arrays(b.columns[n:], names=b.schema.names[n:]))
-            yield pa.RecordBatch.from_arrays([*b.columns[:n], *got], names=out.names)
+            got = fn(pa.RecordBatch.from_arrays([b.column(i) for i in use], names=[str(i) for i in range(len(use))]))
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], *got], names=out.names)
 
     return df.select(*[F.col(f"`{f.name}`") for f in keep], *sent).mapInArrow(run, out)
 
 
 def buffer_of(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets) of a binary or string array without NULLs; row i is bytes[offsets[i]:offsets[i+1]]."""
+    """(bytes, offsets) of a binary or string array, NULL as empty; row i is bytes[offsets[i]:offsets[i+1]]."""
+    if col.null_count:
+        col = col.fill_null("" if pa.types.is_string(col.type) or pa.types.is_large_string(col.type) else b"")
     if pa.types.is_large_binary(col.type) or pa.types.is_large_string(col.type):
         off = np.frombuffer(col.buffers()[1], np.int64, len(col) + 1, col.offset * 8)
     else:

@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanmart.llm.common import Words, add_columns, buffer_of, doc_groups, fold_table, table, text_bytes
+from loanmart.llm.common import Words, add_columns, buffer_of, doc_groups, fold_table, table, text_input
 
 WINDOW = 10
 CHUNK_BYTES = 16 << 20
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 2 << 20
 LANE = 2048                     # window starts that one cursor goes over
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -202,7 +202,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
         part = sel if chunks == 1 else sel.filter(F.pmod(F.xxhash64("i", "t"), F.lit(chunks)) == c)
         shared = spark.sparkContext.broadcast([(r["i"], r["t"]) for r in part.toLocalIterator()])
         key = uuid.uuid4().hex
-        inputs = [text_bytes(F.col(f"`{text_col}`"))] + ([F.col("hit_runs"), F.col("item_ids")] if c else [])
+        inputs = [text_input(out, text_col)] + ([F.col("hit_runs"), F.col("item_ids")] if c else [])
         out = add_columns(out, inputs, lambda b, k=key, s=shared: _match(k, s, window, b),
                           "n_words bigint, hit_runs array<bigint>, item_ids array<string>")
     ends = F.aggregate(F.sequence(F.lit(0), F.size("hit_runs") - 1), F.lit(0).cast("bigint"),

@@ -23,9 +23,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanmart.llm.common import add_columns, buffer_of, doc_groups, span_codes, table, text_bytes
+from loanmart.llm.common import add_columns, buffer_of, doc_groups, span_codes, table, text_input
 
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 1 << 20
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 SHORT_WORDS = 10
 #: The rules are written to be precise: on good documents a bad vote is at most this frequent.  Without such
@@ -125,7 +125,7 @@ def add_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
         parts = [count_text(data, off[i:j + 1]) for i, j in doc_groups(off, GROUP_BYTES)]
         return [pa.array(np.concatenate([p[c] for p in parts]), pa.int64()) for c in COUNTS]
 
-    return add_columns(docs, [text_bytes(F.col(f"`{text_col}`"))], fn, ", ".join(f"{c} bigint" for c in COUNTS))
+    return add_columns(docs, [text_input(docs, text_col)], fn, ", ".join(f"{c} bigint" for c in COUNTS))
 
 
 def _vote(bad: Column, good: Column | None = None) -> Column:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanmart.llm.common import (ROW_HASH, ROW_ID, Words, add_columns, buffer_of, components, doc_groups, fold_table,
-                                 key_join, local_forest, map_arrow, partitions_for, row_key, store, table, text_bytes)
+                                 key_join, local_forest, map_arrow, partitions_for, row_key, store, table, text_input)
 
 SHINGLE, MAX_BITS, BLOCKS = 4, 4, 3
 SAMPLE = 65_536                 # fingerprints that place the shards
@@ -64,10 +64,10 @@ def add_fingerprint(docs: DataFrame, text_col: str = "text", shingle: int = SHIN
     """Append the fingerprint as a long (its 64 bits)."""
     def fn(b: pa.RecordBatch) -> list[pa.Array]:
         data, off = buffer_of(b.column(0))
-        got = [fingerprints(data, off[i:j + 1], shingle) for i, j in doc_groups(off, 4 << 20)]
+        got = [fingerprints(data, off[i:j + 1], shingle) for i, j in doc_groups(off, 1 << 20)]
         return [pa.array(np.concatenate(got).view(np.int64), pa.int64())]
 
-    return add_columns(docs, [text_bytes(F.col(f"`{text_col}`"))], fn, f"`{out}` bigint")
+    return add_columns(docs, [text_input(docs, text_col)], fn, f"`{out}` bigint")
 
 
 def block_bits(blocks: int) -> list[tuple[int, int]]:

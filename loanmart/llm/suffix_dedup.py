@@ -27,11 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanmart.llm.common import (ROW_HASH, ROW_ID, add_columns, buffer_of, key_join, map_arrow, partitions_for, row_key,
-                                 store, table, text_bytes)
+                                 store, table, text_bytes, text_input)
 from loanmart.llm.suffixes import common_prefixes, suffix_array
 
 LENGTH, GRAM = 400, 64
-PIECE = 1 << 21                 # bytes of text looked at together
+PIECE = 1 << 20                 # bytes of text looked at together
 SHARD_BYTES, HOT_BYTES = 2 << 20, 8 << 20
 _ODD = 0x9E3779B97F4A7C15 | 1
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -349,7 +349,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 removed.append([])
         return [pa.array(kept, pa.binary()), pa.array(removed, pa.list_(pa.int64()))]
 
-    return add_columns(joined, [text_bytes(F.col(f"`{text_col}`")), F.col("hits")], fn,
+    return add_columns(joined, [text_input(joined, text_col), "hits"], fn,
                        "kept binary, removed array<bigint>").drop("hits")
 
 

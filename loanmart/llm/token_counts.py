@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanmart.llm.bpe import CACHE_BYTES, Bpe, codec, public_ranks
-from loanmart.llm.common import add_columns, table
+from loanmart.llm.common import add_columns, table, text_input
 
 REACH = 2
 
@@ -172,7 +172,7 @@ def count_edits(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "
     def fn(b: pa.RecordBatch) -> list[pa.Array]:
         counter, out = _counter(rank_file, pattern), []
         for text, edits in zip(b.column(0), b.column(1)):
-            tree = CountTree(counter, text.as_py())
+            tree = CountTree(counter, text.as_py() or "")
             before, pieces = tree.tokens, int(np.count_nonzero(tree.tree[0, tree.size:]))
             for e in edits.as_py() or ():
                 if e is not None and e["start"] is not None:
@@ -181,10 +181,9 @@ def count_edits(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "
         cols = list(zip(*out))
         return [pa.array(c, pa.int64()) for c in cols[:4]] + [pa.array(cols[4], pa.string())]
 
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     edits = F.transform(F.col(f"`{edits_col}`"), lambda e: F.struct(
         e["start"].cast("bigint").alias("start"), e["end"].cast("bigint").alias("end"), e["text"].cast("string").alias("text")))
-    return add_columns(docs, [text, edits], fn,
+    return add_columns(docs, [text_input(docs, text_col), edits], fn,
                        "n_tokens bigint, n_pretokens bigint, n_tokens_edited bigint, n_encoded bigint, edited string")
 
 

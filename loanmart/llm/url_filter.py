@@ -158,7 +158,7 @@ def filter_urls(pages: DataFrame, entries: DataFrame, url_col: str = "url", defa
         part = rows if chunks == 1 else rows.filter(F.pmod(F.xxhash64("entry"), F.lit(chunks)) == c)
         shared = spark.sparkContext.broadcast(pack_entries([(r["entry"], r["verdict"]) for r in part.toLocalIterator()]))
         key = uuid.uuid4().hex
-        out = add_columns(out, [F.col("host").cast("binary"), F.col("path").cast("binary"), F.col("rule"), F.col("block")],
+        out = add_columns(out, [F.col("host").cast("binary"), F.col("path").cast("binary"), "rule", "block"],
                           lambda b, k=key, s=shared: _probe(k, s, b), "rule string, block boolean")
     verdict = F.when(F.col("block"), BLOCK).when(~F.col("block"), ALLOW).otherwise(default)
     return out.withColumn("verdict", verdict).drop("block")
