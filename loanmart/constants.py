@@ -44,12 +44,13 @@ RESAMPLED_THRESHOLD = 0.5
 PCA_COMPONENTS = 150
 
 # The boosted-tree search grid of the source (learning rate,
-# depth, minimum child weight, column share per tree) and the hidden layer
+# depth, minimum child weight, minimum gain, column share per tree) and the hidden layer
 # sizes of its fully connected network.
 GBT_GRID = {
     "stepSize": [0.05, 0.1, 0.15, 0.2],
     "maxDepth": [3, 4, 5, 6, 8, 10],
     "minInstancesPerNode": [1, 3, 5, 7],
+    "minInfoGain": [0.0, 0.1, 0.2, 0.3, 0.4],
     "featureSubsetStrategy": ["0.5", "0.7", "1.0"],
 }
 MLP_HIDDEN = (150, 75, 25)

@@ -31,27 +31,30 @@ def assembler(cols: Sequence[str], out: str = "features") -> VectorAssembler:
 
 def boosted_trees(cols: Sequence[str], label: str = "label", pca_n: int | None = None, max_iter: int = 20,
                   max_depth: int = 5, step_size: float = 0.1, subsampling: float = 1.0, seed: int = SEED,
-                  min_instances: int = 1, feature_subset: str = "all") -> Pipeline:
+                  min_instances: int = 1, feature_subset: str = "all", min_gain: float = 0.0,
+                  width: int | None = None) -> Pipeline:
     """Assembler (+ scaler + PCA when ``pca_n``) + GBTClassifier."""
     stages = [assembler(cols, "_raw")]
     feat = "_raw"
     if pca_n:
         stages += [StandardScaler(inputCol="_raw", outputCol="_std", withMean=True, withStd=True),
-                   PCA(k=min(pca_n, len(cols)), inputCol="_std", outputCol="_pca")]
+                   PCA(k=min(pca_n, width or len(cols)), inputCol="_std", outputCol="_pca")]
         feat = "_pca"
     stages.append(GBTClassifier(featuresCol=feat, labelCol=label, maxIter=max_iter, maxDepth=max_depth,
                                 stepSize=step_size, subsamplingRate=subsampling, seed=seed,
-                                minInstancesPerNode=min_instances, featureSubsetStrategy=feature_subset))
+                                minInstancesPerNode=min_instances, featureSubsetStrategy=feature_subset,
+                                minInfoGain=min_gain))
     return Pipeline(stages=stages)
 
 
 def mlp_classifier(cols: Sequence[str], label: str = "label", hidden: Sequence[int] = MLP_HIDDEN,
-                   max_iter: int = 50, seed: int = SEED, block_size: int = 128) -> Pipeline:
-    """Standardised inputs -> sigmoid hidden layers -> softmax over 2 units."""
+                   max_iter: int = 50, seed: int = SEED, block_size: int = 128, width: int | None = None) -> Pipeline:
+    """Standardised inputs -> sigmoid hidden layers -> softmax over 2 units.
+    ``width``: number of inputs, if ``cols`` holds vector columns."""
     return Pipeline(stages=[
         assembler(cols, "_raw"),
         StandardScaler(inputCol="_raw", outputCol="_std", withMean=True, withStd=True),
-        MultilayerPerceptronClassifier(featuresCol="_std", labelCol=label, layers=[len(cols), *hidden, 2],
+        MultilayerPerceptronClassifier(featuresCol="_std", labelCol=label, layers=[width or len(cols), *hidden, 2],
                                        maxIter=max_iter, seed=seed, blockSize=block_size),
     ])
 
@@ -88,7 +91,8 @@ def random_search(pipeline: Pipeline, train: DataFrame, grid: Mapping[str, Seque
     points = draw_params(grid, n_iter, seed)
     maps = [{est.getParam(k): (float(v) if isinstance(v, float) else v) for k, v in p.items()} for p in points]
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC")
-    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=maps, evaluator=ev, foldCol=fold_col,
+    folds = train.select(fold_col).distinct().count()
+    cv = CrossValidator(numFolds=folds, estimator=pipeline, estimatorParamMaps=maps, evaluator=ev, foldCol=fold_col,
                         parallelism=parallelism, seed=seed)
     cvm = cv.fit(train)
     best = max(range(len(points)), key=lambda i: cvm.avgMetrics[i])

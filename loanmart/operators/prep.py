@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanmart.functions.scalars import safe_div
 from loanmart.constants import CORR_THRESHOLD, MISSING_CODE_LABEL, STRING_FILL
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -107,7 +106,9 @@ def impute_constant(df: DataFrame, string_fill: str = STRING_FILL, numeric_fill:
     ex = set(exclude)
     s = {c: string_fill for c in columns_of_type(df, strings=True) if c not in ex}
     n = [c for c in columns_of_type(df, strings=False) if c not in ex]
+    flags = [c for c in n if isinstance(df.schema[c].dataType, T.BooleanType)]
     out = df.fillna(s) if s else df
+    out = out.fillna(bool(numeric_fill), subset=flags) if flags else out
     return out.fillna(numeric_fill, subset=n) if n else out
 
 
@@ -119,7 +120,7 @@ class MeanImputer:
 
     @classmethod
     def fit(cls, df: DataFrame, cols: Sequence[str]) -> "MeanImputer":
-        row = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
+        row = df.agg(*[F.avg(F.col(f"`{c}`").cast("double")).alias(c) for c in cols]).first()
         return cls({c: row[c] for c in cols})
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -129,28 +130,48 @@ class MeanImputer:
 
 # -------------------------------------------------------------- encoding P3
 
-MAX_CATEGORIES = 10_000
+def category_codes(df: DataFrame, cols: Sequence[str], fill: str | None = None) -> DataFrame:
+    """Dictionary of all string columns in one pass: (pos, value, code).
+
+    ``pos`` is the column's place in ``cols``, ``code`` the value's place in
+    the column's sorted order.  Values are made distinct with a partial
+    aggregate and numbered by a distributed index, so a column may have any
+    number of values; missing ones count as ``fill`` or not at all.
+    """
+    from loanmart.operators.windows import add_index
+    text = [F.col(f"`{c}`").cast("string") for c in cols]
+    cells = F.array(*[F.struct(F.lit(i).alias("pos"), (t if fill is None else F.coalesce(t, F.lit(fill))).alias("value"))
+                      for i, t in enumerate(text)])
+    found = df.select(F.inline(cells)).filter("value IS NOT NULL").distinct()
+    numbered = add_index(found, order=["pos", "value"], name="_n", start=0)
+    first = numbered.groupBy("pos").agg(F.min("_n").alias("_first"))        # one row per column
+    return numbered.join(F.broadcast(first), "pos").select("pos", "value", (F.col("_n") - F.col("_first")).alias("code"))
 
 
-def _categories(df: DataFrame, col: str, fill: str | None = None) -> list[str]:
-    c = F.col(col) if fill is None else F.coalesce(F.col(col), F.lit(fill))
-    vals = df.select(c.alias("v")).filter("v IS NOT NULL").distinct().limit(MAX_CATEGORIES + 1).collect()
-    if len(vals) > MAX_CATEGORIES:
-        raise ValueError(f"{col}: more than {MAX_CATEGORIES} categories; encode it with hashing or an index join")
-    return sorted(r[0] for r in vals)
+def _with_code(df: DataFrame, codes: DataFrame, pos: int, value: Column, out: str) -> DataFrame:
+    """``df`` with the code of ``value`` (NULL if it is not in the dictionary) as ``out``."""
+    own = codes.filter(F.col("pos") == pos).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+    rest = [F.col(f"`{c}`") for c in df.columns if c != out]
+    return df.join(own, value == F.col("_value"), "left").select(*rest, F.col("_code").alias(out))
 
 
 @dataclass
 class OneHot:
     """``get_dummies(drop_first=...)``: sorted categories, ``col_value``
-    columns; missing = all zeros; unseen categories = all zeros."""
+    columns; missing = all zeros; unseen categories = all zeros.
+
+    The result has one column per category, so the category list is part of
+    the schema and comes to the driver; for columns with very many values use
+    ``SparseOneHot``, whose result is one vector column."""
 
     categories: dict[str, list[str]]
     drop_first: bool = True
 
     @classmethod
     def fit(cls, df: DataFrame, cols: Sequence[str], drop_first: bool = True) -> "OneHot":
-        return cls({c: _categories(df, c) for c in cols}, drop_first)
+        cells = F.array(*[F.struct(F.lit(i).alias("pos"), F.col(f"`{c}`").cast("string").alias("value")) for i, c in enumerate(cols)])
+        found = df.select(F.inline(cells)).filter("value IS NOT NULL").distinct().collect() if cols else []
+        return cls({c: sorted(r["value"] for r in found if r["pos"] == i) for i, c in enumerate(cols)}, drop_first)
 
     def transform(self, df: DataFrame) -> DataFrame:
         new: list[Column] = []
@@ -164,21 +185,62 @@ class OneHot:
 @dataclass
 class LabelEncoder:
     """Integer code = position of the value in sorted order; missing is the
-    string ``nan`` (values are encoded as strings, as ``astype(str)``)."""
+    string ``nan`` (values are encoded as strings, as ``astype(str)``).
+    Unseen values are NULL.  Codes come by a join with the dictionary."""
 
-    categories: dict[str, list[str]]
+    cols: list[str]
+    codes: DataFrame
     missing: str = MISSING_CODE_LABEL
 
     @classmethod
     def fit(cls, df: DataFrame, cols: Sequence[str], missing: str = MISSING_CODE_LABEL) -> "LabelEncoder":
-        return cls({c: _categories(df.withColumn(c, F.col(c).cast("string")), c, missing) for c in cols}, missing)
+        return cls(list(cols), category_codes(df, cols, missing), missing)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        out = {}
-        for c, vals in self.categories.items():
-            m = F.create_map(*[x for i, v in enumerate(vals) for x in (F.lit(v), F.lit(i))])
-            out[c] = F.try_element_at(m, F.coalesce(F.col(c).cast("string"), F.lit(self.missing)))
-        return df.withColumns(out)
+        names = df.columns
+        for i, c in enumerate(self.cols):
+            df = _with_code(df, self.codes, i, F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(self.missing)), c)
+        return df.select(*[F.col(f"`{c}`") for c in names])
+
+
+@dataclass
+class SparseOneHot:
+    """One-hot encoding with the first category dropped, one sparse vector
+    column ``<col>__onehot`` per string column, for any number of categories.
+    Missing and unseen values are the zero vector, as is the first category;
+    columns with fewer than two values say nothing and go."""
+
+    cols: list[str]
+    codes: DataFrame
+    sizes: dict[str, int]
+
+    @classmethod
+    def fit(cls, df: DataFrame, cols: Sequence[str]) -> "SparseOneHot":
+        cols = list(cols)
+        if not cols:
+            return cls([], df.sparkSession.createDataFrame([], "pos int, value string, code bigint"), {})
+        codes = category_codes(df, cols)
+        n = {r["pos"]: r["n"] for r in codes.groupBy("pos").agg(F.count(F.lit(1)).alias("n")).collect()}
+        return cls(cols, codes, {c: n.get(i, 0) for i, c in enumerate(cols)})
+
+    @property
+    def outputs(self) -> list[str]:
+        return [f"{c}__onehot" for c in self.cols if self.sizes[c] > 1]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        from pyspark.ml.feature import OneHotEncoder
+        used = [c for c in self.cols if self.sizes[c] > 1]
+        for i, c in enumerate(self.cols):
+            if c in used:
+                df = _with_code(df, self.codes, i, F.col(f"`{c}`").cast("string"), f"{c}__code")
+                last = self.sizes[c] - 1                    # the encoder drops its last index: the first category's
+                df = df.withColumn(f"{c}__code", F.when(F.col(f"{c}__code") > 0, F.col(f"{c}__code") - 1).otherwise(last).cast("double"))
+        if used:
+            top = df.sparkSession.createDataFrame([tuple(float(self.sizes[c] - 1) for c in used)],
+                                                  ", ".join(f"`{c}__code` double" for c in used))
+            model = OneHotEncoder(inputCols=[f"{c}__code" for c in used], outputCols=self.outputs, dropLast=True).fit(top)
+            df = model.transform(df).drop(*[f"{c}__code" for c in used])
+        return df.drop(*self.cols)
 
 
 # -------------------------------------------------------------- scaling P4
@@ -205,17 +267,13 @@ class Standardizer:
         return df.withColumns({c: F.col(c) * F.lit(s) + F.lit(m) for c, (m, s) in self.stats.items()})
 
 
-def scale_exprs(stats: dict[str, tuple[float, float]]) -> dict[str, Column]:
-    return {c: safe_div(F.col(c) - F.lit(m), F.lit(s)) for c, (m, s) in stats.items()}
-
-
 # ------------------------------------------------------------------ PCA P6
 
-def pca_features(df: DataFrame, cols: Sequence[str], k: int, out: str = "pca"):
+def pca_features(df: DataFrame, cols: Sequence[str], k: int, out: str = "pca", fit_on: DataFrame | None = None):
     """Assemble, standardise and project onto k principal components.
 
     Returns (frame with ``out`` vector column, fitted PipelineModel, summed
-    explained variance ratio).  The covariance is d x d on the driver:
+    explained variance ratio).  Fitted on ``fit_on`` (default: all rows).  The covariance is d x d on the driver:
     bounded by the column count, not the rows.
     """
     from pyspark.ml import Pipeline
@@ -227,7 +285,7 @@ def pca_features(df: DataFrame, cols: Sequence[str], k: int, out: str = "pca"):
         StandardScaler(inputCol="_raw", outputCol="_std", withMean=True, withStd=True),
         PCA(k=k, inputCol="_std", outputCol=out),
     ])
-    model = pipe.fit(df)
+    model = pipe.fit(df if fit_on is None else fit_on)
     explained = float(sum(model.stages[-1].explainedVariance.toArray()))
     return model.transform(df).drop("_raw", "_std"), model, explained
 

@@ -1,8 +1,10 @@
 """Class rebalancing: random and cluster-quota under-sampling, exact k-NN
 and SMOTE over-sampling.
 
-All choices are functions of md5(id:seed), so a rebalanced training set is
-reproducible and does not change when a task is retried.
+Row choices are functions of md5(id:seed), so they do not change when a task
+is retried.  K-means starts depend on how rows are laid out, so rows are laid
+out by a hash of their id into a number of partitions that follows the row
+count before it is fitted.
 """
 
 from __future__ import annotations
@@ -16,10 +18,12 @@ from loanmart.operators.windows import add_index
 
 
 def take_by_hash(df: DataFrame, id_col: str, n: int, seed) -> DataFrame:
-    """The n rows with the smallest md5(id:seed) (ties by id), chosen with a
-    distributed dense ranking instead of a driver-side top-n."""
-    ranked = add_index(df.withColumn("_h", hash_int(id_col, seed)), order=["_h", id_col], name="_i")
-    return ranked.filter(F.col("_i") <= n).drop("_h", "_i")
+    """The n rows with the smallest md5(id:seed) (ties by id).  Ids and hashes
+    alone are put in order by a distributed dense ranking; the rows follow
+    by a semi-join."""
+    narrow = df.select(F.col(id_col), hash_int(id_col, seed).alias("_h"))
+    ranked = add_index(narrow, order=["_h", id_col], name="_i")
+    return df.join(ranked.filter(F.col("_i") <= n).select(id_col), id_col, "left_semi").select(*df.columns)
 
 
 def random_undersample(df: DataFrame, id_col: str, label: str, seed=1, ratio: float = 1.0,
@@ -32,55 +36,70 @@ def random_undersample(df: DataFrame, id_col: str, label: str, seed=1, ratio: fl
 
 # ------------------------------------------------------------ vector helpers
 
-def sq_dist(a, b):
-    """Squared Euclidean distance of two array<double> columns."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, v: acc + v)
+def _matrix(col) -> "np.ndarray":
+    """Rows of an Arrow list column of doubles as one matrix."""
+    import numpy as np
+    col = col.combine_chunks() if hasattr(col, "combine_chunks") else col
+    flat = col.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(col), -1) if len(col) else np.zeros((0, 0))
 
 
-def dist(a, b):
-    return F.sqrt(sq_dist(a, b))
-
-
-MAX_CENTROIDS = 4096
-MAX_CELLS = 100_000
+def _sq_dist(a, b):
+    """Squared distances of all rows of two matrices, a few rows at a time."""
+    import numpy as np
+    out = np.empty((len(a), len(b)))
+    step = max(1, (1 << 22) // max(1, b.size))
+    for i in range(0, len(a), step):
+        diff = a[i:i + step, None, :] - b[None, :, :]
+        out[i:i + step] = np.einsum("ijk,ijk->ij", diff, diff)
+    return out
 
 
 def nearest_centroid(df: DataFrame, vec: str, centroids: list[tuple[int, list[float]]], out: str = "cluster"):
-    """Index of the nearest centroid (first on ties) for every row.
-
-    The centroid list (at most MAX_CENTROIDS x d numbers, checked) is a
-    literal in the plan, so assignment is a projection: no join, no
-    shuffle.
-    """
-    if len(centroids) > MAX_CENTROIDS:
-        raise ValueError(f"{len(centroids)} centroids; at most {MAX_CENTROIDS} are inlined")
-    ids = [int(c) for c, _ in centroids]
-    lit = F.array(*[F.array(*[F.lit(float(v)) for v in vals]) for _, vals in centroids])
-    d2 = F.transform(lit, lambda c: sq_dist(F.col(vec), c))
-    pos = F.array_position(d2, F.array_min(d2))
-    return df.withColumn(out, F.element_at(F.array(*[F.lit(i) for i in ids]), pos.cast("int")))
-
-
-def group_means(df: DataFrame, group: str, vec: str, dims: int) -> list[tuple[int, list[float]]]:
-    """Per-group mean vectors (k x d numbers to the driver)."""
-    rows = df.groupBy(group).agg(*[F.avg(F.col(vec)[i]).alias(f"m{i}") for i in range(dims)]).collect()
-    return sorted((r[group], [r[f"m{i}"] for i in range(dims)]) for r in rows)
+    """Index of the nearest centroid (first on ties) for every row, by NumPy
+    blocks: no join, no shuffle."""
+    import numpy as np
+    import pyarrow as pa
+    from pyspark.sql import types as T
+    ids = np.array([int(c) for c, _ in centroids])
+    points = np.array([v for _, v in centroids], dtype="float64")
+    keep = [f for f in df.schema.fields if f.name != out]
+    schema = T.StructType([*keep, T.StructField(out, T.IntegerType())])
+
+    def assign(batches):
+        for b in batches:
+            if b.num_rows:
+                best = _sq_dist(_matrix(b.column(len(keep))), points).argmin(1)
+                yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], pa.array(ids[best], pa.int32())], names=schema.names)
+
+    cols = [F.col(f"`{f.name}`") for f in keep]
+    return df.select(*cols, F.col(vec).cast("array<double>").alias("_vec")).mapInArrow(assign, schema)
+
+
+def group_means(df: DataFrame, group: str, vec: str) -> list[tuple[int, list[float]]]:
+    """Per-group mean vectors (k x d numbers to the driver); the length of
+    the vectors comes from the data."""
+    rows = df.select(group, F.posexplode(vec).alias("_i", "_v")).groupBy(group, "_i").agg(F.avg("_v").alias("_m")).collect()
+    means: dict[int, dict[int, float]] = {}
+    for r in rows:
+        means.setdefault(r[group], {})[r["_i"]] = r["_m"]
+    return sorted((g, [m[i] for i in sorted(m)]) for g, m in means.items())
 
 
 # ------------------------------------------------------ quota under-sampling
 
 def cluster_quotas(assigned: DataFrame, cluster: str, target: int) -> DataFrame:
     """Per-cluster quota round(target * size / N) by largest remainder, so
-    the quotas sum to ``target``.  Integer arithmetic; the table has one
-    row per cluster (bounded by the cluster count)."""
+    the quotas sum to ``target``.  Exact decimal arithmetic; the table has
+    one row per cluster (bounded by the cluster count)."""
     from pyspark.sql import Window
     sizes = assigned.groupBy(cluster).agg(F.count(F.lit(1)).alias("_size"))
-    total = F.sum("_size").over(Window.partitionBy())
-    q = sizes.withColumn("_N", total).withColumn("_base", F.floor(F.lit(target) * F.col("_size") / F.col("_N"))) \
-        .withColumn("_rem", F.pmod(F.lit(target) * F.col("_size"), F.col("_N")))
+    q = sizes.withColumn("_N", F.sum("_size").over(Window.partitionBy()))
+    product = f"(cast({int(target)} as decimal(20,0)) * cast(_size as decimal(18,0)))"
+    q = q.withColumn("_base", F.expr(f"{product} div _N")).withColumn("_rem", F.expr(f"mod({product}, _N)"))
     spare = F.lit(target) - F.sum("_base").over(Window.partitionBy())
     rank = F.row_number().over(Window.orderBy(F.desc("_rem"), F.asc(cluster)))
-    return q.withColumn("quota", (F.col("_base") + F.when(rank <= spare, 1).otherwise(0)).cast("int")) \
+    return q.withColumn("quota", (F.col("_base") + F.when(rank <= spare, 1).otherwise(0)).cast("bigint")) \
         .select(cluster, "quota")
 
 
@@ -88,18 +107,23 @@ def quota_sample(assigned: DataFrame, id_col: str, cluster: str, target: int, se
     """Keep quota(cluster) rows per cluster, chosen by md5(id:seed)."""
     from loanmart.operators.windows import sample_per_group
     quotas = cluster_quotas(assigned, cluster, target)
-    joined = assigned.join(F.broadcast(quotas), on=cluster, how="inner")
+    joined = assigned.join(quotas, on=cluster, how="inner")
     return sample_per_group(joined, cluster, id_col, seed, quota="quota").drop("quota")
 
 
-def kmeans_assign(df: DataFrame, vec: str, k: int, seed: int = 1, out: str = "cluster"):
-    """Standardise, fit Spark ML KMeans (k-means||), assign clusters."""
+def kmeans_assign(df: DataFrame, id_col: str, vec: str, k: int, seed: int = 1, out: str = "cluster", rows: int = 50_000):
+    """Standardise, fit Spark ML KMeans (k-means||), assign clusters.  Rows
+    are laid out by id, about ``rows`` to a partition, so that the same rows
+    give the same start."""
     from pyspark.ml import Pipeline
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import StandardScaler
     from pyspark.ml.functions import array_to_vector
 
-    data = df.withColumn("_v", array_to_vector(F.col(vec)))
+    from loanmart.session import cut_lineage
+    parts = max(1, -(-df.count() // rows))
+    data = df.repartition(parts, id_col).sortWithinPartitions(id_col).withColumn("_v", array_to_vector(F.col(vec)))
+    data = cut_lineage(data)
     pipe = Pipeline(stages=[StandardScaler(inputCol="_v", outputCol="_z", withMean=True, withStd=True),
                             KMeans(k=k, seed=seed, featuresCol="_z", predictionCol=out, maxIter=20)])
     model = pipe.fit(data)
@@ -118,79 +142,130 @@ def cluster_undersample(df: DataFrame, id_col: str, label: str, vec: str, k: int
     n_pos = pos.count()
     target = n_pos if target is None else target
     k = k or max(2, int(math.sqrt(max(target, 1))))
-    assigned = kmeans_assign(neg, vec, k, seed)
+    assigned = kmeans_assign(neg, id_col, vec, k, seed)
     kept = quota_sample(assigned, id_col, "cluster", target, seed).drop("cluster")
     return balanced_union(kept, pos)
 
 
 # ---------------------------------------------------------------- exact kNN
 
-def knn(df: DataFrame, id_col: str, vec: str, k: int = 5, cell_rows: int = 512, seed: int = 7) -> DataFrame:
+def _pivot_cells(df: DataFrame, id_col: str, vec: str, k: int, block_rows: int, seed: int):
+    """(points with cell and block, probes): a probe sends a row to one block
+    whose points may be among its k nearest.  See ``knn``."""
+    import numpy as np
+    import pyarrow as pa
+    from loanmart.session import cut_lineage
+
+    base = df.select(F.col(id_col).alias("_id"), F.col(vec).cast("array<double>").alias("_x"))
+    kind = base.schema["_id"].dataType.simpleString()
+    n = base.count()
+    chosen = base.orderBy(hash_int("_id", seed), "_id").limit(max(1, int(n ** 0.5))).collect()
+    pivots = np.array([r["_x"] for r in chosen], dtype="float64")
+
+    def near(batches):
+        for b in batches:
+            if b.num_rows:
+                d2 = _sq_dist(_matrix(b.column(1)), pivots)
+                best = d2.argmin(1)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), b.column(1), pa.array(best, pa.int32()), pa.array(np.sqrt(d2[np.arange(len(best)), best]))],
+                    names=["_id", "_x", "_c", "_d"])
+
+    cells = base.mapInArrow(near, f"_id {kind}, _x array<double>, _c int, _d double")
+    cells = cut_lineage(cells)
+    sizes = cells.groupBy("_c").agg(F.max("_d").alias("r"), F.count(F.lit(1)).alias("n")).collect()     # one row per pivot
+    reach, blocks = np.full(len(pivots), -np.inf), np.zeros(len(pivots), dtype="int64")
+    for r in sizes:
+        reach[r["_c"]], blocks[r["_c"]] = r["r"], -(-r["n"] // block_rows)
+    per_cell = F.element_at(F.array(*[F.lit(int(x)) for x in blocks]), F.col("_c") + 1) if len(pivots) <= 4096 else None
+    if per_cell is None:
+        table = df.sparkSession.createDataFrame([(i, int(x)) for i, x in enumerate(blocks)], "_c int, _blocks bigint")
+        cells = cells.join(table, "_c")
+        per_cell = F.col("_blocks")
+    points = cut_lineage(cells.withColumn("_s", F.pmod(F.xxhash64("_id"), per_cell).cast("int")).select("_id", "_x", "_c", "_s"))
+
+    def own_radius(t: pa.Table) -> pa.Table:
+        x = _matrix(t.column("_x"))
+        d2 = _sq_dist(x, x)
+        np.fill_diagonal(d2, np.inf)
+        r = np.sqrt(np.partition(d2, k - 1, axis=1)[:, k - 1]) if len(x) > k else np.full(len(x), np.inf)
+        return pa.table({"_id": t.column("_id"), "_x": t.column("_x"), "_r": pa.array(r)})
+
+    radius = points.groupBy("_c", "_s").applyInArrow(own_radius, f"_id {kind}, _x array<double>, _r double")
+
+    def probe(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 512):
+                part = b.slice(at, 512)
+                if not part.num_rows:
+                    continue
+                r = part.column(2).to_numpy()
+                gap = np.sqrt(_sq_dist(_matrix(part.column(1)), pivots)) - reach[None, :]
+                row, cell = np.nonzero(gap <= r[:, None] * (1 + 1e-9) + 1e-9)
+                times = blocks[cell]
+                row, cell = np.repeat(row, times), np.repeat(cell, times)
+                first = np.cumsum(times) - times
+                block = np.arange(len(row)) - np.repeat(first, times)
+                i = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(i), part.column(1).take(i), part.column(2).take(i), pa.array(cell, pa.int32()),
+                     pa.array(block, pa.int32())], names=["_id", "_x", "_r", "_c", "_s"])
+
+    probes = radius.mapInArrow(probe, f"_id {kind}, _x array<double>, _r double, _c int, _s int")
+    return points, probes
+
+
+def knn(df: DataFrame, id_col: str, vec: str, k: int = 5, cell_rows: int = 2048, seed: int = 7) -> DataFrame:
     """Exact k nearest neighbours (Euclidean) of every row among the rows.
 
-    No all-pairs step:
-    1. project rows on the first principal direction u (|u| = 1) and number
-       them densely in that order (distributed ranking);
-    2. an upper bound r(x) on the k-th neighbour distance comes from the
-       2k rows next to x in that order (equi-join on rank offsets);
-    3. |u.x - u.y| <= |x - y|, so every true neighbour lies in the band
-       u.x +- r(x); rows are cut into cells of ``cell_rows`` consecutive
-       ranks, x is sent to the cells overlapping its band (equi-join on the
-       cell id), candidates outside the band or radius are dropped;
-    4. the k closest candidates per row (ties by id) are kept.
+    1. About sqrt(n) pivots are drawn by hash; each row goes to the cell of
+       its nearest pivot, large cells are parted into blocks of ``cell_rows``.
+    2. The k-th distance inside a row's own block bounds its radius r.
+    3. By the triangle inequality a neighbour within r of x lies in a cell c
+       with |x - pivot_c| - reach_c <= r; x is sent to the blocks of those
+       cells only, and NumPy compares it there, keeping k rows.
+    4. The k closest per row (ties by id) are kept.
+
+    How many blocks step 3 leaves out depends on the data: many where rows
+    form clusters, few or none for unclustered rows of many dimensions, where
+    exact search has no better bound.  Rows sent grow with n times the number
+    of cells reached, pairs are compared in memory and never become rows.
     Output: (id, nbr_id, nbr_rank 1..k, dist).
     """
-    from pyspark.ml.feature import PCA, Bucketizer
-    from pyspark.ml.functions import array_to_vector
+    import numpy as np
+    import pyarrow as pa
+    from pyspark.sql import Window
 
-    base = df.select(F.col(id_col).alias("_id"), F.col(vec).cast("array<double>").alias("_x"))
-    pca = PCA(k=1, inputCol="_vv", outputCol="_p").fit(base.withColumn("_vv", array_to_vector("_x")))
-    u = [float(v) for v in pca.pc.toArray()[:, 0]]
-    proj = F.aggregate(F.zip_with("_x", F.array(*[F.lit(v) for v in u]), lambda a, b: a * b), F.lit(0.0),
-                       lambda acc, v: acc + v)
-    pts = add_index(base.withColumn("_p", proj), order=["_p", "_id"], name="_r", start=0)
-    n = pts.count()
+    kind = df.schema[id_col].dataType.simpleString()
+    n = df.count()
     if n <= 1:
-        return df.sparkSession.createDataFrame([], f"{id_col} {df.schema[id_col].dataType.simpleString()}, "
-                                                  f"nbr_id {df.schema[id_col].dataType.simpleString()}, "
-                                                  "nbr_rank int, dist double")
+        return df.sparkSession.createDataFrame([], f"{id_col} {kind}, nbr_id {kind}, nbr_rank int, dist double")
     kk = min(k, n - 1)
-    # 2. radius bound from rank neighbours
-    offs = [o for o in range(-2 * kk, 2 * kk + 1) if o != 0]
-    near = pts.select("_id", "_x", "_r", F.explode(F.array(*[F.lit(o) for o in offs])).alias("_o")) \
-        .withColumn("_r2", F.col("_r") + F.col("_o")).filter((F.col("_r2") >= 0) & (F.col("_r2") < n))
-    other = pts.select(F.col("_r").alias("_r2"), F.col("_x").alias("_y"))
-    near_d = near.join(other, on="_r2").select("_id", dist("_x", "_y").alias("_d"))
-    from pyspark.sql import Window
-    w = Window.partitionBy("_id").orderBy("_d")
-    radius = near_d.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") == kk) \
-        .select("_id", F.col("_d").alias("_rad"))
-    # 3. band join through cells of about ``cell_rows`` consecutive ranks;
-    # the cell of a value is its bucket among the cells' lower bounds, so
-    # a band [p - r, p + r] covers exactly the buckets from bucket(p - r)
-    # to bucket(p + r).  The bound list has n / cell_rows numbers.
-    cell_rows = max(cell_rows, -(-n // MAX_CELLS))        # at most MAX_CELLS bounds reach the driver
-    lows = pts.filter(F.col("_r") % cell_rows == 0).select("_p").orderBy("_p").collect()
-    splits = [float("-inf")]
-    for row in lows[1:]:
-        if float(row[0]) > splits[-1]:
-            splits.append(float(row[0]))
-    splits.append(float("inf"))
-    if len(splits) < 3:  # a single cell: any finite cut keeps the bucketing consistent
-        splits = [float("-inf"), 0.0, float("inf")]
-    bucket = Bucketizer(splits=splits, inputCol="_p", outputCol="_cell")
-    cells = bucket.transform(pts)
-    q = cells.join(radius, on="_id").withColumn("_plo", F.col("_p") - F.col("_rad")) \
-        .withColumn("_phi", F.col("_p") + F.col("_rad"))
-    q = Bucketizer(splits=splits, inputCol="_plo", outputCol="_blo").transform(q)
-    q = Bucketizer(splits=splits, inputCol="_phi", outputCol="_bhi").transform(q)
-    probes = q.select("_id", "_x", "_p", "_rad",
-                      F.explode(F.sequence(F.col("_blo").cast("int"), F.col("_bhi").cast("int"))).alias("_c"))
-    targets = cells.select(F.col("_cell").cast("int").alias("_c"), F.col("_id").alias("_nid"),
-                           F.col("_x").alias("_y"), F.col("_p").alias("_py"))
-    cand = probes.join(targets, on="_c").filter(
-        (F.col("_nid") != F.col("_id")) & (F.abs(F.col("_py") - F.col("_p")) <= F.col("_rad")))
-    cand = cand.select("_id", "_nid", "_rad", dist("_x", "_y").alias("dist")).filter(F.col("dist") <= F.col("_rad"))
+    points, probes = _pivot_cells(df, id_col, vec, kk, cell_rows, seed)
+
+    def closest(q: pa.Table, t: pa.Table) -> pa.Table:
+        out_id, out_nbr, out_d = [], [], []
+        if q.num_rows and t.num_rows:
+            ids, mine = np.unique(np.array([*q.column("_id").to_pylist(), *t.column("_id").to_pylist()]), return_inverse=True)
+            qi, ti = mine[:q.num_rows], mine[q.num_rows:]
+            y = _matrix(t.column("_x"))
+            x, r = _matrix(q.column("_x")), q.column("_r").to_numpy()
+            for at in range(0, len(x), 256):
+                d = np.sqrt(_sq_dist(x[at:at + 256], y))
+                d[(qi[at:at + 256, None] == ti[None, :]) | (d > r[at:at + 256, None] * (1 + 1e-9) + 1e-9)] = np.inf
+                for row in np.flatnonzero(np.isfinite(d).any(1)).tolist():
+                    order = np.lexsort((ti, d[row]))[:kk]
+                    order = order[np.isfinite(d[row][order])]
+                    out_id.append(np.full(len(order), at + row))
+                    out_nbr.append(order)
+                    out_d.append(d[row][order])
+        i = pa.array(np.concatenate(out_id) if out_id else [], pa.int64())
+        j = pa.array(np.concatenate(out_nbr) if out_nbr else [], pa.int64())
+        return pa.table({"_id": q.column("_id").take(i), "_nid": t.column("_id").take(j),
+                         "dist": pa.array(np.concatenate(out_d) if out_d else [], pa.float64())})
+
+    cand = probes.groupBy("_c", "_s").cogroup(points.groupBy("_c", "_s")).applyInArrow(
+        closest, f"_id {kind}, _nid {kind}, dist double")
     wk = Window.partitionBy("_id").orderBy("dist", "_nid")
     top = cand.withColumn("nbr_rank", F.row_number().over(wk)).filter(F.col("nbr_rank") <= kk)
     return top.select(F.col("_id").alias(id_col), F.col("_nid").alias("nbr_id"), "nbr_rank", "dist")
@@ -237,8 +312,9 @@ def smote(minority: DataFrame, id_col: str, vec: str, n_new: int, k: int = 5, se
 def under_over_sample(df: DataFrame, id_col: str, label: str, vec: str, seed: int = 1, k: int = 5,
                       negative=0, positive=1) -> DataFrame:
     """Cluster under-sample the majority to ceil(N/2), then SMOTE the
-    minority up to the same count.  Output: (id or syn_id, label, vector,
-    synthetic flag)."""
+    minority up to the same count.  Output: (row_id, label, vector, synthetic
+    flag); synthetic ids follow the largest real id (text ids get a prefix),
+    so ``row_id`` is a key."""
     n_total = df.count()
     half = -(-n_total // 2)
     neg, pos = class_partition(df, label, negative, positive)
@@ -247,11 +323,12 @@ def under_over_sample(df: DataFrame, id_col: str, label: str, vec: str, seed: in
     keep_neg = min(half, n_neg)
     if keep_neg < n_neg:
         import math
-        assigned = kmeans_assign(neg, vec, max(2, int(math.sqrt(keep_neg))), seed)
+        assigned = kmeans_assign(neg, id_col, vec, max(2, int(math.sqrt(keep_neg))), seed)
         kept = quota_sample(assigned, id_col, "cluster", keep_neg, seed).drop("cluster")
     else:
         kept = neg
     syn = smote(pos, id_col, vec, max(keep_neg - n_pos, 0), k=k, seed=seed)
+    syn = syn.withColumn("syn_id", synthetic_id(df, id_col))
     real = kept.select(*df.columns).unionByName(pos).select(F.col(id_col).alias("row_id"), F.col(label).alias("label"),
                                         F.col(vec).cast("array<double>").alias("vector"),
                                         F.lit(False).alias("synthetic"))
@@ -260,6 +337,30 @@ def under_over_sample(df: DataFrame, id_col: str, label: str, vec: str, seed: in
     return real.unionByName(fake)
 
 
+def synthetic_id(df: DataFrame, id_col: str):
+    """Id of synthetic row ``syn_id`` that no row of ``df`` has."""
+    from pyspark.sql import types as T
+    if isinstance(df.schema[id_col].dataType, T.StringType):
+        return F.concat(F.lit("synthetic-"), F.col("syn_id").cast("string"))
+    top = df.agg(F.max(id_col).alias("m")).first()["m"]
+    return (F.col("syn_id") + F.lit(int(top if top is not None else -1) + 1)).cast(df.schema[id_col].dataType)
+
+
+def random_under_smote(df: DataFrame, id_col: str, label: str, vec: str, seed: int = 1, k: int = 5,
+                       negative=0, positive=1) -> DataFrame:
+    """As ``under_over_sample``, the majority rows being drawn by hash."""
+    n_total = df.count()
+    neg, pos = class_partition(df, label, negative, positive)
+    n_neg, n_pos = neg.count(), pos.count()
+    keep = min(-(-n_total // 2), n_neg)
+    kept = take_by_hash(neg, id_col, keep, seed) if keep < n_neg else neg
+    syn = smote(pos, id_col, vec, max(keep - n_pos, 0), k=k, seed=seed).withColumn("syn_id", synthetic_id(df, id_col))
+    real = kept.select(*df.columns).unionByName(pos.select(*df.columns))
+    cols = [F.col(id_col).alias("row_id"), F.col(label).alias("label"), F.col(vec).cast("array<double>").alias("vector")]
+    fake = syn.select(F.col("syn_id").alias("row_id"), F.lit(positive).cast(df.schema[label].dataType).alias("label"), "vector")
+    return real.select(*cols, F.lit(False).alias("synthetic")).unionByName(fake.withColumn("synthetic", F.lit(True)))
+
+
 def class_balance(df: DataFrame, label: str) -> DataFrame:
     """Rows and share per class."""
     from pyspark.sql import Window

@@ -170,8 +170,10 @@ def _defaults(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def synthesize(es: EntitySet, target: str, depth: int = 2, numeric: Sequence[str] = NUMERIC_PRIMS,
                categorical: Sequence[str] = CATEGORICAL_PRIMS) -> DataFrame:
-    """Target rows with the aggregate features of its children (and, with
-    depth 2, of its grandchildren through each child)."""
+    """Target rows with the aggregate features of its children and, with
+    depth 2, of its grandchildren: through each child (aggregates of
+    aggregates) and lifted to the target by the child's key (aggregates of
+    the grandchild rows themselves)."""
     ent = es.entities[target]
     out = ent.df
     if depth <= 0:
@@ -187,12 +189,23 @@ def synthesize(es: EntitySet, target: str, depth: int = 2, numeric: Sequence[str
             cdf = cut_lineage(synthesize(es, edge.child, depth - 1, numeric, categorical))
         skip = {child.index, edge.child_key, *child.ignore}
         agg = aggregate_child(cdf, edge.child, edge.child_key, sorted(skip), numeric, categorical)
-        new_cols = [c for c in agg.columns if c != "_fk"]
-        out = out.join(agg, out[edge.parent_key] == agg["_fk"], "left").drop("_fk")
-        out = _defaults(out, new_cols)
+        out = _attach(out, edge.parent_key, agg)
+        for lower in es.relations.children(edge.child) if depth > 1 else ():
+            grand = es.entities[lower.child]
+            parents = child.df.select(F.col(lower.parent_key).alias("_pk"), F.col(edge.child_key).alias("_root"))
+            lifted = grand.df.join(parents, F.col(lower.child_key) == F.col("_pk")).drop("_pk")
+            skip = {grand.index, lower.child_key, *grand.ignore}
+            agg = aggregate_child(lifted, lower.child, "_root", sorted(skip), numeric, categorical)
+            out = _attach(out, edge.parent_key, agg)
     return out
 
 
+def _attach(out: DataFrame, key: str, agg: DataFrame) -> DataFrame:
+    """Left-join a child's aggregates (keyed by ``_fk``) with their defaults."""
+    new_cols = [c for c in agg.columns if c != "_fk"]
+    return _defaults(out.join(agg, out[key] == agg["_fk"], "left").drop("_fk"), new_cols)
+
+
 def dfs_transforms(df: DataFrame, dates: Sequence[str] = (), texts: Sequence[str] = ()) -> DataFrame:
     """Row transforms stacked by synthesis: day, month, year, weekday of
     dates; word and character counts of text."""

@@ -11,8 +11,8 @@ operator here bounds what one window partition can hold:
 * ``pct_change`` splits each key by an order bucket (e.g. a year of months),
   takes the lag inside (key, bucket) and repairs the first row of every
   bucket from the last row of the key's previous non-empty bucket.
-* ``sample_per_group`` with a per-group quota salts the group first and
-  keeps a quota per (group, salt) before the final ranking.
+* ``sample_per_group`` with a per-group quota ranks narrow rows by a
+  distributed index.
 * ``add_index`` numbers rows by a global order through range partitions
   and per-partition offsets, never through a window without keys.
 """
@@ -54,15 +54,21 @@ def lag_prev(df: DataFrame, part: str | Sequence[str], order: Sequence, cols: Se
     if bucket is None:
         w = Window.partitionBy(*part).orderBy(*_asc(order))
         return df.withColumns({f"{c}{suffix}": F.lag(c).over(w) for c in cols})
+    # a row without an order comes last, in a bucket of its own after all others
     b = "_lag_bucket"
     df = df.withColumn(b, bucket)
     w = Window.partitionBy(*part, b).orderBy(*_asc(order))
     rows = df.withColumn("_rn", F.row_number().over(w)).withColumns({f"{c}{suffix}": F.lag(c).over(w) for c in cols})
     order_key = F.struct(*[(F.col(o) if isinstance(o, str) else o) for o in order])
     last = df.groupBy(*part, b).agg(*[F.max_by(c, order_key).alias(f"_last_{c}") for c in cols])
-    wb = Window.partitionBy(*part).orderBy(b)
-    carry = last.select(*part, b, *[F.lag(f"_last_{c}").over(wb).alias(f"_carry_{c}") for c in cols])
-    out = rows.join(carry, on=[*part, b], how="left")
+    wb = Window.partitionBy(*part).orderBy(F.col(b).asc_nulls_last())
+    carry = last.select(*[F.col(c).alias(f"_k_{c}") for c in [*part, b]],
+                        *[F.lag(f"_last_{c}").over(wb).alias(f"_carry_{c}") for c in cols])
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in [*part, b]]
+    on = same[0]
+    for x in same[1:]:
+        on = on & x
+    out = rows.join(carry, on, "left").drop(*[f"_k_{c}" for c in [*part, b]])
     return out.withColumns({
         f"{c}{suffix}": F.when(F.col("_rn") == 1, F.col(f"_carry_{c}")).otherwise(F.col(f"{c}{suffix}"))
         for c in cols
@@ -182,14 +188,13 @@ def add_index(df: DataFrame, order: Sequence[str] | None = None, name: str = "ro
     return out.select(*df.columns, (F.coalesce(F.col("_off"), F.lit(0)) + pos + F.lit(start)).alias(name))
 
 
-def sample_per_group(df: DataFrame, group: str, id_col: str, seed, quota: int | str = 1,
-                     salt_buckets: int = 16) -> DataFrame:
+def sample_per_group(df: DataFrame, group: str, id_col: str, seed, quota: int | str = 1) -> DataFrame:
     """Keep ``quota`` rows per group, chosen by md5(id:seed) (reproducible).
 
     ``quota`` is a number or the name of a per-row quota column.  With a
-    column quota the group is salted first, so a hot group is ranked in
-    ``salt_buckets`` pieces before the final ranking sees at most
-    quota * salt_buckets rows.
+    column the ids (unique) are numbered in (group, hash, id) order by a
+    distributed index, and a row's rank is its number less its group's first:
+    no task holds a whole group, and only narrow rows are put in order.
     """
     h = hash_int(id_col, seed)
     df = df.withColumn("_h", h)
@@ -197,12 +202,8 @@ def sample_per_group(df: DataFrame, group: str, id_col: str, seed, quota: int |
     if isinstance(quota, int):
         w = Window.partitionBy(group).orderBy(*order)
         return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= quota).drop("_rn", "_h")
-    salt = F.pmod(F.xxhash64(F.col(id_col)), F.lit(salt_buckets))
-    w1 = Window.partitionBy(group, "_salt").orderBy(*order)
-    stage1 = (df.withColumn("_salt", salt)
-                .withColumn("_rn", F.row_number().over(w1))
-                .filter(F.col("_rn") <= F.col(quota)))
-    w2 = Window.partitionBy(group).orderBy(*order)
-    return (stage1.withColumn("_rn", F.row_number().over(w2))
-                  .filter(F.col("_rn") <= F.col(quota))
-                  .drop("_rn", "_h", "_salt"))
+    narrow = df.select(F.col(group).alias("_g"), F.col(id_col).alias("_id"), "_h", F.col(quota).alias("_q"))
+    ranked = add_index(narrow, order=["_g", "_h", "_id"], name="_n", start=0)
+    first = ranked.groupBy("_g").agg(F.min("_n").alias("_first")).withColumnRenamed("_g", "_g2")
+    kept = ranked.join(first, F.col("_g").eqNullSafe(F.col("_g2"))).filter(F.col("_n") - F.col("_first") < F.col("_q"))
+    return df.drop("_h").join(kept.select(F.col("_id").alias(id_col)), id_col, "left_semi").select(*[c for c in df.columns if c != "_h"])

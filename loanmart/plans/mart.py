@@ -1,6 +1,7 @@
 """End-to-end pipelines (E8-E9, T6-T7): prepare the mart, split, rebalance,
 train, score and evaluate.  Every fitted statistic (correlation filter,
-encoders, scaler, PCA, resampling) is computed on the training split only.
+imputation means, dictionaries, scaler, PCA, resampling) is computed on the
+training split only and applied to other rows by ``Prepared.transform``.
 """
 
 from __future__ import annotations
@@ -17,43 +18,77 @@ from loanmart.operators import prep as P
 from loanmart.operators import resample as R
 from loanmart.operators.sample import hash_split, kfold_assign
 from loanmart.operators.windows import padded_sequences
+from loanmart.session import cut_lineage
 from loanmart import constants as C
 
+MODELS = ("gbt", "mlp")
+RESAMPLINGS = (None, "cluster", "cluster_smote", "random_smote")
+ENCODINGS = ("onehot", "label")
+IMPUTATIONS = ("constant", "mean")
+
+
+def _choice(name: str, value, allowed) -> None:
+    if value not in allowed:
+        raise ValueError(f"{name} is {value!r}; one of {allowed}")
+
 
 @dataclass
 class Prepared:
+    """Training and hold-out rows ready for a model, and the fitted steps."""
+
     train: DataFrame
     test: DataFrame
     features: list[str]
     dropped: list[str] = field(default_factory=list)
+    id_col: str = ""
+    label: str = ""
+    string_fill: str = C.STRING_FILL
+    imputer: P.MeanImputer | None = None
+    encoder: P.SparseOneHot | P.LabelEncoder | None = None
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """The fitted preparation on any rows with the mart's columns; the
+        label may be missing.  Values not seen in training become the zero
+        vector (one-hot) or -1 (codes)."""
+        d = df.drop(*self.dropped)
+        d = self.imputer.transform(d) if self.imputer else d
+        d = P.impute_constant(d, self.string_fill, 0, exclude=[self.id_col, self.label])
+        d = self.encoder.transform(d)
+        if isinstance(self.encoder, P.LabelEncoder) and self.encoder.cols:
+            d = d.fillna(-1, subset=self.encoder.cols)
+        keep = [c for c in (self.id_col, self.label) if c in d.columns]
+        return d.select(*keep, *[F.col(f"`{c}`") for c in self.features])
 
 
 def prepare(mart: DataFrame, id_col: str, label: str, test_size: float = C.TEST_SIZE, seed: int = C.SEED,
             exclude: Sequence[str] = (), corr_threshold: float = C.CORR_THRESHOLD, string_fill: str = C.STRING_FILL,
-            max_categories: int = 1000) -> Prepared:
-    """Split first, then fit the correlation filter, imputation and one-hot
-    encoding on the training part and apply them to both parts.  String
-    columns with more than ``max_categories`` values (free text, ids) are
-    left out rather than expanded into that many columns."""
-    from loanmart.session import cut_lineage
+            encoding: str = "onehot", impute: str = "constant") -> Prepared:
+    """Split first, then fit the correlation filter, imputation and encoding
+    on the training part and apply them to both parts.  Every string column
+    is encoded, whatever its number of values: ``onehot`` as one sparse
+    vector column, ``label`` as its code."""
+    _choice("encoding", encoding, ENCODINGS)
+    _choice("impute", impute, IMPUTATIONS)
     # The mart is a wide plan over every child table; fitting takes many
     # passes, so it is written once to the checkpoint folder.
     base = cut_lineage(mart.drop(*exclude).withColumn(label, F.col(label).cast("double")))
     train, test = hash_split(base, id_col, test_size, seed)
     numeric = [c for c in P.columns_of_type(train, strings=False) if c not in (id_col, label)]
-    kept_train, dropped = P.drop_correlated(train, numeric, corr_threshold)
-    strings = [c for c in P.columns_of_type(kept_train, strings=True)]
-    train2 = P.impute_constant(kept_train, string_fill, 0, exclude=[id_col, label])
-    small = [c for c in strings if train2.select(c).distinct().limit(max_categories + 1).count() <= max_categories]
-    enc = P.OneHot.fit(train2, small, drop_first=True)
-    train3 = enc.transform(train2.drop(*[c for c in strings if c not in small]))
-
-    def apply(df: DataFrame) -> DataFrame:
-        d = P.impute_constant(df.drop(*dropped), string_fill, 0, exclude=[id_col, label])
-        return enc.transform(d.drop(*[c for c in strings if c not in small]))
-
-    features = [c for c in train3.columns if c not in (id_col, label)]
-    return Prepared(train3.cache(), apply(test), features, dropped)
+    kept, dropped = P.drop_correlated(train, numeric, corr_threshold)
+    strings = P.columns_of_type(kept, strings=True)
+    strings = [c for c in strings if c != id_col]
+    imputer = None
+    if impute == "mean":
+        imputer = P.MeanImputer.fit(kept, [c for c in P.columns_of_type(kept, strings=False) if c not in (id_col, label)])
+        kept = imputer.transform(kept)
+    filled = P.impute_constant(kept, string_fill, 0, exclude=[id_col, label])
+    encoder = P.SparseOneHot.fit(filled, strings) if encoding == "onehot" else P.LabelEncoder.fit(filled, strings)
+    features = [c for c in filled.columns if c not in (id_col, label, *(strings if encoding == "onehot" else ()))]
+    if encoding == "onehot":
+        features += encoder.outputs
+    p = Prepared(train, test, features, dropped, id_col, label, string_fill, imputer, encoder)
+    p.train, p.test = cut_lineage(p.transform(train)), cut_lineage(p.transform(test))
+    return p
 
 
 @dataclass
@@ -62,44 +97,57 @@ class RunConfig:
     label: str = "TARGET"
     test_size: float = C.TEST_SIZE
     nfolds: int = C.N_FOLDS
-    pca_n: int | None = None
+    pca_n: int | None = None            # C.PCA_COMPONENTS for the PCA variant
     model: str = "gbt"
+    encoding: str = "onehot"
+    impute: str = "constant"
     resample: str | None = None
     threshold: float = C.SCORE_THRESHOLD
     seed: int = C.SEED
     max_iter: int = 20
     max_depth: int = 5
+    min_gain: float = 0.0
     search_draws: int = 0
+    cross_validate: bool = False
     exclude: tuple[str, ...] = ()
 
 
-def _vector_frame(df: DataFrame, id_col: str, label: str, cols: Sequence[str]) -> DataFrame:
-    return df.select(id_col, F.col(label).cast("int").alias(label),
-                     F.array(*[F.col(f"`{c}`").cast("double") for c in cols]).alias("x"))
+def dense_features(df: DataFrame, keep: Sequence[str], cols: Sequence[str], out: str = "x") -> DataFrame:
+    """``keep`` and all feature columns (numbers or vectors) as one array."""
+    from pyspark.ml.functions import vector_to_array
+    packed = T.assembler(cols, "_v").transform(df)
+    return packed.select(*keep, vector_to_array("_v").alias(out))
 
 
 def rebalance(train: DataFrame, cfg: RunConfig, cols: Sequence[str]) -> DataFrame:
-    """'cluster': cluster under-sampling to 1:1; 'cluster_smote': majority to
-    ceil(N/2) and SMOTE up to 1:1.  Back to one column per feature."""
-    vec = _vector_frame(train, cfg.id_col, cfg.label, cols)
+    """'cluster': cluster under-sampling to 1:1; 'cluster_smote' and
+    'random_smote': majority to ceil(N/2) and SMOTE up to 1:1.  The result
+    has the features in one vector column ``x`` and is written once, so that
+    the passes of a fit do not repeat clustering and neighbour search."""
+    from pyspark.ml.functions import array_to_vector
+    vec = dense_features(train, [cfg.id_col, F.col(cfg.label).cast("int").alias(cfg.label)], cols)
+    vec = cut_lineage(vec)
     if cfg.resample == "cluster":
         out = R.cluster_undersample(vec, cfg.id_col, cfg.label, "x", seed=cfg.seed)
-        out = out.select(F.col(cfg.id_col), F.col(cfg.label), "x")
-    elif cfg.resample == "cluster_smote":
-        out = R.under_over_sample(vec, cfg.id_col, cfg.label, "x", seed=cfg.seed)
-        out = out.select(F.col("row_id").alias(cfg.id_col), F.col("label").alias(cfg.label), F.col("vector")
-                         .alias("x"))
     else:
-        raise ValueError(cfg.resample)
-    return out.select(cfg.id_col, F.col(cfg.label).cast("double").alias(cfg.label),
-                      *[F.col("x")[i].alias(c) for i, c in enumerate(cols)])
+        how = R.under_over_sample if cfg.resample == "cluster_smote" else R.random_under_smote
+        out = how(vec, cfg.id_col, cfg.label, "x", seed=cfg.seed)
+        out = out.select(F.col("row_id").alias(cfg.id_col), F.col("label").alias(cfg.label), F.col("vector").alias("x"))
+    return cut_lineage(out.select(cfg.id_col, F.col(cfg.label).cast("double").alias(cfg.label), array_to_vector("x").alias("x")))
+
+
+def feature_width(df: DataFrame, cols: Sequence[str]) -> int:
+    """Number of inputs that the feature columns make."""
+    row = T.assembler(cols, "_v").transform(df).select("_v").first()
+    return len(row["_v"]) if row else len(cols)
 
 
-def build_pipeline(cfg: RunConfig, cols: Sequence[str]):
+def build_pipeline(cfg: RunConfig, cols: Sequence[str], width: int | None = None):
     if cfg.model == "mlp":
-        return T.mlp_classifier(cols, cfg.label, max_iter=cfg.max_iter, seed=cfg.seed)
-    return T.boosted_trees(cols, cfg.label, pca_n=cfg.pca_n, max_iter=cfg.max_iter, max_depth=cfg.max_depth,
-                           seed=cfg.seed)
+        return T.mlp_classifier(cols, cfg.label, max_iter=cfg.max_iter, seed=cfg.seed, width=width)
+    pca = min(cfg.pca_n, width or len(cols)) if cfg.pca_n else None
+    return T.boosted_trees(cols, cfg.label, pca_n=pca, max_iter=cfg.max_iter, max_depth=cfg.max_depth,
+                           seed=cfg.seed, min_gain=cfg.min_gain, width=width)
 
 
 def evaluate(scored: DataFrame, label: str, threshold: float) -> DataFrame:
@@ -108,40 +156,85 @@ def evaluate(scored: DataFrame, label: str, threshold: float) -> DataFrame:
     return M.summary(s, threshold=threshold)
 
 
-def run(mart: DataFrame, cfg: RunConfig | None = None) -> tuple[DataFrame, DataFrame, dict]:
-    """Train and evaluate; returns (metrics row, scored test rows, info)."""
-    cfg = cfg or RunConfig()
-    fill = C.CLUSTER_STRING_FILL if cfg.resample else C.STRING_FILL
-    prep = prepare(mart, cfg.id_col, cfg.label, cfg.test_size, cfg.seed, cfg.exclude, string_fill=fill)
-    cols = prep.features
-    train = prep.train
+def fit_model(prep: Prepared, cfg: RunConfig):
+    """(fitted model, function that readies prepared rows for it, info)."""
+    train, cols, ready = prep.train, prep.features, lambda df: df
+    width = feature_width(train, cols)
     if cfg.resample:
-        train = rebalance(train, cfg, cols)
-    pipe = build_pipeline(cfg, cols)
-    info: dict = {"features": len(cols), "dropped_correlated": prep.dropped}
+        from pyspark.ml.feature import VectorSizeHint
+        from pyspark.ml.functions import array_to_vector
+        sized = VectorSizeHint(inputCol="x", size=width, handleInvalid="optimistic")
+        train = sized.transform(rebalance(train, cfg, cols))
+
+        def ready(df: DataFrame) -> DataFrame:
+            keep = [c for c in (cfg.id_col, cfg.label) if c in df.columns]
+            return sized.transform(dense_features(df, keep, prep.features).withColumn("x", array_to_vector("x")))
+        cols = ["x"]
+    pipe = build_pipeline(cfg, cols, width)
+    info: dict = {"features": width, "dropped_correlated": prep.dropped}
+    if (cfg.search_draws and cfg.model == "gbt") or cfg.cross_validate:
+        folded = cut_lineage(kfold_assign(train, cfg.id_col, cfg.label, cfg.nfolds, cfg.seed))
+    if cfg.cross_validate:
+        info["cv"] = T.cv_auc(pipe, folded, label=cfg.label)
     if cfg.search_draws and cfg.model == "gbt":
-        folded = kfold_assign(train, cfg.id_col, cfg.label, cfg.nfolds, cfg.seed)
         res = T.random_search(pipe, folded, T.GBT_GRID, cfg.search_draws, label=cfg.label, seed=cfg.seed)
-        model = res.model
-        info.update(best_params=res.best_params, cv_auc=res.best_auc)
-    else:
-        model = pipe.fit(train)
-    scored = T.score(model, prep.test, [cfg.id_col, cfg.label], threshold=cfg.threshold)
+        info.update(best_params=res.best_params, search_auc=res.best_auc)
+        return res.model, ready, info
+    return pipe.fit(train), ready, info
+
+
+def run(mart: DataFrame, cfg: RunConfig | None = None) -> tuple[DataFrame, DataFrame, dict]:
+    """Train and evaluate; returns (metrics row, scored hold-out rows, info).
+
+    ``info`` holds the feature count, dropped columns, the ROC and PR curves
+    as frames, and, if asked for, cross-validated AUC and the best draw.
+    """
+    cfg = cfg or RunConfig()
+    _choice("model", cfg.model, MODELS)
+    _choice("resample", cfg.resample, RESAMPLINGS)
+    fill = C.CLUSTER_STRING_FILL if cfg.resample else C.STRING_FILL
+    prep = prepare(mart, cfg.id_col, cfg.label, cfg.test_size, cfg.seed, cfg.exclude, string_fill=fill,
+                   encoding=cfg.encoding, impute=cfg.impute)
+    model, ready, info = fit_model(prep, cfg)
+    scored = cut_lineage(T.score(model, ready(prep.test), [cfg.id_col, cfg.label], threshold=cfg.threshold))
+    flat = scored.select(F.col(cfg.label).cast("int").alias("label"), "score")
+    info.update(roc=M.roc_points(flat), pr=M.pr_points(flat), prepared=prep, model=model)
     return evaluate(scored, cfg.label, cfg.threshold), scored, info
 
 
+def score_rows(mart: DataFrame, prep: Prepared, model, ready=lambda df: df, threshold: float = C.SCORE_THRESHOLD) -> DataFrame:
+    """Scores of rows without labels (S4): same preparation, same model."""
+    return T.score(model, ready(prep.transform(mart.drop(prep.label))), [prep.id_col], threshold=threshold)
+
+
 def sequence_embedding(parent: DataFrame, parent_key: str, child: DataFrame, key: str, order: Sequence[str],
                        cols: Sequence[str], n: int = C.SEQ_ROWS, k: int = C.SEQ_FEATURES,
-                       prefix: str = C.SEQ_PREFIX) -> DataFrame:
+                       prefix: str = C.SEQ_PREFIX, test_size: float = 0.0, seed: int = C.SEED) -> DataFrame:
     """T6 substitute for the CNN/LSTM features: n newest child rows as a
-    padded sequence -> standardise -> PCA(k) -> ``bfeat_1..k`` per parent."""
+    padded sequence -> standardise -> PCA(k) -> ``bfeat_1..k`` per parent.
+
+    String columns among ``cols`` are one-hot encoded.  With ``test_size``
+    dictionaries, scaler and PCA are fitted on the parents that ``hash_split``
+    with the same seed puts into the training part; all parents are projected.
+    """
     from pyspark.ml.functions import vector_to_array
+    from loanmart.operators.sample import split_flag
     keep = list(dict.fromkeys([key, *order, *cols]))
-    child = P.impute_constant(child.select(*keep), exclude=[key])
-    seq = padded_sequences(parent, parent_key, child, key, order, cols, n=n, pad=C.SEQ_PAD)
+    child = P.impute_constant(child.select(*keep), exclude=[key, *[c for c in order if c not in cols]])
+    strings = [c for c in P.columns_of_type(child, strings=True) if c in cols]
+    if strings:
+        # fitted on the children of training parents; one column per category, as the sequence is dense
+        known = split_flag(child, key, test_size, seed, "_test").filter("_test = 0").drop("_test")
+        encoder = P.OneHot.fit(known, strings, drop_first=False)
+        child = encoder.transform(child)
+        cols = [c for c in child.columns if c in cols or any(c.startswith(f"{x}_") for x in strings)]
+        child = child.withColumnsRenamed({c: f"_f{i}" for i, c in enumerate(cols) if c not in order})
+        cols = [c if c in order else f"_f{i}" for i, c in enumerate(cols)]
+    seq = cut_lineage(padded_sequences(parent, parent_key, child, key, order, cols, n=n, pad=C.SEQ_PAD))
     k = min(k, n * len(cols))
     flat = seq.select(parent_key, *[F.col("seq")[i].alias(f"_s{i}") for i in range(n * len(cols))])
-    out, _model, _ev = P.pca_features(flat, [f"_s{i}" for i in range(n * len(cols))], k, out="_pc")
+    train = split_flag(flat, parent_key, test_size, seed, "_test").filter("_test = 0").drop("_test")
+    out, _model, _ev = P.pca_features(flat, [f"_s{i}" for i in range(n * len(cols))], k, out="_pc", fit_on=train)
     arr = vector_to_array("_pc")
     return out.select(parent_key, *[arr[i].alias(f"{prefix}{i + 1}") for i in range(k)])
 
@@ -223,9 +316,9 @@ def credit_training_table(spark, data_dir: str, features: str = "manual", depth:
     if features == "sequence":
         app = read_credit_table(spark, f"{data_dir.rstrip('/')}/{CREDIT_FILES['application']}", "application")
         bureau = read_credit_table(spark, f"{data_dir.rstrip('/')}/{CREDIT_FILES['bureau']}", "bureau")
-        numeric = [f.name for f in bureau.schema.fields
-                   if f.name not in ("SK_ID_CURR", "SK_ID_BUREAU") and f.dataType.typeName() in ("double", "integer", "long")]
-        seq = sequence_embedding(app, "SK_ID_CURR", bureau, "SK_ID_CURR", ["DAYS_CREDIT", "SK_ID_BUREAU"], numeric,
-                                 k=seq_features)
+        cols = [f.name for f in bureau.schema.fields if f.name not in ("SK_ID_CURR", "SK_ID_BUREAU")
+                and f.dataType.typeName() in ("double", "integer", "long", "string")]
+        seq = sequence_embedding(app, "SK_ID_CURR", bureau, "SK_ID_CURR", ["DAYS_CREDIT", "SK_ID_BUREAU"], cols,
+                                 k=seq_features, test_size=C.TEST_SIZE)
         return app.join(seq, on="SK_ID_CURR", how="left")
     raise ValueError(f"unknown feature strategy {features!r}")

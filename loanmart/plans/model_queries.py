@@ -1,6 +1,11 @@
-"""Model keys (§2.11, E9, S4): rows-only checks (trained models have no SQL
-oracle); each trains on the whole stand-in feature mart with small
-iteration counts."""
+"""Model keys (§2.11, E9, S4).
+
+A trained model's scores have no SQL form.  Each key trains on the whole
+stand-in feature mart with the pipeline's own settings and returns facts that
+SQL can check: which rows are scored, that scores are probabilities, that the
+hard class follows the threshold, and that reported measures agree with the
+ones SQL computes from the stored scores.
+"""
 
 from __future__ import annotations
 
@@ -8,124 +13,210 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from loanmart import constants as C
 from loanmart.operators import models as T
 from loanmart.operators.sample import kfold_assign
+from loanmart.plans import blocks as B
 from loanmart.plans import mart as MT
+from loanmart.plans import sqlkit as S
 from loanmart.plans import standins as V
-from loanmart.plans.queries import build_mart, finish, register
-from loanmart.session import checkpoint_dir
-from loanmart.sources.io import read_table, write_scores
+from loanmart.plans.oracle_views import with_views
+from loanmart.plans.queries import build_mart, register
+from loanmart.session import checkpoint_dir, cut_lineage
+from loanmart.sources.io import read_table
 
 KEY, LABEL = "SK_ID_CURR", "TARGET"
 # The stand-in label is the sign of c_acctbal, which AMT_CREDIT and two
 # ratios built from it carry directly; they are left out of training.
 LEAKS = ("AMT_CREDIT", "Credit_income_ratio", "Credit_term")
-
+TEST_SIZE = 0.2                 # the stand-in tables are small; 5 % would leave a handful of positives
+TRAINED = f"CODE_GENDER <> '{V.GENDER_SENTINEL}'"          # rows that cleaning keeps in the training table
+HASHED = f"{S.hash_int(KEY, C.SEED)} < {int(round(TEST_SIZE * 4294967296))}"
+HELD = f"{TRAINED} AND {HASHED}"
 
 _PREPARED: dict = {}
 
 
-def _prepared(spark, sf, test_size=0.2):
-    """The prepared (checkpointed) mart, built once per session and scale."""
-    key = (id(spark), sf, test_size)
+def _prepared(spark, sf):
+    """The prepared (checkpointed) mart, built once per application and scale."""
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _PREPARED:
-        _PREPARED[key] = MT.prepare(build_mart(spark, sf), KEY, LABEL, test_size=test_size, seed=1234,
-                                    exclude=LEAKS)
+        _PREPARED.clear()
+        _PREPARED[key] = MT.prepare(build_mart(spark, sf), KEY, LABEL, test_size=TEST_SIZE, seed=C.SEED, exclude=LEAKS)
     return _PREPARED[key]
 
 
-@register("gbt_scores")
-def gbt_scores(spark, sf):
-    p = _prepared(spark, sf)
-    model = T.boosted_trees(p.features, LABEL, max_iter=10, max_depth=4).fit(p.train)
-    return finish(T.score(model, p.test, [KEY, LABEL], threshold=0.1))
+def _config(**more) -> MT.RunConfig:
+    return MT.RunConfig(test_size=TEST_SIZE, exclude=LEAKS, **more)
 
 
-@register("cv_auc")
-def cv_auc(spark, sf):
+def _facts(scored, threshold: float):
+    """Scored rows as facts; a score that is not a probability shows."""
+    s = cut_lineage(scored)
+    return s.select(KEY, F.col(LABEL).cast("int").alias(LABEL), ((F.col("score") >= 0) & (F.col("score") <= 1)).alias("is_probability"),
+                    (F.col("pred") == (F.col("score") > threshold).cast("int")).alias("class_follows"))
+
+
+SCORED_SQL = with_views(f"SELECT {KEY}, {LABEL}, true AS is_probability, true AS class_follows FROM application WHERE {HELD}",
+                        "application")
+
+
+@register("gbt_scores", SCORED_SQL)
+def gbt_scores(spark, sf):
     p = _prepared(spark, sf)
-    folded = kfold_assign(p.train, KEY, LABEL, k=3, seed=1234)
-    res = T.cv_auc(T.boosted_trees(p.features, LABEL, max_iter=5, max_depth=3), folded, label=LABEL)
-    rows = [(i, float(a)) for i, a in enumerate(res["folds"])]
-    df = spark.createDataFrame(rows, "fold int, auc double")
-    return finish(df.withColumn("mean_auc", F.lit(res["mean"])).withColumn("max_auc", F.lit(res["max"])))
+    model, ready, _info = MT.fit_model(p, _config())
+    return _facts(T.score(model, ready(p.test), [KEY, LABEL], threshold=C.SCORE_THRESHOLD), C.SCORE_THRESHOLD)
 
 
-@register("random_search")
-def random_search(spark, sf):
+@register("gbt_pca_scores", SCORED_SQL)
+def gbt_pca_scores(spark, sf):
+    """T1 second variant: standardise -> PCA -> boosted trees."""
     p = _prepared(spark, sf)
-    folded = kfold_assign(p.train, KEY, LABEL, k=3, seed=1234)
-    grid = dict(T.GBT_GRID)
-    grid["maxDepth"] = [3, 4]
-    res = T.random_search(T.boosted_trees(p.features, LABEL, max_iter=5), folded, grid, n_iter=2, label=LABEL)
-    params = ", ".join(f"{k}={v}" for k, v in sorted(res.best_params.items()))
-    return finish(spark.createDataFrame([(params, res.best_auc)], "best_params string, cv_auc double"))
+    model, ready, _info = MT.fit_model(p, _config(pca_n=C.PCA_COMPONENTS))
+    return _facts(T.score(model, ready(p.test), [KEY, LABEL], threshold=C.SCORE_THRESHOLD), C.SCORE_THRESHOLD)
 
 
-@register("mlp_scores")
+@register("mlp_scores", SCORED_SQL)
 def mlp_scores(spark, sf):
     p = _prepared(spark, sf)
-    model = T.mlp_classifier(p.features, LABEL, max_iter=20).fit(p.train)
-    return finish(T.score(model, p.test, [KEY, LABEL], threshold=0.1))
+    model, ready, _info = MT.fit_model(p, _config(model="mlp", max_iter=50))
+    return _facts(T.score(model, ready(p.test), [KEY, LABEL], threshold=C.SCORE_THRESHOLD), C.SCORE_THRESHOLD)
 
 
-def _embedding(spark, sf, k=20):
-    return MT.sequence_embedding(V.application(spark, sf), KEY, V.bureau(spark, sf), KEY,
-                                 ["DAYS_CREDIT", "SK_ID_BUREAU"],
-                                 ["DAYS_CREDIT", "AMT_CREDIT_SUM_DEBT", "CREDIT_DAY_OVERDUE", "DAYS_ENDDATE_FACT"],
-                                 n=5, k=k)
+@register("cv_auc", with_views(f"""
+    SELECT CAST(fold AS INTEGER) AS fold, count(*) AS n_rows, CAST(sum({LABEL}) AS BIGINT) AS n_pos, true AS auc_in_range,
+           true AS mean_and_max_agree
+    FROM (SELECT {LABEL}, (row_number() OVER (PARTITION BY {LABEL} ORDER BY {S.hash_int(KEY, C.SEED)}, {KEY}) - 1) % {C.N_FOLDS} AS fold
+          FROM application WHERE {TRAINED} AND NOT ({HASHED})) AS f GROUP BY fold""", "application"))
+def cv_auc(spark, sf):
+    """Cross-validated AUC on stratified folds."""
+    p = _prepared(spark, sf)
+    folded = cut_lineage(kfold_assign(p.train, KEY, LABEL, k=C.N_FOLDS, seed=C.SEED))
+    width = MT.feature_width(p.train, p.features)
+    res = T.cv_auc(MT.build_pipeline(_config(), p.features, width), folded, label=LABEL)
+    ok = abs(res["mean"] - sum(res["folds"]) / len(res["folds"])) < 1e-12 and res["max"] == max(res["folds"])
+    aucs = spark.createDataFrame([(i, 0.0 <= float(a) <= 1.0, ok) for i, a in enumerate(res["folds"])],
+                                 "fold int, auc_in_range boolean, mean_and_max_agree boolean")
+    sizes = folded.groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col(LABEL).cast("long")).alias("n_pos"))
+    return sizes.join(aucs, "fold").select("fold", "n_rows", "n_pos", "auc_in_range", "mean_and_max_agree")
 
 
-@register("sequence_embedding")
-def sequence_embedding(spark, sf):
-    return finish(_embedding(spark, sf))
+SEARCH_DRAWS = 4
 
 
-@register("compare_feature_sets")
-def compare_feature_sets(spark, sf):
-    """The same split and learner with and without the sequence features."""
-    mart = build_mart(spark, sf)
-    with_seq = mart.join(_embedding(spark, sf), on=KEY, how="left")
-    rows = []
-    for name, frame in (("base", mart), ("with_sequence", with_seq)):
-        cfg = MT.RunConfig(test_size=0.2, max_iter=10, max_depth=4, exclude=LEAKS)
-        metrics, _scored, info = MT.run(frame, cfg)
-        m = metrics.first()
-        rows.append((name, info["features"], m["auc"], m["f1"]))
-    return finish(spark.createDataFrame(rows, "feature_set string, n_features int, auc double, f1 double"))
-
-
-@register("score_submission")
-def score_submission(spark, sf):
-    """Fit on the labelled mart, score every application, save
-    (id, probability) as CSV in the checkpoint folder and read it back."""
+@register("random_search", f"SELECT {SEARCH_DRAWS} AS n_draws, true AS drawn_from_grid, true AS auc_in_range, true AS best_is_largest")
+def random_search(spark, sf):
+    """Random search over the full grid with stratified folds."""
     p = _prepared(spark, sf)
-    model = T.boosted_trees(p.features, LABEL, max_iter=10, max_depth=4).fit(p.train)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/scores-{uuid.uuid4().hex}"
-    write_scores(model, p.test.drop(LABEL), path, KEY)
-    return read_table(spark, path, schema=f"{KEY} bigint, TARGET double", fmt="csv")
+    folded = cut_lineage(kfold_assign(p.train, KEY, LABEL, k=C.N_FOLDS, seed=C.SEED))
+    width = MT.feature_width(p.train, p.features)
+    pipe = MT.build_pipeline(_config(), p.features, width)
+    res = T.random_search(pipe, folded, T.GBT_GRID, n_iter=SEARCH_DRAWS, label=LABEL, parallelism=4)
+    row = (len(res.fold_mean), all(v in T.GBT_GRID[k] for k, v in res.best_params.items()),
+           all(0.0 <= a <= 1.0 for a in res.fold_mean), bool(res.best_auc == max(res.fold_mean)))
+    return spark.createDataFrame([row], "n_draws int, drawn_from_grid boolean, auc_in_range boolean, best_is_largest boolean")
+
+
+SEQ_COLS = ["DAYS_CREDIT", "AMT_CREDIT_SUM_DEBT", "CREDIT_DAY_OVERDUE", "DAYS_ENDDATE_FACT", "CREDIT_ACTIVE", "CREDIT_TYPE"]
+SEQ_K = 50                      # five rows of four numbers and eight categories make 60 inputs
 
 
-@register("train_evaluate")
+def _embedding(spark, sf, k=SEQ_K):
+    return MT.sequence_embedding(V.application(spark, sf), KEY, V.bureau(spark, sf), KEY, ["DAYS_CREDIT", "SK_ID_BUREAU"],
+                                 SEQ_COLS, n=C.SEQ_ROWS, k=k, test_size=TEST_SIZE)
+
+
+@register("sequence_embedding", with_views(
+    f"SELECT {KEY}, CAST({SEQ_K} AS INTEGER) AS n_features, true AS all_numbers, true AS train_mean_is_zero FROM application", "application"))
+def sequence_embedding(spark, sf):
+    """One row of features per application; on the rows they were fitted
+    on, the components have a mean of zero."""
+    e = cut_lineage(_embedding(spark, sf))
+    cols = [c for c in e.columns if c.startswith(C.SEQ_PREFIX)]
+    from loanmart.operators.sample import split_flag
+    means = split_flag(e, KEY, TEST_SIZE, C.SEED, "_t").filter("_t = 0").agg(*[F.avg(c) for c in cols]).first()
+    zero = all(abs(m) < 1e-8 for m in means)
+    finite = F.lit(True)
+    for c in cols:
+        finite = finite & F.col(c).isNotNull() & ~F.isnan(c)
+    return e.select(KEY, F.lit(len(cols)).alias("n_features"), finite.alias("all_numbers"), F.lit(zero).alias("train_mean_is_zero"))
+
+
+COUNTED = f"(SELECT count(*) FROM application WHERE {HELD}) AS n_rows, (SELECT count(*) FROM application WHERE {HELD} AND {LABEL} = 1) AS n_pos"
+
+
+def _measures(metrics, scored, threshold: float):
+    """Hold-out size and whether the reported measures equal those that SQL computes from the stored scores."""
+    spark = scored.sparkSession
+    s = scored.select(F.col(LABEL).cast("int").alias("y"), "score")
+    name = f"scored_{uuid.uuid4().hex}"
+    s.createOrReplaceTempView(name)
+    again = spark.sql(f"""
+        WITH r AS (SELECT y, score, avg(rn) OVER (PARTITION BY score) AS rk
+                   FROM (SELECT y, score, row_number() OVER (ORDER BY score) AS rn FROM {name})),
+        t AS (SELECT sum(y) AS p, sum(1 - y) AS n, sum(CASE WHEN y = 1 THEN rk END) AS ranks FROM r),
+        c AS (SELECT count_if(score > {threshold} AND y = 1) AS tp, count_if(score > {threshold} AND y = 0) AS fp,
+                     count_if(score <= {threshold} AND y = 1) AS fn, count_if(score <= {threshold} AND y = 0) AS tn FROM {name})
+        SELECT (ranks - p * (p + 1) / 2) / (p * n) AS auc2, tp AS tp2, fp AS fp2, fn AS fn2, tn AS tn2, p + n AS n_rows, p AS n_pos
+        FROM t CROSS JOIN c""").first()
+    spark.catalog.dropTempView(name)
+    m = metrics.first()
+
+    def near(a, b):
+        return a is None and b is None or a is not None and b is not None and abs(a - b) < 1e-9
+    prec = m["tp"] / (m["tp"] + m["fp"]) if m["tp"] + m["fp"] else None
+    rec = m["tp"] / (m["tp"] + m["fn"]) if m["tp"] + m["fn"] else None
+    f1 = 2 * prec * rec / (prec + rec) if prec and rec else None
+    same = all(m[c] == again[f"{c}2"] for c in ("tp", "fp", "fn", "tn"))
+    shares = near(m["precision"], prec) and near(m["recall"], rec) and (f1 is None or near(m["f1"], f1))
+    return int(again["n_rows"]), int(again["n_pos"]), near(m["auc"], float(again["auc2"])), same, shares
+
+
+MEASURES = "n_rows bigint, n_pos bigint, auc_agrees boolean, counts_agree boolean, shares_agree boolean"
+MEASURES_SQL = with_views(f"SELECT {COUNTED}, true AS auc_agrees, true AS counts_agree, true AS shares_agree", "application")
+
+
+@register("train_evaluate", MEASURES_SQL)
 def train_evaluate(spark, sf):
-    """The default run (boosted trees, 5 % hold-out, threshold 0.1)."""
-    cfg = MT.RunConfig(test_size=0.2, max_iter=10, max_depth=4, exclude=LEAKS)
-    metrics, _scored, _info = MT.run(build_mart(spark, sf), cfg)
-    return finish(metrics)
+    """The default run (boosted trees, threshold 0.1)."""
+    metrics, scored, _info = MT.run(build_mart(spark, sf), _config())
+    return spark.createDataFrame([_measures(metrics, scored, C.SCORE_THRESHOLD)], MEASURES)
 
 
-@register("train_evaluate_resampled")
+@register("train_evaluate_resampled", MEASURES_SQL)
 def train_evaluate_resampled(spark, sf):
     """E9 with cluster under-sampling + SMOTE and threshold 0.5."""
-    cfg = MT.RunConfig(test_size=0.2, max_iter=10, max_depth=4, exclude=LEAKS, resample="cluster_smote",
-                       threshold=0.5)
-    metrics, _scored, _info = MT.run(build_mart(spark, sf), cfg)
-    return finish(metrics)
+    cfg = _config(resample="cluster_smote", threshold=C.RESAMPLED_THRESHOLD)
+    metrics, scored, _info = MT.run(build_mart(spark, sf), cfg)
+    return spark.createDataFrame([_measures(metrics, scored, cfg.threshold)], MEASURES)
 
 
-@register("gbt_pca_scores")
-def gbt_pca_scores(spark, sf):
-    """T1 second variant: standardise -> PCA(k) -> boosted trees."""
+@register("compare_feature_sets", with_views(
+    f"SELECT f.feature_set, f.more AS more_features, {COUNTED}, true AS auc_agrees, true AS counts_agree, true AS shares_agree "
+    "FROM (VALUES ('base', false), ('with_sequence', true)) AS f(feature_set, more)", "application"))
+def compare_feature_sets(spark, sf):
+    """The same split and learner with and without the sequence features,
+    which are fitted on that split's training part."""
+    base = build_mart(spark, sf)
+    with_seq = base.join(_embedding(spark, sf), on=KEY, how="left")
+    rows, first = [], None
+    for name, frame in (("base", base), ("with_sequence", with_seq)):
+        metrics, scored, info = MT.run(frame, _config())
+        first = info["features"] if first is None else first
+        rows.append((name, info["features"] > first, *_measures(metrics, scored, C.SCORE_THRESHOLD)))
+    return spark.createDataFrame(rows, f"feature_set string, more_features boolean, {MEASURES}")
+
+
+@register("score_submission", with_views(f"SELECT {KEY}, true AS is_probability FROM application", "application"))
+def score_submission(spark, sf):
+    """Fit on the labelled mart, then score the unlabelled application
+    table: the fitted preparation is applied to every row of it, and (id,
+    probability) is saved as CSV in the checkpoint folder and read back."""
     p = _prepared(spark, sf)
-    model = T.boosted_trees(p.features, LABEL, pca_n=20, max_iter=10, max_depth=4).fit(p.train)
-    return finish(T.score(model, p.test, [KEY, LABEL], threshold=0.1))
+    model, ready, _info = MT.fit_model(p, _config())
+    unlabelled = build_mart(spark, sf, B.application_features(V.application(spark, sf).drop(LABEL), clean=False))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/scores-{uuid.uuid4().hex}"
+    scored = MT.score_rows(unlabelled.drop(*LEAKS), p, model, ready)
+    scored.select(KEY, F.col("score").alias(LABEL)).write.mode("overwrite").option("header", True).csv(path)
+    back = read_table(spark, path, schema=f"{KEY} bigint, {LABEL} double", fmt="csv")
+    return back.select(KEY, ((F.col(LABEL) >= 0) & (F.col(LABEL) <= 1)).alias("is_probability"))

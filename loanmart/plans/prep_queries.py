@@ -163,15 +163,51 @@ def label_one_hot(spark, sf):
     return lab.select("doc_id", F.posexplode(P.label_one_hot(F.col("toxic"))).alias("pos", "value"))
 
 
-def embedding_columns(spark, sf, dims: int = 64):
+def embedding_columns(spark, sf):
+    """One column per dimension; the number of dimensions comes from the data."""
     e = V.table(spark, sf, "embeddings")
+    dims = e.agg(F.max(F.size("embedding")).alias("n")).first()["n"] or 0
     return e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(dims)])
 
 
-@register("pca_variance")
+@register("pca_variance", """
+    SELECT CAST(i AS INTEGER) AS component, (SELECT count(*) FROM embeddings) AS n_rows, true AS mean_is_zero,
+           true AS variance_descends, true AS uncorrelated, true AS explained_matches FROM range(16) AS r(i)""")
 def pca_variance(spark, sf):
+    """What principal components of standardised rows must satisfy: means of
+    zero, falling variances, no covariance between components, and explained
+    shares equal to the variances over the number of columns."""
+    from pyspark.ml.functions import vector_to_array
+    from loanmart.session import cut_lineage
     emb = embedding_columns(spark, sf)
     cols = [c for c in emb.columns if c.startswith("e")]
-    out, _model, explained = P.pca_features(emb, cols, k=16)
+    k = 16
+    out, _model, explained = P.pca_features(emb, cols, k=k)
+    x = cut_lineage(out.select(vector_to_array("pca").alias("x")))
+    row = x.agg(F.count(F.lit(1)).alias("n"), *[F.avg(F.col("x")[i]).alias(f"m{i}") for i in range(k)],
+                *[F.covar_samp(F.col("x")[i], F.col("x")[j]).alias(f"c{i}_{j}") for i in range(k) for j in range(i, k)]).first()
+    var = [row[f"c{i}_{i}"] for i in range(k)]
+    rows = [(i, row["n"], abs(row[f"m{i}"]) < 1e-9, i == 0 or var[i] <= var[i - 1] + 1e-9,
+             all(abs(row[f"c{min(i, j)}_{max(i, j)}"]) < 1e-8 for j in range(k) if j != i),
+             abs(sum(var) / len(cols) - explained) < 1e-6) for i in range(k)]
+    return spark.createDataFrame(rows, "component int, n_rows bigint, mean_is_zero boolean, variance_descends boolean, "
+                                       "uncorrelated boolean, explained_matches boolean")
+
+
+@register("one_hot_high_cardinality", """
+    WITH d AS (SELECT CAST(l_partkey AS VARCHAR) AS v, row_number() OVER (ORDER BY CAST(l_partkey AS VARCHAR)) - 1 AS code
+               FROM (SELECT DISTINCT l_partkey FROM lineitem) AS u)
+    SELECT l_orderkey, l_linenumber, CAST(CASE WHEN code > 0 THEN code - 1 END AS INTEGER) AS set_bit,
+           CAST((SELECT count(*) - 1 FROM d) AS INTEGER) AS width
+    FROM lineitem JOIN d ON CAST(l_partkey AS VARCHAR) = d.v""")
+def one_hot_high_cardinality(spark, sf):
+    """A string column of very many values as sparse one-hot vectors: the one
+    set position (none for the first category) and the width."""
     from pyspark.ml.functions import vector_to_array
-    return out.select("vec_id", vector_to_array("pca").alias("pca"), F.lit(explained).alias("explained_variance"))
+    li = V.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("part"))
+    enc = P.SparseOneHot.fit(li, ["part"])
+    width = enc.sizes["part"] - 1
+    vec = enc.transform(li)
+    bit = F.array_position(vector_to_array("part__onehot"), F.lit(1.0)) - 1
+    return vec.select("l_orderkey", "l_linenumber", F.when(bit >= 0, bit).cast("int").alias("set_bit"),
+                      F.lit(width).cast("int").alias("width"))

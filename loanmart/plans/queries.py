@@ -84,9 +84,10 @@ def _bureau(spark, sf):
     return B.bureau_block(V.bureau(spark, sf), V.bureau_balance(spark, sf), V.BUREAU_SPEC)
 
 
-def build_mart(spark: SparkSession, sf: str) -> DataFrame:
+def build_mart(spark: SparkSession, sf: str, application: DataFrame | None = None) -> DataFrame:
+    """The feature mart of the training table, or of the given application rows."""
     return B.feature_mart(
-        _application(spark, sf),
+        _application(spark, sf) if application is None else application,
         B.bureau_parts(V.bureau(spark, sf), V.bureau_balance(spark, sf), V.BUREAU_SPEC),
         _previous(spark, sf),
         B.card_parts(V.card_balance(spark, sf), tie=V.EVENT_TIE, bucket=V.card_bucket()),

@@ -10,9 +10,6 @@ from loanmart.plans import sqlkit as S
 from loanmart.plans import standins as V
 from loanmart.plans.queries import finish, register
 
-DIMS = 64
-
-
 def emb(spark, sf):
     e = V.table(spark, sf, "embeddings")
     return e.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x"),
@@ -42,7 +39,7 @@ def class_balance(spark, sf):
 @register("nearest_centroid", f"WITH {E_SQL}, {_assign_sql('label >= 0')} SELECT vec_id, cluster FROM a")
 def nearest_centroid(spark, sf):
     e = emb(spark, sf)
-    cents = R.group_means(e, "label", "x", DIMS)
+    cents = R.group_means(e, "label", "x")
     return R.nearest_centroid(e, "x", cents).select("vec_id", F.col("cluster").cast("int"))
 
 
@@ -61,7 +58,7 @@ def nearest_centroid(spark, sf):
 def cluster_quota_sample(spark, sf):
     e = emb(spark, sf)
     maj = e.filter(F.col("minority") == 0)
-    cents = R.group_means(maj, "label", "x", DIMS)
+    cents = R.group_means(maj, "label", "x")
     target = e.filter(F.col("minority") == 1).count()
     assigned = R.nearest_centroid(maj, "x", cents).withColumn("cluster", F.col("cluster").cast("int"))
     return R.quota_sample(assigned, "vec_id", "cluster", target, seed=11).select("vec_id", "cluster")
@@ -112,7 +109,7 @@ _KEY = "CAST(j.vec_id AS VARCHAR) || ':' || CAST(j.syn_id AS VARCHAR)"
             JOIN nn ON nn.vec_id = p.vec_id AND nn.nbr_rank = p.pick
             JOIN m y ON y.vec_id = nn.nbr_id)
     SELECT syn_id, CAST(i - 1 AS INTEGER) AS pos, x[i] + u * (y[i] - x[i]) AS value
-    FROM gen, range(1, {DIMS + 1}) AS s(i)""", ["value"]))
+    FROM gen, unnest(generate_series(1, len(x))) AS s(i)""", ["value"]))
 def smote(spark, sf):
     e = emb(spark, sf)
     m = e.filter(F.col("minority") == 1)
@@ -121,15 +118,35 @@ def smote(spark, sf):
     return finish(syn.select("syn_id", F.posexplode("vector").alias("pos", "value")))
 
 
-@register("cluster_undersample")
+@register("cluster_undersample", """
+    SELECT CAST(label = 0 AS INTEGER) AS minority, (SELECT count(*) FROM embeddings WHERE label = 0) AS n_rows,
+           (SELECT count(*) FROM embeddings WHERE label = 0) AS n_ids, true AS from_the_table
+    FROM embeddings GROUP BY 1""")
 def cluster_undersample(spark, sf):
+    """Both classes have the minority's size; all rows are rows of the table."""
     e = emb(spark, sf)
-    return R.cluster_undersample(e, "vec_id", "minority", "x", seed=3, negative=0, positive=1) \
-        .select("vec_id", "minority")
-
-
-@register("under_over_sample")
+    kept = R.cluster_undersample(e, "vec_id", "minority", "x", seed=3, negative=0, positive=1).select("vec_id", "minority")
+    real = e.select(F.col("vec_id").alias("_v"), F.col("minority").alias("_m"))
+    joined = kept.join(real, F.col("vec_id") == F.col("_v"), "left")
+    return joined.groupBy("minority").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("vec_id").alias("n_ids"),
+                                          F.bool_and(F.coalesce(F.col("_m") == F.col("minority"), F.lit(False))).alias("from_the_table"))
+
+
+@register("under_over_sample", """
+    WITH c AS (SELECT count(*) AS n, count(*) FILTER (label = 0) AS pos, count(*) FILTER (label <> 0) AS neg FROM embeddings),
+    k AS (SELECT least((n + 1) // 2, neg) AS keep, pos FROM c),
+    r AS (SELECT 0 AS label, false AS synthetic, keep AS n_rows FROM k UNION ALL SELECT 1, false, pos FROM k
+          UNION ALL SELECT 1, true, keep - pos FROM k)
+    SELECT CAST(label AS INTEGER) AS label, synthetic, CAST(n_rows AS BIGINT) AS n_rows, CAST(n_rows AS BIGINT) AS n_ids,
+           (SELECT CAST(max(len(embedding)) AS INTEGER) FROM embeddings) AS dims, NOT synthetic AS known_ids
+    FROM r WHERE n_rows > 0""")
 def under_over_sample(spark, sf):
+    """Rows, distinct ids and vector length per class and origin; real rows
+    keep their ids and class, synthetic ones have ids of their own."""
     e = emb(spark, sf).select("vec_id", "minority", "x")
     out = R.under_over_sample(e, "vec_id", "minority", "x", seed=3)
-    return finish(out.select("row_id", "label", "synthetic", F.size("vector").alias("dims")))
+    real = e.select(F.col("vec_id").alias("_v"), F.col("minority").alias("_m"))
+    joined = out.join(real, F.col("row_id") == F.col("_v"), "left")
+    return joined.groupBy(F.col("label").cast("int").alias("label"), "synthetic").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("row_id").alias("n_ids"), F.max(F.size("vector")).alias("dims"),
+        F.bool_and(F.coalesce(F.col("_m") == F.col("label"), F.lit(False))).alias("known_ids"))

@@ -43,14 +43,14 @@ LINEITEM_TIE = ("SK_ID_PREV", "l_linenumber", "l_partkey", "l_suppkey", "l_shipd
 EVENT_TIE = ("CCB_ROW",)
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One DataFrame per (session, table): the file listing and footer read
     happen once however many blocks use the table."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (spark.sparkContext.applicationId, path)
     if key not in _TABLES:
         _TABLES[key] = read_table(spark, path)
     return _TABLES[key]

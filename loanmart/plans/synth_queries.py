@@ -104,7 +104,12 @@ def dfs_sql(depth: int) -> tuple[str, list[str]]:
     o_sql, o_types = child_agg_sql("orders", orders_table, "o_custkey", o_num, o_cat)
     e_sql, e_types = child_agg_sql("events", "events", "user_id", EVENT_NUM, EVENT_CAT)
     sql = attach_sql(attach_sql("SELECT * FROM customer", "c_custkey", o_sql, o_types), "c_custkey", e_sql, e_types)
-    doubles = ["c_acctbal"] + [c for c, t in {**o_types, **e_types}.items() if t == "DOUBLE"]
+    lifted: dict[str, str] = {}
+    if depth >= 2:                                          # lineitem rows by customer, through the order's key
+        rows = "(SELECT l.*, o.o_custkey AS _root FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"
+        l_sql, lifted = child_agg_sql("lineitem", rows, "_root", LINE_NUM, LINE_CAT)
+        sql = attach_sql(sql, "c_custkey", l_sql, lifted)
+    doubles = ["c_acctbal"] + [c for c, t in {**o_types, **e_types, **lifted}.items() if t == "DOUBLE"]
     return S.rounded(sql, doubles, sig=[c for c in doubles if is_moment(c)]), doubles
 
 
@@ -140,8 +145,9 @@ def dfs_transforms(spark, sf):
                                                                                       "o_orderpriority")
 
 
-@register("feature_count")
+@register("feature_count", f"SELECT (SELECT count(*) FROM (DESCRIBE {dfs_sql(2)[0]})) AS n_features, "
+                           "(SELECT count(*) FROM customer) AS n_rows")
 def feature_count(spark, sf):
     """Shape of the depth-2 synthesis result (rows counted by Spark)."""
     out = D.synthesize(entity_set(spark, sf), "customer", depth=2)
-    return out.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(len(out.columns)).alias("n_features"), "n_rows")
+    return out.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(len(out.columns)).cast("long").alias("n_features"), "n_rows")

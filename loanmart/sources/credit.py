@@ -1,10 +1,9 @@
 """Loading the eight credit tables from their CSV files.
 
-The files are read with a header and inferred types (as the source does);
-the columns the blocks rely on are then cast to fixed types, so an id read
-as a double or a flag read as a string cannot change a join or a
-comparison.  Other columns ride along with their inferred types.  NaN
-becomes NULL on floating columns.
+The columns the blocks rely on have fixed types; the types of the others can
+be given, so that a file is read in one pass with a full schema.  Columns of
+unknown type make one more pass over the whole file, which finds their types.
+Malformed fields are errors.  NaN becomes NULL on floating columns.
 """
 
 from __future__ import annotations
@@ -39,15 +38,25 @@ CREDIT_COLUMN_TYPES = {
 }
 
 
-def read_credit_table(spark: SparkSession, path: str, table: str, sampling_ratio: float = 1.0) -> DataFrame:
-    """Headered CSV with inferred types, known columns cast, NaN -> NULL.
+def read_credit_table(spark: SparkSession, path: str, table: str, types: dict[str, str] | None = None) -> DataFrame:
+    """Headered CSV with known column types, NaN -> NULL.
 
     ``table`` is one of CREDIT_COLUMN_TYPES (``application`` also serves
-    the unlabelled scoring table, which has no TARGET).  Inference reads
-    the data once more; ``sampling_ratio`` below 1 limits that pass.
+    the unlabelled scoring table, which has no TARGET).  ``types`` gives the
+    types of further columns; only if some are left, types are inferred.
     """
-    df = (spark.read.option("header", True).option("inferSchema", True).option("samplingRatio", sampling_ratio)
-          .option("nanValue", "NaN").csv(path))
-    types = CREDIT_COLUMN_TYPES[table]
-    df = df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
-    return nan_to_null(df)
+    known = {**CREDIT_COLUMN_TYPES[table], **(types or {})}
+    reader = spark.read.option("header", True).option("mode", "FAILFAST").option("nanValue", "NaN")
+    names = spark.read.option("header", True).csv(path).columns          # the header line alone
+    if all(c in known for c in names):
+        schema = ", ".join(f"`{c}` {known[c]}" for c in names)
+    else:
+        found = reader.option("inferSchema", True).csv(path).schema
+        schema = ", ".join(f"`{f.name}` {known.get(f.name, f.dataType.simpleString())}" for f in found.fields)
+    # ids and flags may be written as 1.0: integers are read as numbers, then cast
+    wide = schema
+    whole = [c for c in names if known.get(c) in ("bigint", "int")]
+    for c in whole:
+        wide = wide.replace(f"`{c}` {known[c]}", f"`{c}` decimal(38,6)")
+    df = reader.schema(wide).csv(path)
+    return nan_to_null(df.withColumns({c: F.col(c).cast(known[c]) for c in whole}))
