@@ -109,23 +109,28 @@ def previous_block(prev: DataFrame, spec: PreviousSpec | None = None) -> DataFra
 YEAR_OF_MONTHS = "year"
 
 
+def card_flags(ccb: DataFrame) -> DataFrame:
+    """E2 row features that need no other row: limit and payment flags."""
+    bal, limit = F.col("AMT_BALANCE"), F.col("AMT_CREDIT_LIMIT_ACTUAL")
+    rows = ccb.withColumns({
+        "Beyond_limit": flag(bal > limit),
+        "Delinquent": flag(F.col("AMT_PAYMENT_CURRENT") < F.col("AMT_INST_MIN_REGULARITY")),
+        "times_bal80": flag(F.when(limit == 0, bal > 0).otherwise(safe_div(bal, limit) >= F.lit(BALANCE_USAGE))),
+        "has_cc_now": flag(F.col("MONTHS_BALANCE") == -1),
+    })
+    return rows.withColumn("balance_now", F.col("has_cc_now") * bal)
+
+
 def card_rows(ccb: DataFrame, tie: Sequence[str] = ("SK_ID_PREV",),
               bucket: Column | str | None = YEAR_OF_MONTHS) -> DataFrame:
-    """E2 row features: limit and payment flags, month-on-month balance change.
+    """E2 row features: flags and the month-on-month balance change.
 
     The lag runs per (card, year of months) by default, so one card holding
     a large share of all rows is still spread over tasks; ``bucket=None``
     gives the plain per-card window."""
     if isinstance(bucket, str):
         bucket = F.floor(F.col("MONTHS_BALANCE") / 12)
-    bal, limit = F.col("AMT_BALANCE"), F.col("AMT_CREDIT_LIMIT_ACTUAL")
-    rows = ccb.withColumns({
-        "Beyond_limit": flag(bal > limit),
-        "Delinquent": flag(F.col("AMT_PAYMENT_CURRENT") < F.col("AMT_INST_MIN_REGULARITY")),
-        "times_bal80": flag(F.when(limit == 0, bal > 0).otherwise(safe_div(bal, limit) >= F.lit(BALANCE_USAGE))),
-        "has_cc_now": flag(F.col("MONTHS_BALANCE") == -1),
-    })
-    rows = rows.withColumn("balance_now", F.col("has_cc_now") * bal)
+    rows = card_flags(ccb)
     order = ["MONTHS_BALANCE", *[t for t in tie if t != "SK_ID_PREV"]]
     return pct_change(rows, "SK_ID_PREV", order, "AMT_BALANCE", out="balance_pct_change",
                       upper=PCT_CHANGE_CAP, bucket=bucket)
@@ -134,7 +139,7 @@ def card_rows(ccb: DataFrame, tie: Sequence[str] = ("SK_ID_PREV",),
 def card_parts(ccb: DataFrame, tie: Sequence[str] = ("SK_ID_PREV",),
                bucket: Column | str | None = YEAR_OF_MONTHS, n: int = N_LATEST) -> list[DataFrame]:
     rows = card_rows(ccb, tie, bucket)
-    sums = rows.groupBy(KEY).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    sums = card_flags(ccb).groupBy(KEY).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c)
                                    for c in ("has_cc_now", "balance_now", "times_bal80")])
     lags = latest_n_wide(rows, KEY, ["MONTHS_BALANCE", *tie],
                          ["MONTHS_BALANCE", "Beyond_limit", "Delinquent", "balance_pct_change"], n=n)

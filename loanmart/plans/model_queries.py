@@ -22,7 +22,7 @@ from loanmart.plans import sqlkit as S
 from loanmart.plans import standins as V
 from loanmart.plans.oracle_views import with_views
 from loanmart.plans.queries import build_mart, register
-from loanmart.session import checkpoint_dir, cut_lineage
+from loanmart.session import cut_lineage, scratch_path
 from loanmart.sources.io import read_table
 
 KEY, LABEL = "SK_ID_CURR", "TARGET"
@@ -215,7 +215,7 @@ def score_submission(spark, sf):
     p = _prepared(spark, sf)
     model, ready, _info = MT.fit_model(p, _config())
     unlabelled = build_mart(spark, sf, B.application_features(V.application(spark, sf).drop(LABEL), clean=False))
-    path = f"{checkpoint_dir(spark).rstrip('/')}/scores-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "scores")
     scored = MT.score_rows(unlabelled.drop(*LEAKS), p, model, ready)
     scored.select(KEY, F.col("score").alias(LABEL)).write.mode("overwrite").option("header", True).csv(path)
     back = read_table(spark, path, schema=f"{KEY} bigint, {LABEL} double", fmt="csv")

@@ -63,9 +63,8 @@ def scoring_table_features(spark, sf):
 
 @register("feature_sink_roundtrip", R(OB.installment_sql()[0], OB.installment_sql()[2], "installments"))
 def feature_sink_roundtrip(spark, sf):
-    import uuid
-    from loanmart.session import checkpoint_dir
-    path = f"{checkpoint_dir(spark).rstrip('/')}/features-{uuid.uuid4().hex}"
+    from loanmart.session import scratch_path
+    path = scratch_path(spark, "features")
     write_features(_installment(spark, sf), path)
     return finish(read_table(spark, path))
 
@@ -534,5 +533,5 @@ def class_partition(spark, sf):
 def bucketed_previous_block(spark, sf):
     """E1 over a copy of the previous-application view bucketed by the
     applicant key: the block aggregate needs no exchange."""
-    prev = write_bucketed(V.previous(spark, sf), KEY, 8, name="prev_by_applicant")
+    prev = write_bucketed(V.previous(spark, sf), KEY, name="prev_by_applicant")
     return finish(B.previous_block(prev, V.PREV_SPEC))

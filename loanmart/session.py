@@ -63,3 +63,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared checkpoint folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SCRATCH: list[str] = []
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared checkpoint folder, remembered for ``drop_scratch``."""
+    import uuid
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete what this process has written to scratch paths; frames that read
+    from them cannot be used any more.  Returns the number of paths deleted."""
+    conf, jvm, gone = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm, 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanmart.functions.scalars import nan_to_null
-from loanmart.session import checkpoint_dir
+from loanmart.session import scratch_path
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
@@ -53,8 +53,7 @@ def materialize(df: DataFrame, path: str | None = None, fmt: str = "parquet") ->
     """
     spark = df.sparkSession
     if path is None:
-        import uuid
-        path = f"{checkpoint_dir(spark).rstrip('/')}/materialized-{uuid.uuid4().hex}"
+        path = scratch_path(spark, "materialized")
     df.write.mode("overwrite").format(fmt).save(path)
     return spark.read.format(fmt).load(path)
 
@@ -80,20 +79,24 @@ def load_model(path: str):
     return PipelineModel.load(path)
 
 
-def write_bucketed(df: DataFrame, key: str, buckets: int, name: str = "bucketed", path: str | None = None) -> DataFrame:
+def write_bucketed(df: DataFrame, key: str, buckets: int | None = None, name: str = "bucketed", path: str | None = None,
+                   rows_per_bucket: int = 2_000_000) -> DataFrame:
     """Write a child table hash-bucketed and sorted on its parent key, once.
 
     Every later aggregate or join on ``key`` (all blocks of one applicant
     table, and the mart joins when the parent is bucketed the same way)
-    then runs without a shuffle.  The files go below the checkpoint folder
-    unless a shared ``path`` is given; the table is registered in the
+    then runs without a shuffle.  Without ``buckets`` their number follows the
+    rows.  All rows of one key share a bucket, so this is for keys of bounded
+    size; a key with a large share of all rows is better left to aggregates
+    that are partial before the shuffle.  The files go below the checkpoint
+    folder unless a shared ``path`` is given; the table is registered in the
     session catalog under a unique name.
     """
-    import uuid
     spark = df.sparkSession
-    tag = uuid.uuid4().hex[:12]
-    path = path or f"{checkpoint_dir(spark).rstrip('/')}/{name}-{tag}"
-    table = f"{name}_{tag}"
+    if buckets is None:
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // rows_per_bucket))
+    place = scratch_path(spark, name)
+    table = place.rsplit("/", 1)[-1].replace("-", "_")
     (df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
-       .option("path", path).saveAsTable(table))
+       .option("path", path or place).saveAsTable(table))
     return spark.table(table)

@@ -160,3 +160,14 @@ def test_credit_files_with_full_types(spark, tmp_path):
     path.write_text("SK_ID_BUREAU,MONTHS_BALANCE,STATUS\n1,x,C\n")
     with pytest.raises(Exception):
         read_credit_table(spark, str(path), "bureau_balance").collect()
+
+
+def test_scratch_is_dropped(spark):
+    import os
+    from loanmart.session import drop_scratch
+    from loanmart.sources.io import materialize, write_bucketed
+    drop_scratch(spark)
+    df = spark.range(10).withColumnRenamed("id", "k")
+    files = materialize(df).inputFiles() + write_bucketed(df, "k").inputFiles()
+    places = [os.path.dirname(f.replace("file://", "")) for f in files]
+    assert files and all(map(os.path.isdir, places)) and drop_scratch(spark) == 2 and not any(map(os.path.isdir, places))
