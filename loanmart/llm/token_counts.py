@@ -24,6 +24,7 @@ from loanmart.llm.bpe import CACHE_BYTES, Bpe, codec, public_ranks
 from loanmart.llm.common import add_columns, table, text_input
 
 REACH = 2
+COUNT_BYTES = 2 * CACHE_BYTES    # counts are smaller than ids
 
 
 class Counts(dict):
@@ -48,7 +49,7 @@ class Counter:
         self.split, self.bpe, self.known = bpe.split, bpe, Counts(bpe, {})
 
     def count(self, pieces: list[str]) -> list[int]:
-        if self.known.size > CACHE_BYTES:
+        if self.known.size > COUNT_BYTES:
             self.known = Counts(self.bpe, self.known)
         return list(map(self.known.__getitem__, pieces))
 
