@@ -5,9 +5,10 @@ columns or categories (never by rows); ``transform`` is a projection.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,43 +31,56 @@ def pairwise_corr(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson r of every column pair (i < j) on pairwise-complete rows.
 
     One pass: each partition multiplies its block with NumPy (Gram matrices
-    of the null mask and of globally centred values), emits one row per
-    pair, and a partial+final aggregate sums the blocks.  The driver only
-    sees the d column means.  Constant columns give NULL.
+    of the null mask and of globally centred values) and emits them as one
+    packed row; packed rows are added up one by one in two levels and only the sum is split into one
+    row per pair.  The driver only sees the d column means.  Constant columns
+    give NULL.
     """
     cols = list(cols)
     d = len(cols)
     means = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
     mu = [float(means[i]) if means[i] is not None else 0.0 for i in range(d)]
-    schema = T.StructType([T.StructField(n, t) for n, t in [
-        ("i", T.IntegerType()), ("j", T.IntegerType()), ("n", T.DoubleType()), ("sx", T.DoubleType()),
-        ("sy", T.DoubleType()), ("sxx", T.DoubleType()), ("syy", T.DoubleType()), ("sxy", T.DoubleType())]])
+    pair_fields = ("n", "sx", "sy", "sxx", "syy", "sxy")
 
     def gram(batches):
         import numpy as np
-        import pyarrow as pa
-        acc = None
+        acc, part = np.zeros((4, d, d)), None
         for b in batches:
             if b.num_rows == 0:
                 continue
+            part = b.column(d)[0].as_py()
             X = np.column_stack([b.column(k).to_numpy(zero_copy_only=False).astype("float64") for k in range(d)])
             M = ~np.isnan(X)
             X0 = np.where(M, X - np.asarray(mu), 0.0)
             Mf = M.astype("float64")
-            part = (Mf.T @ Mf, X0.T @ Mf, (X0 * X0).T @ Mf, X0.T @ X0)
-            acc = part if acc is None else tuple(a + p for a, p in zip(acc, part))
-        if acc is None:
-            return
-        n, sx, sxx, sxy = acc
+            acc += np.stack([Mf.T @ Mf, X0.T @ Mf, (X0 * X0).T @ Mf, X0.T @ X0])
+        if part is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([acc.tobytes()], pa.binary())], names=["g", "m"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+        total = np.zeros(4 * d * d)
+        for b in batches:
+            for m in b.column("m"):
+                total += np.frombuffer(m.as_buffer(), "float64")
+        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["g", "m"])
+
+    def pairs(batches):
+        import numpy as np
         iu, ju = np.triu_indices(d, k=1)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(iu.astype("int32")), pa.array(ju.astype("int32")), pa.array(n[iu, ju]),
-            pa.array(sx[iu, ju]), pa.array(sx[ju, iu]), pa.array(sxx[iu, ju]), pa.array(sxx[ju, iu]),
-            pa.array(sxy[iu, ju])], schema=pa.schema([(f.name, pa.int32() if f.name in "ij" else pa.float64())
-                                                     for f in schema.fields]))
-
-    blocks = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]).mapInArrow(gram, schema)
-    s = blocks.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+        for b in batches:
+            for m in b.column(1):
+                n, sx, sxx, sxy = np.frombuffer(m.as_buffer(), "float64").reshape(4, d, d)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(iu.astype("int32")), pa.array(ju.astype("int32"))] + [pa.array(v) for v in (
+                        n[iu, ju], sx[iu, ju], sx[ju, iu], sxx[iu, ju], sxx[ju, iu], sxy[iu, ju])], names=["i", "j", *pair_fields])
+
+    numbers = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)], F.spark_partition_id().alias("g"))
+    blocks = numbers.mapInArrow(gram, "g int, m binary")
+    fan = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    level = blocks.withColumn("g", F.col("g") % fan).groupBy("g").applyInArrow(add, "g int, m binary")
+    s = level.groupBy("g").applyInArrow(add, "g int, m binary").mapInArrow(
+        pairs, "i int, j int, " + ", ".join(f"{c} double" for c in pair_fields))
     num = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
     vx = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
     vy = F.col("n") * F.col("syy") - F.col("sy") * F.col("sy")

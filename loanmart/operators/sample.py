@@ -60,13 +60,15 @@ def kfold_assign(df: DataFrame, id_col: str, label: str, k: int = N_FOLDS, seed=
     so every fold gets the class counts within one row (as a stratified
     k-fold does).  The rank is a distributed dense index over
     (label, hash, id) minus the class's first index, not a window over a
-    whole class.
+    whole class.  Only ids, labels and hashes are put in order; ``id_col`` is
+    a key (without NULLs), by which the folds join the rows.
     """
-    keyed = df.withColumn("_h", hash_int(id_col, seed))
-    idx = add_index(keyed, order=[label, "_h", id_col], name="_i", start=0)
-    starts = idx.groupBy(label).agg(F.min("_i").alias("_start"))
-    out = idx.join(F.broadcast(starts), on=label, how="inner")
-    return out.withColumn(name, F.pmod(F.col("_i") - F.col("_start"), F.lit(k)).cast("int")).drop("_i", "_start", "_h")
+    narrow = df.select(F.col(id_col), F.col(label).alias("_y"), hash_int(id_col, seed).alias("_h"))
+    idx = add_index(narrow, order=["_y", "_h", id_col], name="_i", start=0)
+    starts = idx.groupBy("_y").agg(F.min("_i").alias("_start")).withColumnRenamed("_y", "_y2")
+    folds = idx.join(starts, F.col("_y").eqNullSafe(F.col("_y2")))
+    folds = folds.select(id_col, F.pmod(F.col("_i") - F.col("_start"), F.lit(k)).cast("int").alias(name))
+    return df.join(folds, id_col).select(*df.columns, name)
 
 
 def class_partition(df: DataFrame, label: str, negative=0, positive=1) -> tuple[DataFrame, DataFrame]:
