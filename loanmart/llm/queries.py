@@ -13,7 +13,7 @@ from loanmart.llm.html_text import op7_html_text
 from loanmart.llm.pitman_yor import op2_pitman_yor
 from loanmart.llm.quality import op5_quality
 from loanmart.llm.simhash import op6_simhash
-from loanmart.llm.suffix_dedup import op4_suffix_dedup
+from loanmart.llm.suffix_dedup import OP4_SQL, op4_suffix_dedup
 from loanmart.llm.token_counts import op10_token_counts
 from loanmart.llm.token_files import op8_token_files
 from loanmart.llm.url_filter import OP3_SQL, op3_url_filter
@@ -34,5 +34,6 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op3_url_filter": OP3_SQL,
+    "op4_suffix_dedup": OP4_SQL,
     "op9_decontaminate": OP9_SQL,
 }

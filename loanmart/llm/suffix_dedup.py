@@ -360,3 +360,21 @@ def op4_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     n = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
     return done.select("doc_id", n.alias("n_bytes"), (n - F.octet_length("kept")).cast("long").alias("n_removed"),
                        (F.size("removed") / 2).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: Every window of 400 bytes by its digest; windows that occur again, as spans, cut from the text.
+OP4_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+n AS (SELECT r, doc_id, b, octet_length(b) AS n FROM d),
+w AS (SELECT r, p, md5(b[p + 1:p + 400]) AS k FROM (SELECT r, b, unnest(generate_series(0, n - 400)) AS p FROM n WHERE n >= 400) AS s),
+again AS (SELECT r, p FROM w WHERE k IN (SELECT k FROM w GROUP BY k HAVING count(*) > 1)),
+marked AS (SELECT r, p, CASE WHEN p > 400 + lag(p) OVER (PARTITION BY r ORDER BY p) THEN 1 ELSE 0 END AS fresh FROM again),
+spans AS (SELECT r, g, min(p) AS s, max(p) + 400 AS e
+          FROM (SELECT r, p, sum(fresh) OVER (PARTITION BY r ORDER BY p) AS g FROM marked) AS x GROUP BY r, g),
+cuts AS (SELECT r, s, e, coalesce(lag(e) OVER (PARTITION BY r ORDER BY s), 0) AS before FROM spans),
+per AS (SELECT n.r, count(*) AS k, sum(e - s) AS gone, max(e) AS last, string_agg(hex(n.b[before + 1:s]), '' ORDER BY s) AS head
+        FROM cuts JOIN n ON n.r = cuts.r GROUP BY n.r)
+SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_bytes, CAST(coalesce(per.gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(per.k, 0) AS BIGINT) AS n_spans,
+       sha256(CASE WHEN per.r IS NULL THEN n.b ELSE unhex(per.head || hex(n.b[per.last + 1:n.n])) END) AS kept_sha256
+FROM n LEFT JOIN per ON per.r = n.r
+"""
