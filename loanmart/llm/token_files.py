@@ -19,62 +19,105 @@ from __future__ import annotations
 
 import struct
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loanmart.llm.common import map_arrow, partitions_for, scratch_path, table
+from loanmart.llm.common import map_arrow, partitions_for, table
+from loanmart.session import scratch_path
 from loanmart.llm.range_coder import BLOCK_IDS, LANES, checksum, decode_blocks, encode_blocks
 
 MAGIC = b"TID1"
 END_ID = 1
 TASK_BYTES = 24 << 20           # of text
-CACHE_BYTES = 48 << 20
+CACHE_BYTES = 72 << 20
 SEGMENT_IDS = BLOCK_IDS * LANES
 
 
 class WordIds:
     """Ids of texts, by way of the ids of their words between ASCII white space.
 
-    The tokenizer drops white space and never joins across it, so the ids of a text are those of its words one
-    after another; words met before are not encoded again (two generations of a fixed number of bytes).
+    The tokenizer drops white space, never joins across it and takes no account of case, so the ids of a text are
+    those of its lower-cased words one after another.  It also ends a piece where a letter is followed by
+    punctuation, so a word is its core and the run of punctuation at its end (apostrophes aside, which may begin
+    a piece of their own kind).  Words and cores met before are not encoded again (two generations of a fixed
+    number of bytes); new ones are encoded many to a call, with a control character between them.
     """
 
+    MARK = "\x01"
+    TAIL = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "'")
+    JOINED = 16
+
     def __init__(self, path: str):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.mark = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.size = 0
 
+    def _keep(self, word: bytes, ids: bytes) -> None:
+        self.known[word] = ids
+        self.size += 140 + len(word) + len(ids)
+
+    def _parts(self, word: bytes) -> tuple[bytes, bytes]:
+        """Core and tail of a word, the tail empty if the word cannot be cut."""
+        core = word.rstrip(self.TAIL)
+        if core and len(core) < len(word) and (0x61 <= core[-1] <= 0x7A or core[-1] >= 0x80 and core.decode()[-1].isalpha()):
+            return core, word[len(core):]
+        return word, b""
+
+    def _encode_new(self, words: list[bytes]) -> None:
+        plain = [w for w in words if b"\x01" not in w] if len(self.mark) == 1 else []
+        alone = [w for w in words if b"\x01" in w] if plain or len(self.mark) == 1 else words
+        groups = [plain[i:i + self.JOINED] for i in range(0, len(plain), self.JOINED)]
+        between = f" {self.MARK} "
+        for at in range(0, len(groups), 512):
+            some = groups[at:at + 512]
+            done = self.tokenizer.encode_batch_fast([between.join(w.decode() for w in g) for g in some], add_special_tokens=False)
+            for group, e in zip(some, done):
+                ids, start = e.ids, 0
+                for w in group[:-1]:
+                    end = ids.index(self.mark[0], start)
+                    self._keep(w, struct.pack(f"<{end - start}H", *ids[start:end]))
+                    start = end + 1
+                self._keep(group[-1], struct.pack(f"<{len(ids) - start}H", *ids[start:]))
+        for w, e in zip(alone, self.tokenizer.encode_batch_fast([w.decode() for w in alone], add_special_tokens=False) if alone else ()):
+            self._keep(w, struct.pack(f"<{len(e.ids)}H", *e.ids))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 16-bit integers."""
         if self.size > CACHE_BYTES:
             self.known, self.older, self.size = {}, self.known, 0
         known, older = self.known, self.older
-        split = [[w.decode() for w in t.encode().split()] for t in texts]     # bytes split at ASCII white space only
-        new = []
-        for words in split:
-            for w in set(words):
-                if w not in known:
-                    got = older.get(w)
-                    if got is None:
-                        known[w] = b""
-                        new.append(w)
-                    else:
-                        known[w] = got
-                        self.size += 150 + 2 * len(w)
-        for i in range(0, len(new), 4096):
-            some = new[i:i + 4096]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                ids = e.ids
-                known[w] = struct.pack(f"<{len(ids)}H", *ids)
-                self.size += 150 + 2 * len(w)
+        split = [t.encode().lower().split() for t in texts]  # bytes: ASCII letters and white space only
+        cut: dict[bytes, tuple[bytes, bytes]] = {}
+        new: set[bytes] = set()
+        for w in set(chain.from_iterable(split)):
+            if w not in known:
+                got = older.get(w)
+                if got is not None:
+                    self._keep(w, got)
+                    continue
+                parts = self._parts(w)
+                cut[w] = parts
+                for x in parts:
+                    if x and x not in known:
+                        got = older.get(x)
+                        if got is None:
+                            new.add(x)
+                        else:
+                            self._keep(x, got)
+        self._encode_new(sorted(new))
+        for w, (core, tail) in cut.items():
+            if tail:
+                self._keep(w, known[core] + known[tail])
         get = known.__getitem__
         return [b"".join(map(get, words)) for words in split]
 

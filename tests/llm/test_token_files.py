@@ -77,3 +77,18 @@ def test_files_of_odd_rows(spark, tmp_path):
     assert order == sorted(order, key=lambda x: (x is None, x or 0))
     write_ids(odd_docs(spark).limit(0), str(tmp_path / "b"), name)
     assert read_ids(spark, str(tmp_path / "b")).count() == 0
+
+
+def test_words_encode_like_whole_texts():
+    """Case, punctuation, apostrophes, accents, control and special strings, against the tokenizer on the text."""
+    import public_tokenizers
+    from loanmart.llm.token_files import WordIds
+    t, words = tokenizer(), WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    rng = np.random.default_rng(5)
+    bits = ["don't", "DON'T!!", "x'", "'s", "it's.", "Été,", "mot»,", "«mot", "ß.", "İstanbul!", "ΣΑΣ.", "e\u0301.", "\u0301,", "\x01", "a\x01b",
+            "<|endoftext|>", "|>", "12,", "a1.", "日本。", "日本,", "...", "!!", "word|", "the&&&", "ﬁ.", "K.", "—dash—", "\u00a0", "\x85", "a\u200bb,"]
+    texts_ = [" ".join(rng.choice(bits, 12)) for _ in range(400)] + ["".join(rng.choice(bits, 6)) for _ in range(400)] + ["", " ", "\t\n"]
+    for text, got in zip(texts_, words.encode(texts_)):
+        assert np.frombuffer(got, "<u2").tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
+    for _, text in texts(SF001):
+        assert np.frombuffer(words.encode([text])[0], "<u2").tolist() == t.encode(text, add_special_tokens=False).ids
