@@ -29,6 +29,7 @@ an empty result, and with no training text every word is unknown.
 from __future__ import annotations
 
 import struct
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,17 +38,18 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanmart.llm.common import Words, buffer_of, doc_groups, fold_table, map_arrow, partitions_for, span_codes, table, text_bytes
+from loanmart.llm.common import buffer_of, doc_groups, map_arrow, partitions_for, table, text_bytes
 
 DISCOUNT, STRENGTH = 0.75, 1.0              # of a context
-ROOT_DISCOUNT, ROOT_STRENGTH = 0.5, 1.0     # of the parent
-SAMPLES, BURN = 3, 2
+ROOT_DISCOUNT, ROOT_STRENGTH = 0.8, 1.0     # of the parent
+SAMPLES, BURN = 3, 1
 UNIT_TOKENS = 2_000_000
 SHARD_BYTES = 16 << 20                      # of text
 RETAIN = 64                                 # occurrences in a unit from which on a pair's places stay with it
 COMMON = 8192                               # contexts below 1 / COMMON of a text group are not counted as common
+SAMPLE_BYTES = 64 << 20                     # of text, to find common contexts (which only decide how even shards are)
+BASE_UNIT, SCORE_UNIT = 1e-10, 1e-8         # sums of a document's tokens in one shard travel as multiples of these
 START, END = 0x5354415254, 0x454E44         # stand for hashes of the text's start and end
-_SPACE = fold_table(b" \t\n\x0b\x0c\r")
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -87,6 +89,11 @@ def small(a: np.ndarray) -> np.ndarray:
     return a.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32 if most < 1 << 32 else np.uint64)
 
 
+def fixed(a: np.ndarray, unit: float) -> np.ndarray:
+    """Sums of logarithms (none above zero) as multiples of ``unit``."""
+    return small(np.rint(a / -unit).clip(0).astype(np.uint64))
+
+
 def steps_of(sorted_values: np.ndarray) -> np.ndarray:
     return np.diff(sorted_values, prepend=sorted_values.dtype.type(0))
 
@@ -95,20 +102,22 @@ def steps_of(sorted_values: np.ndarray) -> np.ndarray:
 
 def token_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash, document) of the tokens of a run of documents, with each document's end."""
-    words = Words(data, off, _SPACE)
-    n = len(words.word_start)
-    docs = np.repeat(np.arange(len(off) - 1), np.diff(words.first_word))
-    nxt = np.append(words.word_start[1:], 0)
-    last = words.first_word[1:][np.diff(words.first_word) > 0] - 1
-    nxt[last] = words.end[docs[last]]
-    out = np.full(n + len(off) - 1, END, np.uint64)
-    place = np.arange(n) + docs                             # one end token for each document before
-    if n:
-        codes, names = span_codes(words.word_start, nxt - 1, words.text)
-        out[place] = np.array([xxhash.xxh64_intdigest(w) for w in names.to_pylist()], np.uint64)[codes]
-    doc = np.full(len(out), -1, np.int64)
-    doc[place] = docs
-    doc[doc < 0] = np.arange(len(off) - 1)
+    raw, at = memoryview(data), off.tolist()
+    split = [bytes(raw[a:b]).lower().split() for a, b in zip(at, at[1:])]     # bytes: ASCII letters and white space only
+    size = np.fromiter(map(len, split), np.int64, len(split))
+    words = list(chain.from_iterable(split))
+    ends = np.cumsum(np.fromiter(map(len, words), np.int32, len(words)), dtype=np.int32)
+    cells = pa.Array.from_buffers(pa.binary(), len(words), [
+        None, pa.py_buffer(np.concatenate([np.zeros(1, np.int32), ends]).tobytes()), pa.py_buffer(b"".join(words))])
+    coded = cells.dictionary_encode()
+    del split, words
+    names = np.array([xxhash.xxh64_intdigest(w) for w in coded.dictionary.to_pylist()], np.uint64)
+    doc = np.repeat(np.arange(len(size), dtype=np.int32), size + 1)
+    out = np.full(len(doc), END, np.uint64)
+    inner = np.ones(len(doc), bool)
+    inner[np.cumsum(size + 1) - 1] = False
+    if len(names):
+        out[inner] = names[coded.indices.to_numpy()]
     return out, doc
 
 
@@ -150,23 +159,42 @@ class Router:
             at = np.minimum(np.searchsorted(self.common, u), len(self.common) - 1)
             hot = self.common[at] == u
             key[hot] += (mix(w[hot]) % self.parts[at[hot]] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-        return (mix(key) % np.uint64(self.shards)).astype(np.int64)
+        return (mix(key) % np.uint64(self.shards)).astype(np.int32)
 
     def home(self, w: np.ndarray) -> np.ndarray:
         """Shard of a word in the parent restaurant."""
         return (mix(w ^ np.uint64(0xA5A5A5A5A5A5A5A5)) % np.uint64(self.shards)).astype(np.int64)
 
 
+def _codes(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted distinct values, place of each value among them)."""
+    coded = pa.array(values).dictionary_encode()
+    names = coded.dictionary.to_numpy()
+    order = np.argsort(names)
+    rank = np.empty(len(names), np.int32)
+    rank[order] = np.arange(len(names))
+    return names[order], rank[coded.indices.to_numpy()]
+
+
 def _unit_rows(router: Router, unit: int, tokens: list[np.ndarray], docs: list[np.ndarray], ids: list[pa.Array], train: np.ndarray):
     """Messages (shard, unit, kind, payload) of one unit: pairs to shards, and what stays with the unit (kind 1)."""
     w, doc = np.concatenate(tokens), np.concatenate(docs)
     u = contexts(w, doc)
-    names, codes = np.unique(np.concatenate([u, w]), return_inverse=True)
-    cu, cw = codes[:len(u)], codes[len(u):]
     shard = router.shard(u, w)
+    names, cw = _codes(w)
+    start = int(np.searchsorted(names, np.uint64(START)))
+    names = np.insert(names, start, np.uint64(START))
+    cw += cw >= start
+    cu = np.empty_like(cw)
+    cu[1:] = cw[:-1]
+    cu[np.concatenate([[True], doc[1:] != doc[:-1]])] = start
+    del w, u
     bits = max(1, int(len(names)).bit_length())
-    order = np.argsort((shard << (2 * bits)) | (cu << bits) | cw, kind="stable")
+    key = (shard.astype(np.int64) << (2 * bits)) | (cu.astype(np.int64) << bits) | cw
+    order = np.argsort(key, kind="stable")
+    del key
     shard, cu, cw, doc = shard[order], cu[order], cw[order], doc[order]
+    del order
     edge = np.searchsorted(shard, np.arange(router.shards + 1))
     stay: list[np.ndarray] = []
     for s in range(router.shards):
@@ -218,7 +246,7 @@ def _units(router: Router, unit_tokens: int):
             for i, j in doc_groups(off, 4 << 20):
                 w, d = token_hashes(data, off[i:j + 1])
                 tokens.append(w)
-                docs.append(d + at)
+                docs.append(d + np.int32(at))
                 ids.append(b.column(1).slice(i, j - i))
                 train.append(learn[i:j])
                 held, at = held + len(w), at + j - i
@@ -241,20 +269,19 @@ def seat(c: np.ndarray, pull: np.ndarray, key: np.ndarray, sweep: int, d: float)
     tables = np.ones(len(at))
     step = 0
     while len(at):
-        salt = np.uint64((sweep << 40) + (step << 1) + 1)
-        p = np.minimum(a / (a + n - d * tables), 1.0)
-        r1 = (mix(k ^ mix(np.full(1, salt, np.uint64))) >> np.uint64(11)).astype(float) / (1 << 53)
-        gap = np.floor(np.log1p(-r1) / np.minimum(np.log1p(-np.minimum(p, 1 - 1e-12)), -1e-300))
+        # one hash a step gives the gap and the thinning draw
+        h = mix(k + np.uint64(((sweep << 40) + step + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
+        p = np.minimum(a / (a + n - d * tables), 1 - 1e-12)
+        r1, r2 = (h >> np.uint64(32)).astype(float) / (1 << 32), (h & np.uint64(0xFFFFFFFF)).astype(float) / (1 << 32)
+        gap = np.floor(np.log1p(-r1) / np.minimum(np.log1p(-p), -1e-300))
         n = n + np.minimum(gap, left)                       # customers at old tables
-        in_time = n < left
-        t[at[~in_time]] = tables[~in_time].astype(t.dtype)
-        at, n, left, a, k, p, tables = (x[in_time] for x in (at, n, left, a, k, p, tables))
-        r2 = (mix(k ^ mix(np.full(1, salt + np.uint64(1), np.uint64))) >> np.uint64(11)).astype(float) / (1 << 53)
-        tables = tables + (r2 * p < a / (a + n - d * tables))
+        tables = tables + ((n < left) & (r2 * p < a / (a + n - d * tables)))
         n = n + 1
         over = n >= left
-        t[at[over]] = tables[over].astype(t.dtype)
-        at, n, left, a, k, tables = (x[~over] for x in (at, n, left, a, k, tables))
+        if over.any():
+            t[at[over]] = tables[over].astype(t.dtype)
+            go = ~over
+            at, n, left, a, k, tables = at[go], n[go], left[go], a[go], k[go], tables[go]
         step += 1
     return t
 
@@ -411,7 +438,7 @@ def _score(left: pa.Table, right: pa.Table, router: Router, model: dict) -> pa.T
             used, local = np.unique(docs, return_inverse=True)
             add = lambda x: np.bincount(local, x[each], len(used))  # noqa: E731, B023
             out.append((unit, 0, me, pack(small(steps_of(used)), small(np.bincount(local, minlength=len(used))),
-                                          small(add(known).astype(np.int64)), add(base), add(score),
+                                          small(add(known).astype(np.int64)), fixed(add(base), BASE_UNIT), fixed(add(score), SCORE_UNIT),
                                           known[pair[many]].astype(np.uint8), base[pair[many]], score[pair[many]],
                                           np.array([n_train], np.int64))))
     unit, kind, src, payload = zip(*out)
@@ -433,7 +460,7 @@ def _gather(t: pa.Table) -> pa.Table:
         if k == 0:
             docs, n, known, base, score, *many, n_train = unpack(p)
             at = np.cumsum(docs.astype(np.int64))
-            for line, x in zip(total, (n, known, base, score)):
+            for line, x in zip(total, (n, known, base * -BASE_UNIT, score * -SCORE_UNIT)):
                 line[at] += x
             values[src], trained = many, int(n_train[0])
     at = 0
@@ -465,10 +492,11 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
                        F.coalesce(train, F.lit(False)).alias("train"), F.spark_partition_id().cast("bigint").alias("part"))
     size = rows.agg(F.sum(F.octet_length("b")).alias("b")).first()["b"] or 0
     shards = max(partitions_for(size, SHARD_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    seen = map_arrow(rows.select("b"), _group_contexts, "u bigint, n bigint").groupBy("u").agg(F.sum("n").alias("n"))
+    some = rows.select("b") if size <= SAMPLE_BYTES else rows.select("b").sample(SAMPLE_BYTES / size, 11)
+    seen = map_arrow(some, _group_contexts, "u bigint, n bigint").groupBy("u").agg(F.sum("n").alias("n"))
     total = F.sum(F.when(F.col("u").isNull(), F.col("n")))
     n = seen.agg(total.alias("n")).first()["n"] or 1
-    # at most two shards' worth of contexts reach half a shard's share each, so this list is short
+    # at most 2 * shards contexts reach half a shard's share each
     heavy = seen.filter(F.col("u").isNotNull() & (F.col("n") * (2 * shards) > n)).collect()
     router = Router(shards, {r["u"] & 0xFFFFFFFFFFFFFFFF: -(-2 * shards * r["n"] // n) for r in heavy})
     model = {"discount": discount, "strength": strength, "root_discount": root_discount, "root_strength": root_strength,
