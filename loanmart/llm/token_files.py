@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loanmart.llm.common import map_arrow, partitions_for, table
+from loanmart.llm.common import buffer_of, map_arrow, partitions_for, table
 from loanmart.session import scratch_path
 from loanmart.llm.range_coder import BLOCK_IDS, LANES, checksum, decode_blocks, encode_blocks
 
@@ -97,9 +97,17 @@ class WordIds:
             self.known, self.older, self.size = {}, self.known, 0
         known, older = self.known, self.older
         split = [t.encode().lower().split() for t in texts]  # bytes: ASCII letters and white space only
+        size = np.fromiter(map(len, split), np.int64, len(split))
+        words = list(chain.from_iterable(split))
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        cells = pa.Array.from_buffers(pa.large_binary(), len(words), [
+            None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int64).tobytes()), pa.py_buffer(b"".join(words))])
+        del split, words
+        coded = cells.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
         cut: dict[bytes, tuple[bytes, bytes]] = {}
         new: set[bytes] = set()
-        for w in set(chain.from_iterable(split)):
+        for w in distinct:
             if w not in known:
                 got = older.get(w)
                 if got is not None:
@@ -118,8 +126,11 @@ class WordIds:
         for w, (core, tail) in cut.items():
             if tail:
                 self._keep(w, known[core] + known[tail])
-        get = known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        # the ids of all words side by side, cut at the texts' ends
+        flat, off = buffer_of(pa.array([known[w] for w in distinct], pa.large_binary()).take(coded.indices))
+        at = off[np.concatenate([[0], np.cumsum(size)])].tolist()
+        raw = memoryview(flat)
+        return [bytes(raw[i:j]) for i, j in zip(at, at[1:])]
 
 
 @lru_cache(maxsize=2)
@@ -182,9 +193,9 @@ def write_ids(docs: DataFrame, path: str, tokenizer_file: str, id_col: str = "do
         for b in batches:
             if b.num_rows:
                 at = b.column(2)[0].as_py()
-            for i in range(0, b.num_rows, 512):
-                texts = b.column(1).slice(i, 512).to_pylist()
-                for k, ids in zip(b.column(0).slice(i, 512).to_pylist(), word_ids(tokenizer_file).encode(texts)):
+            for i in range(0, b.num_rows, 2048):
+                texts = b.column(1).slice(i, 2048).to_pylist()
+                for k, ids in zip(b.column(0).slice(i, 2048).to_pylist(), word_ids(tokenizer_file).encode(texts)):
                     held.append(ids + end)
                     doc.append(k)
                     total += len(ids) // 2 + 1
