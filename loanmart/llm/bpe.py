@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanmart.llm.common import add_columns, buffer_of, doc_groups, table, text_input
+from loanmart.llm.common import add_columns, buffer_of, doc_groups, register_cache, table, text_input
 
 CACHE_BYTES = 64 << 20
 _BIT = [1 << k for k in range(256)]
@@ -68,6 +68,9 @@ class Bpe:
         self.known = Known(self, {})
         self.tokens = pa.array([token.get(i) for i in range(max(token, default=-1) + 1)], pa.large_binary())
 
+    def forget(self) -> None:
+        self.known = Known(self, {})
+
     def merge_ids(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
         whole = self.rank.get(piece)
@@ -188,7 +191,9 @@ class Known(dict):
 @lru_cache(maxsize=4)
 def codec(path: str, pattern: str) -> Bpe:
     """The worker's codec; rank file and pattern are read once a process."""
-    return Bpe(path, pattern)
+    bpe = Bpe(path, pattern)
+    register_cache(__name__, bpe.forget)
+    return bpe
 
 
 def _encoded(bpe: Bpe, texts: pa.Array) -> pa.Array:

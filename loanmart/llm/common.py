@@ -44,9 +44,29 @@ def key_join(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
     return left.join(r, on, how).drop("__r_id", "__r_hash")
 
 
+_CACHES: list[tuple[str, Callable[[], None]]] = []
+
+
+def register_cache(owner: str, forget: Callable[[], None]) -> None:
+    """Name the module that keeps a cache in this worker, and how to empty it."""
+    _CACHES.append((owner, forget))
+
+
+def forget_others(owner: str) -> None:
+    """Empty the caches of other modules: workers are used again, and one that turns to another operator
+    has no use for what the last one kept."""
+    for name, forget in _CACHES:
+        if name != owner:
+            forget()
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str | T.StructType) -> DataFrame:
-    return df.mapInArrow(fn, schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema))
+    def run(batches):
+        forget_others(fn.__module__)
+        yield from fn(batches)
+
+    return df.mapInArrow(run, schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema))
 
 
 def text_input(df: DataFrame, name: str) -> Column | str:
@@ -77,6 +97,7 @@ def add_columns(df: DataFrame, inputs: list[Column | str], fn: Callable[[pa.Reco
     out = T.StructType([*keep, *added.fields])
 
     def run(batches):
+        forget_others(fn.__module__)
         for b in batches:
             if not b.num_rows:
                 continue

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanmart.llm.common import (ROW_HASH, ROW_ID, Words, add_columns, buffer_of, components, doc_groups, fold_table,
+from loanmart.llm.common import (ROW_HASH, ROW_ID, Words, add_columns, buffer_of, components, doc_groups, fold_table, forget_others,
                                  key_join, local_forest, map_arrow, partitions_for, row_key, store, table, text_input)
 
 SHINGLE, MAX_BITS, BLOCKS = 4, 4, 3
@@ -207,6 +207,7 @@ def links(points: DataFrame, fp: str = "fp", most: int = MAX_BITS, blocks: int =
                     names=["shard", "fp", "home"])
 
     def pairs(t: pa.Table) -> pa.Table:
+        forget_others(__name__)
         shard = t.column("shard")[0].as_py()
         fps, home = t.column("fp").to_numpy().view(np.uint64), t.column("home").to_numpy()
         order = np.argsort(fps * np.uint64(0x9E3779B97F4A7C15))     # same tree whatever the order of arrival

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanmart.llm.common import (ROW_HASH, ROW_ID, add_columns, buffer_of, key_join, map_arrow, partitions_for, row_key,
+from loanmart.llm.common import (ROW_HASH, ROW_ID, add_columns, buffer_of, forget_others, key_join, map_arrow, partitions_for, row_key,
                                  store, table, text_bytes, text_input)
 from loanmart.llm.suffixes import common_prefixes, suffix_array
 
@@ -200,6 +200,7 @@ def repeated_windows(texts: list[bytes], first: np.ndarray, last: np.ndarray, le
 
 def _shard(t: pa.Table, length: int, across: bool) -> pa.Table:
     """Repeated spans of each region of a shard, relative to the region; ``across``: in other rows only."""
+    forget_others(__name__)
     order = np.lexsort((t.column("w0").to_numpy(), t.column("ch").to_numpy(), t.column("gh").to_numpy()))
     t = t.take(pa.array(order))
     gh, ch, w0, w1 = (t.column(c).to_numpy() for c in ("gh", "ch", "w0", "w1"))
