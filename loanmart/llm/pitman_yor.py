@@ -11,15 +11,16 @@ with P0 the parent's prediction, and text is scored by the mean of P over severa
 1. Texts become units of ``UNIT_TOKENS`` tokens.  A unit sends each shard its pairs (word hashes, counts, and the
    documents they stand in).  A shard holds whole restaurants; those of very common contexts are parted by word.
    A pair that is frequent in a unit sends its count only: the places stay with the unit.
-2. Each shard seats its customers by Gibbs sweeps: a word's customers in a context leave and sit down again one by
-   one, given the tables of the context's other words.  During the sweeps the parent is estimated by the number of
-   contexts of a word in the shard; seatings after ``BURN`` sweeps are kept.
-3. The tables of each word, and its training count, go to the word's shard, where they are the customers of the
-   parent restaurant and are seated in turn; the sums go back to all shards that asked.
-4. Shards seat again as in 2 (randomness is a hash of pair, sweep and step, so seatings are the same on any
-   machine), predict each pair, and send each unit the sums of its documents.
+2. The start is one table for each pair.  The tables of each word go to the word's shard, where they are the
+   customers of the parent restaurant; its state, summed over all shards, goes back to all shards that asked.
+3. In a sweep each shard lets a word's customers in a context leave and sit down again one by one, given the tables of
+   the context's other words and the parent as the last sweep left them everywhere; then the parent's customers are
+   seated anew, in the words' shards.  Seatings after ``BURN`` sweeps are kept.  The words of one context, and those
+   of the parent, are seated side by side on the totals of the last sweep.
+4. Each shard predicts its pairs by the kept seatings, and sends each unit the sums of its documents.
 
-Sums per context cross shards for parted contexts only.  Words are told apart by 64-bit hashes.
+Randomness is a hash of pair, sweep and step, and all totals are exact sums over all shards, so seatings do not
+depend on the machine or on the number of shards.  Words are told apart by 64-bit hashes.
 
 Defined cases: NULL text is the empty text, which is one end token; repeated rows count as often as they
 occur and get equal scores; NULL ids count as the text ``""`` when training rows are chosen; an empty table gives
@@ -287,9 +288,9 @@ def seat(c: np.ndarray, pull: np.ndarray, key: np.ndarray, sweep: int, d: float)
 
 
 class Shard:
-    """Pairs of one shard with their seatings."""
+    """Pairs of one shard."""
 
-    def __init__(self, rows: list[tuple[int, bytes]], router: Router, model: dict):
+    def __init__(self, rows: list[tuple[int, bytes]]):
         units = [(u, unpack(p)) for u, p in rows]
         words = [np.cumsum(x[0], dtype=np.uint64) for _, x in units]
         self.names = np.unique(np.concatenate(words)) if words else np.zeros(0, np.uint64)
@@ -305,32 +306,68 @@ class Shard:
         self.sizes = [len(k) for k in keys]
         self.u, self.w = pairs >> 32, pairs & 0xFFFFFFFF
         self.c = np.bincount(self.where, np.concatenate(learnt) if learnt else None, len(pairs)).astype(np.int64)
-        self.asked = np.unique(self.w)                      # words to ask for, in the order of their shards
-        home = router.home(self.names[self.asked])
-        self.asked = self.asked[np.argsort(home, kind="stable")]
+
+
+def _compact(t: pa.Table) -> pa.Table:
+    """What the sweeps need of a shard: its names, which of them are words and contexts, and the pairs met in training."""
+    shard = Shard(_rows(t, 0))
+    if not len(shard.names):
+        return pa.table({"shard": pa.array([], pa.int64()), "payload": pa.array([], pa.binary())})
+    role = np.zeros(len(shard.names), np.uint8)
+    role[shard.w] |= 1
+    role[shard.u] |= 2
+    known = shard.c > 0
+    return pa.table({"shard": pa.array([t.column("shard")[0].as_py()], pa.int64()), "payload": pa.array([pack(
+        steps_of(shard.names), role, small(steps_of(shard.u[known])), small(shard.w[known]), small(shard.c[known]))], pa.binary())})
+
+
+class Seats:
+    """The pairs of a shard that have customers; words are asked for in the order of their shards."""
+
+    def __init__(self, names: np.ndarray, role: np.ndarray, u: np.ndarray, w: np.ndarray, c: np.ndarray, router: Router):
+        self.names, self.u, self.w, self.c = names, u, w, c
+        asked = np.flatnonzero(role & 1)
+        home = router.home(names[asked])
+        self.asked = asked[np.argsort(home, kind="stable")]
         self.home = np.sort(home, kind="stable")
-        self.place = np.zeros(len(self.names), np.int64)
+        self.place = np.zeros(len(names), np.int64)
         self.place[self.asked] = np.arange(len(self.asked))
-        m = len(self.names)
-        self.cu = np.bincount(self.u, self.c, m)            # customers of each context (this part's)
-        common = router.is_common(self.names) & (np.bincount(self.u, minlength=m) > 0)
-        self.common = np.flatnonzero(common)
-        parts = np.ones(m)
-        if len(self.common):
-            parts[self.common] = router.parts[np.searchsorted(router.common, self.names[self.common])]
-        known = self.c > 0
-        types = np.bincount(self.w[known], minlength=m)
-        guess = types[self.w] / max(1, types.sum())
-        seed = mix(self.names[self.u] * np.uint64(3) ^ mix(self.names[self.w])) if len(pairs) else np.zeros(0, np.uint64)
-        tables = known.astype(np.int64)
-        self.t: list[np.ndarray] = []
-        for sweep in range(model["burn"] + model["samples"]):
-            total = np.bincount(self.u, tables, m) * parts  # the other parts of a common context are like this one
-            others = total[self.u] - tables
-            pull = (model["strength"] + model["discount"] * others) * np.maximum(guess, 1e-12)
-            tables = seat(self.c, pull, seed, sweep, model["discount"])
-            if sweep >= model["burn"]:
-                self.t.append(tables)
+        self.cu = np.bincount(u, c, len(names)).astype(np.int64)        # customers of each context (this part's)
+        self.common = np.flatnonzero(((role & 2) > 0) & router.is_common(names))
+
+    @classmethod
+    def read(cls, payload: bytes, router: Router) -> Seats:
+        names, role, u, w, c = unpack(payload)
+        return cls(np.cumsum(names, dtype=np.uint64), role, np.cumsum(u.astype(np.int64)), w.astype(np.int64), c.astype(np.int64), router)
+
+    def per_context(self, tables: np.ndarray, hot: np.ndarray) -> np.ndarray:
+        """Tables of each context, those of common ones as all their parts have them."""
+        out = np.bincount(self.u, tables, len(self.names))
+        out[self.common] = hot
+        return out
+
+
+class Told:
+    """The parent's state for the words a shard asked for, with the sums over all shards."""
+
+    def __init__(self, rows: list[tuple[int, bytes]], seats: Seats, model: dict):
+        answers = [unpack(p) for _, p in sorted(rows)]
+        join = lambda i, kind: np.concatenate([x[i] for x in answers]).astype(kind)
+        self.customers, self.tables = join(0, np.int64), join(1, np.int64)
+        hot = join(2, np.uint64)
+        at = np.argsort(hot)
+        at = at[np.searchsorted(hot[at], seats.names[seats.common])]
+        self.hot_customers, self.hot_tables = join(3, np.int64)[at], join(4, np.int64)[at]
+        self.sums = np.sum([x[5] for x in answers], 0)      # known words, customers, tables, training tokens
+        self.count = join(6, np.int64) if answers and len(answers[0]) > 6 else None
+        self.model = model
+
+    def parent(self, place: np.ndarray, leave: np.ndarray | int = 0) -> np.ndarray:
+        """Probability of words in the parent, without ``leave`` customers of each."""
+        known, customers, tables = self.sums[:3].astype(float)
+        d, s = self.model["root_discount"], self.model["root_strength"]
+        own = self.customers[place] - leave
+        return (own - d * np.minimum(self.tables[place], own) + (s + d * tables) / (known + 1)) / (s + customers - leave)
 
 
 def _rows(t: pa.Table, kind: int) -> list[tuple[int, bytes]]:
@@ -340,58 +377,112 @@ def _rows(t: pa.Table, kind: int) -> list[tuple[int, bytes]]:
     return rows
 
 
-def _ask(t: pa.Table, router: Router, model: dict) -> pa.Table:
-    """Messages of a shard to the words' shards: hashes, training counts and tables of its words; parts of contexts."""
-    me = t.column("shard")[0].as_py()
-    shard = Shard(_rows(t, 0), router, model)
-    m = len(shard.names)
-    c = np.bincount(shard.w, shard.c, m)[shard.asked].astype(np.int64)
-    tables = [np.bincount(shard.w, x, m)[shard.asked].astype(np.int64) for x in shard.t]
-    of_context = [np.bincount(shard.u, x, m)[shard.common].astype(np.int64) for x in shard.t]
-    to = router.home(shard.names[shard.common])
-    edge = np.searchsorted(shard.home, np.arange(router.shards + 1))
-    out = []
+def _told(t: pa.Table) -> tuple[list[tuple[int, bytes]], bytes, bytes]:
+    """Answers, what the shard kept for itself, and what the words' shard of the same number kept."""
+    rows, own = [], {1: b"", 2: b""}
+    for h, k, p in zip(t.column("home").to_pylist(), t.column("kind").to_pylist(), t.column("payload").to_pylist()):
+        if k:
+            own[k] = p
+        else:
+            rows.append((h, p))
+    return rows, own[1], own[2]
+
+
+def _questions(me: int, seats: Seats, tables: np.ndarray, sums: np.ndarray, kept: list[np.ndarray], last: bool, router: Router) -> list:
+    """Messages of a shard to all words' shards: hashes and tables of its words, parts of contexts; and its own state."""
+    m = len(seats.names)
+    per_word = np.bincount(seats.w, tables, m)[seats.asked].astype(np.int64)
+    count = np.bincount(seats.w, seats.c, m)[seats.asked].astype(np.int64) if last else None
+    per_context = np.bincount(seats.u, tables, m)[seats.common].astype(np.int64)
+    to = router.home(seats.names[seats.common])
+    edge = np.searchsorted(seats.home, np.arange(router.shards + 1))
+    out = [(me, me, 1, pack(small(tables), *kept))]
     for j in range(router.shards):
         a, z = edge[j], edge[j + 1]
         mine = to == j
-        if a == z and not mine.any():
-            continue
-        hot = shard.common[mine]
-        out.append((j, me, pack(steps_of(shard.names[shard.asked[a:z]]), small(c[a:z]), *[small(x[a:z]) for x in tables],
-                                shard.names[hot], shard.cu[hot].astype(np.int64), *[x[mine] for x in of_context])))
-    dst, src, payload = zip(*out) if out else ((), (), ())
-    return pa.table({"home": pa.array(dst, pa.int64()), "asker": pa.array(src, pa.int64()), "payload": pa.array(payload, pa.binary())})
-
-
-def _answer(t: pa.Table, model: dict, shards: int) -> pa.Table:
-    """The parent restaurant's share of one shard of words: sums and tables to each asker, in the order asked."""
-    me, s = t.column("home")[0].as_py(), model["samples"]
-    rows = sorted(zip(t.column("asker").to_pylist(), t.column("payload").to_pylist()))
-    asked = [(k, unpack(p)) for k, p in rows]
+        hot = seats.common[mine]
+        out.append((j, me, 0, pack(steps_of(seats.names[seats.asked[a:z]]), small(per_word[a:z]), seats.names[hot], seats.cu[hot],
+                                   per_context[mine], sums, *([small(count[a:z])] if last else []))))
+    return out
+
+
+def _asks(rows: list) -> pa.Table:
+    home, asker, kind, payload = zip(*rows) if rows else ((), (), (), ())
+    return pa.table({"home": pa.array(home, pa.int64()), "asker": pa.array(asker, pa.int64()), "kind": pa.array(kind, pa.int64()),
+                     "payload": pa.array(payload, pa.binary())})
+
+
+def _open(t: pa.Table, router: Router, model: dict) -> pa.Table:
+    """The start: one table for each pair."""
+    seats = Seats.read(t.column("payload")[0].as_py(), router)
+    return _asks(_questions(t.column("shard")[0].as_py(), seats, (seats.c > 0).astype(np.int64), np.zeros(4, np.int64), [], False, router))
+
+
+def _sweep(left: pa.Table, right: pa.Table, sweep: int, router: Router, model: dict) -> pa.Table:
+    """One sweep over a shard's pairs, given the parent and the contexts as all shards left them."""
+    if not right.num_rows:
+        return _asks([])
+    me = right.column("shard")[0].as_py()
+    answers, state, home = _told(right)
+    out = [(me, me, 2, home)] if home else []
+    if left.num_rows:
+        seats = Seats.read(left.column("payload")[0].as_py(), router)
+        told = Told(answers, seats, model)
+        tables, *kept = unpack(state)
+        tables = tables.astype(np.int64)
+        if sweep > model["burn"]:
+            kept += _keep(tables, told)
+        others = seats.per_context(tables, told.hot_tables)[seats.u] - tables
+        pull = (model["strength"] + model["discount"] * others) * told.parent(seats.place[seats.w], tables)
+        seed = mix(seats.names[seats.u] * np.uint64(3) ^ mix(seats.names[seats.w]))
+        tables = seat(seats.c, pull, seed, sweep, model["discount"])
+        out += _questions(me, seats, tables, told.sums, kept, sweep + 1 == model["burn"] + model["samples"], router)
+    return _asks(out)
+
+
+def _keep(tables: np.ndarray, told: Told) -> list[np.ndarray]:
+    return [small(tables), small(told.customers), small(told.tables), told.hot_tables, told.sums]
+
+
+def _answer(t: pa.Table, sweep: int, model: dict) -> pa.Table:
+    """The parent restaurant's share of one shard of words: seated anew, its state to each asker in the order asked."""
+    me = t.column("home")[0].as_py()
+    asked, out, state = [], [], b""
+    for k, kind, p in zip(t.column("asker").to_pylist(), t.column("kind").to_pylist(), t.column("payload").to_pylist()):
+        if kind == 0:
+            asked.append((k, unpack(p)))
+        elif kind == 1:
+            out.append((k, me, 1, p))
+        else:
+            state = p
+    asked.sort(key=lambda x: x[0])
     names = [np.cumsum(x[0], dtype=np.uint64) for _, x in asked]
     words = np.unique(np.concatenate(names))
     places = [np.searchsorted(words, n) for n in names]
     every = np.concatenate(places)
     total = lambda i: np.bincount(every, np.concatenate([x[i].astype(float) for _, x in asked]), len(words)).astype(np.int64)
-    count, customers = total(1), [total(2 + k) for k in range(s)]
-    known = count > 0
-    tables = []
-    for k in range(s):
-        around = np.full(len(words), float(shards * known.sum()))       # tables of the whole parent, about
-        pull = (model["root_strength"] + model["root_discount"] * around) / max(1.0, shards * float(known.sum()) + 1)
-        tables.append(seat(customers[k], pull, mix(words + np.uint64(7)), 1000 + k, model["root_discount"]))
-    hot_names = [x[2 + s] for _, x in asked]
+    customers = total(1)
+    tables = np.minimum(customers, 1)
+    if sweep:
+        known, _, around, _ = asked[0][1][5].astype(float)  # of the whole parent, before this sweep
+        (before,) = unpack(state)
+        pull = (model["root_strength"] + model["root_discount"] * (around - before.astype(float))) / (known + 1)
+        tables = seat(customers, pull, mix(words + np.uint64(7)), 1000 + sweep, model["root_discount"])
+    last = sweep == model["burn"] + model["samples"]
+    count = total(6) if last else np.zeros(0, np.int64)
+    hot_names = [x[2] for _, x in asked]
     hot, hot_at = np.unique(np.concatenate(hot_names), return_inverse=True)
-    hot_sum = [np.bincount(hot_at, np.concatenate([x[3 + s + i].astype(float) for _, x in asked]), len(hot)).astype(np.int64)
-               for i in range(s + 1)]
-    sums = np.array([count.sum(), known.sum(), *[x.sum() for x in customers], *[x.sum() for x in tables]], np.int64)
-    out = []
+    hot_sum = [np.bincount(hot_at, np.concatenate([x[i].astype(float) for _, x in asked]), len(hot)).astype(np.int64) for i in (3, 4)]
+    sums = np.array([(customers > 0).sum(), customers.sum(), tables.sum(), count.sum()], np.int64)
     for (asker, _), place, mine in zip(asked, places, hot_names):
         h = np.searchsorted(hot, mine)
-        out.append(pack(small(count[place]), *[small(x[place]) for x in customers], *[small(x[place]) for x in tables],
-                        mine, *[x[h] for x in hot_sum], sums))
-    return pa.table({"shard": pa.array([k for k, _ in asked], pa.int64()), "home": pa.array([me] * len(asked), pa.int64()),
-                     "payload": pa.array(out, pa.binary())})
+        out.append((asker, me, 0, pack(small(customers[place]), small(tables[place]), mine, *[x[h] for x in hot_sum], sums,
+                                       *([small(count[place])] if last else []))))
+    if not last:
+        out.append((me, me, 2, pack(small(tables))))
+    shard, home, kind, payload = zip(*out)
+    return pa.table({"shard": pa.array(shard, pa.int64()), "home": pa.array(home, pa.int64()), "kind": pa.array(kind, pa.int64()),
+                     "payload": pa.array(payload, pa.binary())})
 
 
 def _score(left: pa.Table, right: pa.Table, router: Router, model: dict) -> pa.Table:
@@ -400,33 +491,33 @@ def _score(left: pa.Table, right: pa.Table, router: Router, model: dict) -> pa.T
                      "payload": pa.array([], pa.binary())})
     if not left.num_rows:
         return none
-    me, s = left.column("shard")[0].as_py(), model["samples"]
+    me = left.column("shard")[0].as_py()
     out = [(u, 1, me, p) for u, p in _rows(left, 1)]
-    shard = Shard(_rows(left, 0), router, model)
-    answers = [unpack(p) for _, p in sorted(zip(right.column("home").to_pylist(), right.column("payload").to_pylist()))]
-    join = lambda i, kind: np.concatenate([x[i] for x in answers]).astype(kind) if answers else np.zeros(0, kind)
+    shard = Shard(_rows(left, 0))
     if len(shard.names):
-        count = join(0, float)
-        # the answers come by word shard, as the words were asked for
-        sums = np.sum([x[-1] for x in answers], 0).astype(float)
-        n_train, n_known = sums[0], sums[1]
-        hot = join(1 + 2 * s, np.uint64)
-        order = np.argsort(hot)
-        m = len(shard.names)
+        role = np.zeros(len(shard.names), np.uint8)
+        role[shard.w] |= 1
+        role[shard.u] |= 2
+        learnt = np.flatnonzero(shard.c > 0)
+        seats = Seats(shard.names, role, shard.u[learnt], shard.w[learnt], shard.c[learnt], router)
+        answers, state, _ = _told(right)
+        told = Told(answers, seats, model)
+        tables, *kept = unpack(state)
+        kept += _keep(tables, told)
+        n_known, _, _, n_train = told.sums.astype(float)
+        cu = seats.cu.astype(float)
+        cu[seats.common] = told.hot_customers
+        count, place = told.count, seats.place[shard.w]
         chance = np.zeros(len(shard.u))
-        for k in range(s):
-            customers, tables = join(1 + k, float), join(1 + s + k, float)
-            unseen = model["root_strength"] + model["root_discount"] * sums[2 + s + k]
-            parent = (customers - model["root_discount"] * tables + unseen / (n_known + 1)) / (model["root_strength"] + sums[2 + k])
-            cu, tu = shard.cu.copy(), np.bincount(shard.u, shard.t[k], m)
-            if len(hot):
-                at = order[np.searchsorted(hot[order], shard.names[shard.common])]
-                cu[shard.common] = join(2 + 2 * s, float)[at]
-                tu[shard.common] = join(3 + 2 * s + k, float)[at]
-            chance += (shard.c - model["discount"] * shard.t[k] + (model["strength"] + model["discount"] * tu[shard.u])
-                       * parent[shard.place[shard.w]]) / (model["strength"] + cu[shard.u])
-        score = np.log10(chance / s)
-        word = count[shard.place[shard.w]]
+        for k in range(0, len(kept), 5):
+            t, told.customers, told.tables, hot, told.sums = [x.astype(np.int64) for x in kept[k:k + 5]]
+            parent = told.parent(place)
+            tu = seats.per_context(t, hot)
+            own = shard.c.astype(float)
+            own[learnt] -= model["discount"] * t
+            chance += (own + (model["strength"] + model["discount"] * tu[shard.u]) * parent) / (model["strength"] + cu[shard.u])
+        score = np.log10(chance / (len(kept) // 5))
+        word = count[place].astype(float)
         base = np.log10(word + 1) - np.log10(n_train + n_known + 1)
         known = word > 0
         at = 0
@@ -503,9 +594,15 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
              "samples": samples, "burn": burn}
     sent = map_arrow(rows, _units(router, unit_tokens), "shard bigint, unit bigint, kind bigint, payload binary")
     sent = sent.repartition(shards, "shard")
-    asked = sent.groupBy("shard").applyInArrow(lambda t: _ask(t, router, model), "home bigint, asker bigint, payload binary")
-    told = asked.repartition(shards, "home").groupBy("home").applyInArrow(
-        lambda t: _answer(t, model, shards), "shard bigint, home bigint, payload binary")
+    asks, tells = "home bigint, asker bigint, kind bigint, payload binary", "shard bigint, home bigint, kind bigint, payload binary"
+    pairs = sent.groupBy("shard").applyInArrow(_compact, "shard bigint, payload binary").repartition(shards, "shard")
+    asked = pairs.groupBy("shard").applyInArrow(lambda t: _open(t, router, model), asks)
+    tell = lambda k: lambda t: _answer(t, k, model)
+    ask = lambda k: lambda a, b: _sweep(a, b, k, router, model)
+    for sweep in range(burn + samples + 1):
+        told = asked.repartition(shards, "home").groupBy("home").applyInArrow(tell(sweep), tells)
+        if sweep < burn + samples:
+            asked = pairs.groupBy("shard").cogroup(told.groupBy("shard")).applyInArrow(ask(sweep), asks)
     scored = sent.groupBy("shard").cogroup(told.groupBy("shard")).applyInArrow(
         lambda a, b: _score(a, b, router, model), "unit bigint, kind bigint, shard bigint, payload binary")
     done = scored.groupBy("unit").applyInArrow(

@@ -119,3 +119,16 @@ def test_odd_rows(spark):
     assert score_texts(odd_docs(spark).limit(0), train).count() == 0
     none = score_texts(odd_docs(spark), F.lit(False)).collect()
     assert all(r["held_out"] and r["n_known"] == 0 and math.isfinite(r["score"]) for r in none) and len(none) == len(ODD)
+
+
+def test_scores_do_not_depend_on_the_number_of_shards(spark, monkeypatch):
+    """Also where a shard holds few of a word's contexts, and few words at all."""
+    from loanmart.llm import pitman_yor as M
+    from pyspark.sql import functions as F
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").limit(150)
+    real, got = M.partitions_for, []
+    for shards in (4, 24):
+        monkeypatch.setattr(M, "partitions_for", lambda *a, n=shards: max(n, real(*a)))
+        got.append({r["doc_id"]: (r["score"], r["base_score"], r["train_tokens"]) for r in M.score_texts(docs, F.col("doc_id") % 7 != 2).collect()})
+    a, b = got
+    assert a.keys() == b.keys() and all(x == pytest.approx(b[k], rel=1e-6) for k, x in a.items())
