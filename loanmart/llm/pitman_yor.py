@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanmart.llm.common import buffer_of, doc_groups, map_arrow, partitions_for, table, text_bytes
+from loanmart.llm.common import buffer_of, doc_groups, map_arrow, partitions_for, store, table, text_bytes
 
 DISCOUNT, STRENGTH = 0.75, 1.0              # of a context
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.8, 1.0     # of the parent
@@ -47,8 +47,7 @@ SAMPLES, BURN = 3, 1
 UNIT_TOKENS = 2_000_000
 SHARD_BYTES = 16 << 20                      # of text
 RETAIN = 64                                 # occurrences in a unit from which on a pair's places stay with it
-COMMON = 8192                               # contexts below 1 / COMMON of a text group are not counted as common
-SAMPLE_BYTES = 64 << 20                     # of text, to find common contexts (which only decide how even shards are)
+COMMON = 8192                               # contexts below 1 / COMMON of a text group (or 1 / 8 of a shard's share) are not counted
 BASE_UNIT, SCORE_UNIT = 1e-10, 1e-8         # sums of a document's tokens in one shard travel as multiples of these
 START, END = 0x5354415254, 0x454E44         # stand for hashes of the text's start and end
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -129,17 +128,19 @@ def contexts(tokens: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return before
 
 
-def _group_contexts(batches):
-    """(context, count) of the common contexts of each group of texts, and the group's number of tokens (context NULL)."""
-    for b in batches:
-        data, off = buffer_of(b.column(0))
-        for i, j in doc_groups(off, 8 << 20):
-            tokens, doc = token_hashes(data, off[i:j + 1])
-            h, n = np.unique(contexts(tokens, doc), return_counts=True)
-            some = n * COMMON >= len(tokens)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([None, *h[some].view(np.int64).tolist()], pa.int64()), pa.array([len(tokens), *n[some].tolist()], pa.int64())],
-                names=["u", "n"])
+def _group_contexts(least: int):
+    """(context, count) of the contexts of each group of texts that hold 1 / least of it, and its number of tokens (context NULL)."""
+    def fn(batches):
+        for b in batches:
+            data, off = buffer_of(b.column(0))
+            for i, j in doc_groups(off, 8 << 20):
+                tokens, doc = token_hashes(data, off[i:j + 1])
+                h, n = np.unique(contexts(tokens, doc), return_counts=True)
+                some = n * least >= len(tokens)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([None, *h[some].view(np.int64).tolist()], pa.int64()), pa.array([len(tokens), *n[some].tolist()], pa.int64())],
+                    names=["u", "n"])
+    return fn
 
 
 class Router:
@@ -583,10 +584,10 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
                        F.coalesce(train, F.lit(False)).alias("train"), F.spark_partition_id().cast("bigint").alias("part"))
     size = rows.agg(F.sum(F.octet_length("b")).alias("b")).first()["b"] or 0
     shards = max(partitions_for(size, SHARD_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    some = rows.select("b") if size <= SAMPLE_BYTES else rows.select("b").sample(SAMPLE_BYTES / size, 11)
-    seen = map_arrow(some, _group_contexts, "u bigint, n bigint").groupBy("u").agg(F.sum("n").alias("n"))
-    total = F.sum(F.when(F.col("u").isNull(), F.col("n")))
-    n = seen.agg(total.alias("n")).first()["n"] or 1
+    # what a group leaves out adds up to an eighth of a shard's share at most
+    counts = map_arrow(rows.select("b"), _group_contexts(max(COMMON, 8 * shards)), "u bigint, n bigint")
+    seen = store(counts.groupBy("u").agg(F.sum("n").alias("n")), "contexts")
+    n = seen.filter("u is null").agg(F.sum("n").alias("n")).first()["n"] or 1
     # at most 2 * shards contexts reach half a shard's share each
     heavy = seen.filter(F.col("u").isNotNull() & (F.col("n") * (2 * shards) > n)).collect()
     router = Router(shards, {r["u"] & 0xFFFFFFFFFFFFFFFF: -(-2 * shards * r["n"] // n) for r in heavy})

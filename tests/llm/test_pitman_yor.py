@@ -132,3 +132,31 @@ def test_scores_do_not_depend_on_the_number_of_shards(spark, monkeypatch):
         got.append({r["doc_id"]: (r["score"], r["base_score"], r["train_tokens"]) for r in M.score_texts(docs, F.col("doc_id") % 7 != 2).collect()})
     a, b = got
     assert a.keys() == b.keys() and all(x == pytest.approx(b[k], rel=1e-6) for k, x in a.items())
+
+
+def test_common_contexts_are_counted_over_all_text(spark, monkeypatch):
+    """One document at the end makes a context common; parting it changes no score."""
+    from loanmart.llm import pitman_yor as M
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(M, "SAMPLE_BYTES", 1, raising=False)
+    rng = np.random.default_rng(8)
+    say = lambda n: " ".join(f"w{i}" for i in rng.integers(0, 900, n))
+    docs = spark.createDataFrame([(i, say(60)) for i in range(80)] + [(99, " hot ".join(say(3000).split()))], "doc_id bigint, text string")
+    real, routers = M.Router.__init__, []
+
+    def note(self, shards, common):
+        routers.append((shards, common))
+        real(self, shards, common if whole else {})
+
+    monkeypatch.setattr(M.Router, "__init__", note)
+    got = []
+    for whole in (True, False):
+        got.append({r["doc_id"]: r["score"] for r in M.score_texts(docs, F.col("doc_id") % 7 != 2).collect()})
+    count = collections.Counter()
+    for r in docs.collect():
+        ws = tokens(r["text"])
+        count.update([None, *ws[:-1]])
+    n, shards = sum(count.values()), routers[0][0]
+    hot = {u: c for u, c in count.items() if c * 2 * shards > n}
+    assert hot and sorted(routers[0][1].values()) == sorted(-(-2 * shards * c // n) for c in hot.values())
+    assert all(got[0][k] == pytest.approx(x, rel=1e-6) for k, x in got[1].items())
