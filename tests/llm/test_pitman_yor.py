@@ -160,3 +160,24 @@ def test_common_contexts_are_counted_over_all_text(spark, monkeypatch):
     hot = {u: c for u, c in count.items() if c * 2 * shards > n}
     assert hot and sorted(routers[0][1].values()) == sorted(-(-2 * shards * c // n) for c in hot.values())
     assert all(got[0][k] == pytest.approx(x, rel=1e-6) for k, x in got[1].items())
+
+
+def test_the_parent_is_swept(spark, monkeypatch):
+    """Two sweeps at least are thrown away, and every sweep seats the parent from its state before."""
+    from loanmart.llm import pitman_yor as M
+    assert M.BURN >= 2 and M.SAMPLES >= 3
+    model = {"root_discount": 0.5, "root_strength": 1.0, "burn": 2, "samples": 3}
+    words = np.arange(1, 41, dtype=np.uint64) * np.uint64(10 ** 12)
+    tables = np.arange(40) * 5 + 1
+    state, sums, seen = b"", np.zeros(4, np.int64), []
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for sweep in range(6):
+        rows = [(0, 0, 0, M.pack(M.steps_of(words), M.small(tables), *none, sums, M.small(tables)))] + ([(0, 0, 2, state)] if state else [])
+        out = M._answer(M._asks(rows), sweep, model).to_pylist()
+        answer = M.unpack([r["payload"] for r in out if r["kind"] == 0][0])
+        sums = answer[5]
+        seen.append(answer[1].tolist())
+        assert sums[:3].tolist() == [40, tables.sum(), sum(seen[-1])] and (sweep < 5 or sums[3] == tables.sum())
+        state = b"".join(r["payload"] for r in out if r["kind"] == 2)
+    assert seen[0] == [1] * 40 and len({tuple(x) for x in seen}) == 6
+    assert all(1 <= t <= c for x in seen for t, c in zip(x, tables))
