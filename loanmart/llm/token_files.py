@@ -11,12 +11,15 @@ The texts are dealt to tasks by ranges of their ids (ties by a hash of the text,
 rows is dealt too); numbers of ids before a segment are sums over one number a segment.  Spark's writer commits the
 files, so lost executors cost the tasks they ran only.
 
+The literal text of a special token (``<|endoftext|>``) is that token, as the library has it by default.
+
 Defined cases: NULL or empty text gives the end id alone; rows of NULL id come last; equal rows give equal documents
 side by side; an empty table gives no segments and an empty result; other columns are not stored.
 """
 
 from __future__ import annotations
 
+import re
 import struct
 from functools import lru_cache
 from itertools import chain
@@ -56,7 +59,12 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        # special tokens are found before case goes (``encode_texts``): what is left only looks like one in lower case
         self.tokenizer.encode_special_tokens = True
+        special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.normalized}
+        self.special = {x: struct.pack("<H", i) for x, i in special.items()}
+        longest = sorted(special, key=len, reverse=True)
+        self.literal = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
         self.mark = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -91,8 +99,16 @@ class WordIds:
         for w, e in zip(alone, self.tokenizer.encode_batch_fast([w.decode() for w in alone], add_special_tokens=False) if alone else ()):
             self._keep(w, struct.pack(f"<{len(e.ids)}H", *e.ids))
 
+    def encode_texts(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as the library's defaults give them: the literal text of a special token is that token."""
+        if self.literal is None:
+            return self.encode(texts)
+        cut = [self.literal.split(t) for t in texts]                # text and literals in turn
+        ids = iter(self.encode([x for parts in cut for x in parts[::2]]))
+        return [b"".join(self.special[x] if k % 2 else next(ids) for k, x in enumerate(parts)) for parts in cut]
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 16-bit integers."""
+        """Ids of each text, special tokens' literals as plain text, as little-endian unsigned 16-bit integers."""
         if self.size > CACHE_BYTES:
             self.known, self.older, self.size = {}, self.known, 0
         known, older = self.known, self.older
@@ -195,7 +211,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_file: str, id_col: str = "do
                 at = b.column(2)[0].as_py()
             for i in range(0, b.num_rows, 2048):
                 texts = b.column(1).slice(i, 2048).to_pylist()
-                for k, ids in zip(b.column(0).slice(i, 2048).to_pylist(), word_ids(tokenizer_file).encode(texts)):
+                for k, ids in zip(b.column(0).slice(i, 2048).to_pylist(), word_ids(tokenizer_file).encode_texts(texts)):
                     held.append(ids + end)
                     doc.append(k)
                     total += len(ids) // 2 + 1

@@ -92,3 +92,20 @@ def test_words_encode_like_whole_texts():
         assert np.frombuffer(got, "<u2").tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
     for _, text in texts(SF001):
         assert np.frombuffer(words.encode([text])[0], "<u2").tolist() == t.encode(text, add_special_tokens=False).ids
+
+
+def test_special_literals_are_the_tokens_of_the_unchanged_tokenizer(spark, tmp_path):
+    import public_tokenizers
+    from loanmart.llm.token_files import read_ids, write_ids
+    from tokenizers import Tokenizer
+    name = public_tokenizers.path("word_bpe_49k.json")
+    t = Tokenizer.from_file(name)
+    rng = np.random.default_rng(6)
+    bits = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|endoftext", "|>", "Été", "é", "́", "don't", "x!", " ", "\n", "\x01", ".", "Σ"]
+    cases = ["<|endoftext|>", "a<|endoftext|>b <|startoftext|> c", "<|ENDOFTEXT|>", ""] + ["".join(rng.choice(bits, 9)) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id bigint, text string").repartition(3)
+    write_ids(df, str(tmp_path / "a"), name)
+    got = {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in read_ids(spark, str(tmp_path / "a")).collect()}
+    assert got[1][1] in (49406, 49407)
+    for i, text in enumerate(cases):
+        assert got[i] == t.encode(text, add_special_tokens=False).ids + [1], repr(text)
