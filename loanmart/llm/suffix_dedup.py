@@ -34,6 +34,7 @@ LENGTH, GRAM = 400, 64
 PIECE = 1 << 20                 # bytes of text looked at together
 SHARD_BYTES, HOT_BYTES = 2 << 20, 8 << 20
 _ODD = 0x9E3779B97F4A7C15 | 1
+_WORD_BYTE = ~np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -319,15 +320,26 @@ def _whole_characters(text: np.ndarray, spans: np.ndarray) -> np.ndarray:
     return np.array(out, np.int64).reshape(-1, 2)
 
 
+def _long_enough(text: np.ndarray, spans: np.ndarray, least_bytes: int, least_words: int) -> np.ndarray:
+    """Spans of at least so many bytes or at least so many words (runs of bytes that are not white space)."""
+    keep = spans[:, 1] - spans[:, 0] >= least_bytes
+    for i in np.flatnonzero(~keep).tolist():
+        word = _WORD_BYTE[text[spans[i, 0]:spans[i, 1]]]
+        keep[i] = int(word[0]) + np.count_nonzero(word[1:] & ~word[:-1]) >= least_words
+    return spans[keep]
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                   whole_characters: bool = False) -> DataFrame:
+                   whole_characters: bool = False, gram: int = GRAM, least_bytes: int = 0, least_words: int = 0) -> DataFrame:
     """Append ``kept`` (binary: the bytes that stay) and ``removed`` (flat pairs of byte offsets) to ``docs``.
 
     With ``whole_characters`` a character that is covered in part only stays, so that ``kept`` is valid UTF-8.
+    With ``least_words`` a maximal repeated run goes only if it has that many words or ``least_bytes`` bytes: with a
+    small ``length`` this finds passages by their words, whatever the length of a word.
     """
     key_id, key_hash = row_key(id_col, text_col)
     keyed = docs.select(key_id, key_hash, F.col(f"`{text_col}`").alias("text"))
-    spans = repeated_spans(keyed, length)
+    spans = repeated_spans(keyed, length, gram)
     joined = key_join(docs.withColumns({ROW_ID: key_id, ROW_HASH: key_hash}), spans, "left").drop(ROW_ID, ROW_HASH)
 
     def fn(b: pa.RecordBatch) -> list[pa.Array]:
@@ -338,6 +350,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             hits = b.column(1)[i]
             if hits.is_valid:
                 cut = row_spans(hits.as_py())
+                if least_words:
+                    cut = _long_enough(text, cut, least_bytes, least_words)
                 if whole_characters:
                     cut = _whole_characters(text, cut)
                 stay = np.ones(len(text), bool)

@@ -11,9 +11,10 @@ from tests.llm.test_suffix_dedup import plain_removed
 from tests.llm.test_text_ops import plain_components, plain_hits, plain_simhash
 
 
-def cut_repeats(rows, length=400):
-    """Texts without characters whose bytes all lie in repeated strings."""
+def cut_repeats(rows, length=200, most_bytes=400, most_words=50):
+    """Texts without characters whose bytes all lie in repeated strings, in runs of many bytes or words."""
     import collections
+    import re
     data = [t.encode() for _, t in rows]
     seen = collections.Counter(b[i:i + length] for b in data for i in range(len(b) - length + 1))
     out = []
@@ -24,6 +25,10 @@ def cut_repeats(rows, length=400):
                 gone[p] += 1
                 gone[p + length] -= 1
         gone, at, kept = np.cumsum(gone) > 0, 0, []
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(int), [0]])))
+        for s, e in edge.reshape(-1, 2).tolist():
+            if e - s < most_bytes and len(re.findall(rb"[^\x20\x09-\x0D]+", b[s:e])) <= most_words:
+                gone[s:e] = False
         for c in t:
             n = len(c.encode())
             if not gone[at:at + n].all():
@@ -67,6 +72,26 @@ def test_stages_against_plain(spark):
     assert sorted(map(str, P.run(spark, SF001).collect())) == sorted(map(str, last))
 
 
+def test_passages_of_over_fifty_words_go(spark):
+    """Passages of 51 to 60 words below 400 bytes go from all texts, those of 40 words stay, other text stays."""
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("abcdefghiéß"), rng.integers(2, 8)))
+    passage = lambda n: " ".join(word() for _ in range(n))
+    long, short = [passage(n) for n in (51, 53, 60)], [passage(40) for _ in range(3)]
+    assert all(len(p.encode()) < 400 for p in long[:2])
+    rows = [(i, f"{passage(80)}\n{long[i % 3]}\n{passage(60)} {short[i % 3]} {passage(30)}") for i in range(24)]
+    rows += [(100 + i, passage(150)) for i in range(20)]
+    df = spark.createDataFrame([(*r, "en", "s", len(r[1])) for r in rows],
+                               "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(4)
+    got = {r["doc_id"]: r["text"] for r in P.repeats(spark, df, SF001).collect()}
+    assert got == dict(cut_repeats(rows))
+    for i, t in rows:
+        if i < 100:
+            assert long[i % 3][1:-1] not in got[i] and short[i % 3] in got[i] and len(got[i]) >= len(t) - len(long[i % 3]) - 12
+        else:
+            assert got[i] == t
+
+
 def test_stages_take_odd_and_empty_tables(spark):
     from loanmart.llm.common import store
     for docs in (odd_docs(spark), odd_docs(spark).limit(0)):
