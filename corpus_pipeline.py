@@ -44,9 +44,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 400 bytes that occur more than once go from every text (whole characters only);
-    ``n_chars`` follows the text."""
-    done = remove_repeats(apart(docs), whole_characters=True)
+    """Runs of over 50 words, or of 400 bytes, that repeat go from every text (whole characters only);
+    ``n_chars`` follows the text.  Runs are found from 200 bytes on, as 50 words have four bytes each or more."""
+    done = remove_repeats(apart(docs), whole_characters=True, length=200, gram=32, least_bytes=400, least_words=51)
     text = F.when(F.col("text").isNotNull(), F.col("kept").cast("string"))
     new = {"text": text}
     if "n_chars" in docs.columns:
