@@ -7,19 +7,22 @@ import __spark_entry__ as E
 from tests.conftest import SF001
 from tests.llm.cases import ODD, by_id
 
+NUMBERS = [*range(1, 11), 13]
+WITH_SQL = ["op3_url_filter", "op4_suffix_dedup", "op9_decontaminate", "op13_merkle"]
+
 
 def test_all_queries_are_registered():
     keys = E.queries()
     assert "pipeline" in keys
-    for n in range(1, 11):
+    for n in NUMBERS:
         assert len([k for k in keys if k.startswith(f"op{n}_")]) == 1
-    assert {k for k in E.oracle_sql() if k.startswith("op")} == {"op3_url_filter", "op4_suffix_dedup", "op9_decontaminate"}
+    assert {k for k in E.oracle_sql() if k.startswith("op")} == set(WITH_SQL)
 
 
-@pytest.mark.parametrize("key", ["op3_url_filter", "op4_suffix_dedup", "op9_decontaminate"])
+@pytest.mark.parametrize("key", WITH_SQL)
 def test_sql_agrees(spark, key):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF001}/{t}.parquet'")
     got = E.queries()[key](spark, SF001)
     res = con.execute(E.oracle_sql()[key])
