@@ -18,6 +18,7 @@ from loanmart.llm.suffix_dedup import OP4_SQL, op4_suffix_dedup
 from loanmart.llm.token_counts import op10_token_counts
 from loanmart.llm.token_files import op8_token_files
 from loanmart.llm.url_filter import OP3_SQL, op3_url_filter
+from loanmart.llm.vector_search import OP12_SQL, op12_vector_search
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
@@ -31,6 +32,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_decontaminate": op9_decontaminate,
     "op10_token_counts": op10_token_counts,
+    "op12_vector_search": op12_vector_search,
     "op13_merkle": op13_merkle,
 }
 
@@ -38,5 +40,6 @@ SQL: dict[str, str] = {
     "op3_url_filter": OP3_SQL,
     "op4_suffix_dedup": OP4_SQL,
     "op9_decontaminate": OP9_SQL,
+    "op12_vector_search": OP12_SQL,
     "op13_merkle": OP13_SQL,
 }
