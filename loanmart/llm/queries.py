@@ -10,6 +10,7 @@ from corpus_pipeline import run as pipeline
 from loanmart.llm.bpe import op1_byte_bpe
 from loanmart.llm.decontaminate import OP9_SQL, op9_decontaminate
 from loanmart.llm.html_text import op7_html_text
+from loanmart.llm.lexical_search import OP11_SQL, op11_lexical_search
 from loanmart.llm.merkle import OP13_SQL, op13_merkle
 from loanmart.llm.pitman_yor import op2_pitman_yor
 from loanmart.llm.quality import op5_quality
@@ -32,6 +33,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_decontaminate": op9_decontaminate,
     "op10_token_counts": op10_token_counts,
+    "op11_lexical_search": op11_lexical_search,
     "op12_vector_search": op12_vector_search,
     "op13_merkle": op13_merkle,
 }
@@ -40,6 +42,7 @@ SQL: dict[str, str] = {
     "op3_url_filter": OP3_SQL,
     "op4_suffix_dedup": OP4_SQL,
     "op9_decontaminate": OP9_SQL,
+    "op11_lexical_search": OP11_SQL,
     "op12_vector_search": OP12_SQL,
     "op13_merkle": OP13_SQL,
 }

@@ -7,8 +7,9 @@ import __spark_entry__ as E
 from tests.conftest import SF001
 from tests.llm.cases import ODD, by_id
 
-NUMBERS = [*range(1, 11), 12, 13]
-WITH_SQL = ["op3_url_filter", "op4_suffix_dedup", "op9_decontaminate", "op12_vector_search", "op13_merkle"]
+NUMBERS = range(1, 14)
+WITH_SQL = ["op3_url_filter", "op4_suffix_dedup", "op9_decontaminate", "op11_lexical_search", "op12_vector_search",
+            "op13_merkle"]
 
 
 def test_all_queries_are_registered():
