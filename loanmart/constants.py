@@ -53,4 +53,16 @@ GBT_GRID = {
     "minInfoGain": [0.0, 0.1, 0.2, 0.3, 0.4],
     "featureSubsetStrategy": ["0.5", "0.7", "1.0"],
 }
+# The parameters that the source found for its leaf-wise learner.
+LEAFWISE_PRESET = {
+    "col_share": 0.45544541538547634,
+    "learning_rate": 0.09712737568777673,
+    "max_depth": 10,
+    "min_child_weight": 44.81416318834993,
+    "min_split_gain": 0.47913323843650946,
+    "num_leaves": 44,
+    "reg_alpha": 8.507126649843658,
+    "reg_lambda": 2.2113739093853257,
+    "row_share": 0.43342993037373423,
+}
 MLP_HIDDEN = (150, 75, 25)

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanmart.constants import GBT_GRID, MLP_HIDDEN, SEED
+from loanmart.operators.boosting import BoostedModel
 
 
 def assembler(cols: Sequence[str], out: str = "features") -> VectorAssembler:
@@ -59,9 +60,12 @@ def mlp_classifier(cols: Sequence[str], label: str = "label", hidden: Sequence[i
     ])
 
 
-def score(model: PipelineModel, df: DataFrame, keep: Sequence[str], threshold: float = 0.5,
+def score(model: PipelineModel | BoostedModel, df: DataFrame, keep: Sequence[str], threshold: float = 0.5,
           out: str = "score") -> DataFrame:
-    """Probability of the positive class and the hard class at ``threshold``."""
+    """Probability of the positive class and the hard class at ``threshold``.  ``model``: a fitted pipeline or
+    boosted trees of this library."""
+    if isinstance(model, BoostedModel):
+        return model.score(df, keep, threshold).withColumnRenamed("score", out)
     scored = model.transform(df)
     p = vector_to_array(F.col("probability"))[1]
     return scored.select(*keep, p.alias(out), (p > threshold).cast("int").alias("pred"))
