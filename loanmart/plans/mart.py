@@ -6,24 +6,29 @@ training split only and applied to other rows by ``Prepared.transform``.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanmart.operators import metrics as M
 from loanmart.operators import models as T
 from loanmart.operators import prep as P
 from loanmart.operators import resample as R
+from loanmart.operators.boosting import BoostedModel, TreeParams, fit_boosted
 from loanmart.operators.sample import hash_split, kfold_assign
+from loanmart.operators.target_stats import OrderedTargetEncoder
+from loanmart.operators.ward import ward_undersample
 from loanmart.operators.windows import padded_sequences
 from loanmart.session import cut_lineage
 from loanmart import constants as C
 
-MODELS = ("gbt", "mlp")
-RESAMPLINGS = (None, "cluster", "cluster_smote", "random_smote")
-ENCODINGS = ("onehot", "label")
+MODELS = ("gbt", "mlp", "leafwise", "symmetric")
+BOOSTED = {"leafwise": "label", "symmetric": "target"}      # boosted trees of this library, and the encoding of their strings
+RESAMPLINGS = (None, "cluster", "ward", "cluster_smote", "random_smote")
+ENCODINGS = ("onehot", "label", "target")
 IMPUTATIONS = ("constant", "mean")
 
 
@@ -44,7 +49,7 @@ class Prepared:
     label: str = ""
     string_fill: str = C.STRING_FILL
     imputer: P.MeanImputer | None = None
-    encoder: P.SparseOneHot | P.LabelEncoder | None = None
+    encoder: P.SparseOneHot | P.LabelEncoder | OrderedTargetEncoder | None = None
 
     def transform(self, df: DataFrame) -> DataFrame:
         """The fitted preparation on any rows with the mart's columns; the
@@ -59,6 +64,29 @@ class Prepared:
         keep = [c for c in (self.id_col, self.label) if c in d.columns]
         return d.select(*keep, *[F.col(f"`{c}`") for c in self.features])
 
+    def save(self, path: str) -> None:
+        """The fitted steps below ``path``: settings as text, the encoder's dictionary as Parquet (no rows of data)."""
+        e = self.encoder
+        kind = {P.SparseOneHot: "onehot", P.LabelEncoder: "label", OrderedTargetEncoder: "target"}[type(e)]
+        more = {"onehot": lambda: {"sizes": e.sizes}, "label": lambda: {"missing": e.missing},
+                "target": lambda: {"prior": e.prior, "weight": e.weight}}[kind]()
+        meta = {"features": self.features, "dropped": self.dropped, "id_col": self.id_col, "label": self.label, "string_fill": self.string_fill,
+                "means": self.imputer.means if self.imputer else None, "encoder": kind, "cols": e.cols, **more}
+        table = e.stats if kind == "target" else e.codes
+        table.write.mode("overwrite").parquet(f"{path}/dictionary")
+        spark = table.sparkSession
+        spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "Prepared":
+        """The fitted steps of ``save``, in any session; ``train`` and ``test`` are None."""
+        m = json.loads(spark.read.text(f"{path}/meta", wholetext=True).first()[0])
+        table = spark.read.parquet(f"{path}/dictionary")
+        make = {"onehot": lambda: P.SparseOneHot(m["cols"], table, m["sizes"]), "label": lambda: P.LabelEncoder(m["cols"], table, m["missing"]),
+                "target": lambda: OrderedTargetEncoder(m["cols"], m["prior"], m["weight"], table)}
+        imputer = P.MeanImputer(m["means"]) if m["means"] is not None else None
+        return cls(None, None, m["features"], m["dropped"], m["id_col"], m["label"], m["string_fill"], imputer, make[m["encoder"]]())
+
 
 def prepare(mart: DataFrame, id_col: str, label: str, test_size: float = C.TEST_SIZE, seed: int = C.SEED,
             exclude: Sequence[str] = (), corr_threshold: float = C.CORR_THRESHOLD, string_fill: str = C.STRING_FILL,
@@ -66,7 +94,8 @@ def prepare(mart: DataFrame, id_col: str, label: str, test_size: float = C.TEST_
     """Split first, then fit the correlation filter, imputation and encoding
     on the training part and apply them to both parts.  Every string column
     is encoded, whatever its number of values: ``onehot`` as one sparse
-    vector column, ``label`` as its code."""
+    vector column, ``label`` as its code, ``target`` as its (for training
+    rows ordered) mean label."""
     _choice("encoding", encoding, ENCODINGS)
     _choice("impute", impute, IMPUTATIONS)
     # The mart is a wide plan over every child table; fitting takes many
@@ -82,12 +111,16 @@ def prepare(mart: DataFrame, id_col: str, label: str, test_size: float = C.TEST_
         imputer = P.MeanImputer.fit(kept, [c for c in P.columns_of_type(kept, strings=False) if c not in (id_col, label)])
         kept = imputer.transform(kept)
     filled = P.impute_constant(kept, string_fill, 0, exclude=[id_col, label])
-    encoder = P.SparseOneHot.fit(filled, strings) if encoding == "onehot" else P.LabelEncoder.fit(filled, strings)
+    if encoding == "target":
+        encoder, ordered = OrderedTargetEncoder.fit_transform(filled, id_col, label, strings, seed=seed)
+    else:
+        encoder = P.SparseOneHot.fit(filled, strings) if encoding == "onehot" else P.LabelEncoder.fit(filled, strings)
     features = [c for c in filled.columns if c not in (id_col, label, *(strings if encoding == "onehot" else ()))]
     if encoding == "onehot":
         features += encoder.outputs
     p = Prepared(train, test, features, dropped, id_col, label, string_fill, imputer, encoder)
-    p.train, p.test = cut_lineage(p.transform(train)), cut_lineage(p.transform(test))
+    ready = ordered.select(id_col, label, *[F.col(f"`{c}`") for c in features]) if encoding == "target" else p.transform(train)
+    p.train, p.test = cut_lineage(ready), cut_lineage(p.transform(test))
     return p
 
 
@@ -110,6 +143,14 @@ class RunConfig:
     search_draws: int = 0
     cross_validate: bool = False
     exclude: tuple[str, ...] = ()
+    trees: TreeParams | None = None     # of the models leafwise and symmetric
+
+
+def preset(name: str, **more) -> RunConfig:
+    """A run with the source's own choices: ``leafwise`` with the parameters it found, ``symmetric`` with ordered statistics."""
+    _choice("preset", name, tuple(BOOSTED))
+    trees = TreeParams(n_trees=100, **C.LEAFWISE_PRESET) if name == "leafwise" else TreeParams(grow="symmetric", n_trees=100, max_depth=6, reg_lambda=5.0)
+    return RunConfig(model=name, encoding=BOOSTED[name], trees=trees, **more)
 
 
 def dense_features(df: DataFrame, keep: Sequence[str], cols: Sequence[str], out: str = "x") -> DataFrame:
@@ -120,7 +161,8 @@ def dense_features(df: DataFrame, keep: Sequence[str], cols: Sequence[str], out:
 
 
 def rebalance(train: DataFrame, cfg: RunConfig, cols: Sequence[str]) -> DataFrame:
-    """'cluster': cluster under-sampling to 1:1; 'cluster_smote' and
+    """'cluster': cluster under-sampling to 1:1; 'ward': one row per Ward
+    cluster, 1:1; 'cluster_smote' and
     'random_smote': majority to ceil(N/2) and SMOTE up to 1:1.  The result
     has the features in one vector column ``x`` and is written once, so that
     the passes of a fit do not repeat clustering and neighbour search."""
@@ -129,6 +171,8 @@ def rebalance(train: DataFrame, cfg: RunConfig, cols: Sequence[str]) -> DataFram
     vec = cut_lineage(vec)
     if cfg.resample == "cluster":
         out = R.cluster_undersample(vec, cfg.id_col, cfg.label, "x", seed=cfg.seed)
+    elif cfg.resample == "ward":
+        out = ward_undersample(vec, cfg.id_col, cfg.label, "x", seed=cfg.seed)
     else:
         how = R.under_over_sample if cfg.resample == "cluster_smote" else R.random_under_smote
         out = how(vec, cfg.id_col, cfg.label, "x", seed=cfg.seed)
@@ -156,19 +200,59 @@ def evaluate(scored: DataFrame, label: str, threshold: float) -> DataFrame:
     return M.summary(s, threshold=threshold)
 
 
+@dataclass
+class Ready:
+    """Makes prepared rows ready for a model: as they are, or (``width``) packed into one vector ``x`` as rebalanced rows are."""
+
+    keep: list[str]
+    features: list[str]
+    width: int | None = None
+
+    def sized(self, df: DataFrame) -> DataFrame:
+        from pyspark.ml.feature import VectorSizeHint
+        return VectorSizeHint(inputCol="x", size=self.width, handleInvalid="optimistic").transform(df)
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        if self.width is None:
+            return df
+        from pyspark.ml.functions import array_to_vector
+        keep = [c for c in self.keep if c in df.columns]
+        return self.sized(dense_features(df, keep, self.features).withColumn("x", array_to_vector("x")))
+
+
+def save_scorer(path: str, prep: Prepared, model, ready: Ready) -> None:
+    """A fitted model with all that scoring raw mart rows needs, below ``path``."""
+    spark = prep.train.sparkSession
+    prep.save(f"{path}/prepared")
+    if isinstance(model, BoostedModel):
+        model.save(spark, f"{path}/trees")
+    else:
+        model.write().overwrite().save(f"{path}/pipeline")
+    meta = {"boosted": isinstance(model, BoostedModel), "width": ready.width}
+    spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
+
+
+def load_scorer(spark: SparkSession, path: str):
+    """(prepared, model, ready) of ``save_scorer`` for ``score_rows``."""
+    from pyspark.ml import PipelineModel
+    meta = json.loads(spark.read.text(f"{path}/meta", wholetext=True).first()[0])
+    prep = Prepared.load(spark, f"{path}/prepared")
+    model = BoostedModel.load(spark, f"{path}/trees") if meta["boosted"] else PipelineModel.load(f"{path}/pipeline")
+    return prep, model, Ready([prep.id_col, prep.label], prep.features, meta["width"])
+
+
 def fit_model(prep: Prepared, cfg: RunConfig):
     """(fitted model, function that readies prepared rows for it, info)."""
-    train, cols, ready = prep.train, prep.features, lambda df: df
+    train, cols, ready = prep.train, prep.features, Ready([cfg.id_col, cfg.label], prep.features)
+    if cfg.model in BOOSTED:
+        if cfg.resample or cfg.cross_validate or cfg.search_draws:
+            raise ValueError(f"model {cfg.model!r} takes no resampling, cross-validation or search")
+        trees = cfg.trees or preset(cfg.model).trees
+        return fit_boosted(train, cfg.id_col, cfg.label, cols, trees), ready, {"features": len(cols), "dropped_correlated": prep.dropped}
     width = feature_width(train, cols)
     if cfg.resample:
-        from pyspark.ml.feature import VectorSizeHint
-        from pyspark.ml.functions import array_to_vector
-        sized = VectorSizeHint(inputCol="x", size=width, handleInvalid="optimistic")
-        train = sized.transform(rebalance(train, cfg, cols))
-
-        def ready(df: DataFrame) -> DataFrame:
-            keep = [c for c in (cfg.id_col, cfg.label) if c in df.columns]
-            return sized.transform(dense_features(df, keep, prep.features).withColumn("x", array_to_vector("x")))
+        ready.width = width
+        train = ready.sized(rebalance(train, cfg, cols))
         cols = ["x"]
     pipe = build_pipeline(cfg, cols, width)
     info: dict = {"features": width, "dropped_correlated": prep.dropped}
@@ -194,7 +278,7 @@ def run(mart: DataFrame, cfg: RunConfig | None = None) -> tuple[DataFrame, DataF
     _choice("resample", cfg.resample, RESAMPLINGS)
     fill = C.CLUSTER_STRING_FILL if cfg.resample else C.STRING_FILL
     prep = prepare(mart, cfg.id_col, cfg.label, cfg.test_size, cfg.seed, cfg.exclude, string_fill=fill,
-                   encoding=cfg.encoding, impute=cfg.impute)
+                   encoding=BOOSTED[cfg.model] if cfg.model in BOOSTED and cfg.encoding == "onehot" else cfg.encoding, impute=cfg.impute)
     model, ready, info = fit_model(prep, cfg)
     scored = cut_lineage(T.score(model, ready(prep.test), [cfg.id_col, cfg.label], threshold=cfg.threshold))
     flat = scored.select(F.col(cfg.label).cast("int").alias("label"), "score")

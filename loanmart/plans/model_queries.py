@@ -9,13 +9,13 @@ ones SQL computes from the stored scores.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from loanmart import constants as C
 from loanmart.operators import models as T
+from loanmart.operators.boosting import TreeParams
 from loanmart.operators.sample import kfold_assign
+from loanmart.operators.target_stats import OrderedTargetEncoder
 from loanmart.plans import blocks as B
 from loanmart.plans import mart as MT
 from loanmart.plans import sqlkit as S
@@ -145,21 +145,20 @@ def sequence_embedding(spark, sf):
 COUNTED = f"(SELECT count(*) FROM application WHERE {HELD}) AS n_rows, (SELECT count(*) FROM application WHERE {HELD} AND {LABEL} = 1) AS n_pos"
 
 
+def _curve_area(scores) -> float:
+    """Area under the ROC curve by Spark ML (trapezoids over sorted distinct scores), the other way to the same number."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    raw = scores.select(F.col("y").cast("double").alias("label"), "score")
+    return BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0).evaluate(raw)
+
+
 def _measures(metrics, scored, threshold: float):
-    """Hold-out size and whether the reported measures equal those that SQL computes from the stored scores."""
-    spark = scored.sparkSession
+    """Hold-out size and whether the reported measures equal those computed anew from the stored scores."""
     s = scored.select(F.col(LABEL).cast("int").alias("y"), "score")
-    name = f"scored_{uuid.uuid4().hex}"
-    s.createOrReplaceTempView(name)
-    again = spark.sql(f"""
-        WITH r AS (SELECT y, score, avg(rn) OVER (PARTITION BY score) AS rk
-                   FROM (SELECT y, score, row_number() OVER (ORDER BY score) AS rn FROM {name})),
-        t AS (SELECT sum(y) AS p, sum(1 - y) AS n, sum(CASE WHEN y = 1 THEN rk END) AS ranks FROM r),
-        c AS (SELECT count_if(score > {threshold} AND y = 1) AS tp, count_if(score > {threshold} AND y = 0) AS fp,
-                     count_if(score <= {threshold} AND y = 1) AS fn, count_if(score <= {threshold} AND y = 0) AS tn FROM {name})
-        SELECT (ranks - p * (p + 1) / 2) / (p * n) AS auc2, tp AS tp2, fp AS fp2, fn AS fn2, tn AS tn2, p + n AS n_rows, p AS n_pos
-        FROM t CROSS JOIN c""").first()
-    spark.catalog.dropTempView(name)
+    hit, pos = F.col("score") > threshold, F.col("y") == 1
+    again = s.agg(F.count_if(hit & pos).alias("tp2"), F.count_if(hit & ~pos).alias("fp2"), F.count_if(~hit & pos).alias("fn2"),
+                  F.count_if(~hit & ~pos).alias("tn2"), F.count(F.lit(1)).alias("n_rows"), F.count_if(pos).alias("n_pos")).first().asDict()
+    again["auc2"] = _curve_area(s) if 0 < again["n_pos"] < again["n_rows"] else float("nan")
     m = metrics.first()
 
     def near(a, b):
@@ -220,3 +219,72 @@ def score_submission(spark, sf):
     scored.select(KEY, F.col("score").alias(LABEL)).write.mode("overwrite").option("header", True).csv(path)
     back = read_table(spark, path, schema=f"{KEY} bigint, {LABEL} double", fmt="csv")
     return back.select(KEY, ((F.col(LABEL) >= 0) & (F.col(LABEL) <= 1)).alias("is_probability"))
+
+
+# ------------------------------------------------- boosted trees of this library
+
+LEAFWISE = TreeParams(n_trees=5, num_leaves=16, max_depth=6, min_child_rows=10)
+
+
+def _boosted(spark, sf, name: str, trees: TreeParams):
+    cfg = _config(model=name, trees=trees)
+    return MT.run(build_mart(spark, sf), cfg)
+
+
+@register("leafwise_splits")
+def leafwise_splits(spark, sf):
+    """T1, leaf-wise learner: every split with its gain and rows.  (The source's minimum child weight of 44.8 leaves no
+    split on the small stand-in tables, see ``mart.preset`` for its parameters.)"""
+    _m, _s, info = _boosted(spark, sf, "leafwise", LEAFWISE)
+    return spark.createDataFrame(info["model"].splits(), "tree int, node int, feature string, threshold double, gain double, n_rows bigint")
+
+
+@register("leafwise_scores")
+def leafwise_scores(spark, sf):
+    """T1, leaf-wise learner: hold-out scores and classes."""
+    _m, scored, _i = _boosted(spark, sf, "leafwise", LEAFWISE)
+    return scored.select(KEY, F.col(LABEL).cast("int").alias(LABEL), "score", "pred")
+
+
+@register("symmetric_scores")
+def symmetric_scores(spark, sf):
+    """T1, symmetric trees on ordered target statistics: hold-out scores and classes."""
+    _m, scored, _i = _boosted(spark, sf, "symmetric", TreeParams(grow="symmetric", n_trees=5, max_depth=5, reg_lambda=5.0))
+    return scored.select(KEY, F.col(LABEL).cast("int").alias(LABEL), "score", "pred")
+
+
+ENCODE_SEED = 21
+
+
+@register("ordered_target_encode", S.rounded(f"""
+    WITH r AS (SELECT d.doc_id, d.source, d.lang, l.toxic AS y, {S.hash_int('d.doc_id', ENCODE_SEED)} AS h
+               FROM documents d JOIN labels l ON l.doc_id = d.doc_id),
+    p AS (SELECT avg(y) AS prior FROM r)
+    SELECT doc_id,
+           (coalesce(sum(y) OVER (PARTITION BY source ORDER BY h, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + prior)
+           / (count(y) OVER (PARTITION BY source ORDER BY h, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1) AS source,
+           (coalesce(sum(y) OVER (PARTITION BY lang ORDER BY h, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + prior)
+           / (count(y) OVER (PARTITION BY lang ORDER BY h, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1) AS lang
+    FROM r, p""", ["source", "lang"]))
+def ordered_target_encode(spark, sf):
+    """T1, category handling: running mean label of the earlier rows of the same source and language."""
+    from loanmart.plans.queries import finish
+    docs = V.table(spark, sf, "documents").select("doc_id", "source", "lang")
+    rows = docs.join(V.table(spark, sf, "labels").select("doc_id", F.col("toxic").alias("y")), "doc_id")
+    _enc, train = OrderedTargetEncoder.fit_transform(rows, "doc_id", "y", ["source", "lang"], seed=ENCODE_SEED, rows_per_range=100_000)
+    return finish(train.select("doc_id", "source", "lang"))
+
+
+@register("model_roundtrip", with_views(f"SELECT {KEY}, true AS same_score FROM application", "application"))
+def model_roundtrip(spark, sf):
+    """The raw mart scored with the fitted preparation and model, and with both after saving and loading."""
+    p = _prepared(spark, sf)
+    model, ready, _info = MT.fit_model(p, _config(max_iter=5))
+    path = scratch_path(spark, "scorer")
+    MT.save_scorer(path, p, model, ready)
+    again = MT.load_scorer(spark, path)
+    rows = build_mart(spark, sf, B.application_features(V.application(spark, sf).drop(LABEL), clean=False)).drop(*LEAKS)
+    rows = cut_lineage(rows)
+    before = MT.score_rows(rows, p, model, ready).select(KEY, F.col("score").alias("b"))
+    after = MT.score_rows(rows, *again).select(KEY, F.col("score").alias("a"))
+    return before.join(after, KEY).select(KEY, (F.col("a") == F.col("b")).alias("same_score"))

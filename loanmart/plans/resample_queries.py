@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loanmart.operators import resample as R
+from loanmart.operators import ward as W
 from loanmart.plans import sqlkit as S
 from loanmart.plans import standins as V
 from loanmart.plans.queries import finish, register
@@ -132,6 +133,15 @@ def cluster_undersample(spark, sf):
                                           F.bool_and(F.coalesce(F.col("_m") == F.col("minority"), F.lit(False))).alias("from_the_table"))
 
 
+@register("ward_undersample")
+def ward_undersample(spark, sf):
+    """The kept majority rows, one for each of as many Ward clusters as there are minority rows, and their cluster's size."""
+    e = emb(spark, sf)
+    maj = W.standardised(e.filter("minority = 0"), "x")
+    clusters = W.ward_clusters(maj, "vec_id", "x", e.filter("minority = 1").count())
+    return W.one_per_cluster(clusters, "vec_id", seed=3)
+
+
 @register("under_over_sample", """
     WITH c AS (SELECT count(*) AS n, count(*) FILTER (label = 0) AS pos, count(*) FILTER (label <> 0) AS neg FROM embeddings),
     k AS (SELECT least((n + 1) // 2, neg) AS keep, pos FROM c),
