@@ -232,10 +232,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = store(add_fingerprint(keyed, "text", shingle).drop("text"), "fingerprints")
     points = store(rows.groupBy("fp").agg(F.min("id").alias("least")), "points")
     found = components(links(points, "fp", most, blocks))
-    named = points.join(found, points["fp"] == found["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = store(named.join(least, "root").select(F.col("fp").alias("__fp"), "root", "component_id"), "named")
+    named = store(points.join(found, points["fp"] == found["node"], "left").select(
+        F.col("fp").alias("__fp"), "least", F.coalesce("root", "fp").alias("root")), "rooted")
+    # written before the join, which then has no aggregate in its stage: a component with very many points can be split
+    least = store(named.groupBy("root").agg(F.min("least").alias("component_id")), "least")
+    named = store(named.join(least, "root").select("__fp", "root", "component_id"), "named")
     return rows.join(named, rows["fp"] == named["__fp"]).drop("__fp")
 
 
