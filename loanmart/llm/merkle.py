@@ -127,7 +127,8 @@ def _blocks(nodes: DataFrame, block_levels: int, more: str = "") -> DataFrame:
     ddl = "tree string, block bigint, n bigint, leaves binary, top string" + "".join(
         f", {c} array<{k}>" for c, k in zip(extra, kinds))
     keyed = nodes.withColumn("block", F.shiftright("pos", block_levels))
-    return keyed.groupBy("tree", "block").applyInArrow(fn, ddl)
+    # dealt by block: a plan that is dealt by tree already would leave all blocks of a large group to one task
+    return keyed.repartition("tree", "block").groupBy("tree", "block").applyInArrow(fn, ddl)
 
 
 def climb(nodes: DataFrame, block_levels: int = BLOCK_LEVELS) -> DataFrame:
@@ -183,7 +184,7 @@ def manifest(docs: DataFrame, id_col: str, group_col: str, leaf: Column, tampere
                        (F.lit(None).cast("string") if tampered is None else tampered).alias("changed"),
                        F.monotonically_increasing_id().alias("equal"))     # parts equal rows, which may follow in any order
     rows = add_index(rows, order=["tree", "id", "digest", "equal"], name="at", start=0)
-    trees = rows.groupBy("tree").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    trees = store(rows.groupBy("tree").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")), "merkle-groups")
     placed = rows.join(trees, "tree").select("tree", (F.col("at") - F.col("first")).alias("pos"), "n", "digest", "id", "changed")
     blocks = store(_blocks(placed, block_levels, f"id {kind}, changed string"), "merkle-leaves")
     up = store(_above(blocks.drop("id", "changed", "leaves"), block_levels).select("tree", "block", "above", "end"), "merkle-ends")
