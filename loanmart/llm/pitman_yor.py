@@ -11,11 +11,12 @@ with P0 the parent's prediction, and text is scored by the mean of P over severa
 1. Texts become units of ``UNIT_TOKENS`` tokens.  A unit sends each shard its pairs (word hashes, counts, and the
    documents they stand in).  A shard holds whole restaurants; those of very common contexts are parted by word.
    A pair that is frequent in a unit sends its count only: the places stay with the unit.
-2. The start is one table for each pair.  The tables of each word go to the word's shard, where they are the
-   customers of the parent restaurant; its state, summed over all shards, goes back to all shards that asked.
+2. The start is one table for each pair.  The tables of each word go to the word's home, where they are the
+   customers of the parent restaurant; its state, summed over all shards, goes back to all shards that asked.  Which
+   words a shard asks for is sent once; later messages are numbers in that order.
 3. In a sweep each shard lets a word's customers in a context leave and sit down again one by one, given the tables of
    the context's other words and the parent as the last sweep left them everywhere; then the parent's customers are
-   seated anew, in the words' shards.  Seatings after ``BURN`` sweeps are kept.  The words of one context, and those
+   seated anew, in the words' homes.  Seatings after ``BURN`` sweeps are kept.  The words of one context, and those
    of the parent, are seated side by side on the totals of the last sweep.
 4. Each shard predicts its pairs by the kept seatings, and sends each unit the sums of its documents.
 
@@ -46,6 +47,7 @@ ROOT_DISCOUNT, ROOT_STRENGTH = 0.5, 1.0     # of the parent
 SAMPLES, BURN = 3, 2
 UNIT_TOKENS = 2_000_000
 SHARD_BYTES = 16 << 20                      # of text
+HOME_SHARDS = 8                             # shards for each home of words: a home hears of some 2 million words
 RETAIN = 64                                 # occurrences in a unit from which on a pair's places stay with it
 COMMON = 8192                               # contexts below 1 / COMMON of a text group (or 1 / 8 of a shard's share) are not counted
 BASE_UNIT, SCORE_UNIT = 1e-10, 1e-8         # sums of a document's tokens in one shard travel as multiples of these
@@ -147,7 +149,7 @@ class Router:
     """Shard of a pair: by its context, and for common contexts by the word's part too."""
 
     def __init__(self, shards: int, common: dict[int, int]):
-        self.shards = shards
+        self.shards, self.homes = shards, partitions_for(shards, HOME_SHARDS)
         self.common = np.array(sorted(common), np.uint64)
         self.parts = np.array([common[int(u)] for u in self.common], np.uint64)
 
@@ -164,8 +166,8 @@ class Router:
         return (mix(key) % np.uint64(self.shards)).astype(np.int32)
 
     def home(self, w: np.ndarray) -> np.ndarray:
-        """Shard of a word in the parent restaurant."""
-        return (mix(w ^ np.uint64(0xA5A5A5A5A5A5A5A5)) % np.uint64(self.shards)).astype(np.int64)
+        """Home of a word: its share of the parent restaurant."""
+        return (mix(w ^ np.uint64(0xA5A5A5A5A5A5A5A5)) % np.uint64(self.homes)).astype(np.int64)
 
 
 def _codes(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -323,7 +325,7 @@ def _compact(t: pa.Table) -> pa.Table:
 
 
 class Seats:
-    """The pairs of a shard that have customers; words are asked for in the order of their shards."""
+    """The pairs of a shard that have customers; words are asked for in the order of their homes."""
 
     def __init__(self, names: np.ndarray, role: np.ndarray, u: np.ndarray, w: np.ndarray, c: np.ndarray, router: Router):
         self.names, self.u, self.w, self.c = names, u, w, c
@@ -379,7 +381,7 @@ def _rows(t: pa.Table, kind: int) -> list[tuple[int, bytes]]:
 
 
 def _told(t: pa.Table) -> tuple[list[tuple[int, bytes]], bytes, bytes]:
-    """Answers, what the shard kept for itself, and what the words' shard of the same number kept."""
+    """Answers, what the shard kept for itself, and what the home of the same number kept."""
     rows, own = [], {1: b"", 2: b""}
     for h, k, p in zip(t.column("home").to_pylist(), t.column("kind").to_pylist(), t.column("payload").to_pylist()):
         if k:
@@ -389,21 +391,34 @@ def _told(t: pa.Table) -> tuple[list[tuple[int, bytes]], bytes, bytes]:
     return rows, own[1], own[2]
 
 
-def _questions(me: int, seats: Seats, tables: np.ndarray, sums: np.ndarray, kept: list[np.ndarray], last: bool, router: Router) -> list:
-    """Messages of a shard to all words' shards: hashes and tables of its words, parts of contexts; and its own state."""
+def _by_home(seats: Seats, router: Router):
+    """(home, first and last word asked of it, its common contexts) of the homes that a shard asks."""
+    to = router.home(seats.names[seats.common])
+    edge = np.searchsorted(seats.home, np.arange(router.homes + 1))
+    for j in range(router.homes):
+        mine = to == j
+        yield j, int(edge[j]), int(edge[j + 1]), mine
+
+
+def _names(t: pa.Table, router: Router) -> pa.Table:
+    """What a shard asks of each home in every sweep: its words, how often they occur, and common contexts with its customers."""
+    me, seats = t.column("shard")[0].as_py(), Seats.read(t.column("payload")[0].as_py(), router)
+    count = np.bincount(seats.w, seats.c, len(seats.names))[seats.asked].astype(np.int64)
+    rows = []
+    for j, a, z, mine in _by_home(seats, router):
+        hot = seats.common[mine]
+        rows.append((j, me, 0, pack(steps_of(seats.names[seats.asked[a:z]]), small(count[a:z]), seats.names[hot], seats.cu[hot])))
+    return _asks(rows)
+
+
+def _questions(me: int, seats: Seats, tables: np.ndarray, sums: np.ndarray, kept: list[np.ndarray], router: Router) -> list:
+    """Messages of a shard to all homes: tables of its words and of its parts of contexts; and its own state."""
     m = len(seats.names)
     per_word = np.bincount(seats.w, tables, m)[seats.asked].astype(np.int64)
-    count = np.bincount(seats.w, seats.c, m)[seats.asked].astype(np.int64) if last else None
     per_context = np.bincount(seats.u, tables, m)[seats.common].astype(np.int64)
-    to = router.home(seats.names[seats.common])
-    edge = np.searchsorted(seats.home, np.arange(router.shards + 1))
     out = [(me, me, 1, pack(small(tables), *kept))]
-    for j in range(router.shards):
-        a, z = edge[j], edge[j + 1]
-        mine = to == j
-        hot = seats.common[mine]
-        out.append((j, me, 0, pack(steps_of(seats.names[seats.asked[a:z]]), small(per_word[a:z]), seats.names[hot], seats.cu[hot],
-                                   per_context[mine], sums, *([small(count[a:z])] if last else []))))
+    for j, a, z, mine in _by_home(seats, router):
+        out.append((j, me, 0, pack(small(per_word[a:z]), per_context[mine], sums)))
     return out
 
 
@@ -416,7 +431,7 @@ def _asks(rows: list) -> pa.Table:
 def _open(t: pa.Table, router: Router, model: dict) -> pa.Table:
     """The start: one table for each pair."""
     seats = Seats.read(t.column("payload")[0].as_py(), router)
-    return _asks(_questions(t.column("shard")[0].as_py(), seats, (seats.c > 0).astype(np.int64), np.zeros(4, np.int64), [], False, router))
+    return _asks(_questions(t.column("shard")[0].as_py(), seats, (seats.c > 0).astype(np.int64), np.zeros(4, np.int64), [], router))
 
 
 def _sweep(left: pa.Table, right: pa.Table, sweep: int, router: Router, model: dict) -> pa.Table:
@@ -437,7 +452,7 @@ def _sweep(left: pa.Table, right: pa.Table, sweep: int, router: Router, model: d
         pull = (model["strength"] + model["discount"] * others) * told.parent(seats.place[seats.w], tables)
         seed = mix(seats.names[seats.u] * np.uint64(3) ^ mix(seats.names[seats.w]))
         tables = seat(seats.c, pull, seed, sweep, model["discount"])
-        out += _questions(me, seats, tables, told.sums, kept, sweep + 1 == model["burn"] + model["samples"], router)
+        out += _questions(me, seats, tables, told.sums, kept, router)
     return _asks(out)
 
 
@@ -445,45 +460,51 @@ def _keep(tables: np.ndarray, told: Told) -> list[np.ndarray]:
     return [small(tables), small(told.customers), small(told.tables), told.hot_tables, told.sums]
 
 
-def _answer(t: pa.Table, sweep: int, model: dict) -> pa.Table:
-    """The parent restaurant's share of one shard of words: seated anew, its state to each asker in the order asked."""
-    me = t.column("home")[0].as_py()
-    asked, out, state = [], [], b""
-    for k, kind, p in zip(t.column("asker").to_pylist(), t.column("kind").to_pylist(), t.column("payload").to_pylist()):
+def _answer(left: pa.Table, right: pa.Table, sweep: int, model: dict) -> pa.Table:
+    """The parent restaurant's share of one home: seated anew, its state to each asker in the order asked.
+
+    ``left``: what is asked of the home in every sweep; ``right``: this sweep's numbers, and states on their way back.
+    """
+    tells = {"shard": pa.int64(), "home": pa.int64(), "kind": pa.int64(), "payload": pa.binary()}
+    if not right.num_rows:
+        return pa.table({k: pa.array([], v) for k, v in tells.items()})
+    me = right.column("home")[0].as_py()
+    now, out, state = {}, [], b""
+    for k, kind, p in zip(right.column("asker").to_pylist(), right.column("kind").to_pylist(), right.column("payload").to_pylist()):
         if kind == 0:
-            asked.append((k, unpack(p)))
+            now[k] = unpack(p)
         elif kind == 1:
             out.append((k, me, 1, p))
         else:
             state = p
-    asked.sort(key=lambda x: x[0])
-    names = [np.cumsum(x[0], dtype=np.uint64) for _, x in asked]
-    words = np.unique(np.concatenate(names))
-    places = [np.searchsorted(words, n) for n in names]
-    every = np.concatenate(places)
-    total = lambda i: np.bincount(every, np.concatenate([x[i].astype(float) for _, x in asked]), len(words)).astype(np.int64)
-    customers = total(1)
-    tables = np.minimum(customers, 1)
-    if sweep:
-        known, _, around, _ = asked[0][1][5].astype(float)  # of the whole parent, before this sweep
-        (before,) = unpack(state)
-        pull = (model["root_strength"] + model["root_discount"] * (around - before.astype(float))) / (known + 1)
-        tables = seat(customers, pull, mix(words + np.uint64(7)), 1000 + sweep, model["root_discount"])
-    last = sweep == model["burn"] + model["samples"]
-    count = total(6) if last else np.zeros(0, np.int64)
-    hot_names = [x[2] for _, x in asked]
-    hot, hot_at = np.unique(np.concatenate(hot_names), return_inverse=True)
-    hot_sum = [np.bincount(hot_at, np.concatenate([x[i].astype(float) for _, x in asked]), len(hot)).astype(np.int64) for i in (3, 4)]
-    sums = np.array([(customers > 0).sum(), customers.sum(), tables.sum(), count.sum()], np.int64)
-    for (asker, _), place, mine in zip(asked, places, hot_names):
-        h = np.searchsorted(hot, mine)
-        out.append((asker, me, 0, pack(small(customers[place]), small(tables[place]), mine, *[x[h] for x in hot_sum], sums,
-                                       *([small(count[place])] if last else []))))
-    if not last:
-        out.append((me, me, 2, pack(small(tables))))
-    shard, home, kind, payload = zip(*out)
-    return pa.table({"shard": pa.array(shard, pa.int64()), "home": pa.array(home, pa.int64()), "kind": pa.array(kind, pa.int64()),
-                     "payload": pa.array(payload, pa.binary())})
+    asked = sorted(zip(left.column("asker").to_pylist(), map(unpack, left.column("payload").to_pylist())), key=lambda x: x[0])
+    if asked:
+        names = [np.cumsum(x[0], dtype=np.uint64) for _, x in asked]
+        words = np.unique(np.concatenate(names))
+        places = [np.searchsorted(words, n) for n in names]
+        every = np.concatenate(places)
+        total = lambda parts: np.bincount(every, np.concatenate([x.astype(float) for x in parts]), len(words)).astype(np.int64)
+        customers = total([now[k][0] for k, _ in asked])
+        tables = np.minimum(customers, 1)
+        if sweep:
+            known, _, around, _ = now[asked[0][0]][2].astype(float)  # of the whole parent, before this sweep
+            (before,) = unpack(state)
+            pull = (model["root_strength"] + model["root_discount"] * (around - before.astype(float))) / (known + 1)
+            tables = seat(customers, pull, mix(words + np.uint64(7)), 1000 + sweep, model["root_discount"])
+        last = sweep == model["burn"] + model["samples"]
+        count = total([x[1] for _, x in asked]) if last else np.zeros(0, np.int64)
+        hot, hot_at = np.unique(np.concatenate([x[2] for _, x in asked]), return_inverse=True)
+        hot_sum = [np.bincount(hot_at, np.concatenate([p.astype(float) for p in parts]), len(hot)).astype(np.int64)
+                   for parts in ([x[3] for _, x in asked], [now[k][1] for k, _ in asked])]
+        sums = np.array([(customers > 0).sum(), customers.sum(), tables.sum(), count.sum()], np.int64)
+        for (asker, x), place in zip(asked, places):
+            h = np.searchsorted(hot, x[2])
+            out.append((asker, me, 0, pack(small(customers[place]), small(tables[place]), x[2], *[v[h] for v in hot_sum], sums,
+                                           *([small(count[place])] if last else []))))
+        if not last:
+            out.append((me, me, 2, pack(small(tables))))
+    cols = list(zip(*out)) if out else [()] * 4
+    return pa.table({k: pa.array(c, v) for (k, v), c in zip(tells.items(), cols)})
 
 
 def _score(left: pa.Table, right: pa.Table, router: Router, model: dict) -> pa.Table:
@@ -597,11 +618,12 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     sent = sent.repartition(shards, "shard")
     asks, tells = "home bigint, asker bigint, kind bigint, payload binary", "shard bigint, home bigint, kind bigint, payload binary"
     pairs = sent.groupBy("shard").applyInArrow(_compact, "shard bigint, payload binary").repartition(shards, "shard")
+    names = pairs.groupBy("shard").applyInArrow(lambda t: _names(t, router), asks).repartition(shards, "home")
     asked = pairs.groupBy("shard").applyInArrow(lambda t: _open(t, router, model), asks)
-    tell = lambda k: lambda t: _answer(t, k, model)
+    tell = lambda k: lambda a, b: _answer(a, b, k, model)
     ask = lambda k: lambda a, b: _sweep(a, b, k, router, model)
     for sweep in range(burn + samples + 1):
-        told = asked.repartition(shards, "home").groupBy("home").applyInArrow(tell(sweep), tells)
+        told = names.groupBy("home").cogroup(asked.repartition(shards, "home").groupBy("home")).applyInArrow(tell(sweep), tells)
         if sweep < burn + samples:
             asked = pairs.groupBy("shard").cogroup(told.groupBy("shard")).applyInArrow(ask(sweep), asks)
     scored = sent.groupBy("shard").cogroup(told.groupBy("shard")).applyInArrow(

@@ -170,10 +170,11 @@ def test_the_parent_is_swept(spark, monkeypatch):
     words = np.arange(1, 41, dtype=np.uint64) * np.uint64(10 ** 12)
     tables = np.arange(40) * 5 + 1
     state, sums, seen = b"", np.zeros(4, np.int64), []
-    none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    names = M._asks([(0, 0, 0, M.pack(M.steps_of(words), M.small(tables), *none))])
     for sweep in range(6):
-        rows = [(0, 0, 0, M.pack(M.steps_of(words), M.small(tables), *none, sums, M.small(tables)))] + ([(0, 0, 2, state)] if state else [])
-        out = M._answer(M._asks(rows), sweep, model).to_pylist()
+        rows = [(0, 0, 0, M.pack(M.small(tables), none[1], sums))] + ([(0, 0, 2, state)] if state else [])
+        out = M._answer(names, M._asks(rows), sweep, model).to_pylist()
         answer = M.unpack([r["payload"] for r in out if r["kind"] == 0][0])
         sums = answer[5]
         seen.append(answer[1].tolist())
@@ -181,3 +182,85 @@ def test_the_parent_is_swept(spark, monkeypatch):
         state = b"".join(r["payload"] for r in out if r["kind"] == 2)
     assert seen[0] == [1] * 40 and len({tuple(x) for x in seen}) == 6
     assert all(1 <= t <= c for x in seen for t, c in zip(x, tables))
+
+
+def plain_gibbs(train, d, s, rd, rs, burn, samples, seed):
+    """Customers leave and sit down one by one in contexts and in the parent: predictions P(w | u) of each kept state."""
+    rng = np.random.default_rng(seed)
+    pairs = [(u, w) for t in train for u, w in zip(["<s>", *tokens(t)], tokens(t))]
+    words = sorted({str(w) for _, w in pairs})
+    rest, root, root_n, known = collections.defaultdict(lambda: collections.defaultdict(list)), collections.defaultdict(list), 0, len(words)
+
+    def root_p(w):
+        n, t = sum(map(sum, root.values())), sum(map(len, root.values()))
+        return (sum(root[w]) - rd * len(root[w]) + (rs + rd * t) / (known + 1)) / (rs + n)
+
+    def sit(tables, new, disc):
+        p = np.array([k - disc for k in tables] + [new])
+        at = rng.choice(len(p), p=p / p.sum())
+        if at < len(tables):
+            tables[at] += 1
+            return False
+        tables.append(1)
+        return True
+
+    def leave(tables):
+        at = rng.choice(len(tables), p=np.array(tables) / sum(tables))
+        tables[at] -= 1
+        if not tables[at]:
+            tables.pop(at)
+            return True
+        return False
+
+    def root_sit(w):
+        t = sum(map(len, root.values()))
+        sit(root[w], (rs + rd * t) / (known + 1), rd)
+
+    kept = []
+    for sweep in range(burn + samples):
+        for u, w in pairs:
+            w, here = str(w), rest[u]
+            if sweep and leave(here[w]):
+                leave(root[w])
+            t = sum(map(len, here.values()))
+            if sit(here[w], (s + d * t) * root_p(w), d):
+                root_sit(w)
+        if sweep >= burn:
+            kept.append({u: (sum(map(sum, h.values())), sum(map(len, h.values())), {w: (sum(x), len(x)) for w, x in h.items()}) for u, h in rest.items()}
+                        | {None: {w: root_p(w) for w in [*words, "?"]}})
+
+    def predict(u, w):
+        w = str(w) if str(w) in words else "?"
+        out = []
+        for k in kept:
+            n, t, own = k.get(u, (0, 0, {}))
+            c, m = own.get(w, (0, 0))
+            out.append((c - d * m + (s + d * t) * k[None][w]) / (s + n))
+        return float(np.mean(out))
+    return predict
+
+
+def test_scores_follow_a_plain_sampler(spark):
+    """Scores per token (log10) against a plain Gibbs sampler, which moves one customer at a time: words of a context that are seated
+    side by side come out about 0.02 lower on training text, 0.01 on held-out text (a text with an unknown word: 0.1 higher)."""
+    from loanmart.llm import pitman_yor as M
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(1)
+    vocab = [f"w{i}" for i in range(30)]
+    after = {v: rng.dirichlet(np.full(30, 0.15)) for v in vocab}
+
+    def text():
+        out = [vocab[int(rng.integers(30))]]
+        while rng.random() < 0.93:
+            out.append(vocab[int(rng.choice(30, p=after[out[-1]]))])
+        return " ".join(out)
+
+    rows = [(i, text()) for i in range(130)] + [(900, "w3 unseen w4")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {r["doc_id"]: r["score"] for r in M.score_texts(df, F.col("doc_id") < 100, samples=4).collect()}
+    predict = plain_gibbs([t for i, t in rows if i < 100], M.DISCOUNT, M.STRENGTH, M.ROOT_DISCOUNT, M.ROOT_STRENGTH, 10, 15, 3)
+    for part, most in ((lambda i: i < 100, 0.035), (lambda i: 100 <= i < 900, 0.035), (lambda i: i == 900, 0.15)):
+        mine = [(i, t) for i, t in rows if part(i)]
+        n = sum(len(tokens(t)) for _, t in mine)
+        want = sum(math.log10(predict(u, w)) for _, t in mine for u, w in zip(["<s>", *tokens(t)], tokens(t))) / n
+        assert sum(got[i] for i, _ in mine) / n == pytest.approx(want, abs=most)
