@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from loanmart.constants import GBT_GRID, MLP_HIDDEN, SEED
 from loanmart.operators.boosting import BoostedModel
+from loanmart.operators.network import NetModel
 
 
 def assembler(cols: Sequence[str], out: str = "features") -> VectorAssembler:
@@ -60,10 +61,12 @@ def mlp_classifier(cols: Sequence[str], label: str = "label", hidden: Sequence[i
     ])
 
 
-def score(model: PipelineModel | BoostedModel, df: DataFrame, keep: Sequence[str], threshold: float = 0.5,
+def score(model: PipelineModel | BoostedModel | NetModel, df: DataFrame, keep: Sequence[str], threshold: float = 0.5,
           out: str = "score") -> DataFrame:
     """Probability of the positive class and the hard class at ``threshold``.  ``model``: a fitted pipeline or
-    boosted trees of this library."""
+    boosted trees or a network of this library (the latter over ``x``)."""
+    if isinstance(model, NetModel):
+        return model.score(df, keep, "x", threshold).withColumnRenamed("score", out)
     if isinstance(model, BoostedModel):
         return model.score(df, keep, threshold).withColumnRenamed("score", out)
     scored = model.transform(df)

@@ -17,6 +17,7 @@ mean; constant components become 0; vectors have one length; an empty table give
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -312,6 +313,20 @@ class NetModel:
     dev: np.ndarray
     history: list[tuple[int, float, float]] = field(default_factory=list)     # epoch, training loss, held-out loss
 
+    def save(self, spark, path: str) -> None:
+        """Layers, weights and scaling as JSON text."""
+        layers = [[type(x).__name__, {k: v for k, v in vars(x).items() if k not in ("weights", "stats")}] for x in self.net.layers]
+        d = {"shape": list(self.net.shape), "layers": layers, "history": self.history} | {
+            k: getattr(self, k).tolist() for k in ("weights", "stats", "mean", "dev")}
+        spark.createDataFrame([(json.dumps(d),)], "model string").coalesce(1).write.mode("overwrite").text(path)
+
+    @classmethod
+    def load(cls, spark, path: str) -> "NetModel":
+        d = json.loads(spark.read.text(path, wholetext=True).first()[0])
+        kinds = {x.__name__: x for x in Layer.__subclasses__()}
+        net = Net(tuple(d["shape"]), [kinds[name](**how) for name, how in d["layers"]])
+        return cls(net, *[np.array(d[k]) for k in ("weights", "stats", "mean", "dev")], [tuple(x) for x in d["history"]])
+
     def _ready(self, col: pa.Array) -> np.ndarray:
         return _scaled(_rows_of(col, int(np.prod(self.net.shape))), self.mean, self.dev)
 

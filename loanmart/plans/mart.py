@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from loanmart.operators import metrics as M
 from loanmart.operators import models as T
+from loanmart.operators import network as NN
 from loanmart.operators import prep as P
 from loanmart.operators import resample as R
 from loanmart.operators.boosting import BoostedModel, TreeParams, fit_boosted
@@ -25,7 +26,7 @@ from loanmart.operators.windows import padded_sequences
 from loanmart.session import cut_lineage
 from loanmart import constants as C
 
-MODELS = ("gbt", "mlp", "leafwise", "symmetric")
+MODELS = ("gbt", "mlp", "network", "leafwise", "symmetric")
 BOOSTED = {"leafwise": "label", "symmetric": "target"}      # boosted trees of this library, and the encoding of their strings
 RESAMPLINGS = (None, "cluster", "ward", "cluster_smote", "random_smote")
 ENCODINGS = ("onehot", "label", "target")
@@ -144,6 +145,7 @@ class RunConfig:
     cross_validate: bool = False
     exclude: tuple[str, ...] = ()
     trees: TreeParams | None = None     # of the models leafwise and symmetric
+    net: NN.NetParams | None = None     # of the model network
 
 
 def preset(name: str, **more) -> RunConfig:
@@ -202,21 +204,25 @@ def evaluate(scored: DataFrame, label: str, threshold: float) -> DataFrame:
 
 @dataclass
 class Ready:
-    """Makes prepared rows ready for a model: as they are, or (``width``) packed into one vector ``x`` as rebalanced rows are."""
+    """Makes prepared rows ready for a model: as they are, or packed into ``x``, one vector (``width``, as rebalanced rows
+    are) or one array (``dense``)."""
 
     keep: list[str]
     features: list[str]
     width: int | None = None
+    dense: bool = False
 
     def sized(self, df: DataFrame) -> DataFrame:
         from pyspark.ml.feature import VectorSizeHint
         return VectorSizeHint(inputCol="x", size=self.width, handleInvalid="optimistic").transform(df)
 
     def __call__(self, df: DataFrame) -> DataFrame:
+        keep = [c for c in self.keep if c in df.columns]
+        if self.dense:
+            return dense_features(df, keep, self.features)
         if self.width is None:
             return df
         from pyspark.ml.functions import array_to_vector
-        keep = [c for c in self.keep if c in df.columns]
         return self.sized(dense_features(df, keep, self.features).withColumn("x", array_to_vector("x")))
 
 
@@ -224,11 +230,12 @@ def save_scorer(path: str, prep: Prepared, model, ready: Ready) -> None:
     """A fitted model with all that scoring raw mart rows needs, below ``path``."""
     spark = prep.train.sparkSession
     prep.save(f"{path}/prepared")
-    if isinstance(model, BoostedModel):
-        model.save(spark, f"{path}/trees")
-    else:
+    kind = "trees" if isinstance(model, BoostedModel) else "network" if isinstance(model, NN.NetModel) else "pipeline"
+    if kind == "pipeline":
         model.write().overwrite().save(f"{path}/pipeline")
-    meta = {"boosted": isinstance(model, BoostedModel), "width": ready.width}
+    else:
+        model.save(spark, f"{path}/{kind}")
+    meta = {"kind": kind, "width": ready.width, "dense": ready.dense}
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
 
 
@@ -237,8 +244,9 @@ def load_scorer(spark: SparkSession, path: str):
     from pyspark.ml import PipelineModel
     meta = json.loads(spark.read.text(f"{path}/meta", wholetext=True).first()[0])
     prep = Prepared.load(spark, f"{path}/prepared")
-    model = BoostedModel.load(spark, f"{path}/trees") if meta["boosted"] else PipelineModel.load(f"{path}/pipeline")
-    return prep, model, Ready([prep.id_col, prep.label], prep.features, meta["width"])
+    model = {"trees": lambda at: BoostedModel.load(spark, at), "network": lambda at: NN.NetModel.load(spark, at),
+             "pipeline": PipelineModel.load}[meta["kind"]](f"{path}/{meta['kind']}")
+    return prep, model, Ready([prep.id_col, prep.label], prep.features, meta["width"], meta["dense"])
 
 
 def fit_model(prep: Prepared, cfg: RunConfig):
@@ -250,6 +258,12 @@ def fit_model(prep: Prepared, cfg: RunConfig):
         trees = cfg.trees or preset(cfg.model).trees
         return fit_boosted(train, cfg.id_col, cfg.label, cols, trees), ready, {"features": len(cols), "dropped_correlated": prep.dropped}
     width = feature_width(train, cols)
+    if cfg.model == "network":
+        if cfg.resample or cfg.cross_validate or cfg.search_draws:
+            raise ValueError("model 'network' takes no resampling, cross-validation or search")
+        ready.dense = True
+        net = NN.fit_network(ready(train), cfg.id_col, cfg.label, "x", (width,), NN.connected(C.MLP_HIDDEN), cfg.net)
+        return net, ready, {"features": width, "dropped_correlated": prep.dropped, "history": net.history}
     if cfg.resample:
         ready.width = width
         train = ready.sized(rebalance(train, cfg, cols))
@@ -291,38 +305,79 @@ def score_rows(mart: DataFrame, prep: Prepared, model, ready=lambda df: df, thre
     return T.score(model, ready(prep.transform(mart.drop(prep.label))), [prep.id_col], threshold=threshold)
 
 
-def sequence_embedding(parent: DataFrame, parent_key: str, child: DataFrame, key: str, order: Sequence[str],
-                       cols: Sequence[str], n: int = C.SEQ_ROWS, k: int = C.SEQ_FEATURES,
-                       prefix: str = C.SEQ_PREFIX, test_size: float = 0.0, seed: int = C.SEED) -> DataFrame:
-    """T6 substitute for the CNN/LSTM features: n newest child rows as a
-    padded sequence -> standardise -> PCA(k) -> ``bfeat_1..k`` per parent.
+WIDE = 64                               # values of a string column of a sequence from which on they are hashed
+
 
-    String columns among ``cols`` are one-hot encoded.  With ``test_size``
-    dictionaries, scaler and PCA are fitted on the parents that ``hash_split``
-    with the same seed puts into the training part; all parents are projected.
+def newest_rows(parent: DataFrame, parent_key: str, child: DataFrame, key: str, order: Sequence[str], cols: Sequence[str],
+                n: int = C.SEQ_ROWS, test_size: float = 0.0, seed: int = C.SEED, present: bool = False) -> tuple[DataFrame, int]:
+    """(one row per parent: its key and ``seq``, the n newest child rows padded and in one array; numbers per child row).
+
+    With ``present`` each row ends in 1, or in 0 after NULLs where there is no child, instead of the padding value.
+
+    String columns among ``cols`` are one-hot encoded by the children of the parents that ``hash_split`` with the
+    same seed puts into the training part; columns of more than ``WIDE`` values by that many ranges of their hash.
     """
-    from pyspark.ml.functions import vector_to_array
+    from loanmart.functions.scalars import hash_int
     from loanmart.operators.sample import split_flag
     keep = list(dict.fromkeys([key, *order, *cols]))
     child = P.impute_constant(child.select(*keep), exclude=[key, *[c for c in order if c not in cols]])
     strings = [c for c in P.columns_of_type(child, strings=True) if c in cols]
     if strings:
-        # fitted on the children of training parents; one column per category, as the sequence is dense
         known = split_flag(child, key, test_size, seed, "_test").filter("_test = 0").drop("_test")
+        many = known.agg(*[F.approx_count_distinct(c).alias(c) for c in strings]).first()
+        hashed = {c: F.pmod(hash_int(c, seed), F.lit(WIDE)).cast("string") for c in strings if many[c] > WIDE}
+        child, known = child.withColumns(hashed), known.withColumns(hashed)
         encoder = P.OneHot.fit(known, strings, drop_first=False)
         child = encoder.transform(child)
         cols = [c for c in child.columns if c in cols or any(c.startswith(f"{x}_") for x in strings)]
         child = child.withColumnsRenamed({c: f"_f{i}" for i, c in enumerate(cols) if c not in order})
         cols = [c if c in order else f"_f{i}" for i, c in enumerate(cols)]
-    seq = cut_lineage(padded_sequences(parent, parent_key, child, key, order, cols, n=n, pad=C.SEQ_PAD))
-    k = min(k, n * len(cols))
-    flat = seq.select(parent_key, *[F.col("seq")[i].alias(f"_s{i}") for i in range(n * len(cols))])
+    if not present:
+        return cut_lineage(padded_sequences(parent, parent_key, child, key, order, cols, n=n, pad=C.SEQ_PAD)), len(cols)
+    child, cols, w = child.withColumn("_here", F.lit(1.0)), [*cols, "_here"], len(cols) + 1
+    seq = padded_sequences(parent, parent_key, child, key, order, cols, n=n, pad=C.SEQ_PAD)
+    here = lambda i: F.get("seq", (F.floor(i / w) * w + w - 1).cast("int")) == 1.0
+    shown = F.transform("seq", lambda v, i: F.when(here(i), v).when(i % w == w - 1, 0.0))
+    return cut_lineage(seq.select(parent_key, shown.alias("seq"))), w
+
+
+def sequence_embedding(parent: DataFrame, parent_key: str, child: DataFrame, key: str, order: Sequence[str],
+                       cols: Sequence[str], n: int = C.SEQ_ROWS, k: int = C.SEQ_FEATURES,
+                       prefix: str = C.SEQ_PREFIX, test_size: float = 0.0, seed: int = C.SEED) -> DataFrame:
+    """T6 without labels: ``newest_rows`` -> standardise -> PCA(k) -> ``bfeat_1..k`` per parent, fitted on the training part."""
+    from pyspark.ml.functions import vector_to_array
+    from loanmart.operators.sample import split_flag
+    seq, width = newest_rows(parent, parent_key, child, key, order, cols, n, test_size, seed)
+    k = min(k, n * width)
+    flat = seq.select(parent_key, *[F.col("seq")[i].alias(f"_s{i}") for i in range(n * width)])
     train = split_flag(flat, parent_key, test_size, seed, "_test").filter("_test = 0").drop("_test")
-    out, _model, _ev = P.pca_features(flat, [f"_s{i}" for i in range(n * len(cols))], k, out="_pc", fit_on=train)
+    out, _model, _ev = P.pca_features(flat, [f"_s{i}" for i in range(n * width)], k, out="_pc", fit_on=train)
     arr = vector_to_array("_pc")
     return out.select(parent_key, *[arr[i].alias(f"{prefix}{i + 1}") for i in range(k)])
 
 
+SEQUENCE_NETS = ("conv", "lstm")
+
+
+def learned_sequence_features(parent: DataFrame, parent_key: str, label: str, child: DataFrame, key: str, order: Sequence[str],
+                              cols: Sequence[str], how: str = "conv", n: int = C.SEQ_ROWS, k: int = C.SEQ_FEATURES, prefix: str = C.SEQ_PREFIX,
+                              test_size: float = 0.0, seed: int = C.SEED, params: NN.NetParams | None = None) -> tuple[DataFrame, NN.NetModel]:
+    """(``bfeat_1..k`` per parent, the network): the hidden layer of a convolutional or recurrent network over ``newest_rows``,
+    trained on the labels of the training part.  Parents without children have empty sequences, and features too."""
+    from loanmart.operators.sample import split_flag
+    _choice("how", how, SEQUENCE_NETS)
+    seq, width = newest_rows(parent, parent_key, child, key, order, cols, n, test_size, seed, present=True)
+    if how == "conv" and (n < 4 or width < 4):
+        raise ValueError("two poolings need four rows and four columns at least")
+    layers, at = NN.convolutional(k) if how == "conv" else NN.recurrent(k)
+    shape = (n, width, 1) if how == "conv" else (n, width)
+    labels = parent.select(parent_key, F.col(label).cast("double").alias("_y"))
+    train = split_flag(seq.join(labels, parent_key), parent_key, test_size, seed, "_test").filter("_test = 0")
+    model = NN.fit_network(train, parent_key, "_y", "seq", shape, layers, params)
+    out = model.hidden(seq, [parent_key], "seq", at)
+    return out.select(parent_key, *[F.col("hidden")[i].alias(f"{prefix}{i + 1}") for i in range(k)]), model
+
+
 # File names of the credit tables in a data folder.
 CREDIT_FILES = {
     "application": "application_train.csv",
@@ -388,7 +443,8 @@ def credit_training_table(spark, data_dir: str, features: str = "manual", depth:
     * ``manual``: the hand-built feature mart (E7);
     * ``automated``: relational synthesis over the seven tables (E8);
     * ``sequence``: the application table with the newest-5 bureau
-      sequence features ``bfeat_*`` (T6) joined by key.
+      sequence features ``bfeat_*`` (T6) joined by key; ``conv`` and ``lstm``: with
+      those a network learns.
     The result goes to ``run(table, RunConfig(...))``.
     """
     from loanmart.sources.credit import read_credit_table
@@ -397,12 +453,16 @@ def credit_training_table(spark, data_dir: str, features: str = "manual", depth:
     if features == "automated":
         from loanmart.operators.synth import synthesize
         return synthesize(credit_entityset(spark, data_dir), "train", depth=depth)
-    if features == "sequence":
+    if features in ("sequence", *SEQUENCE_NETS):
         app = read_credit_table(spark, f"{data_dir.rstrip('/')}/{CREDIT_FILES['application']}", "application")
         bureau = read_credit_table(spark, f"{data_dir.rstrip('/')}/{CREDIT_FILES['bureau']}", "bureau")
         cols = [f.name for f in bureau.schema.fields if f.name not in ("SK_ID_CURR", "SK_ID_BUREAU")
                 and f.dataType.typeName() in ("double", "integer", "long", "string")]
-        seq = sequence_embedding(app, "SK_ID_CURR", bureau, "SK_ID_CURR", ["DAYS_CREDIT", "SK_ID_BUREAU"], cols,
-                                 k=seq_features, test_size=C.TEST_SIZE)
+        order = ["DAYS_CREDIT", "SK_ID_BUREAU"]
+        if features == "sequence":
+            seq = sequence_embedding(app, "SK_ID_CURR", bureau, "SK_ID_CURR", order, cols, k=seq_features, test_size=C.TEST_SIZE)
+        else:
+            seq, _net = learned_sequence_features(app, "SK_ID_CURR", "TARGET", bureau, "SK_ID_CURR", order, cols, features, k=seq_features,
+                                                  test_size=C.TEST_SIZE)
         return app.join(seq, on="SK_ID_CURR", how="left")
     raise ValueError(f"unknown feature strategy {features!r}")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from loanmart import constants as C
 from loanmart.operators import models as T
 from loanmart.operators.boosting import TreeParams
+from loanmart.operators.network import NetParams
 from loanmart.operators.sample import kfold_assign
 from loanmart.operators.target_stats import OrderedTargetEncoder
 from loanmart.plans import blocks as B
@@ -253,6 +254,34 @@ def symmetric_scores(spark, sf):
     return scored.select(KEY, F.col(LABEL).cast("int").alias(LABEL), "score", "pred")
 
 
+NET = NetParams(epochs=3, batch_rows=400, valid_share=0.1)
+
+
+@register("network_epochs")
+def network_epochs(spark, sf):
+    """T4: losses of each epoch of the connected network with dropout and batch statistics."""
+    p = _prepared(spark, sf)
+    _model, _ready, info = MT.fit_model(p, _config(model="network", net=NET))
+    return spark.createDataFrame(info["history"], "epoch int, train_loss double, held_out_loss double")
+
+
+@register("network_scores")
+def network_scores(spark, sf):
+    """T4: hold-out scores and classes of the connected network."""
+    p = _prepared(spark, sf)
+    model, ready, _info = MT.fit_model(p, _config(model="network", net=NET))
+    scored = T.score(model, ready(p.test), [KEY, LABEL], threshold=C.SCORE_THRESHOLD)
+    return scored.select(KEY, F.col(LABEL).cast("int").alias(LABEL), "score", "pred")
+
+
+@register("learned_sequence_features")
+def learned_sequence_features(spark, sf):
+    """The hidden layer of the convolutional network over the five newest bureau rows of every application."""
+    out, _net = MT.learned_sequence_features(V.application(spark, sf), KEY, LABEL, V.bureau(spark, sf), KEY, ["DAYS_CREDIT", "SK_ID_BUREAU"],
+                                             SEQ_COLS, "conv", k=SEQ_K, test_size=TEST_SIZE, params=NetParams(epochs=2, batch_rows=600))
+    return out
+
+
 ENCODE_SEED = 21
 
 

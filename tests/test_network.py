@@ -33,7 +33,7 @@ def rows(n, seed):
     return [(seed * 10 ** 6 + i, int(b), [None if np.isnan(v) else float(v) for v in a]) for i, (a, b) in enumerate(zip(x, y))]
 
 
-def test_weights_do_not_depend_on_partitions_and_the_net_learns(spark):
+def test_weights_do_not_depend_on_partitions_and_the_net_learns(spark, tmp_path):
     from loanmart.operators.metrics import auc
     ddl = "id bigint, y int, x array<double>"
     train = spark.createDataFrame([*rows(900, 1), (5, None, [0.0] * 6), (6, 1, None)], ddl)
@@ -44,6 +44,9 @@ def test_weights_do_not_depend_on_partitions_and_the_net_learns(spark):
     assert a.history[-1][1] < a.history[0][1]
     got = a.score(spark.createDataFrame(rows(600, 2), ddl), ["id", "y"], "x")
     assert auc(got.select(got["y"].alias("label"), "score")).first()["auc"] > 0.75
+    a.save(spark, f"{tmp_path}/net")
+    again = N.NetModel.load(spark.newSession(), f"{tmp_path}/net")
+    assert sorted(again.score(train.filter("x IS NOT NULL"), ["id"], "x").collect()) == sorted(a.score(train.filter("x IS NOT NULL"), ["id"], "x").collect())
     h = a.hidden(spark.createDataFrame(rows(10, 3), ddl), ["id"], "x", 2).collect()
     assert len(h) == 10 and all(len(r["hidden"]) == 16 and min(r["hidden"]) >= 0 for r in h)
     none = fit_network(train.limit(0), "id", "y", "x", (6,), N.connected((4,)), p)
@@ -56,3 +59,22 @@ def test_early_stop_keeps_the_best(spark):
     m = fit_network(df, "id", "y", "x", (4,), N.connected((20,), 0.0), NetParams(epochs=40, batch_rows=300, rate=0.1, patience=2, valid_share=0.3))
     losses = [x[2] for x in m.history]
     assert len(losses) < 40 and min(losses) == losses[-3]
+
+
+@pytest.mark.parametrize("how", ["conv", "lstm"])
+def test_learned_sequence_features(spark, how):
+    """The label follows the change between a parent's two newest rows: the features tell it apart, padding alone does not."""
+    from loanmart.plans.mart import learned_sequence_features
+    rng = np.random.default_rng(9)
+    parents, children = [], []
+    for i in range(260):
+        v = rng.normal(size=(int(rng.integers(2, 7)), 3))
+        parents.append((i, int(v[0, 0] - v[1, 0] > 0)))
+        children += [(i, 10 * i + k, -k, *map(float, r), "ab"[int(r[1] > 0)]) for k, r in enumerate(v)]
+    parents += [(1000 + i, int(i % 2)) for i in range(6)]                       # no children
+    parent = spark.createDataFrame(parents, "k bigint, y int")
+    child = spark.createDataFrame(children, "k bigint, cid bigint, day int, a double, b double, c double, s string").repartition(3)
+    p = NetParams(epochs=12, batch_rows=60, micro_rows=60, rate=0.01, valid_share=0.15, patience=12)
+    out, model = learned_sequence_features(parent, "k", "y", child, "k", ["day", "cid"], ["a", "b", "c", "s"], how, k=8, test_size=0.2, params=p)
+    assert out.columns == ["k", *[f"bfeat_{i}" for i in range(1, 9)]] and out.count() == 266
+    assert model.history[-1][1] < 0.75 * model.history[0][1] and min(x[2] for x in model.history) < 0.62

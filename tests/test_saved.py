@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from loanmart.operators.boosting import TreeParams
+from loanmart.operators.network import NetParams
 from loanmart.plans import mart as MT
 
 
@@ -20,13 +21,15 @@ def mart(spark):
 @pytest.mark.parametrize("cfg", [MT.RunConfig(test_size=0.25, max_iter=3, impute="mean"),
                                  MT.RunConfig(test_size=0.25, max_iter=3, resample="ward"),
                                  MT.RunConfig(test_size=0.25, model="leafwise", trees=TreeParams(n_trees=6, num_leaves=6)),
-                                 MT.RunConfig(test_size=0.25, model="symmetric", trees=TreeParams(grow="symmetric", n_trees=6, max_depth=3))],
-                         ids=["onehot", "ward", "leafwise", "symmetric"])
+                                 MT.RunConfig(test_size=0.25, model="symmetric", trees=TreeParams(grow="symmetric", n_trees=6, max_depth=3)),
+                                 MT.RunConfig(test_size=0.25, model="network", net=NetParams(epochs=8, batch_rows=150, rate=0.01, valid_share=0.1))],
+                         ids=["onehot", "ward", "leafwise", "symmetric", "network"])
 def test_saved_scorer_scores_raw_rows(spark, mart, tmp_path, cfg):
     metrics, scored, info = MT.run(mart, cfg)
     assert metrics.first()["auc"] > 0.75 and scored.count() > 60            # the label follows two columns closely
     prep, model = info["prepared"], info["model"]
-    ready = MT.Ready([prep.id_col, prep.label], prep.features, MT.feature_width(prep.train, prep.features) if cfg.resample else None)
+    ready = MT.Ready([prep.id_col, prep.label], prep.features, MT.feature_width(prep.train, prep.features) if cfg.resample else None,
+                     cfg.model == "network")
     MT.save_scorer(f"{tmp_path}/scorer", prep, model, ready)
     raw = mart.drop("TARGET")
     before = {r[0]: r["score"] for r in MT.score_rows(raw, prep, model, ready).collect()}
