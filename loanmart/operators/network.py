@@ -453,7 +453,7 @@ def fit_network(df: DataFrame, id_col: str, label: str, vec: str, shape: tuple[i
             weights = weights - p.rate * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-7)
             stats = p.momentum * stats + (1 - p.momentum) * got[net.n_weights:-2] / count
         loss = held_out(weights, stats) if n.get(True) else lost / n[False]
-        model.history.append((epoch, lost / n[False], loss))
+        model.history.append((epoch, float(lost / n[False]), float(loss)))
         if best is None or loss < best:
             best, waited, model.weights, model.stats = loss, 0, weights, stats
         else:

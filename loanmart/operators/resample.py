@@ -149,9 +149,13 @@ def cluster_undersample(df: DataFrame, id_col: str, label: str, vec: str, k: int
 
 # ---------------------------------------------------------------- exact kNN
 
+PROBE_ROWS = 65_536                     # rows that a block of points meets at once
+
+
 def _pivot_cells(df: DataFrame, id_col: str, vec: str, k: int, block_rows: int, seed: int):
-    """(points with cell and block, probes): a probe sends a row to one block
-    whose points may be among its k nearest.  See ``knn``."""
+    """(points with cell, block and slice, probes): a probe sends a row to one
+    slice of a block whose points may be among its k nearest.  A block that more
+    than ``PROBE_ROWS`` rows ask is there once for each slice of them.  See ``knn``."""
     import numpy as np
     import pyarrow as pa
     from loanmart.session import cut_lineage
@@ -191,9 +195,11 @@ def _pivot_cells(df: DataFrame, id_col: str, vec: str, k: int, block_rows: int,
         r = np.sqrt(np.partition(d2, k - 1, axis=1)[:, k - 1]) if len(x) > k else np.full(len(x), np.inf)
         return pa.table({"_id": t.column("_id"), "_x": t.column("_x"), "_r": pa.array(r)})
 
-    radius = points.groupBy("_c", "_s").applyInArrow(own_radius, f"_id {kind}, _x array<double>, _r double")
+    radius = cut_lineage(points.groupBy("_c", "_s").applyInArrow(own_radius, f"_id {kind}, _x array<double>, _r double"))
+    first_block = np.concatenate([[0], np.cumsum(blocks)])
 
-    def probe(batches):
+    def asked(batches):
+        """(part of a batch, its rows asked for, their cells and blocks)."""
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
@@ -205,14 +211,38 @@ def _pivot_cells(df: DataFrame, id_col: str, vec: str, k: int, block_rows: int,
                 times = blocks[cell]
                 row, cell = np.repeat(row, times), np.repeat(cell, times)
                 first = np.cumsum(times) - times
-                block = np.arange(len(row)) - np.repeat(first, times)
-                i = pa.array(row)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(i), part.column(1).take(i), part.column(2).take(i), pa.array(cell, pa.int32()),
-                     pa.array(block, pa.int32())], names=["_id", "_x", "_r", "_c", "_s"])
+                yield part, row, cell, np.arange(len(row)) - np.repeat(first, times)
+
+    def count(batches):
+        n = np.zeros(first_block[-1], np.int64)
+        for _part, _row, cell, block in asked(batches):
+            n += np.bincount(first_block[cell] + block, minlength=len(n))
+        hit = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int64()), pa.array(n[hit])], names=["b", "n"])
+
+    slices = np.ones(first_block[-1], np.int64)
+    for r in radius.mapInArrow(count, "b bigint, n bigint").groupBy("b").agg(F.sum("n").alias("n")).collect():      # one row per block
+        slices[r["b"]] = max(1, -(-r["n"] // PROBE_ROWS))
+
+    def probe(batches):
+        for part, row, cell, block in asked(batches):
+            i = pa.array(row)
+            q = part.column(3).to_numpy()[row] % slices[first_block[cell] + block]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).take(i), part.column(1).take(i), part.column(2).take(i), pa.array(cell, pa.int32()),
+                 pa.array(block, pa.int32()), pa.array(q, pa.int32())], names=["_id", "_x", "_r", "_c", "_s", "_q"])
+
+    def copies(batches):
+        for b in batches:
+            times = slices[first_block[b.column(2).to_numpy()] + b.column(3).to_numpy()]
+            i = np.repeat(np.arange(b.num_rows), times)
+            q = np.arange(len(i)) - np.repeat(np.cumsum(times) - times, times)
+            yield pa.RecordBatch.from_arrays([*(c.take(pa.array(i)) for c in b.columns), pa.array(q, pa.int32())],
+                                             names=["_id", "_x", "_c", "_s", "_q"])
 
-    probes = radius.mapInArrow(probe, f"_id {kind}, _x array<double>, _r double, _c int, _s int")
-    return points, probes
+    mark = F.pmod(F.xxhash64("_id"), F.lit(1 << 40)).alias("_h")
+    probes = radius.select("_id", "_x", "_r", mark).mapInArrow(probe, f"_id {kind}, _x array<double>, _r double, _c int, _s int, _q int")
+    return points.mapInArrow(copies, f"_id {kind}, _x array<double>, _c int, _s int, _q int"), probes
 
 
 def knn(df: DataFrame, id_col: str, vec: str, k: int = 5, cell_rows: int = 2048, seed: int = 7) -> DataFrame:
@@ -264,7 +294,7 @@ def knn(df: DataFrame, id_col: str, vec: str, k: int = 5, cell_rows: int = 2048,
         return pa.table({"_id": q.column("_id").take(i), "_nid": t.column("_id").take(j),
                          "dist": pa.array(np.concatenate(out_d) if out_d else [], pa.float64())})
 
-    cand = probes.groupBy("_c", "_s").cogroup(points.groupBy("_c", "_s")).applyInArrow(
+    cand = probes.groupBy("_c", "_s", "_q").cogroup(points.groupBy("_c", "_s", "_q")).applyInArrow(
         closest, f"_id {kind}, _nid {kind}, dist double")
     wk = Window.partitionBy("_id").orderBy("dist", "_nid")
     top = cand.withColumn("nbr_rank", F.row_number().over(wk)).filter(F.col("nbr_rank") <= kk)

@@ -171,3 +171,21 @@ def test_scratch_is_dropped(spark):
     files = materialize(df).inputFiles() + write_bucketed(df, "k").inputFiles()
     places = [os.path.dirname(f.replace("file://", "")) for f in files]
     assert files and all(map(os.path.isdir, places)) and drop_scratch(spark) == 2 and not any(map(os.path.isdir, places))
+
+
+def test_knn_probes_meet_blocks_in_slices(spark, monkeypatch):
+    """Unclustered vectors reach nearly all blocks: with small slices no group holds more, and the neighbours are the same."""
+    import numpy as np
+    from loanmart.operators import resample as R
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(300, 20))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, x array<double>").repartition(4)
+    monkeypatch.setattr(R, "PROBE_ROWS", 40)
+    points, probes = R._pivot_cells(df, "id", "x", 5, 64, 7)
+    most = probes.groupBy("_c", "_s", "_q").count().agg({"count": "max"}).first()[0]
+    whole = probes.groupBy("_c", "_s").count().agg({"count": "max"}).first()[0]
+    assert most <= 80 < whole and points.count() > 300
+    got = {(r["id"], r["nbr_rank"]): r["nbr_id"] for r in R.knn(df, "id", "x", 5, cell_rows=64).collect()}
+    d = ((x[:, None] - x[None]) ** 2).sum(2)
+    np.fill_diagonal(d, np.inf)
+    assert got == {(i, k + 1): int(j) for i in range(300) for k, j in enumerate(np.argsort(d[i])[:5])}
