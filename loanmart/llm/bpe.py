@@ -11,7 +11,7 @@ number of bytes (a cache: dropping one changes no result).
 
 Defined cases: NULL and empty text encode to no ids; text that is one very long pre-token is merged
 whole; repeated rows get equal results; other columns pass through, a column with the name of a
-result column is replaced.  Texts are valid UTF-8 (Spark strings); ``decode`` of ids that name no
+result column is replaced; an empty table gives an empty result.  Texts are valid UTF-8 (Spark strings); ``decode`` of ids that name no
 token raises ``KeyError``.
 """
 

@@ -13,7 +13,8 @@ shuffled, so hot items, sources or copies make no hot task.
 
 Defined cases: NULL or empty documents have no words; NULL or empty items never occur; an item shorter than
 a window is one window; repeated items count once by id, items with a NULL id count as the id ``""``;
-repeated documents get equal results; documents without hits hash the empty string.
+repeated documents get equal results; documents without hits hash the empty string; an empty table
+gives an empty result, an empty benchmark hits nothing; other columns pass through, one with the name of a result column is replaced.
 """
 
 from __future__ import annotations

@@ -25,7 +25,7 @@ depend on the machine or on the number of shards.  Words are told apart by 64-bi
 
 Defined cases: NULL text is the empty text, which is one end token; repeated rows count as often as they
 occur and get equal scores; NULL ids count as the text ``""`` when training rows are chosen; an empty table gives
-an empty result, and with no training text every word is unknown.
+an empty result, and with no training text every word is unknown; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ Equal fingerprints are one point, so groups of copies cost nothing here.
 
 Defined cases: NULL text is the empty text; a text without words has fingerprint zero, linked like any
 other; fewer words than a shingle make one shingle; repeated rows and ties share a fingerprint; an empty table
-gives an empty result; NULL ids are linked too, and a component of NULL ids alone has the id NULL.
+gives an empty result; NULL ids are linked too, and a component of NULL ids alone has the id NULL;
+other columns are not read by ``near_duplicates`` and pass through ``keep_one``, whatever their names.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ files, so lost executors cost the tasks they ran only.
 The literal text of a special token (``<|endoftext|>``) is that token, as the library has it by default.
 
 Defined cases: NULL or empty text gives the end id alone; rows of NULL id come last; equal rows give equal documents
-side by side; an empty table gives no segments and an empty result; other columns are not stored.
+side by side; an empty table gives no segments and an empty result; other columns are not stored.  Tokenizers
+with ids beyond ``MAX_ID`` (two bytes an id) raise ``ValueError``.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from loanmart.llm.common import buffer_of, map_arrow, partitions_for, table
 from loanmart.session import scratch_path
-from loanmart.llm.range_coder import BLOCK_IDS, LANES, checksum, decode_blocks, encode_blocks
+from loanmart.llm.range_coder import BLOCK_IDS, LANES, MAX_ID, checksum, decode_blocks, encode_blocks
 
 MAGIC = b"TID1"
 END_ID = 1
@@ -59,6 +60,8 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        if self.tokenizer.get_vocab_size() > MAX_ID + 1:
+            raise ValueError(f"{path} has {self.tokenizer.get_vocab_size()} ids; files hold {MAX_ID + 1} at most")
         # special tokens are found before case goes (``encode_texts``): what is left only looks like one in lower case
         self.tokenizer.encode_special_tokens = True
         special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.normalized}

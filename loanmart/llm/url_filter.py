@@ -11,7 +11,7 @@ A list larger than ``CHUNK_BYTES`` is probed chunk by chunk, in one stage, each
 match; nothing is shuffled, so a hot host makes no hot task.
 
 Defined cases: a NULL URL, or one without ``://``, has the empty host and path and fits no entry; NULL or
-repeated entries: NULL ones fit nothing, of equal strings the smallest verdict holds; an empty list gives the default;
+repeated entries: NULL ones fit nothing, of equal strings the smallest verdict holds; an empty list gives the default; an empty table gives an empty result;
 other columns pass through, one with the name of a result column is replaced.
 """
 

@@ -147,7 +147,14 @@ def test_decontamination_of_the_tables(spark):
     items = duckdb.connect().execute(f"SELECT item_id, text FROM '{SF001}/benchmark.parquet'").fetchall()
     want = plain_hits(texts(SF001), items)
     assert by_id(op9_decontaminate(spark, SF001).collect()) == by_id(want) and any(w[-1] for w in want)
-    assert op9_decontaminate(spark, SF001).limit(0).count() == 0
+
+
+def test_decontamination_of_empty_tables(spark):
+    from loanmart.llm.decontaminate import decontaminate
+    items = spark.createDataFrame([(1, "one two three")], "item_id bigint, text string")
+    assert decontaminate(odd_docs(spark).limit(0), items).count() == 0
+    got = decontaminate(odd_docs(spark), items.limit(0)).select("n_hit", "item_ids", "ids").collect()
+    assert len(got) == len(ODD) and all(r["n_hit"] == 0 and r["item_ids"] == [] for r in got) and {r["ids"] for r in got} == {"s"}
 
 
 # ---------------------------------------------------------------- SimHash

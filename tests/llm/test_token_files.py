@@ -79,6 +79,14 @@ def test_files_of_odd_rows(spark, tmp_path):
     assert read_ids(spark, str(tmp_path / "b")).count() == 0
 
 
+def test_too_many_ids_are_refused(tmp_path):
+    from loanmart.llm.token_files import WordIds
+    from tokenizers import Tokenizer, models
+    Tokenizer(models.WordLevel({str(i): i for i in range(65_536)}, unk_token="0")).save(str(tmp_path / "large.json"))
+    with pytest.raises(ValueError, match="65536 ids"):
+        WordIds(str(tmp_path / "large.json"))
+
+
 def test_words_encode_like_whole_texts():
     """Case, punctuation, apostrophes, accents, control and special strings, against the tokenizer on the text."""
     import public_tokenizers
