@@ -34,7 +34,8 @@ def test_saved_scorer_scores_raw_rows(spark, mart, tmp_path, cfg):
     raw = mart.drop("TARGET")
     before = {r[0]: r["score"] for r in MT.score_rows(raw, prep, model, ready).collect()}
     after = {r[0]: r["score"] for r in MT.score_rows(raw, *MT.load_scorer(spark.newSession(), f"{tmp_path}/scorer")).collect()}
-    assert before == after and len(before) == 400
+    assert before.keys() == after.keys() and len(before) == 400
+    assert all(abs(before[i] - after[i]) < 1e-12 for i in before)          # a network's last bits follow the size of a batch
     held = {r["SK_ID_CURR"]: r["score"] for r in scored.collect()}
     assert all(abs(before[i] - s) < 1e-12 for i, s in held.items())
 
