@@ -11,7 +11,9 @@ from tests.conftest import rows
 def test_every_key_of_the_library_has_an_oracle():
     from loanmart.plans.queries import REGISTRY
     missing = set(REGISTRY) - set(E.oracle_sql())
-    assert not missing and len(REGISTRY) >= 95
+    # trained learners and Ward clusters have no SQL: test_ward, test_boosting and test_network hold them to plain versions
+    assert missing == {"ward_undersample", "leafwise_scores", "leafwise_splits", "symmetric_scores", "network_scores", "network_epochs",
+                       "learned_sequence_features"} and len(REGISTRY) >= 105
 
 
 def test_one_hot_of_twenty_thousand_values(spark):

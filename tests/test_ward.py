@@ -80,3 +80,15 @@ def test_undersampling_keeps_one_row_a_cluster(spark):
     c = ward_clusters(standardised(df.filter("y = 0"), "x"), "id", "x", 20)
     sizes = one_per_cluster(c, "id").collect()
     assert sorted(r["cluster_size"] for r in sizes) == sorted(map(len, want)) and {r["id"] for r in sizes} == kept
+
+
+def test_query_against_plain(spark):
+    """ward_undersample over the whole table: one kept row in each of plain Ward's clusters, and its size."""
+    import __spark_entry__ as E
+    rows = spark.read.parquet(f"{SF001}/embeddings.parquet").select("vec_id", "label", "embedding").collect()
+    maj = [(r[0], [float(v) for v in r[2]]) for r in rows if r[1] != 0]
+    x = np.array([v for _, v in maj])
+    want = plain_ward((x - x.mean(0)) / x.std(0), sum(r[1] == 0 for r in rows))
+    got = {r["vec_id"]: r["cluster_size"] for r in E.queries()["ward_undersample"](spark, SF001).collect()}
+    where = {maj[i][0]: g for g in want for i in g}
+    assert len(got) == len(want) == len({where[i] for i in got}) and all(len(where[i]) == n for i, n in got.items())
