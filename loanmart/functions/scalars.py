@@ -78,7 +78,7 @@ def nan_to_null(df: DataFrame, columns: Iterable[str] | None = None) -> DataFram
     return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast(df.schema[c].dataType)) for c in targets})
 
 
-def _order_key(order: Sequence[ColumnOrName]) -> Column:
+def order_key(order: Sequence[ColumnOrName]) -> Column:
     """Sort key for "descending, missing last": (order present, order..., tie...)."""
     cols = [_c(o) for o in order]
     return F.struct(cols[0].isNotNull().alias("_present"), *[c.alias(f"_o{i}") for i, c in enumerate(cols)])
@@ -97,13 +97,13 @@ def latest_expr(x: ColumnOrName, order: Sequence[ColumnOrName], where: Column |
     rows considered (conditional aggregation).
     """
     col = _c(x)
-    return F.max_by(col, F.when(_guard(col, where), _order_key(order)))
+    return F.max_by(col, F.when(_guard(col, where), order_key(order)))
 
 
 def earliest_expr(x: ColumnOrName, order: Sequence[ColumnOrName], where: Column | None = None) -> Column:
     """Value of x on the last row in (order desc, missing last) that has x."""
     col = _c(x)
-    return F.min_by(col, F.when(_guard(col, where), _order_key(order)))
+    return F.min_by(col, F.when(_guard(col, where), order_key(order)))
 
 
 def hash_hex(key: ColumnOrName, seed) -> Column:

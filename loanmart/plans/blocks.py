@@ -153,18 +153,23 @@ def card_block(ccb: DataFrame, tie: Sequence[str] = ("SK_ID_PREV",),
     return outer_join_all(card_parts(ccb, tie, bucket, n), KEY)
 
 
-def installment_block(inst: DataFrame, tie: Sequence[str] = ("SK_ID_PREV",)) -> DataFrame:
-    """Late flag (a missing payment day counts as late), unpaid amount,
-    first/sum/mean in descending instalment-day order."""
-    rows = inst.withColumns({
+INSTALLMENT_STATS = {"DAYS_INSTALMENT": ["first"], "insta_debt": ["sum", "mean", "first"],
+                     "insta_delinquency": ["sum", "first"]}
+
+
+def installment_rows(inst: DataFrame) -> DataFrame:
+    """E3 row features: late flag (a missing payment day counts as late) and unpaid amount."""
+    return inst.withColumns({
         "insta_delinquency": F.when(F.col("DAYS_INSTALMENT") >= F.col("DAYS_ENTRY_PAYMENT"), 0).otherwise(1),
         "insta_debt": F.col("AMT_INSTALMENT") - F.col("AMT_PAYMENT"),
     })
+
+
+def installment_block(inst: DataFrame, tie: Sequence[str] = ("SK_ID_PREV",)) -> DataFrame:
+    """first/sum/mean of the row features in descending instalment-day order."""
     order = ["DAYS_INSTALMENT", *tie]
-    spec = {"DAYS_INSTALMENT": ["first"], "insta_debt": ["sum", "mean", "first"],
-            "insta_delinquency": ["sum", "first"]}
-    return rows.groupBy(KEY).agg(*[agg_expr(c, fn, order).alias(f"{c}_{fn}") for c, fns in spec.items()
-                                   for fn in fns])
+    return installment_rows(inst).groupBy(KEY).agg(*[agg_expr(c, fn, order).alias(f"{c}_{fn}")
+                                                     for c, fns in INSTALLMENT_STATS.items() for fn in fns])
 
 
 def pos_parts(pos: DataFrame, tie: Sequence[str] = ("SK_ID_PREV",), n: int = N_LATEST) -> list[DataFrame]:
@@ -242,7 +247,11 @@ def bureau_balance_features(balance: DataFrame) -> DataFrame:
 def bureau_balance_rollup(bureau: DataFrame, balance: DataFrame, tie: Sequence[str] = ("SK_ID_BUREAU",)) -> DataFrame:
     """Per applicant, the credit with the newest open month (per-column
     first present value in that order)."""
-    per_credit = bureau_balance_features(balance)
+    return newest_credit(bureau, bureau_balance_features(balance), tie)
+
+
+def newest_credit(bureau: DataFrame, per_credit: DataFrame, tie: Sequence[str] = ("SK_ID_BUREAU",)) -> DataFrame:
+    """Features per credit brought to the applicant, newest open month first."""
     lifted = bureau.select(KEY, "SK_ID_BUREAU").join(per_credit, on="SK_ID_BUREAU", how="inner")
     cols = ["Months_latest_open", "Months_latest_delin", *[f"STATUS_{s}" for s in STATUS_LEVELS]]
     return latest_row(lifted, KEY, ["Months_latest_open", *tie], cols)

@@ -27,6 +27,7 @@ _register_block("block_pos", OB.pos_sql(), "pos")
 _register_block("block_bureau", OB.bureau_sql(), "bureau", "bureau_balance")
 _register_block("feature_mart", OB.mart_sql(), "application", "prev", "ccb", "installments", "pos", "bureau",
                 "bureau_balance")
+ORACLES["mart_increment"] = ORACLES["feature_mart"]   # the mart of all rows, however they arrive
 
 
 def _merge_registered() -> None:
