@@ -5,7 +5,8 @@ edges.  ``synthesize`` builds, for a target table, one hash aggregate per
 child keyed by the foreign key (partial aggregation before the shuffle) and
 left-joins the results to the target.  With depth 2 a child is first
 extended with the aggregates of its own children, so the target also gets
-aggregates of aggregates.  Plan generation walks schema metadata on the
+aggregates of aggregates.  A grandchild table is summed up once, into
+mergeable states by its foreign key (``RowStates``).  Plan generation walks schema metadata on the
 driver; all data work is Spark.
 
 Default primitives: numeric sum, std, max, skew, min, mean; count of
@@ -16,7 +17,7 @@ of a parent without children are 0, the others are missing.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -29,6 +30,8 @@ NUMERIC_PRIMS = ("sum", "std", "max", "skew", "min", "mean")
 CATEGORICAL_PRIMS = ("num_unique", "mode")
 BOOLEAN_PRIMS = ("percent_true",)
 ZERO_DEFAULT = ("count", "sum")
+# Roots that are split while moments are merged: those with more than 1/HOT_SHARE of all states, but at least HOT_LEAST.
+HOT_SHARE, HOT_LEAST, SALTS = 256, 10_000, 64
 _NUM_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -103,21 +106,22 @@ def _kinds(df: DataFrame, skip: set[str]) -> tuple[list[str], list[str], list[st
     return num, cat, boo
 
 
-def category_stats(child: DataFrame, child_name: str, fk: str, cols: Sequence[str],
-                   prims: Sequence[str] = CATEGORICAL_PRIMS) -> DataFrame:
-    """NUM_UNIQUE and MODE of the categorical columns per parent in one
-    pipeline: rows become narrow (parent, column, value) triples, value
-    counts are aggregated (partially, before the shuffle), then one row per
-    (parent, column), spread back to columns by conditional aggregation.
-    Mode ties go to the smallest value."""
-    cols = list(cols)
+def value_counts(child: DataFrame, fk: str, cols: Sequence[str]) -> DataFrame:
+    """Rows per (parent ``_fk``, column number ``_c``, value ``_v``): rows become narrow triples that are counted
+    partially before the shuffle.  Missing values are left out."""
     triples = child.filter(F.col(fk).isNotNull()).select(
         F.col(fk).alias("_fk"),
         F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"`{c}`").cast("string").alias("v"))
                             for i, c in enumerate(cols)])).alias("_t"))
-    counts = (triples.filter(F.col("_t.v").isNotNull())
-                     .groupBy("_fk", F.col("_t.c").alias("_c"), F.col("_t.v").alias("_v"))
-                     .agg(F.count(F.lit(1)).alias("_n")))
+    return (triples.filter(F.col("_t.v").isNotNull())
+                   .groupBy("_fk", F.col("_t.c").alias("_c"), F.col("_t.v").alias("_v"))
+                   .agg(F.count(F.lit(1)).alias("_n")))
+
+
+def counted_stats(counts: DataFrame, child_name: str, cols: Sequence[str],
+                  prims: Sequence[str] = CATEGORICAL_PRIMS) -> DataFrame:
+    """NUM_UNIQUE and MODE from value counts: one row per (parent, column), spread back to columns by conditional
+    aggregation.  Mode ties go to the smallest value."""
     per_col = counts.groupBy("_fk", "_c").agg(
         F.count(F.lit(1)).alias("_nu"),
         F.min_by("_v", F.struct((-F.col("_n")).alias("n"), F.col("_v").alias("v"))).alias("_mode"))
@@ -130,6 +134,12 @@ def category_stats(child: DataFrame, child_name: str, fk: str, cols: Sequence[st
     return per_col.groupBy("_fk").agg(*exprs)
 
 
+def category_stats(child: DataFrame, child_name: str, fk: str, cols: Sequence[str],
+                   prims: Sequence[str] = CATEGORICAL_PRIMS) -> DataFrame:
+    """NUM_UNIQUE and MODE of the categorical columns per parent."""
+    return counted_stats(value_counts(child, fk, cols), child_name, cols, prims)
+
+
 def aggregate_child(child: DataFrame, child_name: str, fk: str, skip: Sequence[str],
                     numeric: Sequence[str] = NUMERIC_PRIMS, categorical: Sequence[str] = CATEGORICAL_PRIMS,
                     boolean: Sequence[str] = BOOLEAN_PRIMS) -> DataFrame:
@@ -150,14 +160,125 @@ def aggregate_child(child: DataFrame, child_name: str, fk: str, skip: Sequence[s
     out = rows.groupBy(F.col(fk).alias("_fk")).agg(F.count(F.lit(1)).alias(n_rows), *exprs)
     if not categorical:
         return out
-    names = [f"{p.upper()}({child_name}.{c})" for c in cat for p in categorical]
-    if cat:
-        out = out.join(category_stats(child, child_name, fk, cat, categorical), on="_fk", how="left")
-    fix = {f"NUM_UNIQUE({child_name}.{c})" for c in cat} if "num_unique" in categorical else set()
-    return out.select(*[
-        (F.coalesce(F.col(f"`{x}`"), F.lit(0)) if x in fix else F.col(f"`{x}`")).alias(x)
-        for x in ["_fk", n_rows, *[f for f in out.columns if f not in ("_fk", n_rows) and f not in names], *names]
-    ])
+    stats = category_stats(child, child_name, fk, cat, categorical) if cat else None
+    return _with_categories(out, stats, child_name, cat, categorical)
+
+
+def _with_categories(out: DataFrame, stats: DataFrame | None, child_name: str, cat: Sequence[str],
+                     prims: Sequence[str]) -> DataFrame:
+    """Numeric features with the categorical ones after them; no value seen counts as 0 distinct ones."""
+    names = [f"{p.upper()}({child_name}.{c})" for c in cat for p in prims]
+    first = out.columns
+    if stats is not None and names:
+        out = out.join(stats, on="_fk", how="left")
+    return out.select(*[(F.coalesce(F.col(f"`{x}`"), F.lit(0)) if x.startswith("NUM_UNIQUE(") and x in names
+                         else F.col(f"`{x}`")).alias(x) for x in [*first, *names]])
+
+
+@dataclass
+class RowStates:
+    """The rows of a table by one of its keys, summed up so that they can be summed up again by the key's own
+    parent: counts, sums, extremes and central moments of numbers, true counts, value counts of categories.
+
+    A grandchild table is read once into its states; its features per child and per root both come from them.
+    Moments are merged about the mean of the merged group (sums first, then the moments about their mean), which
+    keeps their accuracy where sums of powers would lose it."""
+    name: str
+    num: list[str]
+    cat: list[str]
+    boo: list[str]
+    types: dict[str, T.DataType]
+    numbers: DataFrame
+    counts: DataFrame | None
+
+    @classmethod
+    def of(cls, df: DataFrame, name: str, fk: str, skip: set[str]) -> "RowStates":
+        from loanmart.session import cut_lineage
+        num, cat, boo = _kinds(df, skip | {fk})
+        exprs = [F.count(F.lit(1)).alias("_rows")]
+        for i, c in enumerate(num):
+            x = F.col(f"`{c}`")
+            m2 = F.var_pop(x) * F.count(x)
+            exprs += [F.count(x).alias(f"_n{i}"), F.sum(x).alias(f"_s{i}"), F.min(x).alias(f"_lo{i}"), F.max(x).alias(f"_hi{i}"),
+                      m2.alias(f"_m2{i}"),
+                      F.coalesce(F.skewness(x) * F.pow(m2, F.lit(1.5)) / F.sqrt(F.count(x)), F.lit(0.0)).alias(f"_m3{i}")]
+        exprs += [F.sum(F.coalesce(F.col(f"`{c}`").cast("long"), F.lit(0))).alias(f"_b{i}") for i, c in enumerate(boo)]
+        numbers = df.filter(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("_fk")).agg(*exprs)
+        return cls(name, num, cat, boo, {f.name: f.dataType for f in df.schema.fields}, cut_lineage(numbers),
+                   cut_lineage(value_counts(df, fk, cat)) if cat else None)
+
+    def _mean(self, i: int) -> Column:
+        """The mean as a double, exactly the value where all values are equal."""
+        return F.when(F.col(f"_lo{i}") == F.col(f"_hi{i}"), F.col(f"_lo{i}").cast("double")).otherwise(
+            F.try_divide(F.col(f"_s{i}").cast("double"), F.col(f"_n{i}")))
+
+    def lift(self, keys: DataFrame) -> "RowStates":
+        """States by the parent: ``keys`` maps ``_fk`` to ``_root`` (one row per ``_fk``)."""
+        from loanmart.session import cut_lineage
+        keys = keys.filter(F.col("_root").isNotNull())
+        states = self.numbers.join(keys, "_fk")
+        each = range(len(self.num))
+        sums = cut_lineage(states.groupBy("_root").agg(
+            F.sum("_rows").alias("_rows"), F.count(F.lit(1)).alias("_kids"),
+            *[e for i in each for e in (F.sum(f"_n{i}").alias(f"_n{i}"), F.sum(f"_s{i}").alias(f"_s{i}"),
+                                        F.min(f"_lo{i}").alias(f"_lo{i}"), F.max(f"_hi{i}").alias(f"_hi{i}"))],
+            *[F.sum(f"_b{i}").alias(f"_b{i}") for i in range(len(self.boo))]))
+        if self.num:
+            sums = sums.join(self._moments(states, sums), "_root")
+        counts = None if self.counts is None else self.counts.join(keys, "_fk").groupBy(
+            F.col("_root").alias("_fk"), "_c", "_v").agg(F.sum("_n").alias("_n"))
+        return RowStates(self.name, self.num, self.cat, self.boo, self.types, sums.withColumnRenamed("_root", "_fk"), counts)
+
+    def _moments(self, states: DataFrame, sums: DataFrame) -> DataFrame:
+        """Second and third central moments by root.  A root with more than 1/HOT_SHARE of all states (so fewer
+        than HOT_SHARE such roots) meets its mean in SALTS groups."""
+        limit = (sums.agg(F.sum("_kids")).first()[0] or 0) / HOT_SHARE
+        hot = [r[0] for r in sums.filter(F.col("_kids") > max(limit, HOT_LEAST)).select("_root").collect()]
+        is_hot = F.col("_root").isin(hot) if hot else F.lit(False)
+        each = range(len(self.num))
+        salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+        centre = sums.select("_root", *[self._mean(i).alias(f"_c{i}") for i in each], F.explode(salts).alias("_salt"))
+        met = states.withColumn("_salt", F.when(is_hot, F.pmod(F.hash("_fk"), F.lit(SALTS))).otherwise(F.lit(0))) \
+            .join(centre, ["_root", "_salt"])
+        terms = []
+        for i in each:
+            n, d = F.col(f"_n{i}"), self._mean(i) - F.col(f"_c{i}")
+            m2, m3 = F.col(f"_m2{i}"), F.col(f"_m3{i}")
+            terms += [F.sum(n).alias(f"_n{i}"), F.sum(n * d).alias(f"_m1{i}"), F.sum(m2 + n * d * d).alias(f"_m2{i}"),
+                      F.sum(m3 + 3 * m2 * d + n * d * d * d).alias(f"_m3{i}")]
+        parts = met.groupBy("_root", "_salt").agg(*terms)
+        total = parts.groupBy("_root").agg(*[F.sum(f"{m}{i}").alias(f"{m}{i}") for i in each for m in ("_n", "_m1", "_m2", "_m3")])
+        out = []
+        for i in each:                                      # the mean was rounded: move the moments by what is left
+            n, m2, d = F.col(f"_n{i}"), F.col(f"_m2{i}"), F.try_divide(F.col(f"_m1{i}"), F.col(f"_n{i}"))
+            out += [(m2 - n * d * d).alias(f"_m2{i}"), (F.col(f"_m3{i}") - 3 * d * m2 + 2 * n * d * d * d).alias(f"_m3{i}")]
+        return total.select("_root", *out)
+
+    def _prim(self, prim: str, i: int) -> Column:
+        n, m2 = F.col(f"_n{i}"), F.col(f"_m2{i}")
+        same = F.col(f"_lo{i}") == F.col(f"_hi{i}")
+        if prim == "std":
+            return F.when(n > 1, F.when(same, F.lit(0.0)).otherwise(F.sqrt(m2 / (n - 1))))
+        if prim == "skew":
+            g = F.sqrt(n) * F.col(f"_m3{i}") / F.pow(m2, F.lit(1.5))
+            return F.when(n >= 3, F.when(same, F.lit(0.0)).otherwise(g * F.sqrt(n * (n - 1)) / (n - 2)))
+        if prim == "mean":
+            kind = self.types[self.num[i]]
+            if isinstance(kind, T.DecimalType):             # the type that avg gives
+                scale = min(kind.scale + 4, 38)
+                return F.try_divide(F.col(f"_s{i}"), n).cast(T.DecimalType(min(kind.precision + 4, 38), scale))
+            return self._mean(i)
+        return F.col({"sum": f"_s{i}", "min": f"_lo{i}", "max": f"_hi{i}"}[prim])
+
+    def features(self, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+        """What ``aggregate_child`` gives on the rows themselves."""
+        out = self.numbers.select(
+            "_fk", F.col("_rows").alias(f"COUNT({self.name})"),
+            *[self._prim(p, i).alias(f"{p.upper()}({self.name}.{c})") for i, c in enumerate(self.num) for p in numeric],
+            *[(F.col(f"_b{i}") / F.col("_rows")).alias(f"PERCENT_TRUE({self.name}.{c})") for i, c in enumerate(self.boo)])
+        if self.counts is None or not categorical:
+            return out
+        return _with_categories(out, counted_stats(self.counts, self.name, self.cat, categorical), self.name, self.cat, categorical)
 
 
 def _defaults(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -169,11 +290,14 @@ def _defaults(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def synthesize(es: EntitySet, target: str, depth: int = 2, numeric: Sequence[str] = NUMERIC_PRIMS,
-               categorical: Sequence[str] = CATEGORICAL_PRIMS) -> DataFrame:
+               categorical: Sequence[str] = CATEGORICAL_PRIMS,
+               ready: Mapping[tuple[str, str], RowStates] | None = None) -> DataFrame:
     """Target rows with the aggregate features of its children and, with
     depth 2, of its grandchildren: through each child (aggregates of
     aggregates) and lifted to the target by the child's key (aggregates of
-    the grandchild rows themselves)."""
+    the grandchild rows themselves).  Both come from one set of states per
+    grandchild; ``ready`` holds states that the caller has already built,
+    by (parent, child)."""
     ent = es.entities[target]
     out = ent.df
     if depth <= 0:
@@ -181,25 +305,31 @@ def synthesize(es: EntitySet, target: str, depth: int = 2, numeric: Sequence[str
     for edge in es.relations.children(target):
         child = es.entities[edge.child]
         cdf = child.df
-        if depth > 1 and es.relations.children(edge.child):
+        lower_edges = es.relations.children(edge.child) if depth > 1 else ()
+        states = {(edge.child, low.child): _states(es, low) for low in lower_edges}
+        if not lower_edges and ready and (target, edge.child) in ready:
+            out = _attach(out, edge.parent_key, ready[target, edge.child].features(numeric, categorical))
+            continue
+        if lower_edges:
             # The extended child feeds the numeric and the categorical
             # aggregates: write it once instead of aggregating its own
             # children twice.
             from loanmart.session import cut_lineage
-            cdf = cut_lineage(synthesize(es, edge.child, depth - 1, numeric, categorical))
+            cdf = cut_lineage(synthesize(es, edge.child, depth - 1, numeric, categorical, states))
         skip = {child.index, edge.child_key, *child.ignore}
         agg = aggregate_child(cdf, edge.child, edge.child_key, sorted(skip), numeric, categorical)
         out = _attach(out, edge.parent_key, agg)
-        for lower in es.relations.children(edge.child) if depth > 1 else ():
-            grand = es.entities[lower.child]
-            parents = child.df.select(F.col(lower.parent_key).alias("_pk"), F.col(edge.child_key).alias("_root"))
-            lifted = grand.df.join(parents, F.col(lower.child_key) == F.col("_pk")).drop("_pk")
-            skip = {grand.index, lower.child_key, *grand.ignore}
-            agg = aggregate_child(lifted, lower.child, "_root", sorted(skip), numeric, categorical)
-            out = _attach(out, edge.parent_key, agg)
+        for low in lower_edges:
+            keys = child.df.select(F.col(low.parent_key).alias("_fk"), F.col(edge.child_key).alias("_root"))
+            out = _attach(out, edge.parent_key, states[edge.child, low.child].lift(keys).features(numeric, categorical))
     return out
 
 
+def _states(es: EntitySet, edge) -> RowStates:
+    ent = es.entities[edge.child]
+    return RowStates.of(ent.df, edge.child, edge.child_key, {ent.index, edge.child_key, *ent.ignore})
+
+
 def _attach(out: DataFrame, key: str, agg: DataFrame) -> DataFrame:
     """Left-join a child's aggregates (keyed by ``_fk``) with their defaults."""
     new_cols = [c for c in agg.columns if c != "_fk"]
