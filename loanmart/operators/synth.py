@@ -232,22 +232,26 @@ class RowStates:
     def _moments(self, states: DataFrame, sums: DataFrame) -> DataFrame:
         """Second and third central moments by root.  A root with more than 1/HOT_SHARE of all states (so fewer
         than HOT_SHARE such roots) meets its mean in SALTS groups."""
-        limit = (sums.agg(F.sum("_kids")).first()[0] or 0) / HOT_SHARE
-        hot = [r[0] for r in sums.filter(F.col("_kids") > max(limit, HOT_LEAST)).select("_root").collect()]
-        is_hot = F.col("_root").isin(hot) if hot else F.lit(False)
+        limit = max(self.numbers.count() / HOT_SHARE, HOT_LEAST)
+        hot = [r[0] for r in sums.filter(F.col("_kids") > limit).select("_root").collect()]
+        is_hot = F.col("_root").isin(hot)
         each = range(len(self.num))
-        salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-        centre = sums.select("_root", *[self._mean(i).alias(f"_c{i}") for i in each], F.explode(salts).alias("_salt"))
-        met = states.withColumn("_salt", F.when(is_hot, F.pmod(F.hash("_fk"), F.lit(SALTS))).otherwise(F.lit(0))) \
-            .join(centre, ["_root", "_salt"])
+        centre = sums.select("_root", *[self._mean(i).alias(f"_c{i}") for i in each])
+        by = ["_root", "_salt"] if hot else ["_root"]
+        if hot:
+            salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+            centre = centre.withColumn("_salt", F.explode(salts))
+            states = states.withColumn("_salt", F.when(is_hot, F.pmod(F.hash("_fk"), F.lit(SALTS))).otherwise(F.lit(0)))
+        met = states.join(centre, by).select(*by, *[c for i in each for c in (
+            f"_n{i}", f"_m2{i}", f"_m3{i}", (self._mean(i) - F.col(f"_c{i}")).alias(f"_d{i}"))])
         terms = []
         for i in each:
-            n, d = F.col(f"_n{i}"), self._mean(i) - F.col(f"_c{i}")
-            m2, m3 = F.col(f"_m2{i}"), F.col(f"_m3{i}")
+            n, d, m2, m3 = (F.col(f"{c}{i}") for c in ("_n", "_d", "_m2", "_m3"))
             terms += [F.sum(n).alias(f"_n{i}"), F.sum(n * d).alias(f"_m1{i}"), F.sum(m2 + n * d * d).alias(f"_m2{i}"),
                       F.sum(m3 + 3 * m2 * d + n * d * d * d).alias(f"_m3{i}")]
-        parts = met.groupBy("_root", "_salt").agg(*terms)
-        total = parts.groupBy("_root").agg(*[F.sum(f"{m}{i}").alias(f"{m}{i}") for i in each for m in ("_n", "_m1", "_m2", "_m3")])
+        total = met.groupBy(*by).agg(*terms)
+        if hot:
+            total = total.groupBy("_root").agg(*[F.sum(f"{m}{i}").alias(f"{m}{i}") for i in each for m in ("_n", "_m1", "_m2", "_m3")])
         out = []
         for i in each:                                      # the mean was rounded: move the moments by what is left
             n, m2, d = F.col(f"_n{i}"), F.col(f"_m2{i}"), F.try_divide(F.col(f"_m1{i}"), F.col(f"_n{i}"))
