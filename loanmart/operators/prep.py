@@ -27,67 +27,108 @@ def columns_of_type(df: DataFrame, strings: bool) -> list[str]:
 
 # ------------------------------------------------------------ correlation P1
 
-def pairwise_corr(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+CORR_TILE = 512                                             # columns a side of one tile
+CORR_VALUES = 1 << 22                                       # values multiplied at a time
+CORR_PACKED = 1 << 17                                       # numbers in one packed row
+
+
+def pairwise_corr(df: DataFrame, cols: Sequence[str], tile: int = CORR_TILE) -> DataFrame:
     """Pearson r of every column pair (i < j) on pairwise-complete rows.
 
-    One pass: each partition multiplies its block with NumPy (Gram matrices
-    of the null mask and of globally centred values) and emits them as one
-    packed row; packed rows are added up one by one in two levels and only the sum is split into one
-    row per pair.  The driver only sees the d column means.  Constant columns
-    give NULL.
+    Each partition multiplies its blocks with NumPy (Gram matrices of the null mask and of globally centred
+    values) and emits them as packed rows of bounded size, strips of the matrices; packed rows are added up one by
+    one in two levels and only the sums are split into one row per pair.  Columns are taken in tiles: a task holds the sums of one pair of tiles, at
+    most six times ``tile`` squared numbers whatever the number of columns, and reads the columns of those two
+    tiles.  With more than one tile the columns are written once, so that each pair of tiles is a pruned scan.
+    The driver only sees the column means.  Constant columns give NULL; fewer than two columns give no rows.
     """
     cols = list(cols)
-    d = len(cols)
-    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-    mu = [float(means[i]) if means[i] is not None else 0.0 for i in range(d)]
+    numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    tiles = [range(a, min(a + tile, len(cols))) for a in range(0, len(cols), tile)] or [range(0)]
+    if len(tiles) > 1:
+        from loanmart.session import cut_lineage
+        numbers = cut_lineage(numbers)
+    mu: list[float] = []
+    for t in tiles:
+        means = numbers.agg(F.count(F.lit(1)), *[F.avg(f"c{i}") for i in t]).first()[1:]
+        mu += [float(m) if m is not None else 0.0 for m in means]
+    s = None
+    for a, one in enumerate(tiles):
+        for other in tiles[a:]:
+            part = _tile_sums(numbers, one, other, mu)
+            s = part if s is None else s.unionByName(part)
+    num = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
+    vx = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
+    vy = F.col("n") * F.col("syy") - F.col("sy") * F.col("sy")
+    r = F.when((vx > 0) & (vy > 0), num / F.sqrt(vx * vy))
+    names = F.array(*[F.lit(c) for c in cols]) if cols else F.array().cast("array<string>")
+    return s.select(F.element_at(names, F.col("i") + 1).alias("col_i"), F.element_at(names, F.col("j") + 1)
+                    .alias("col_j"), "i", "j", F.when(r > 1.0, 1.0).when(r < -1.0, -1.0).otherwise(r).alias("corr"))
+
+
+def _tile_sums(numbers: DataFrame, one: range, other: range, mu: Sequence[float]) -> DataFrame:
+    """Sums over the rows for the pairs (i in one, j in other, i < j): their number, and of the centred values x
+    of i and y of j the sums, squares and products."""
+    same = one == other
+    d, e = len(one), len(other)
+    shape, state = (6, d, e), "g int, k int, m binary"
+    strip = max(1, CORR_PACKED // max(1, shape[0] * e))     # rows of the matrices in one packed row
+    shift = [mu[i] for i in one], [mu[i] for i in other]
     pair_fields = ("n", "sx", "sy", "sxx", "syy", "sxy")
+    cols = [f"c{i}" for i in one] + ([] if same else [f"c{i}" for i in other])
 
-    def gram(batches):
+    def packed(part: int, k: int, sums) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([k], pa.int32()),
+                                           pa.array([sums.tobytes()], pa.binary())], names=["g", "k", "m"])
+
+    def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
-        acc, part = np.zeros((4, d, d)), None
-        for b in batches:
-            if b.num_rows == 0:
-                continue
-            part = b.column(d)[0].as_py()
-            X = np.column_stack([b.column(k).to_numpy(zero_copy_only=False).astype("float64") for k in range(d)])
+        acc, part = np.zeros(shape), None
+        step = max(1, CORR_VALUES // max(1, len(cols)))
+
+        def block(b, first, mean):
+            X = np.column_stack([b.column(first + k).to_numpy(zero_copy_only=False).astype("float64") for k in range(len(mean))])
             M = ~np.isnan(X)
-            X0 = np.where(M, X - np.asarray(mu), 0.0)
-            Mf = M.astype("float64")
-            acc += np.stack([Mf.T @ Mf, X0.T @ Mf, (X0 * X0).T @ Mf, X0.T @ X0])
-        if part is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([acc.tobytes()], pa.binary())], names=["g", "m"])
+            return np.where(M, X - np.asarray(mean), 0.0), M.astype("float64")
+
+        for whole in batches:
+            for at in range(0, whole.num_rows if cols else 0, step):
+                b = whole.slice(at, step)
+                part = b.column(len(cols))[0].as_py()
+                X, Mx = block(b, 0, shift[0])
+                Y, My = (X, Mx) if same else block(b, d, shift[1])
+                sx, sxx = X.T @ My, (X * X).T @ My
+                sy, syy = (sx.T, sxx.T) if same else (Mx.T @ Y, Mx.T @ (Y * Y))
+                for k, m in enumerate((Mx.T @ My, sx, sy, sxx, syy, X.T @ Y)):
+                    acc[k] += m
+        for k, at in enumerate(range(0, d, strip) if part is not None else ()):
+            yield packed(part, k, acc[:, at:at + strip])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
-        total = np.zeros(4 * d * d)
+        total, key = 0.0, (0, 0)
         for b in batches:
-            for m in b.column("m"):
-                total += np.frombuffer(m.as_buffer(), "float64")
-        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["g", "m"])
+            for g, k, m in zip(b.column("g"), b.column("k"), b.column("m")):
+                total, key = total + np.frombuffer(m.as_buffer(), "float64"), (g.as_py(), k.as_py())
+        yield packed(*key, total)
 
-    def pairs(batches):
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
-        iu, ju = np.triu_indices(d, k=1)
         for b in batches:
-            for m in b.column(1):
-                n, sx, sxx, sxy = np.frombuffer(m.as_buffer(), "float64").reshape(4, d, d)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(iu.astype("int32")), pa.array(ju.astype("int32"))] + [pa.array(v) for v in (
-                        n[iu, ju], sx[iu, ju], sx[ju, iu], sxx[iu, ju], sxx[ju, iu], sxy[iu, ju])], names=["i", "j", *pair_fields])
-
-    numbers = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)], F.spark_partition_id().alias("g"))
-    blocks = numbers.mapInArrow(gram, "g int, m binary")
-    fan = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    level = blocks.withColumn("g", F.col("g") % fan).groupBy("g").applyInArrow(add, "g int, m binary")
-    s = level.groupBy("g").applyInArrow(add, "g int, m binary").mapInArrow(
+            for k, m in zip(b.column(1), b.column(2)):
+                sums = np.frombuffer(m.as_buffer(), "float64").reshape(shape[0], -1, e)
+                at = k.as_py() * strip
+                u, v = (x.ravel() for x in np.indices(sums.shape[1:]))
+                if same:
+                    u, v = u[v > u + at], v[v > u + at]
+                i, j = np.asarray(one, "int32")[u + at], np.asarray(other, "int32")[v]
+                yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j)] + [pa.array(x[u, v]) for x in sums], names=["i", "j", *pair_fields])
+
+    blocks = numbers.select(*cols, F.spark_partition_id().alias("g")).mapInArrow(gram, state)
+    fan = max(1, int(numbers.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    level = blocks.withColumn("g", F.col("g") % fan).groupBy("g", "k").applyInArrow(add, state)
+    return level.groupBy("k").applyInArrow(add, state).mapInArrow(
         pairs, "i int, j int, " + ", ".join(f"{c} double" for c in pair_fields))
-    num = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
-    vx = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
-    vy = F.col("n") * F.col("syy") - F.col("sy") * F.col("sy")
-    r = F.when((vx > 0) & (vy > 0), num / F.sqrt(vx * vy))
-    names = F.array(*[F.lit(c) for c in cols])
-    return s.select(F.element_at(names, F.col("i") + 1).alias("col_i"), F.element_at(names, F.col("j") + 1)
-                    .alias("col_j"), "i", "j", F.when(r > 1.0, 1.0).when(r < -1.0, -1.0).otherwise(r).alias("corr"))
 
 
 def correlated_columns(df: DataFrame, cols: Sequence[str], threshold: float = CORR_THRESHOLD) -> DataFrame:
