@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanmart.llm.common import add_columns, buffer_of, doc_groups, span_codes, table, text_input
+from loanmart.llm.common import add_columns, buffer_of, doc_groups, span_codes, store, table, text_input
 
 GROUP_BYTES = 1 << 20
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -186,22 +186,37 @@ def fit(patterns: dict[int, int], n_rules: int, rounds: int = ROUNDS, smooth: fl
     return dict(zip(codes.tolist(), good.tolist()))
 
 
-def judge(docs: DataFrame, text_col: str = "text", threshold: float = POSTERIOR) -> DataFrame:
-    """Append counts, ``posterior``, ``base_failed`` and ``kept``."""
-    counted = add_counts(docs, text_col)
+def posteriors(counted: DataFrame) -> dict[int, float]:
+    """Posterior probability by vote pattern, fitted on all rows of a table with the columns of ``COUNTS``."""
     votes = list(rules().values())
-    narrow = add_counts(docs.select(F.col(f"`{text_col}`").alias("text"))).select(pattern_code(votes).alias("p"))
-    seen = {r["p"]: r["n"] for r in narrow.groupBy("p").agg(F.count(F.lit(1)).alias("n")).collect()}
-    posterior = fit(seen, len(votes))
+    patterns = counted.select(pattern_code(votes).alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n"))
+    return fit({r["p"]: r["n"] for r in patterns.collect()}, len(votes))
+
+
+def add_verdict(counted: DataFrame, posterior: dict[int, float], threshold: float = POSTERIOR) -> DataFrame:
+    """Append ``posterior``, ``base_failed`` and ``kept`` to a table with the columns of ``COUNTS``."""
     lookup = F.create_map(*[F.lit(x) for kv in sorted(posterior.items()) for x in kv]) if posterior else None
-    p = lookup[pattern_code(votes)] if posterior else F.lit(None).cast("double")
+    p = lookup[pattern_code(list(rules().values()))] if posterior else F.lit(None).cast("double")
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > MAX_REPEAT_PERCENT * F.col("n_words"))
     return (counted.withColumn("posterior", p).withColumn("base_failed", failed)
             .withColumn("kept", ~failed & (F.coalesce("posterior", F.lit(0.0)) >= threshold)))
 
 
+def judge(docs: DataFrame, text_col: str = "text", threshold: float = POSTERIOR) -> DataFrame:
+    """Append counts, ``posterior``, ``base_failed`` and ``kept``.  The text passes through, so it is counted once
+    for the fit and once for the result; ``judge_counts`` needs one pass where the text is not wanted."""
+    narrow = add_counts(docs.select(F.col(f"`{text_col}`").alias("text")))
+    return add_verdict(add_counts(docs, text_col), posteriors(narrow), threshold)
+
+
+def judge_counts(docs: DataFrame, text_col: str = "text", threshold: float = POSTERIOR) -> DataFrame:
+    """``judge`` without the text: counts are written once, and both the fit and the verdicts read them."""
+    counted = store(add_counts(docs, text_col).drop(text_col), "quality_counts")
+    return add_verdict(counted, posteriors(counted), threshold)
+
+
 def op5_quality(spark, sf_dir: str) -> DataFrame:
     """Verdict on every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                              "base_failed", "kept", F.round("posterior", 6).alias("posterior"))
+    return judge_counts(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                     "base_failed", "kept", F.round("posterior", 6).alias("posterior"))

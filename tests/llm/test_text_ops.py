@@ -228,3 +228,13 @@ def test_vantage_tree_shards_find_every_pair(spark):
     node, root = local_forest(s[a], s[b])
     want = dict(zip(node.tolist(), root.tolist())) | {r: r for r in root.tolist()}
     assert got == want
+
+
+def test_quality_from_written_counts_is_the_same(spark):
+    from loanmart.llm import quality as Q
+    docs = spark.createDataFrame([(i, t, i) for i, t in enumerate([None, "", "a b", "word " * 60, "one two three four. " * 30, "x#y " * 80,
+                                                                   " ".join(f"w{k}" for k in range(90)) + "."] * 3)],
+                                 "doc_id int, text string, n_words int")
+    want = sorted(map(str, Q.judge(docs).drop("text").collect()))
+    assert sorted(map(str, Q.judge_counts(docs).collect())) == want and len(want) == 21
+    assert Q.judge_counts(docs.limit(0)).count() == 0
