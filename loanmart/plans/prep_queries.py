@@ -203,11 +203,10 @@ def pca_variance(spark, sf):
 def one_hot_high_cardinality(spark, sf):
     """A string column of very many values as sparse one-hot vectors: the one
     set position (none for the first category) and the width."""
-    from pyspark.ml.functions import vector_to_array
     li = V.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("part"))
     enc = P.SparseOneHot.fit(li, ["part"])
     width = enc.sizes["part"] - 1
     vec = enc.transform(li)
-    bit = F.array_position(vector_to_array("part__onehot"), F.lit(1.0)) - 1
-    return vec.select("l_orderkey", "l_linenumber", F.when(bit >= 0, bit).cast("int").alias("set_bit"),
+    bit = F.get(F.unwrap_udt("part__onehot")["indices"], F.lit(0))          # a dense array would have ``width`` numbers a row
+    return vec.select("l_orderkey", "l_linenumber", bit.cast("int").alias("set_bit"),
                       F.lit(width).cast("int").alias("width"))
