@@ -1,8 +1,10 @@
-"""Networks trained data-parallel, one job a step.
+"""Networks trained data-parallel, one job a step or a chain of steps.
 
 Rows are dealt once, by a hash of their ids, into micro-batches of about ``micro_rows`` and these into batches, and written by
-batch.  A step reads one batch: each task takes its micro-batches forward and backward and adds up their gradients, tasks
-are added up by Spark, and the driver moves the weights (Adam).  The driver holds weights only, a task one micro-batch of rows.
+batch.  A step of a large batch is a job: each task takes its micro-batches forward and backward and adds up their gradients, tasks
+are added up by Spark, and the driver moves the weights (Adam).  Steps of small batches, which have work for a few tasks only and take
+less time than a job, go in chains: one job reads the batches of many steps, in their order, and its last task takes these steps
+one after the other.  Both give the same weights.  The driver holds weights only, a task one micro-batch of rows.
 
 Gradients travel as integers (32 binary places), dropout masks are a hash of (row, step, layer, unit), batch statistics
 are those of a micro-batch, and rows stand in a fixed order: so weights do not depend on partitions or retries.
@@ -31,6 +33,8 @@ from loanmart.functions.scalars import hash_int
 from loanmart.session import scratch_path
 
 UNIT = float(1 << 32)
+CHAIN_MICROS = 32               # micro-batches up to which a batch goes in a chain
+CHAIN_BYTES = 1 << 27           # inputs of the steps of one chain
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -395,6 +399,52 @@ def _sums(data: DataFrame, size: int, fn) -> np.ndarray:
     return sum((np.frombuffer(r["v"], np.int64) for r in got), np.zeros(size, np.int64)) / UNIT
 
 
+def _adam(p: "NetParams", net: Net, state: tuple, step: int, got: np.ndarray) -> tuple:
+    """(weights, stats, first, second, summed loss) after a step with the sums ``got`` of a batch."""
+    weights, stats, first, second, lost = state
+    loss, count = got[-2:]
+    if not count:
+        return state
+    grad = got[:net.n_weights] / count
+    first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad ** 2
+    weights = weights - p.rate * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-7)
+    stats = p.momentum * stats + (1 - p.momentum) * got[net.n_weights:-2] / count
+    return weights, stats, first, second, lost + loss
+
+
+def _step_sums(net: Net, x: np.ndarray, y: np.ndarray, rows: np.ndarray, step: int, state: tuple) -> np.ndarray:
+    loss, grad, seen = net.gradient(x, y, rows, step, state[0], state[1])
+    return np.concatenate([grad, seen, [loss, len(y)]])
+
+
+def _chain(data: DataFrame, order: Sequence[int], step: int, p: "NetParams", net: Net, state: tuple) -> tuple:
+    """The state after the steps of the batches ``order``, the first of which is ``step``; one state reaches the driver."""
+    sizes = np.cumsum([net.n_weights, net.n_stats, net.n_weights, net.n_weights])
+
+    def walk(batches):
+        now, at, total = state, None, None
+        for b in batches:
+            for i, x, y, rows in zip(b.column(0).to_pylist(), *(b.column(k) for k in (1, 2, 3))):
+                if i != at:
+                    if at is not None:
+                        now = _adam(p, net, now, step + at, total / UNIT)
+                    at, total = i, np.zeros(net.n_weights + net.n_stats + 2, np.int64)
+                y = np.frombuffer(y.as_buffer())
+                sums = _step_sums(net, np.frombuffer(x.as_buffer()).reshape(len(y), -1), y, np.frombuffer(rows.as_buffer(), np.uint64), step + at, now)
+                total += np.rint(sums * UNIT).astype(np.int64)
+        if at is not None:
+            now = _adam(p, net, now, step + at, total / UNIT)
+        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([*now[:4], [now[4]]]).tobytes()], pa.binary())], names=["v"])
+
+    place = F.array_position(F.array(*[F.lit(b) for b in order]), F.col("batch")) - 1
+    steps = data.filter(F.col("batch").isin(list(order))).select(place.cast("int").alias("i"), "x", "y", "rows")
+    got = steps.repartition(1).sortWithinPartitions("i").mapInArrow(walk, "v binary").collect()
+    if not got:
+        return state
+    *arrays, lost = np.split(np.frombuffer(got[0]["v"]), sizes)
+    return (*arrays, float(lost[0]))
+
+
 def fit_network(df: DataFrame, id_col: str, label: str, vec: str, shape: tuple[int, ...], layers: Sequence[Layer],
                 params: NetParams | None = None) -> NetModel:
     """Train ``layers`` over vectors ``vec`` of ``shape`` (row-major)."""
@@ -434,24 +484,22 @@ def fit_network(df: DataFrame, id_col: str, label: str, vec: str, shape: tuple[i
             return np.array([np.sum(np.logaddexp(0, z) - y * z)])
         return float(_sums(data.filter("batch = -1"), 1, fn)[0]) / max(1, n.get(True, 0))
 
+    chain = max(1, CHAIN_BYTES * batches // (8 * width * n[False])) if micros <= CHAIN_MICROS else 0
     best, waited, first, second, step = None, 0, np.zeros(net.n_weights), np.zeros(net.n_weights), 0
     for epoch in range(p.epochs):
-        lost = 0.0
-        for b in np.random.default_rng([p.seed, epoch]).permutation(batches).tolist():
+        state = weights, stats, first, second, 0.0
+        order = np.random.default_rng([p.seed, epoch]).permutation(batches).tolist()
+        for at in range(0, batches, chain or 1):
+            if chain:
+                state = _chain(data, order[at:at + chain], step + 1, p, net, state)
+                step += len(order[at:at + chain])
+                continue
             step += 1
 
-            def fn(x, y, rows, step=step, w=weights, s=stats):
-                loss, grad, seen = net.gradient(x, y, rows, step, w, s)
-                return np.concatenate([grad, seen, [loss, len(y)]])
-            got = _sums(data.filter(F.col("batch") == b), net.n_weights + net.n_stats + 2, fn)
-            loss, count = got[-2:]
-            if not count:
-                continue
-            lost += loss
-            grad = got[:net.n_weights] / count
-            first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad ** 2
-            weights = weights - p.rate * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-7)
-            stats = p.momentum * stats + (1 - p.momentum) * got[net.n_weights:-2] / count
+            def fn(x, y, rows, step=step, state=state):
+                return _step_sums(net, x, y, rows, step, state)
+            state = _adam(p, net, state, step, _sums(data.filter(F.col("batch") == order[at]), net.n_weights + net.n_stats + 2, fn))
+        weights, stats, first, second, lost = state
         loss = held_out(weights, stats) if n.get(True) else lost / n[False]
         model.history.append((epoch, float(lost / n[False]), float(loss)))
         if best is None or loss < best:
