@@ -193,7 +193,7 @@ class RowStates:
 
     @classmethod
     def of(cls, df: DataFrame, name: str, fk: str, skip: set[str]) -> "RowStates":
-        from loanmart.session import cut_lineage
+        from loanmart.session import cut_lineage, store_rows
         num, cat, boo = _kinds(df, skip | {fk})
         exprs = [F.count(F.lit(1)).alias("_rows")]
         for i, c in enumerate(num):
@@ -205,7 +205,7 @@ class RowStates:
         exprs += [F.sum(F.coalesce(F.col(f"`{c}`").cast("long"), F.lit(0))).alias(f"_b{i}") for i, c in enumerate(boo)]
         numbers = df.filter(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("_fk")).agg(*exprs)
         return cls(name, num, cat, boo, {f.name: f.dataType for f in df.schema.fields}, cut_lineage(numbers),
-                   cut_lineage(value_counts(df, fk, cat)) if cat else None)
+                   store_rows(value_counts(df, fk, cat), "counts") if cat else None)
 
     def _mean(self, i: int) -> Column:
         """The mean as a double, exactly the value where all values are equal."""
@@ -318,8 +318,8 @@ def synthesize(es: EntitySet, target: str, depth: int = 2, numeric: Sequence[str
             # The extended child feeds the numeric and the categorical
             # aggregates: write it once instead of aggregating its own
             # children twice.
-            from loanmart.session import cut_lineage
-            cdf = cut_lineage(synthesize(es, edge.child, depth - 1, numeric, categorical, states))
+            from loanmart.session import store_rows
+            cdf = store_rows(synthesize(es, edge.child, depth - 1, numeric, categorical, states), "child")
         skip = {child.index, edge.child_key, *child.ignore}
         agg = aggregate_child(cdf, edge.child, edge.child_key, sorted(skip), numeric, categorical)
         out = _attach(out, edge.parent_key, agg)
