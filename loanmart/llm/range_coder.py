@@ -1,15 +1,15 @@
 """Adaptive context-mixing range coder for token ids, in blocks that are coded side by side.
 
-An id is coded in up to three steps.  A table of the ids that followed the last two ids (order 2) and one of
-those that followed the last id (order 1) each predict one id, with a confidence.  The first step tells
-whether the order-2 id, else the order-1 id, else neither is right; its probabilities mix two adaptive
-estimates, one by the confidences and one by the latest outcomes, with a weight that follows the better of them.
-If neither is right, the order-0 model codes the id's class (by size) with adaptive frequencies, and the
-rest of its bits are coded as they are.
+A table of the ids that followed the last two ids (order 2) and one of those that followed the last id (order 1) each
+predict one id, with a confidence.  The first step tells whether the order-2 id, else the order-1 id, else neither is
+right; its probabilities mix two adaptive estimates, one by the confidences and one by the latest outcomes, with a weight
+that follows the better of them.  If neither is right, the order-0 model codes the id itself by its share: a table
+of the ids' frequencies (``frequencies``), which the caller keeps beside the blocks, or else a fixed one.
 
 Every block starts from the same fresh model and coder, so blocks are decoded independently; NumPy takes one id
-of each block at a time.  The coder is a carry-less range coder on 64-bit integers with 16-bit output words; all
-probabilities are integers, so encoder and decoder agree on any machine.
+of each block at a time.  The coder is a range coder on 64-bit integers with 32-bit output words (a carry runs back into
+the words that are out); an id gives one word at most.  All probabilities are integers, so encoder and decoder agree on
+any machine.
 """
 
 from __future__ import annotations
@@ -18,244 +18,241 @@ import zlib
 
 import numpy as np
 
-BLOCK_IDS = 2048
-LANES = 4096                    # blocks coded side by side
+BLOCK_IDS = 1024
+LANES = 16384                   # blocks coded side by side
 MAX_ID = 65534
 _S1, _S2 = 9, 10                # bits of the order-1 and order-2 tables
 _U = np.uint64
-_16, _32, _48 = _U(16), _U(32), _U(48)
-#: Classes of ids by size: 0-63, 64-319, 320-1343, ...; ids of a class share their number of bits.
-_CLASSES = 6
-_CLASS_BITS = np.array([6, 8, 10, 12, 14, 16], np.uint64)
-_CLASS_BASE = np.concatenate([[0], np.cumsum(1 << _CLASS_BITS.astype(np.int64))])[:-1]
-_CLASS = (np.searchsorted(_CLASS_BASE, np.arange(MAX_ID + 1), "right") - 1).astype(np.int8)
-_NONE = (MAX_ID + 1) << 2       # empty table entry: no id, no confidence
+_32, _LOW = _U(32), _U(0xFFFFFFFF)
+_MIX = _U(16)                   # bits of the first step's probabilities
+_SHARE = 18                     # bits of the order-0 shares
+_NO = MAX_ID + 1                # no id
+_NONE = _NO << 2                # empty table entry: no id, no confidence
+
+
+def _mask(x: np.ndarray) -> np.ndarray:
+    """All bits set where true."""
+    return np.negative(x.view(np.int8)).astype(np.int32)
+
+
+def _wide(mask: np.ndarray) -> np.ndarray:
+    return mask.astype(np.int64).view(np.uint64)
+
+
+def _pick(mask: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a where the mask is set, else b: ``np.where`` without branches, which outcomes by chance mislead."""
+    return (a ^ b) & mask ^ b
 
 
 class _Model:
-    """Predictions and probabilities of all lanes.  A table entry is an id and a confidence of 0 to 3."""
+    """Predictions and probabilities of all lanes.  A table entry is an id and a confidence of 0 to 3.
+    Entries of one place lie side by side for all lanes, as many lanes ask the same at a time."""
 
     def __init__(self, lanes: int):
-        self.n = lanes
-        lane = np.arange(lanes, dtype=np.int64)
-        self.base1, self.base2 = lane << _S1, lane << _S2
+        self.lanes = lanes
+        self.lane = np.arange(lanes, dtype=np.int32)
         self.t1, self.t2 = np.full(lanes << _S1, _NONE, np.int32), np.full(lanes << _S2, _NONE, np.int32)
-        # of 65536: order 2 is right, order 1 is right, by confidences and by the latest outcomes
-        self.a2, self.a1 = np.full(lanes * 32, 20000, np.int32), np.full(lanes * 32, 8000, np.int32)
-        self.b2, self.b1 = np.full(lanes * 32, 20000, np.int32), np.full(lanes * 32, 8000, np.int32)
-        self.by = lane * 32
-        self.past = np.full(lanes, 26, np.int64)
+        # of 65536: order 2 is right (upper half), order 1 is right, by confidences and by the latest outcomes
+        self.a = np.full(lanes * 32, 20000 << 16 | 8000, np.uint32)
+        self.b = np.full(lanes * 64, 20000 << 16 | 8000, np.uint32)
+        self.past = np.full(lanes, 0b101010, np.int32)      # three outcomes of two bits
         self.weight = np.full(lanes, 8, np.int32)
-        self.freq = np.full((lanes, _CLASSES), 16, np.int32)
-        self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.last, self.before = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
 
     def shrink(self, live: int) -> None:
         """Only the first lanes go on."""
-        self.n = live
-        for name in ("base1", "base2", "by", "past", "weight", "freq", "last", "before"):
+        for name in ("lane", "past", "weight", "last", "before"):
             setattr(self, name, getattr(self, name)[:live])
 
-    def predict(self) -> None:
-        self.i2 = self.base2 + ((self.before * 40503 + self.last * 30011 >> 3) & ((1 << _S2) - 1))
-        self.i1 = self.base1 + (self.last & ((1 << _S1) - 1))
-        self.e2, self.e1 = self.t2[self.i2], self.t1[self.i1]
+    def _at(self, place: np.ndarray) -> np.ndarray:
+        return (place * self.lanes + self.lane).astype(np.int64)
+
+    def look(self) -> None:
+        """What the tables predict."""
+        self.i2 = self._at((self.before * 40503 + self.last * 30011 >> 3) & ((1 << _S2) - 1))    # bits 3 to 12 only
+        self.i1 = self._at(self.last & ((1 << _S1) - 1))
+        self.e2, self.e1 = self.t2.take(self.i2, mode="clip"), self.t1.take(self.i1, mode="clip")
         self.p2, self.p1 = self.e2 >> 2, self.e1 >> 2
         self.k2, self.k1 = self.e2 & 3, self.e1 & 3
-        self.same = self.p1 == self.p2
-        self.a_at = self.by + ((self.k2 << 2) + self.k1 + (self.same << 4))
-        self.b_at = self.by + self.past
-        self.va2, self.va1, self.vb2, self.vb1 = self.a2[self.a_at], self.a1[self.a_at], self.b2[self.b_at], self.b1[self.b_at]
-        self.f2 = np.maximum((self.va2 * self.weight + self.vb2 * (16 - self.weight)) >> 4, 32)
-        self.f1 = np.maximum((self.va1 * self.weight + self.vb1 * (16 - self.weight)) >> 4, 32) * ~self.same
-
-    def update(self, outcome: np.ndarray, ids: np.ndarray) -> None:
-        """outcome: 0 order 2 was right, 1 order 1 was, 2 neither."""
-        two, one = outcome == 0, outcome == 1
-        better = np.where(two, self.va2 - self.vb2, np.where(one, self.va1 - self.vb1,
-                                                             self.vb2 + self.vb1 - self.va2 - self.va1))
-        self.weight = np.minimum(np.maximum(self.weight + np.sign(better), 1), 15)
-        y2, y1 = two * np.int32(65000), one * np.int32(65000)
-        self.a2[self.a_at] = self.va2 + ((y2 - self.va2) >> 4)
-        self.a1[self.a_at] = self.va1 + ((y1 - self.va1) >> 4)
-        self.b2[self.b_at] = self.vb2 + ((y2 - self.vb2) >> 5)
-        self.b1[self.b_at] = self.vb1 + ((y1 - self.vb1) >> 5)
-        self.past = (self.past * 3 + outcome) % 27
-        fresh = ids.astype(np.int32) << 2                   # a wrong entry loses confidence, or else its place
-        self.t2[self.i2] = np.where(two, self.e2 + (self.k2 < 3), np.where(self.k2 > 0, self.e2 - 1, fresh))
-        right = self.p1 == ids
-        self.t1[self.i1] = np.where(right, self.e1 + (self.k1 < 3), np.where(self.k1 > 0, self.e1 - 1, fresh))
+
+    def weigh(self) -> None:
+        """How likely the predictions are: ``f2``, and ``f12`` of both."""
+        same = _mask(self.p1 == self.p2)
+        self.i_a = self._at((self.k2 << 2 | self.k1) + (same & 16))
+        self.i_b = self._at(self.past)
+        a, b = self.a.take(self.i_a, mode="clip"), self.b.take(self.i_b, mode="clip")
+        self.va2, self.va1 = (a >> 16).view(np.int32), (a & 0xFFFF).view(np.int32)
+        self.vb2, self.vb1 = (b >> 16).view(np.int32), (b & 0xFFFF).view(np.int32)
+        self.d2, self.d1 = self.va2 - self.vb2, self.va1 - self.vb1
+        f2 = np.maximum(self.vb2 + (self.d2 * self.weight >> 4), 32)
+        f1 = np.maximum(self.vb1 + (self.d1 * self.weight >> 4), 32) & ~same
+        self.f2, self.f12 = f2.astype(np.uint64), (f2 + f1).astype(np.uint64)
+
+    def learn(self, two: np.ndarray, right1: np.ndarray, ids: np.ndarray) -> None:
+        """The ids that followed (masks: whether each table's was right)."""
+        fresh = ids << 2                                    # a wrong entry loses confidence, or else its place
+        for table, at, e, k, right in ((self.t2, self.i2, self.e2, self.k2, two), (self.t1, self.i1, self.e1, self.k1, right1)):
+            table[at] = _pick(right, e - (k - 3 >> 2), _pick(-k >> 2, e - 1, fresh))
         self.before, self.last = self.last, ids
 
-    def classes(self, lanes: np.ndarray) -> np.ndarray:
-        """Upper edges of the classes' intervals, of 65536."""
-        upto = np.cumsum(self.freq[lanes], 1, dtype=np.int32)
-        edge = upto * ((65536 - _CLASSES) // upto[:, -1:]) + np.arange(1, _CLASSES + 1, dtype=np.int32)
-        edge[:, -1] = 65536
-        return edge
+    def update(self, two: np.ndarray, one: np.ndarray) -> None:
+        """Masks: whether order 2 was right, whether order 1 was; else neither."""
+        better = _pick(two, self.d2, _pick(one, self.d1, -self.d2 - self.d1))
+        self.weight = np.minimum(np.maximum(self.weight + np.sign(better), 1), 15)
+        y2, y1 = two & 65000, one & 65000
+        for table, at, v2, v1, rate in ((self.a, self.i_a, self.va2, self.va1, 4), (self.b, self.i_b, self.vb2, self.vb1, 5)):
+            v2, v1 = v2 + (y2 - v2 >> rate), v1 + (y1 - v1 >> rate)
+            table[at] = (v2 << 16 | v1).view(np.uint32)
+        self.past = (self.past << 2 | 2 + 2 * two + one) & 63
+
+def frequencies(count: np.ndarray) -> np.ndarray:
+    """Shares in 2**18 of the ids 0 to ``MAX_ID``, by their counts: one at least for each id that occurs."""
+    there = count > 0
+    if not there.any():
+        return np.zeros(_NO, np.int64)
+    free = (1 << _SHARE) - int(np.count_nonzero(there))
+    share = np.where(there, 1 + count * free // int(count.sum()), 0)
+    share[int(np.argmax(count))] += (1 << _SHARE) - int(share.sum())
+    return share
+
 
-    def count(self, lanes: np.ndarray, cls: np.ndarray) -> None:
-        """Order-0 frequencies after the classes of the lanes that escaped."""
-        self.freq[lanes, cls] += 24
-        full = lanes[self.freq[lanes, cls] > 1500]
-        if len(full):
-            self.freq[full] = (self.freq[full] >> 1) + 1
+#: Shares if no table is given: the smaller an id, the more frequent.
+_GIVEN = frequencies((1 << 30) // (np.arange(_NO, dtype=np.int64) + 32))
 
 
-def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
+def _shares(share: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Start (upper half) and share of each id, the whole for no id; and the id of each place."""
+    share = _GIVEN if share is None else share
+    table = np.empty(_NO + 1, np.uint64)
+    table[:_NO] = (np.cumsum(share) - share).astype(np.uint64) << _32 | share.astype(np.uint64)
+    table[_NO] = 1 << _SHARE
+    return table, np.repeat(np.arange(_NO, dtype=np.uint16), share)
+
+
+def _still(size: np.ndarray) -> list[int]:
+    """Number of blocks that have an id at each step (``size`` falls)."""
+    return np.searchsorted(-size, -np.arange(int(size[0])), "left").tolist()
+
+
+def encode_blocks(blocks: list[np.ndarray], share: np.ndarray | None = None) -> list[bytes]:
     """Range-coded payload of each block of ids."""
     order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
     out: list[bytes] = [b""] * len(blocks)
     for g in range(0, len(order), LANES):
         some = order[g:g + LANES]
-        for i, payload in zip(some, _encode_lanes([blocks[i] for i in some])):
+        for i, payload in zip(some, _encode_lanes([blocks[i] for i in some], _shares(share)[0])):
             out[i] = payload
     return out
 
 
-def _encode_lanes(blocks: list[np.ndarray]) -> list[bytes]:
+def _encode_lanes(blocks: list[np.ndarray], table: np.ndarray) -> list[bytes]:
     """``blocks`` from the longest to the shortest."""
     size = np.array([len(b) for b in blocks])
-    lanes, steps = len(blocks), int(size[0]) if len(blocks) else 0
-    ids = np.zeros((steps, lanes), np.uint16)
-    for k, b in enumerate(blocks):
-        ids[:len(b), k] = b
+    lanes, steps = len(blocks), int(size[0])
+    lines = np.zeros((lanes, steps), np.uint16)
+    for line, b in zip(lines, blocks):
+        line[:len(b)] = b
+    ids = np.ascontiguousarray(lines.T)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    room = steps + 64
-    words = np.zeros((lanes, room), np.uint16)
-    used = np.zeros(lanes, np.int64)
+    room = steps + 2                                        # a word an id at most, and the rest of the state
+    words = np.zeros(lanes * room, np.uint32)
+    first = np.arange(lanes) * room
+    at = first.copy()
     model = _Model(lanes)
-
-    def put(at, start, freq, bits) -> None:
-        """Code an interval of ``at`` (lane numbers, None: the first lanes) of 2**bits."""
-        lo, sp = (low[:live], span[:live]) if at is None else (low[at], span[at])
-        r = sp >> bits
-        lo, sp = lo + start * r, freq * r
-        go = np.flatnonzero(((lo ^ (lo + sp)) < _U(1 << 48)) | (sp < _U(1 << 32)))
-        while len(go):
-            a, b = lo[go], sp[go]
-            apart = (a ^ (a + b)) >= _U(1 << 48)            # an interval across a word border is cut to one side
-            b = np.where(apart, (~a + _U(1)) & _U(0xFFFFFFFF), b)
-            lane = go if at is None else at[go]
-            words[lane, used[lane]] = a >> _48
-            used[lane] += 1
-            a, b = a << _16, b << _16
-            lo[go], sp[go] = a, b
-            go = go[((a ^ (a + b)) < _U(1 << 48)) | (b < _U(1 << 32))]
-        if at is None:
-            low[:live], span[:live] = lo, sp
-        else:
-            low[at], span[at] = lo, sp
-
     live = lanes
-    for t in range(steps):
-        now = int(np.searchsorted(-size, -t, "left"))       # blocks longer than t
+    for t, now in enumerate(_still(size)):
         if now < live:
             live = now
             model.shrink(live)
-        if t % 64 == 0 and int(used.max()) + 64 * 6 > words.shape[1]:
-            words = np.pad(words, ((0, 0), (0, room)))
-        x = ids[t, :live].astype(np.int64)
-        model.predict()
-        outcome = np.where(x == model.p2, 0, np.where(x == model.p1, 1, 2))
-        two, one = outcome == 0, outcome == 1
-        start = np.where(two, 0, np.where(one, model.f2, model.f2 + model.f1))
-        freq = np.where(two, model.f2, np.where(one, model.f1, 65536 - model.f2 - model.f1))
-        put(None, start.astype(np.uint64), freq.astype(np.uint64), _16)
-        esc = np.flatnonzero(outcome == 2)
-        if len(esc):
-            y = x[esc]
-            cls = _CLASS[y]
-            edge = model.classes(esc)
-            row = np.arange(len(esc))
-            first = np.where(cls > 0, edge[row, cls - 1], 0)
-            put(esc, first.astype(np.uint64), (edge[row, cls] - first).astype(np.uint64), _16)
-            put(esc, (y - _CLASS_BASE[cls]).astype(np.uint64), _U(1), _CLASS_BITS[cls])
-            model.count(esc, cls)
-        model.update(outcome, x)
-    for k in range(4):                                      # the rest of the state
-        words[np.arange(lanes), used] = low >> _48
-        low <<= _16
-        used += 1
-    return [words[k, :used[k]].astype("<u2").tobytes() for k in range(lanes)]
-
-
-def decode_blocks(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
+        x = ids[t, :live].astype(np.int32)
+        model.look()
+        two, right1 = _mask(x == model.p2), _mask(x == model.p1)
+        model.learn(two, right1, x)                         # while the entries are near
+        model.weigh()
+        one = right1 & ~two
+        m2, m1 = _wide(two), _wide(one)
+        start = _pick(m1, model.f2, model.f12) & ~m2
+        stop = _pick(m2, model.f2, _pick(m1, model.f12, _U(1 << 16)))
+        r = span[:live] >> _MIX
+        add = start * r
+        r = (stop - start) * r >> _SHARE
+        g = table.take(x | (two | right1) & _NO, mode="clip")
+        add += (g >> _32) * r
+        sp = (g & _LOW) * r
+        lo = low[:live] + add
+        over = np.flatnonzero(lo < add)
+        if len(over):                                       # a carry goes to the words that are out
+            back = at[over] - 1
+            while len(back):
+                words[back] += np.uint32(1)
+                back = back[words[back] == 0] - 1
+        go = np.flatnonzero(sp <= _LOW)
+        some, to = lo[go], at[go]
+        words[to] = some >> _32
+        at[go] = to + 1
+        lo[go] = some << _32
+        sp[go] <<= _32
+        low[:live], span[:live] = lo, sp
+        model.update(two, one)
+    words[at], words[at + 1] = low >> _32, low & _LOW       # the rest of the state
+    raw = memoryview(words.astype("<u4", copy=False)).cast("B")
+    return [bytes(raw[4 * i:4 * j + 8]) for i, j in zip(first.tolist(), at.tolist())]
+
+
+def decode_blocks(payloads: list[bytes], sizes: list[int], share: np.ndarray | None = None) -> list[np.ndarray]:
     """Ids of each block, from payloads and numbers of ids."""
     order = sorted(range(len(sizes)), key=lambda i: -sizes[i])
     out: list[np.ndarray] = [np.zeros(0, np.uint16)] * len(sizes)
     for g in range(0, len(order), LANES):
         some = order[g:g + LANES]
-        for i, ids in zip(some, _decode_lanes([payloads[i] for i in some], np.array([sizes[i] for i in some]))):
+        for i, ids in zip(some, _decode_lanes([payloads[i] for i in some], np.array([sizes[i] for i in some]), *_shares(share))):
             out[i] = ids
     return out
 
 
-def _decode_lanes(payloads: list[bytes], size: np.ndarray) -> list[np.ndarray]:
-    lanes, steps = len(payloads), int(size[0]) if len(size) else 0
-    used = np.concatenate([[0], np.cumsum([len(p) // 2 for p in payloads])])[:-1]
-    words = np.frombuffer(b"".join(payloads) + bytes(16), "<u2").astype(np.uint64)
-    low, span = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    code = np.zeros(lanes, np.uint64)
-    for _ in range(4):
-        code = code << _16 | words[used]
-        used += 1
+def _decode_lanes(payloads: list[bytes], size: np.ndarray, table: np.ndarray, places: np.ndarray) -> list[np.ndarray]:
+    lanes, steps = len(payloads), int(size[0])
+    at = np.cumsum([0] + [len(p) // 4 for p in payloads])[:-1]
+    words = np.frombuffer(b"".join(p[:len(p) // 4 * 4] for p in payloads) + bytes(8), "<u4").astype(np.uint64)
+    code = words.take(at, mode="clip") << _32 | words.take(at + 1, mode="clip")
+    at += 2
+    span = np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
     ids = np.zeros((steps, lanes), np.uint16)
     model = _Model(lanes)
-
-    def take(at, start, freq, r) -> None:
-        lo, sp, co = (low[:live], span[:live], code[:live]) if at is None else (low[at], span[at], code[at])
-        lo, sp = lo + start * r, freq * r
-        go = np.flatnonzero(((lo ^ (lo + sp)) < _U(1 << 48)) | (sp < _U(1 << 32)))
-        if len(go):
-            co = co.copy()
-        while len(go):
-            a, b = lo[go], sp[go]
-            apart = (a ^ (a + b)) >= _U(1 << 48)
-            b = np.where(apart, (~a + _U(1)) & _U(0xFFFFFFFF), b)
-            lane = go if at is None else at[go]
-            co[go] = co[go] << _16 | words[np.minimum(used[lane], len(words) - 1)]
-            used[lane] += 1
-            a, b = a << _16, b << _16
-            lo[go], sp[go] = a, b
-            go = go[((a ^ (a + b)) < _U(1 << 48)) | (b < _U(1 << 32))]
-        if at is None:
-            low[:live], span[:live], code[:live] = lo, sp, co
-        else:
-            low[at], span[at], code[at] = lo, sp, co
-
     live = lanes
-    for t in range(steps):
-        now = int(np.searchsorted(-size, -t, "left"))
+    for t, now in enumerate(_still(size)):
         if now < live:
             live = now
             model.shrink(live)
-        model.predict()
-        r = span[:live] >> _16
-        v = np.minimum((code[:live] - low[:live]) // r, _U(65535)).astype(np.int32)
-        outcome = (v >= model.f2).astype(np.int64) + (v >= model.f2 + model.f1)
-        two, one = outcome == 0, outcome == 1
-        start = np.where(two, 0, np.where(one, model.f2, model.f2 + model.f1))
-        freq = np.where(two, model.f2, np.where(one, model.f1, 65536 - model.f2 - model.f1))
-        take(None, start.astype(np.uint64), freq.astype(np.uint64), r)
-        x = np.where(two, model.p2, model.p1).astype(np.int64)
-        esc = np.flatnonzero(outcome == 2)
-        if len(esc):
-            edge = model.classes(esc)
-            r = span[esc] >> _16
-            v = np.minimum((code[esc] - low[esc]) // r, _U(65535)).astype(np.int32)
-            cls = (edge <= v[:, None]).sum(1)
-            row = np.arange(len(esc))
-            first = np.where(cls > 0, edge[row, cls - 1], 0)
-            take(esc, first.astype(np.uint64), (edge[row, cls] - first).astype(np.uint64), r)
-            bits = _CLASS_BITS[cls]
-            r = span[esc] >> bits
-            v = np.minimum((code[esc] - low[esc]) // r, (_U(1) << bits) - _U(1))
-            take(esc, v, _U(1), r)
-            x[esc] = _CLASS_BASE[cls] + v.astype(np.int64)
-            model.count(esc, cls)
+            code, span, at = code[:live], span[:live], at[:live]
+        model.look()
+        model.weigh()
+        r = span >> _MIX
+        end2, end1 = model.f2 * r, model.f12 * r
+        two, known = _mask(code < end2), _mask(code < end1)
+        one = known & ~two
+        m2, m1 = _wide(two), _wide(one)
+        start = _pick(m1, end2, end1) & ~m2
+        co = code - start
+        r = _pick(m2, end2, _pick(m1, end1, r << _MIX)) - start >> _SHARE
+        # the place co // r by floats, then to the exact one: off by one at most
+        place = (co.astype(np.float64) / r.astype(np.float64)).astype(np.int64)
+        rest = (co - place.view(np.uint64) * r).view(np.int64)
+        place += (rest >= r.view(np.int64)).view(np.int8) - (rest < 0).view(np.int8)
+        z = places.take(place, mode="clip").astype(np.int32)
+        x = _pick(two, model.p2, _pick(one, model.p1, z))
+        model.learn(two, _mask(model.p1 == x), x)
+        g = table.take(z | known & _NO, mode="clip")
+        code, span = co - (g >> _32) * r, (g & _LOW) * r
+        go = np.flatnonzero(span <= _LOW)
+        to = at[go]
+        code[go] = code[go] << _32 | words.take(to, mode="clip")
+        at[go] = to + 1
+        span[go] <<= _32
         ids[t, :live] = x
-        model.update(outcome, x)
-    return [ids[:n, k].copy() for k, n in enumerate(size.tolist())]
+        model.update(two, one)
+    lines = np.ascontiguousarray(ids.T)
+    return [lines[k, :n] for k, n in enumerate(size.tolist())]
 
 
 def checksum(ids: np.ndarray) -> int:

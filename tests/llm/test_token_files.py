@@ -117,3 +117,37 @@ def test_special_literals_are_the_tokens_of_the_unchanged_tokenizer(spark, tmp_p
     assert got[1][1] in (49406, 49407)
     for i, text in enumerate(cases):
         assert got[i] == t.encode(text, add_special_tokens=False).ids + [1], repr(text)
+
+
+def test_ids_that_no_context_predicts_cost_their_share():
+    """Sixteen scattered ids in turn by chance: four bits each; coded by class and raw bits they took sixteen."""
+    from loanmart.llm.token_files import pack_segment, unpack_segment
+    ids = (30_000 + 1_111 * np.random.default_rng(2).integers(0, 16, 30_000)).astype(np.uint16)
+    data = pack_segment(ids)
+    assert unpack_segment(data).tolist() == ids.tolist()
+    assert 8 * len(data) < 6 * len(ids)
+
+
+def test_carries_and_blocks_of_many_lengths():
+    from loanmart.llm.range_coder import decode_blocks, encode_blocks, frequencies
+    rng = np.random.default_rng(3)
+    blocks = [np.where(rng.random(n) < 0.97, 65_534 - n % 3, rng.integers(0, 65_535, n)) for n in range(700)]
+    for share in (None, frequencies(np.bincount(np.concatenate(blocks), minlength=65_535))):
+        got = decode_blocks(encode_blocks(blocks, share), [len(b) for b in blocks], share)
+        assert all(a.tolist() == b.tolist() for a, b in zip(blocks, got))
+
+
+def test_words_are_cut_at_punctuation_and_encoded_once(monkeypatch):
+    import public_tokenizers
+    from loanmart.llm import token_files as T
+    t, words = tokenizer(), T.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    words.encode(["word. word, (word) WORD!", "word.word;word"])
+    assert sorted(words.words.to_pylist()) == [b"!", b"(", b")", b",", b".", b";", b"word"]
+    rng = np.random.default_rng(8)
+    bits = ["a", "Zy", "s", "re", "'", ".", "=", "<", "|", "-", "̸", "́", "é", "É", "ß", "Ø", "×", "µ", "ª", "7", "日", " ", "\x1c"]
+    cases = ["".join(rng.choice(bits, 9)) for _ in range(3000)]
+    for small in (1 << 30, 2000):                       # also with a table of words that overflows
+        monkeypatch.setattr(T, "CACHE_BYTES", small)
+        for i in range(0, len(cases), 500):
+            for text, got in zip(cases[i:i + 500], words.encode(cases[i:i + 500])):
+                assert np.frombuffer(got, "<u2").tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
