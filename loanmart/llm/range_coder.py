@@ -46,65 +46,76 @@ def _pick(mask: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 class _Model:
     """Predictions and probabilities of all lanes.  A table entry is an id and a confidence of 0 to 3.
-    Entries of one place lie side by side for all lanes, as many lanes ask the same at a time."""
+    Entries of one place lie side by side for all lanes, as many lanes ask the same at a time.  Both orders, and both kinds
+    of estimates, are looked up in one call: the first half of such an array is order 2 (by confidences), the second order 1
+    (by the latest outcomes)."""
 
     def __init__(self, lanes: int):
         self.lanes = lanes
-        self.lane = np.arange(lanes, dtype=np.int32)
-        self.t1, self.t2 = np.full(lanes << _S1, _NONE, np.int32), np.full(lanes << _S2, _NONE, np.int32)
-        # of 65536: order 2 is right (upper half), order 1 is right, by confidences and by the latest outcomes
-        self.a = np.full(lanes * 32, 20000 << 16 | 8000, np.uint32)
-        self.b = np.full(lanes * 64, 20000 << 16 | 8000, np.uint32)
+        self.next = np.full(lanes * ((1 << _S2) + (1 << _S1)), _NONE, np.int32)
+        # of 65536: order 2 is right (upper half), order 1 is right; 32 places by confidences, 64 by the latest outcomes
+        self.odds = np.full(lanes * 96, 20000 << 16 | 8000, np.uint32)
         self.past = np.full(lanes, 0b101010, np.int32)      # three outcomes of two bits
         self.weight = np.full(lanes, 8, np.int32)
         self.last, self.before = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
+        self.shrink(lanes)
 
     def shrink(self, live: int) -> None:
         """Only the first lanes go on."""
-        for name in ("lane", "past", "weight", "last", "before"):
+        for name in ("past", "weight", "last", "before"):
             setattr(self, name, getattr(self, name)[:live])
+        self.live = live
+        lane = np.arange(live, dtype=np.int32)
+        self.lane = np.concatenate([lane, lane])
+        self.rate = np.repeat(np.array([4, 5], np.int32), live)
+        self.place = np.empty(2 * live, np.int32)
 
-    def _at(self, place: np.ndarray) -> np.ndarray:
-        return (place * self.lanes + self.lane).astype(np.int64)
+    def _at(self) -> np.ndarray:
+        return (self.place * self.lanes + self.lane).astype(np.int64)
 
     def look(self) -> None:
         """What the tables predict."""
-        self.i2 = self._at((self.before * 40503 + self.last * 30011 >> 3) & ((1 << _S2) - 1))    # bits 3 to 12 only
-        self.i1 = self._at(self.last & ((1 << _S1) - 1))
-        self.e2, self.e1 = self.t2.take(self.i2, mode="clip"), self.t1.take(self.i1, mode="clip")
-        self.p2, self.p1 = self.e2 >> 2, self.e1 >> 2
-        self.k2, self.k1 = self.e2 & 3, self.e1 & 3
+        n = self.live
+        np.bitwise_and(self.before * 40503 + self.last * 30011 >> 3, (1 << _S2) - 1, out=self.place[:n])     # bits 3 to 12 only
+        np.bitwise_or(self.last & ((1 << _S1) - 1), 1 << _S2, out=self.place[n:])
+        self.i = self._at()
+        self.e = self.next.take(self.i, mode="clip")
+        p = self.e >> 2
+        self.k = self.e & 3
+        self.p2, self.p1 = p[:n], p[n:]
 
     def weigh(self) -> None:
         """How likely the predictions are: ``f2``, and ``f12`` of both."""
+        n = self.live
         same = _mask(self.p1 == self.p2)
-        self.i_a = self._at((self.k2 << 2 | self.k1) + (same & 16))
-        self.i_b = self._at(self.past)
-        a, b = self.a.take(self.i_a, mode="clip"), self.b.take(self.i_b, mode="clip")
-        self.va2, self.va1 = (a >> 16).view(np.int32), (a & 0xFFFF).view(np.int32)
-        self.vb2, self.vb1 = (b >> 16).view(np.int32), (b & 0xFFFF).view(np.int32)
-        self.d2, self.d1 = self.va2 - self.vb2, self.va1 - self.vb1
-        f2 = np.maximum(self.vb2 + (self.d2 * self.weight >> 4), 32)
-        f1 = np.maximum(self.vb1 + (self.d1 * self.weight >> 4), 32) & ~same
+        np.bitwise_or(self.k[:n] << 2 | self.k[n:], same & 16, out=self.place[:n])
+        np.add(self.past, 32, out=self.place[n:])
+        self.o = self._at()
+        odds = self.odds.take(self.o, mode="clip")
+        self.v2, self.v1 = (odds >> 16).view(np.int32), (odds & 0xFFFF).view(np.int32)
+        self.d2, self.d1 = self.v2[:n] - self.v2[n:], self.v1[:n] - self.v1[n:]
+        f2 = np.maximum(self.v2[n:] + (self.d2 * self.weight >> 4), 32)
+        f1 = np.maximum(self.v1[n:] + (self.d1 * self.weight >> 4), 32) & ~same
         self.f2, self.f12 = f2.astype(np.uint64), (f2 + f1).astype(np.uint64)
 
     def learn(self, two: np.ndarray, right1: np.ndarray, ids: np.ndarray) -> None:
-        """The ids that followed (masks: whether each table's was right)."""
-        fresh = ids << 2                                    # a wrong entry loses confidence, or else its place
-        for table, at, e, k, right in ((self.t2, self.i2, self.e2, self.k2, two), (self.t1, self.i1, self.e1, self.k1, right1)):
-            table[at] = _pick(right, e - (k - 3 >> 2), _pick(-k >> 2, e - 1, fresh))
+        """The ids that followed (masks: whether each order was right)."""
+        right, fresh = np.concatenate([two, right1]), np.concatenate([ids, ids]) << 2
+        k = self.k                                          # a wrong entry loses confidence, or else its place
+        self.next[self.i] = _pick(right, self.e - (k - 3 >> 2), _pick(-k >> 2, self.e - 1, fresh))
         self.before, self.last = self.last, ids
 
     def update(self, two: np.ndarray, one: np.ndarray) -> None:
         """Masks: whether order 2 was right, whether order 1 was; else neither."""
         better = _pick(two, self.d2, _pick(one, self.d1, -self.d2 - self.d1))
         self.weight = np.minimum(np.maximum(self.weight + np.sign(better), 1), 15)
-        y2, y1 = two & 65000, one & 65000
-        for table, at, v2, v1, rate in ((self.a, self.i_a, self.va2, self.va1, 4), (self.b, self.i_b, self.vb2, self.vb1, 5)):
-            v2, v1 = v2 + (y2 - v2 >> rate), v1 + (y1 - v1 >> rate)
-            table[at] = (v2 << 16 | v1).view(np.uint32)
+        right2, right1 = np.concatenate([two, two]), np.concatenate([one, one])
+        v2 = self.v2 + ((right2 & 65000) - self.v2 >> self.rate)
+        v1 = self.v1 + ((right1 & 65000) - self.v1 >> self.rate)
+        self.odds[self.o] = (v2 << 16 | v1).view(np.uint32)
         self.past = (self.past << 2 | 2 + 2 * two + one) & 63
 
+
 def frequencies(count: np.ndarray) -> np.ndarray:
     """Shares in 2**18 of the ids 0 to ``MAX_ID``, by their counts: one at least for each id that occurs."""
     there = count > 0
@@ -169,14 +180,15 @@ def _encode_lanes(blocks: list[np.ndarray], table: np.ndarray) -> list[bytes]:
         two, right1 = _mask(x == model.p2), _mask(x == model.p1)
         model.learn(two, right1, x)                         # while the entries are near
         model.weigh()
-        one = right1 & ~two
+        known, one = two | right1, right1 & ~two
         m2, m1 = _wide(two), _wide(one)
-        start = _pick(m1, model.f2, model.f12) & ~m2
-        stop = _pick(m2, model.f2, _pick(m1, model.f12, _U(1 << 16)))
+        m0 = ~(m2 | m1)
+        start = model.f2 & m1 | model.f12 & m0
+        stop = model.f2 & m2 | model.f12 & m1 | m0 & _U(1 << 16)
         r = span[:live] >> _MIX
         add = start * r
         r = (stop - start) * r >> _SHARE
-        g = table.take(x | (two | right1) & _NO, mode="clip")
+        g = table.take(x | known & _NO, mode="clip")
         add += (g >> _32) * r
         sp = (g & _LOW) * r
         lo = low[:live] + add
@@ -232,9 +244,10 @@ def _decode_lanes(payloads: list[bytes], size: np.ndarray, table: np.ndarray, pl
         two, known = _mask(code < end2), _mask(code < end1)
         one = known & ~two
         m2, m1 = _wide(two), _wide(one)
-        start = _pick(m1, end2, end1) & ~m2
+        m0 = ~(m2 | m1)
+        start = end2 & m1 | end1 & m0
         co = code - start
-        r = _pick(m2, end2, _pick(m1, end1, r << _MIX)) - start >> _SHARE
+        r = (end2 & m2 | end1 & m1 | r << _MIX & m0) - start >> _SHARE
         # the place co // r by floats, then to the exact one: off by one at most
         place = (co.astype(np.float64) / r.astype(np.float64)).astype(np.int64)
         rest = (co - place.view(np.uint64) * r).view(np.int64)
