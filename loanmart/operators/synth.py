@@ -193,7 +193,7 @@ class RowStates:
 
     @classmethod
     def of(cls, df: DataFrame, name: str, fk: str, skip: set[str]) -> "RowStates":
-        from loanmart.session import cut_lineage
+        from loanmart.session import by_columns, cut_lineage
         num, cat, boo = _kinds(df, skip | {fk})
         exprs = [F.count(F.lit(1)).alias("_rows")]
         for i, c in enumerate(num):
@@ -204,8 +204,9 @@ class RowStates:
                       F.coalesce(F.skewness(x) * F.pow(m2, F.lit(1.5)) / F.sqrt(F.count(x)), F.lit(0.0)).alias(f"_m3{i}")]
         exprs += [F.sum(F.coalesce(F.col(f"`{c}`").cast("long"), F.lit(0))).alias(f"_b{i}") for i, c in enumerate(boo)]
         numbers = df.filter(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("_fk")).agg(*exprs)
-        return cls(name, num, cat, boo, {f.name: f.dataType for f in df.schema.fields}, cut_lineage(numbers),
-                   cut_lineage(value_counts(df, fk, cat)) if cat else None)
+        with by_columns("states"):
+            return cls(name, num, cat, boo, {f.name: f.dataType for f in df.schema.fields}, cut_lineage(numbers),
+                       cut_lineage(value_counts(df, fk, cat)) if cat else None)
 
     def _mean(self, i: int) -> Column:
         """The mean as a double, exactly the value where all values are equal."""
@@ -214,15 +215,17 @@ class RowStates:
 
     def lift(self, keys: DataFrame) -> "RowStates":
         """States by the parent: ``keys`` maps ``_fk`` to ``_root`` (one row per ``_fk``)."""
-        from loanmart.session import cut_lineage
+        from loanmart.session import by_columns, cut_lineage
         keys = keys.filter(F.col("_root").isNotNull())
         states = self.numbers.join(keys, "_fk")
         each = range(len(self.num))
-        sums = cut_lineage(states.groupBy("_root").agg(
+        sums = states.groupBy("_root").agg(
             F.sum("_rows").alias("_rows"), F.count(F.lit(1)).alias("_kids"),
             *[e for i in each for e in (F.sum(f"_n{i}").alias(f"_n{i}"), F.sum(f"_s{i}").alias(f"_s{i}"),
                                         F.min(f"_lo{i}").alias(f"_lo{i}"), F.max(f"_hi{i}").alias(f"_hi{i}"))],
-            *[F.sum(f"_b{i}").alias(f"_b{i}") for i in range(len(self.boo))]))
+            *[F.sum(f"_b{i}").alias(f"_b{i}") for i in range(len(self.boo))])
+        with by_columns("sums"):
+            sums = cut_lineage(sums)
         if self.num:
             sums = sums.join(self._moments(states, sums), "_root")
         counts = None if self.counts is None else self.counts.join(keys, "_fk").groupBy(
@@ -317,9 +320,11 @@ def synthesize(es: EntitySet, target: str, depth: int = 2, numeric: Sequence[str
         if lower_edges:
             # The extended child feeds the numeric and the categorical
             # aggregates: write it once instead of aggregating its own
-            # children twice.
+            # children twice.  Rows of a parent are put side by side (a parent with very many in several places):
+            # the partial sums of a parent are wider than its rows, and so leave a task once.
             from loanmart.session import store_rows
-            cdf = store_rows(synthesize(es, edge.child, depth - 1, numeric, categorical, states), "child")
+            cdf = synthesize(es, edge.child, depth - 1, numeric, categorical, states)
+            cdf = store_rows(cdf.hint("rebalance", F.col(f"`{edge.child_key}`")), "child")
         skip = {child.index, edge.child_key, *child.ignore}
         agg = aggregate_child(cdf, edge.child, edge.child_key, sorted(skip), numeric, categorical)
         out = _attach(out, edge.parent_key, agg)
